@@ -7,7 +7,9 @@ import importlib
 #: Query name: (module, function).
 MODULES = {
     "op1_bpe": "bpe",
+    "op2_ogg": "ogg",
     "op3_packing": "packing",
+    "op6_simhash": "simhash",
 }
 
 
