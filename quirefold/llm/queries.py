@@ -9,7 +9,9 @@ MODULES = {
     "op1_bpe": "bpe",
     "op2_ogg": "ogg",
     "op3_packing": "packing",
+    "op4_toxicity": "toxicity",
     "op6_simhash": "simhash",
+    "op7_langid": "langid",
 }
 
 
