@@ -10,6 +10,7 @@ MODULES = {
     "op2_ogg": "ogg",
     "op3_packing": "packing",
     "op4_toxicity": "toxicity",
+    "op5_quality": "quality",
     "op6_simhash": "simhash",
     "op7_langid": "langid",
 }
