@@ -58,6 +58,15 @@ def fold(doc_id: Column | str, parts: int) -> Column:
     return F.crc32(F.coalesce(col.cast("string"), F.lit(""))) % parts
 
 
+def thinned(df: DataFrame, n: int, *columns: str, salt: int = 0, count: int | None = None) -> DataFrame:
+    """About 1.25 n rows (all, if fewer), drawn by a hash of ``columns``.
+
+    Each task drops rows on its own, so what goes on doesn't grow with their number.
+    """
+    share = 1.25 * n / max(1, df.count() if count is None else count)
+    return df if share >= 1 else df.where(F.xxhash64(*columns, F.lit(salt)) < F.lit(int(share * 2**64) - 2**63))
+
+
 def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts) for runs of rows with about ``limit`` characters; null texts are empty."""
     col = batch.column(batch.schema.get_field_index(column))

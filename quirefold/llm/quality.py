@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, table, text_slices
+from .common import fold, table, text_slices, thinned
 
 #: Rows of positives, and of unlabelled text, used for fitting, at most.
 TRAIN_ROWS = 12_000
@@ -153,10 +153,14 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> Qual
     """Fits on at most ``rows`` positives and ``rows`` unlabelled texts."""
     marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     texts = docs.where("text is not null").select("doc_id", "text")
-    drawn = lambda df, salt: df.select("text").orderBy(F.xxhash64("text", F.lit(salt)), "text").limit(rows)
-    vectors = lambda df: np.array(sorted(r["x"] for r in _features(df, []).collect())).reshape(-1, len(NAMES))
-    positive = vectors(drawn(texts.join(marks.where("quality = 1"), "doc_id"), 1))
-    return QualityModel(positive, vectors(drawn(texts, 2)))
+
+    def vectors(df: DataFrame) -> np.ndarray:
+        found = _features(df.withColumn("__h", F.xxhash64("doc_id", "text")), ["__h"]).orderBy("__h", "x").limit(rows)
+        return np.array(sorted(r["x"] for r in found.select("x").collect())).reshape(-1, len(NAMES))
+
+    # the thinned labels are bounded by ``rows``, so they can be broadcast
+    positive = vectors(texts.join(F.broadcast(thinned(marks.where("quality = 1"), rows, "doc_id")), "doc_id"))
+    return QualityModel(positive, vectors(thinned(texts, rows, "doc_id", "text")))
 
 
 def score(spark: SparkSession, docs: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
