@@ -13,6 +13,7 @@ MODULES = {
     "op5_quality": "quality",
     "op6_simhash": "simhash",
     "op7_langid": "langid",
+    "op8_warc": "warc",
     "op9_topk": "topk",
     "op10_pitman_yor": "pitman_yor",
 }
