@@ -166,12 +166,13 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> Qual
 def score(spark: SparkSession, docs: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of docs and the score of each whole text."""
     sent = spark.sparkContext.broadcast(model)
-    picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__text"))
+    text = "text" if "text" in keep else "__text"
+    picked = docs.select(*[F.col(f"`{c}`") for c in keep], *([F.col("text").alias(text)] if text not in keep else []))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema[: len(keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in text_slices(batch, "__text"):
+            for start, texts in text_slices(batch, text):
                 scores = sent.value.score(np.array([features_of(t) for t in texts]))
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in range(len(keep))), pa.array(scores, pa.float64())], [*keep, "score"])
 

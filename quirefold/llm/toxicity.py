@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, rows_of, table, text_slices
+from .common import fold, rows_of, table, text_slices, thinned
 
 #: Labelled rows used for fitting, at most.
 TRAIN_ROWS = 12_000
@@ -176,7 +176,8 @@ class ToxicityModel:
 def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, penalty: float = SWAP_PENALTY) -> ToxicityModel:
     """Fits on at most ``rows`` labelled rows; features are made on the executors from whole texts."""
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    drawn = docs.select("doc_id", "text").where("text is not null").join(marks, "doc_id").select("text", "toxic").orderBy(F.xxhash64("text"), "text").limit(rows)
+    # the thinned labels are bounded by ``rows``, so they can be broadcast
+    drawn = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(thinned(marks, rows, "doc_id")), "doc_id").select("text", "toxic")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +187,8 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, penalty
                 swapped = [[text_features(c).tobytes() for c in counterfactuals(s)] for s in sets]
                 yield pa.RecordBatch.from_arrays([rows_of(batch, start, len(texts), "toxic").cast(pa.int32()), pa.array(own, pa.binary()), pa.array(swapped, pa.list_(pa.binary()))], ["toxic", "x", "swaps"])
 
-    found = sorted((bytes(r["x"]), r["toxic"], [bytes(s) for s in r["swaps"]]) for r in drawn.mapInArrow(run, "toxic int, x binary, swaps array<binary>").collect())
+    made = drawn.mapInArrow(run, "toxic int, x binary, swaps array<binary>").orderBy(F.xxhash64("x"), "x", "toxic").limit(rows)
+    found = sorted((bytes(r["x"]), r["toxic"], [bytes(s) for s in r["swaps"]]) for r in made.collect())
     as_row = lambda b: np.frombuffer(b, np.uint32)
     return ToxicityModel([as_row(x) for x, _, _ in found], np.array([t > 0 for _, t, _ in found], float), [(i, as_row(s)) for i, (_, _, ss) in enumerate(found) for s in ss], penalty=penalty)
 
@@ -194,12 +196,13 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, penalty
 def score(spark: SparkSession, docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of docs and the score of each whole text."""
     sent = spark.sparkContext.broadcast(model)
-    picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__text"))
+    text = "text" if "text" in keep else "__text"
+    picked = docs.select(*[F.col(f"`{c}`") for c in keep], *([F.col("text").alias(text)] if text not in keep else []))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema[: len(keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in text_slices(batch, "__text"):
+            for start, texts in text_slices(batch, text):
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in range(len(keep))), pa.array(sent.value.score(texts), pa.float64())], [*keep, "score"])
 
     return picked.mapInArrow(run, f"{fields}, score double")
