@@ -160,7 +160,14 @@ class LanguageModel:
 def train(docs: DataFrame, *, per_lang: int = TRAIN_PER_LANG) -> LanguageModel:
     """Learns from rows with a lang and a letter.  ``per_lang`` rows of each language reach the driver as fixed-size vectors."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), "text")
-    drawn = rows.withColumn("__n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))).where(F.col("__n") <= per_lang).select("lang", "text")
+    # a row passes if its hash is below its language's share; equal texts count once
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    h, passes = F.xxhash64("text"), F.lit(False)
+    for lang, n in counts.items():
+        share = 2 * per_lang / n
+        passes = passes | ((F.col("lang") == lang) & (F.lit(True) if share >= 1 else h < F.lit(int(share * 2**64) - 2**63)))
+    once = rows.where(passes).withColumn("__h", h).groupBy("lang", "__h").agg(F.first("text").alias("text"))
+    drawn = once.withColumn("__n", F.row_number().over(Window.partitionBy("lang").orderBy("__h"))).where(F.col("__n") <= per_lang).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,12 +183,13 @@ def train(docs: DataFrame, *, per_lang: int = TRAIN_PER_LANG) -> LanguageModel:
 def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of docs, lang_pred and score."""
     sent = spark.sparkContext.broadcast(model)
-    picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__text"))
+    text = "text" if "text" in keep else "__text"
+    picked = docs.select(*[F.col(f"`{c}`") for c in keep], *([F.col("text").alias(text)] if text not in keep else []))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema[: len(keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in text_slices(batch, "__text"):
+            for start, texts in text_slices(batch, text):
                 names, scores = sent.value.predict(texts)
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in range(len(keep))), pa.array(names), pa.array(scores)], [*keep, "lang_pred", "score"])
 
