@@ -106,4 +106,4 @@ LIST_OPENERS = r"(?m)^(?![ \t]*\\pc\b)(?=.*\\vs.*\\ublistelem\{1\.\})"
 
 def mark_list_openers(c: Column) -> tuple[Column, Column]:
     """(text with the paragraph mark put before each list opener, how many were put)."""
-    return F.regexp_replace(c, LIST_OPENERS, r"\\\\pc "), F.regexp_count(c, F.lit(LIST_OPENERS))
+    return F.regexp_replace(c, LIST_OPENERS, r"\\pc "), F.regexp_count(c, F.lit(LIST_OPENERS))

@@ -18,7 +18,7 @@ JSONL = f"_kind string, paper int, title string, subtitle string, author string,
 
 def whole_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """(path, src): one row per file whose name matches ``glob``."""
-    read = spark.read.option("wholetext", "true").option("pathGlobFilter", glob).text(folder)
+    read = spark.read.text(folder, wholetext=True, pathGlobFilter=glob)
     return read.select(F.col("_metadata.file_name").alias("path"), F.col("value").alias("src"))
 
 
@@ -104,7 +104,7 @@ def parse_deviations(text: str) -> list[tuple]:
 def read_deviations(spark: SparkSession, path: str | None) -> DataFrame:
     """The allow-list, a row per verse key; ranges fan out, the last entry of a key holds, a missing file is empty."""
     try:
-        text = "\n".join(r[0] for r in spark.read.option("wholetext", "true").text(path).collect()) if path else ""
+        text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()) if path else ""
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -118,7 +118,7 @@ def read_deviations(spark: SparkSession, path: str | None) -> DataFrame:
 
 def bbox_pages(spark: SparkSession, path: str) -> DataFrame:
     """(doc, page, body): pages of box documents in file order, parsed with a fixed schema."""
-    files = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_name").alias("doc"), F.regexp_extract("value", r"(?s)<doc\b.*</doc>", 0).alias("xml"))
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("doc"), F.regexp_extract("value", r"(?s)<doc\b.*</doc>", 0).alias("xml"))
     parsed = F.from_xml("xml", F.lit(f"page array<struct<{_ddl(BBOX_PAGE)}>>"), {"ignoreNamespace": "true"})
     return files.select("doc", F.posexplode(parsed["page"]).alias("pos", "body")).select("doc", (F.col("pos") + 1).alias("page"), "body")
 
@@ -151,7 +151,7 @@ def bbox_lines(pages: DataFrame) -> DataFrame:
 
 def text_pages(spark: SparkSession, path: str) -> DataFrame:
     """(doc, page, line_no, line) of text layouts: pages end at form feeds; line_no counts from 0."""
-    files = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_name").alias("doc"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("doc"), "value")
     pages = files.select("doc", F.posexplode(F.split("value", "\\x0c")).alias("p", "page_text"))
     lines = pages.select("doc", (F.col("p") + 1).alias("page"), F.split("page_text", "\n").alias("ls"))
     return lines.select("doc", "page", F.size("ls").alias("n_lines"), F.posexplode("ls").alias("line_no", "line"))
