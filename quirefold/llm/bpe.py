@@ -103,7 +103,9 @@ class ByteBPE:
         vocab = spec["model"]["vocab"]
         symbols = byte_symbols()
         back = {s: b for b, s in enumerate(symbols)}
+        suffix = spec["model"].get("end_of_word_suffix") or ""
         self.first = np.array([vocab[s] for s in symbols], np.int64)
+        self.final = np.array([vocab[s + suffix] for s in symbols], np.int64)  # a word's last byte
         added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         size = max([*vocab.values(), *added.values()]) + 1
         self.width = np.int64(size)
@@ -136,7 +138,9 @@ class ByteBPE:
     def merge_rounds(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``words`` (none empty), one after another, and how many each has."""
         sizes = np.fromiter(map(len, words), np.int64, len(words))
-        sym = self.first[np.frombuffer(b"".join(words), np.uint8)]
+        raw, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes)
+        sym = self.first[raw]
+        sym[ends - 1] = self.final[raw[ends - 1]]
         wid = np.repeat(np.arange(len(words)), sizes)
         done_sym, done_wid = [], []
         while len(sym):

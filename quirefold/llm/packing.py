@@ -16,16 +16,18 @@ columns of the input are not read.
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import SPACE, Numbers, Segments
+from .bpe import SPACE, ByteBPE, Numbers, Segments
 from .common import rows_of, table, text_slices
 
 SEQUENCE = 4096
@@ -37,6 +39,8 @@ CACHE_WORDS = 700_000
 #: Separators that str.split() cuts at and the tokenizer doesn't.
 CONTROL = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(f"[{SPACE}]+")
+#: Fixed value: how the vocabulary cuts a lower-cased text into words.
+WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
 
 
 def tournament_first_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +95,12 @@ def pack(spark: SparkSession, pieces: DataFrame, n_docs: int, *, capacity: int =
 
 
 class WordIds:
-    """Ids of whole texts for a tokenizer that never looks across white space; each distinct chunk is encoded once."""
+    """Ids of whole texts for the lower-casing tokenizer, which never looks across white space.
+
+    Each distinct chunk between white space is encoded once: composed, lower-cased
+    character by character, cut into words and merged in batched rounds.  Chunks
+    that may hold an added token go through the tokenizers library itself.
+    """
 
     def __init__(self, spec: str) -> None:
         from tokenizers import Tokenizer
@@ -99,11 +108,42 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.bpe = ByteBPE(spec)
+        self.words = regex.compile(WORDS)
+        self._fresh()
+
+    def _fresh(self) -> None:
         self.numbers, self.lists = Numbers(), Segments()
+        self.word_no, self.word_lists = Numbers(), Segments()
+
+    def _learn(self, chunks: list[str]) -> None:
+        cut, odd = [], {}
+        for k, c in enumerate(chunks):
+            if "<|" in c:
+                odd[k] = self.tokenizer.encode(c, add_special_tokens=False).ids
+                cut.append([])
+                continue
+            if not c.isascii():
+                c = unicodedata.normalize("NFC", c).replace("\u03a3", "\u03c3")
+            cut.append(self.words.findall(c.lower()))
+        number = np.array([self.word_no[w] for ws in cut for w in ws], np.int64)
+        new = self.word_no.fresh()
+        if new:
+            self.word_lists.add(*self.bpe.merge_rounds([w.encode() for w in new]))
+        flat, sizes = self.word_lists.gather(number)
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        ends, bounds = np.cumsum(np.r_[0, sizes]), np.cumsum(counts)
+        each = ends[bounds] - ends[bounds - counts]
+        for k, ids in sorted(odd.items(), reverse=True):  # from the end, so that earlier places stay
+            at = int(each[:k].sum())
+            flat = np.concatenate([flat[:at], np.array(ids, flat.dtype), flat[at:]])
+            each[k] = len(ids)
+        self.lists.add(flat, each)
 
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.numbers) > CACHE_WORDS:
-            self.numbers, self.lists = Numbers(), Segments()
+        """Ids of all texts, one after another, each closed by ``end_id``, and how many each has."""
+        if len(self.numbers) > CACHE_WORDS or len(self.word_no) > CACHE_WORDS:
+            self._fresh()
         get, found, counts = self.numbers.__getitem__, [], []
         for t in texts:
             words = t.split() if not CONTROL.search(t) else [w for w in SPACES.split(t) if w]
@@ -111,9 +151,7 @@ class WordIds:
             counts.append(len(words))
         new = self.numbers.fresh()
         if new:
-            made = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, made), np.int64, len(made))
-            self.lists.add(np.fromiter((i for ids in made for i in ids), np.int32, int(sizes.sum())), sizes)
+            self._learn(new)
         ids, sizes = self.lists.gather(np.array(found, np.int64))
         counts = np.array(counts, np.int64)
         ends, bounds = np.cumsum(np.r_[0, sizes]), np.cumsum(counts)
