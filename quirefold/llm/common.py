@@ -45,10 +45,10 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def cut(spark: SparkSession, df: DataFrame, what: str) -> DataFrame:
+def cut(spark: SparkSession, df: DataFrame, what: str, **options: object) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: lineage ends there."""
     path = scratch(spark, what)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
