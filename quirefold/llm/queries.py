@@ -23,5 +23,19 @@ def queries() -> dict:
     return {name: getattr(importlib.import_module(f"{__package__}.{module}"), name) for name, module in MODULES.items()}
 
 
+#: What SQL can express; the others are tested against brute force, libraries or held-out labels.
+ORACLE = {
+    "op8_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+m AS (SELECT h, max(page_id) AS best FROM p WHERE octet_length(encode(h)) >= 1000 GROUP BY h)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN best <> page_id THEN best END AS refers_to FROM p LEFT JOIN m USING (h)""",
+    "op9_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
