@@ -104,7 +104,7 @@ class Comparison:
         self.left_verses = remap_combined(verses_of(left), self.left_sections)
         self.right_verses = drop_floaters(verses_of(right))
         self.left_keyed, self.right_keyed = last_wins(self.left_verses), last_wins(self.right_verses)
-        self.compared = compare_verses(self.left_keyed, self.right_keyed, deviations)
+        self.compared = compare_verses(self.left_keyed, self.right_keyed, deviations).persist()
         self.mismatches = mismatches(self.left_heads, self.right_heads, self.left_sections, self.right_sections, self.left_keyed, self.right_keyed, self.compared)
 
     def errors(self) -> DataFrame:

@@ -9,17 +9,25 @@ from ..functions.macros import macro_table
 from .diff import Comparison
 
 
+COUNTS = ["left_sections", "right_sections", "left_verses", "right_verses", "common", "only_left", "only_right", "text_diffs", "italic_diffs", "mismatches"]
+
+
 def paper_summary(c: Comparison) -> DataFrame:
-    """A row per paper: counts of both sides, of differences (skipped keys count in only_*), and the status."""
-    heads = c.left_heads.select("paper", F.col("sections").alias("left_sections")).join(c.right_heads.select("paper", F.col("sections").alias("right_sections")), "paper", "full_outer")
-    rows = lambda df, name: df.groupBy("paper").agg(F.count("*").alias(name))
-    is_ = lambda s: F.count_if(F.col("status") == s)
-    told = lambda s: F.count_if((F.col("status") == s) & ~F.col("skip"))
-    keys = c.compared.groupBy("paper").agg(F.count_if(~F.col("status").isin("only_left", "only_right")).alias("common"), is_("only_left").alias("only_left"), is_("only_right").alias("only_right"), told("text").alias("text_diffs"), told("italic").alias("italic_diffs"))
-    out = heads
-    for part in (rows(c.left_verses, "left_verses"), rows(c.right_verses, "right_verses"), keys, rows(c.mismatches, "mismatches")):
-        out = out.join(part, "paper", "left")
-    out = out.na.fill(0)
+    """A row per paper: counts of both sides, of differences (skipped keys count in only_*), and the status.
+
+    Every table contributes rows of counts, and one grouping adds them up.
+    """
+
+    def part(df: DataFrame, **counts) -> DataFrame:
+        return df.select("paper", *[counts[n].cast("long").alias(n) if n in counts else F.lit(0).cast("long").alias(n) for n in COUNTS])
+
+    one, told = F.lit(1), ~F.col("skip")
+    is_ = lambda s, more=F.lit(True): ((F.col("status") == s) & more).cast("int")
+    rows = part(c.left_heads, left_sections=F.col("sections")).unionAll(part(c.right_heads, right_sections=F.col("sections")))
+    rows = rows.unionAll(part(c.left_verses, left_verses=one)).unionAll(part(c.right_verses, right_verses=one)).unionAll(part(c.mismatches, mismatches=one))
+    both = (~F.col("status").isin("only_left", "only_right")).cast("int")
+    rows = rows.unionAll(part(c.compared, common=both, only_left=is_("only_left"), only_right=is_("only_right"), text_diffs=is_("text", told), italic_diffs=is_("italic", told)))
+    out = rows.groupBy("paper").agg(*[F.sum(n).alias(n) for n in COUNTS])
     return out.withColumn("status", F.when(F.col("mismatches") == 0, "CLEAN").otherwise("FAIL"))
 
 
