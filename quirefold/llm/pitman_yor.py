@@ -13,8 +13,7 @@ generalised Stirling numbers) up to ``EXACT`` customers and customer by customer
 in small groups beyond.  Predictive probabilities are averaged over the sweeps
 kept, each with the table totals of that very sweep, so they sum to one.
 
-Spark: frequent words (at most ``HEAVY``, found over all texts; a routing choice
-that changes no count) have a bounded table of pair counts, which is broadcast.
+Spark: frequent words (at most ``HEAVY``, counted exactly over all training texts) have a bounded table of pair counts, which is broadcast.
 All other tokens are dealt by word, packed into binary blocks, to buckets whose
 number follows the corpus; a bucket holds whole words, so it counts, seats and
 scores them alone and needs only the totals of each context from the others.
@@ -91,10 +90,9 @@ class Tokens:
 def frequent_words(train: DataFrame) -> tuple[list[int], int]:
     """Keys of up to HEAVY frequent words, and the number of training tokens.
 
-    A slice reports only words above a share that any frequent word must exceed in
-    some slice, so reports are bounded; the chosen list routes tokens and changes no count.
+    Every word of every slice is counted, so the list depends on the texts alone.  It
+    decides which previous words have a context of their own, and so the scores.
     """
-    share = 1 / (4 * HEAVY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
@@ -102,9 +100,9 @@ def frequent_words(train: DataFrame) -> tuple[list[int], int]:
             for _, texts in text_slices(batch, limit=SLICE_CHARS):
                 at, _ = tokens.read(texts)
                 counts = np.bincount(at, minlength=len(tokens.keys))
-                often = np.flatnonzero(counts >= max(2, share * len(at)))
-                keys = np.r_[tokens.keys[often].view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array([*keys.tolist(), None], pa.int64()), pa.array([*counts[often].tolist(), len(at)], pa.int64())], ["key", "n"])
+                seen = np.flatnonzero(counts)
+                keys = tokens.keys[seen].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([*keys.tolist(), None], pa.int64()), pa.array([*counts[seen].tolist(), len(at)], pa.int64())], ["key", "n"])
 
     sums = train.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     rows = sums.orderBy(F.col("key").isNotNull(), F.desc("n"), "key").limit(HEAVY + 1).collect()

@@ -1,0 +1,28 @@
+"""The list of frequent words and the scores don't depend on how the texts are partitioned."""
+
+import random
+from collections import Counter
+
+import numpy as np
+import xxhash
+
+from quirefold.llm import pitman_yor
+
+
+def test_any_partitioning(spark):
+    rng = random.Random(4)
+    texts = [rng.choices([f"often{i}" for i in range(20)], k=96) for _ in range(600)]
+    for i in range(300):  # eight of each: below one in 4096 tokens, above one in 16,384
+        for t in rng.sample(texts, 4):
+            t += [f"even{i}"] * 2
+    counts = Counter(w for t in texts for w in [*t, ""])
+    total = sum(counts.values())
+    assert total / 16_384 < counts["even0"] < total / 4096
+    want = sorted(xxhash.xxh64_intdigest(w.encode()) for w in counts)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = []
+    for parts in (1, 40):
+        heavy, n = pitman_yor.frequent_words(docs.repartition(parts))
+        assert sorted(np.array(heavy, np.int64).view(np.uint64).tolist()) == want and n == total
+        got.append(sorted((r.doc_id, r.score) for r in pitman_yor.score_texts(spark, docs.repartition(parts)).collect()))
+    assert np.allclose(got[0], got[1], rtol=0, atol=1e-9)
