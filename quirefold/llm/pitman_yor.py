@@ -2,10 +2,9 @@
 
 The model has three levels: a base distribution over the training vocabulary and
 one unknown type, a restaurant of words without context, and a restaurant for
-each context, all of which share that parent.  A context is the previous word if
-it is frequent, else the class of previous words with the same last byte, or the
-start of a text.  A customer of a context restaurant is a training token; each of
-its tables sends one customer to the parent.
+every previous word seen in training (and for the start of a text); all of these
+share that parent.  A customer of a context restaurant is a training token; each
+of its tables sends one customer to the parent.
 
 Seating is sampled by blocked Gibbs steps: the number of tables that serve a word
 in a restaurant is drawn from its conditional given everything else, exactly (by
@@ -13,13 +12,19 @@ generalised Stirling numbers) up to ``EXACT`` customers and customer by customer
 in small groups beyond.  Predictive probabilities are averaged over the sweeps
 kept, each with the table totals of that very sweep, so they sum to one.
 
-Spark: frequent words (at most ``HEAVY``, counted exactly over all training texts) have a bounded table of pair counts, which is broadcast.
-All other tokens are dealt by word, packed into binary blocks, to buckets whose
-number follows the corpus; a bucket holds whole words, so it counts, seats and
-scores them alone and needs only the totals of each context from the others.
-Two shuffles carry tokens of infrequent words: words to buckets (about 8 bytes
-each) and probabilities back to texts (about 8 bytes); what is gathered to the
-driver is bounded by contexts and frequent words.
+Spark: texts are read in slices.  A slice sends its distinct (word, previous word)
+pairs with their counts, packed, to buckets; a bucket holds whole words (a frequent
+word is split over several by its previous words), adds the counts up and seats
+them.  What a bucket needs of contexts and of split words beyond its own pairs are
+sums over all buckets.  For words of the frequent list (at most ``FREQUENT``) they
+are gathered, for all others they are exchanged by a shuffle, packed.  Each slice
+gets a log probability for each of its pairs back.  Buckets and slices are stored
+as a table bucketed by their key, so only what is new is shuffled.
+
+The frequent list comes from a sample drawn by text hash.  It decides how words
+are coded and dealt, and all counts are exact, so scores don't depend on how the
+table is partitioned.  Log probabilities travel as 32-bit fixed point numbers of
+step 2**-26 (within 1e-8 of the double) and are added up as integers.
 
 Defined results: a null or empty text is its end token alone; without training
 text every token is the unknown type; a null doc_id counts as id text ''; rows
@@ -33,41 +38,38 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .bpe import Numbers
-from .common import cut, fold, table, text_slices
+from .common import cut, fold, scratch, table, text_slices, thinned
 
 FOLDS = 10
-HEAVY = 1024
-LIGHT_CONTEXTS = 256
-CONTEXTS = 1 + HEAVY + LIGHT_CONTEXTS
-#: Training tokens for each bucket; about half of them are frequent and stay out of it.
-BUCKET = 1_000_000
-SLICE_CHARS = 4_000_000
+#: Words coded in two bytes, and texts of the sample that they are found in, at most.
+FREQUENT, SAMPLE_TEXTS = 65_535, 8_192
+#: Tokens for each bucket, and tokens of one word beyond which it is split.
+BUCKET, SPLIT = 1_000_000, 125_000
+SLICE_CHARS = 8_000_000
 EXACT = 64
-BURN_IN, KEEP = 2, 3
+BURN_IN, KEEP = 5, 3
 THETA = 1.0
 UNKNOWN = 0.5
 ADD = 0.1
 CACHE_WORDS = 250_000
 END_KEY = xxhash.xxh64_intdigest(b"")
-SLOT_BITS = 15
-#: A token's log10 probability travels in steps of this fineness (within 0.0003; down to -16).
-LOG_STEPS = 4000
-CONTEXT_BLOCK = 64
+FIXED_POINT = float(1 << 26)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Tokens:
-    """Words of whole texts as numbers, with a 64-bit key and a last-byte class for each number."""
+    """Words of whole texts as numbers, with a 64-bit key for each number."""
 
     def __init__(self) -> None:
-        self.numbers = Numbers()
-        self.keys, self.last = np.zeros(1, np.uint64), np.zeros(1, np.int32)
+        self.numbers, self.keys = Numbers(), np.zeros(0, np.uint64)
 
     def read(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(word numbers of all texts with an end token each, tokens per text); number 0 is the end."""
@@ -81,151 +83,269 @@ class Tokens:
             found += map(get, words)
             sizes.append(len(words))
         new = self.numbers.fresh()
-        if new:
-            self.keys = np.r_[self.keys[: len(self.numbers) - len(new)], np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))]
-            self.last = np.r_[self.last[: len(self.numbers) - len(new)], np.fromiter((w[-1] if w else 0 for w in new), np.int32, len(new))]
+        self.keys = np.r_[self.keys, np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))]
         return np.array(found, np.int64), np.array(sizes, np.int64)
 
 
-def frequent_words(train: DataFrame) -> tuple[list[int], int]:
-    """Keys of up to HEAVY frequent words, and the number of training tokens.
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of unsigned numbers as one compressed blob, their byte planes apart."""
+    head = np.array([x for a in arrays for x in (len(a), a.itemsize)], "<u4").tobytes()
+    body = b"".join(np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays)
+    return len(arrays).to_bytes(4, "little") + head + (pa.compress(body, codec="zstd", asbytes=True) if body else b"")
+
+
+def unpacked(blob: bytes) -> list[np.ndarray]:
+    n = int.from_bytes(blob[:4], "little")
+    shapes = np.frombuffer(blob, "<u4", 2 * n, 4).reshape(n, 2).tolist()
+    total, at, out = sum(a * b for a, b in shapes), 0, []
+    body = np.frombuffer(pa.decompress(blob[4 + 8 * n :], total, codec="zstd"), np.uint8) if total else np.zeros(0, np.uint8)
+    for size, width in shapes:
+        out.append(np.ascontiguousarray(body[at : at + size * width].reshape(width, size).T).view(f"<u{width}").ravel())
+        at += size * width
+    return out
 
-    Every word of every slice is counted, so the list depends on the texts alone.  It
-    decides which previous words have a context of their own, and so the scores.
+
+class Words:
+    """The frequent words: how keys are coded, and over how many buckets each word is split.
+
+    Built on the driver from at most FREQUENT rows and broadcast (8 bytes a word).
     """
 
+    def __init__(self, counts: list[tuple[int, int]], tokens: int) -> None:
+        """``counts``: (key, estimated tokens) of frequent words; ``tokens``: estimated tokens of the table."""
+        found = sorted((k & (1 << 64) - 1, n) for k, n in counts)
+        self.keys = np.array([k for k, _ in found], np.uint64)
+        self.parts = np.array([max(1, -(-n // SPLIT)) for _, n in found], np.int64)
+        self.buckets = max(4, -(-tokens // BUCKET))
+
+    def code(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key in the list; FREQUENT for others."""
+        if not len(self.keys):
+            return np.full(len(keys), FREQUENT, np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, FREQUENT)
+
+    def coded(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        code = self.code(keys)
+        return code.astype("<u2"), keys[code == FREQUENT]
+
+    def decoded(self, code: np.ndarray, others: np.ndarray) -> np.ndarray:
+        out = np.empty(len(code), np.uint64)
+        own = code == FREQUENT
+        out[own], out[~own] = others, self.keys[code[~own]]
+        return out
+
+    def split(self, code: np.ndarray) -> np.ndarray:
+        """Over how many buckets the words of these codes are split."""
+        return np.where(code == FREQUENT, 1, np.r_[self.parts, 1][np.minimum(code, len(self.parts))])
+
+    def bucket(self, word: np.ndarray, code: np.ndarray, context: np.ndarray) -> np.ndarray:
+        part = (context * _MIX >> np.uint64(33)) % self.split(code).astype(np.uint64)
+        return ((word + part * _MIX) % np.uint64(self.buckets)).astype(np.int64)
+
+
+def word_list(train: DataFrame) -> Words:
+    rows, chars = train.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()
         for batch in batches:
             for _, texts in text_slices(batch, limit=SLICE_CHARS):
                 at, _ = tokens.read(texts)
-                counts = np.bincount(at, minlength=len(tokens.keys))
-                seen = np.flatnonzero(counts)
-                keys = tokens.keys[seen].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([*keys.tolist(), None], pa.int64()), pa.array([*counts[seen].tolist(), len(at)], pa.int64())], ["key", "n"])
+                seen, n = np.unique(at, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(tokens.keys[seen].view(np.int64)), pa.array(n)], ["key", "n"])
 
-    sums = train.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    rows = sums.orderBy(F.col("key").isNotNull(), F.desc("n"), "key").limit(HEAVY + 1).collect()
-    total = next((r["n"] for r in rows if r["key"] is None), 0)
-    # a word below this share of all tokens can't unbalance a bucket
-    return sorted(r["key"] for r in rows if r["key"] is not None and (r["n"] >= total / (16 * HEAVY))), total
+    sample = thinned(train.select("text"), SAMPLE_TEXTS, "text", count=rows).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    top = [(r["key"], r["n"]) for r in sample.orderBy(F.desc("n"), "key").limit(FREQUENT).collect()]
+    # six bytes a token; the sample's shares hold for the table
+    tokens, sampled = (chars or 0) // 6 + rows, sum(n for _, n in top)
+    return Words([(k, n * tokens // sampled) for k, n in top], tokens)
 
 
-def deal(docs: DataFrame, heavy: list[int], buckets: int) -> DataFrame:
-    """Three kinds of rows in one table.
+def slice_row(words: Words, tokens: Tokens, texts: list[str], out: np.ndarray) -> tuple[bytes, np.ndarray, list[tuple[int, bytes]]]:
+    """(occurrences of each pair and the text of each occurrence, packed; tokens of each text; (bucket, pairs) blocks).
 
-    doc: (uid, slot) names a text, with its id, fold and frequent tokens; pairs: counts
-    of frequent words by context in training texts, in blocks of contexts; light: the
-    tokens of a bucket in a slice, sorted by word key.
+    Pairs are in the order of (bucket, word key, context key).
+    """
+    at, sizes = tokens.read(texts)
+    order = np.argsort(tokens.keys)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    keys, width = tokens.keys[order], len(order)
+    word = rank[at]
+    context = np.r_[rank[0], word[:-1]]
+    context[np.cumsum(sizes) - sizes] = rank[0]  # only a text's start has the end token as its context
+    text_of = np.repeat(np.arange(len(texts)), sizes)
+    pair, place, times = np.unique(word * width + context, return_inverse=True, return_counts=True)
+    learn = np.bincount(place[~out[text_of]], minlength=len(pair))
+    w, u = pair // width, pair % width
+    code = words.code(keys)
+    bucket = words.bucket(keys[w], code[w], keys[u])
+    order = np.argsort(bucket, kind="stable")
+    back = np.empty_like(order)
+    back[order] = np.arange(len(order))
+    bucket, w, u, learn = bucket[order], w[order], u[order], learn[order]
+    by_pair = np.argsort(back[place], kind="stable")
+    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(bucket) else [0]
+    blocks = []
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        heads = np.flatnonzero(np.r_[True, w[a + 1 : b] != w[a : b - 1]])
+        blocks.append((int(bucket[a]), packed(*words.coded(keys[w[a:b][heads]]), np.diff(np.r_[heads, b - a]).astype("<u4"), *words.coded(keys[u[a:b]]), learn[a:b].astype("<u4"))))
+    return packed(times[order].astype("<u4"), text_of[by_pair].astype("<u4")), sizes, blocks
+
+
+def deal(docs: DataFrame, words) -> DataFrame:
+    """Rows by key: a slice (key -1 - uid: its texts, their occurrences) or a block (key: its bucket, data: pairs of slice uid).
+
+    A slice's uid is made of its partition and place, so a task that is run again makes the same rows.
     """
-    keys = np.array(heavy, np.int64).view(np.uint64)
-    order = np.argsort(keys)
-    sorted_keys = keys[order]
+    picked = docs.select("doc_id", (fold("doc_id", FOLDS) == 0).alias("held_out"), "text")
+    id_type = to_arrow_type(picked.schema["doc_id"].dataType)
+    kinds = [pa.int64(), pa.int64(), pa.list_(id_type), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, pair_counts = Tokens(), np.zeros(CONTEXTS * HEAVY, np.int64)
+        tokens, uid = Tokens(), TaskContext.get().partitionId() << 28
         for batch in batches:
-            ids, held = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False)
-            for start, all_texts in text_slices(batch, limit=SLICE_CHARS):
-                for off in range(0, len(all_texts), 1 << SLOT_BITS):
-                    texts = all_texts[off : off + (1 << SLOT_BITS)]
-                    lo = start + off
-                    out = held[lo : lo + len(texts)].astype(bool)
-                    at, sizes = tokens.read(texts)
-                    where = np.searchsorted(sorted_keys, tokens.keys) if len(sorted_keys) else np.zeros(len(tokens.keys), np.int64)
-                    where = np.minimum(where, max(0, len(sorted_keys) - 1))
-                    is_heavy = sorted_keys[where] == tokens.keys if len(sorted_keys) else np.zeros(len(tokens.keys), bool)
-                    rank = np.where(is_heavy, where, -1)
-                    context_of = np.where(is_heavy, 1 + where, 1 + HEAVY + tokens.last[: len(tokens.keys)])
-                    text_of = np.repeat(np.arange(len(texts)), sizes)
-                    context = np.r_[0, context_of[at[:-1]]]
-                    context[np.cumsum(sizes) - sizes] = 0
-                    r = rank[at]
-                    hot = r >= 0
-                    learn = hot & ~out[text_of]
-                    pair_counts += np.bincount(context[learn] * HEAVY + r[learn], minlength=len(pair_counts))
-                    uid = uuid.uuid4().int >> 65
-                    packed = (context[hot] << 16 | r[hot]).astype("<u4").tobytes()
-                    ends = 4 * np.cumsum(np.bincount(text_of[hot], minlength=len(texts)))
-                    blobs = [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-                    n = len(texts)
-                    yield rows(["doc"] * n, [None] * n, [uid] * n, list(range(n)), ids.slice(lo, n), out.tolist(), sizes.tolist(), blobs)
-                    cold = np.flatnonzero(~hot)
-                    key = tokens.keys[at[cold]]
-                    order = np.lexsort((key, key % np.uint64(buckets)))
-                    cold, key = cold[order], key[order]
-                    bucket = (key % np.uint64(buckets)).astype(np.int64)
-                    slot = (text_of[cold] | out[text_of[cold]].astype(np.int64) << SLOT_BITS).astype("<u2")
-                    cx = context[cold].astype("<u2")
-                    edges = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, int)
-                    made = []
-                    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(bucket)], strict=False):
-                        heads = np.flatnonzero(np.r_[True, key[a + 1 : b] != key[a : b - 1]])
-                        made.append(len(heads).to_bytes(4, "little") + key[a:b][heads].tobytes() + np.diff(np.r_[heads, b - a]).astype("<u4").tobytes() + cx[a:b].tobytes() + slot[a:b].tobytes())
-                    m = len(made)
-                    yield rows(["light"] * m, bucket[edges].tolist(), [uid] * m, [None] * m, pa.nulls(m, ids.type), [None] * m, [None] * m, made)
-        for block in range(-(-CONTEXTS // CONTEXT_BLOCK)):
-            part = pair_counts[block * CONTEXT_BLOCK * HEAVY : (block + 1) * CONTEXT_BLOCK * HEAVY]
-            cells = np.flatnonzero(part)
-            if len(cells):
-                yield rows(["pairs"], [block], [None], [None], pa.nulls(1, id_type), [None], [None], [cells.astype("<u4").tobytes() + part[cells].astype("<i8").tobytes()])
-
-    def rows(kind: list, bucket: list, uid: list, slot: list, ids: pa.Array, held: list, n: list, data: list) -> pa.RecordBatch:
-        columns = [pa.array(kind, pa.string()), pa.array(bucket, pa.int64()), pa.array(uid, pa.int64()), pa.array(slot, pa.int32()), ids, pa.array(held, pa.bool_()), pa.array(n, pa.int64()), pa.array(data, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["kind", "bucket", "uid", "slot", "doc_id", "held_out", "n_tokens", "data"])
-
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    picked = docs.select("doc_id", (fold("doc_id", FOLDS) == 0).alias("held_out"), "text")
-    id_type = to_arrow_type(picked.schema["doc_id"].dataType)
+            ids, held = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for start, texts in text_slices(batch, limit=SLICE_CHARS):
+                n = len(texts)
+                data, sizes, blocks = slice_row(words.value, tokens, texts, held[start : start + n])
+                lists = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), x) for x in (ids.slice(start, n), pa.array(held[start : start + n]), pa.array(sizes))]
+                m = len(blocks)
+                columns = [[-1 - uid] + [k for k, _ in blocks], [uid] * (m + 1), *(pa.concat_arrays([x, pa.nulls(m, x.type)]) for x in lists), [data] + [x for _, x in blocks]]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+                uid += 1
+
+    names = ["key", "uid", "ids", "held", "sizes", "data"]
     kind = picked.schema["doc_id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"kind string, bucket long, uid long, slot int, doc_id {kind}, held_out boolean, n_tokens long, data binary")
-
-
-def consolidate(dealt: DataFrame) -> DataFrame:
-    """One row per bucket: its slices, and the tokens' word, slice, context and slot in key order."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("uid")
-        keys, which, contexts, slots, slices = [], [], [], [], []
-        for k, data in enumerate(pdf["data"]):
-            n = int.from_bytes(data[:4], "little")
-            own = np.frombuffer(data, np.uint64, n, 4)
-            each = np.frombuffer(data, "<u4", n, 4 + 8 * n).astype(np.int64)
-            total = int(each.sum())
-            keys.append(np.repeat(own, each))
-            contexts.append(np.frombuffer(data, "<u2", total, 4 + 12 * n))
-            slots.append(np.frombuffer(data, "<u2", total, 4 + 12 * n + 2 * total))
-            slices.append(np.full(total, k, np.uint32))
-        key = np.concatenate(keys)
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        sizes = np.diff(np.r_[heads, len(key)]).astype("<u4")
-        join = lambda x: np.concatenate(x)[order].tobytes()
-        return pd.DataFrame({"bucket": pdf["bucket"].iloc[:1].to_numpy(), "uids": [pdf["uid"].to_numpy()], "sizes": [sizes.tobytes()], "contexts": [join(contexts)], "slots": [join(slots)], "slices": [join(slices)]})
-
-    light = dealt.where("kind = 'light'").select("bucket", "uid", "data")
-    return light.groupBy("bucket").applyInPandas(run, "bucket long, uids array<long>, sizes binary, contexts binary, slots binary, slices binary")
+    return picked.mapInArrow(run, f"key long, uid long, ids array<{kind}>, held array<boolean>, sizes array<long>, data binary")
+
+
+def gather(words, t: pa.Table) -> pa.Table:
+    """A slice's row as it is; the blocks of a bucket as one row, their equal pairs added up.
+
+    A bucket's data: words, their numbers of pairs, contexts, the context and count of each pair, pairs of each
+    slice and the steps from one to the next, all sorted by key.
+    """
+    if t.column("key")[0].as_py() < 0:
+        return t.append_column("uids", pa.nulls(t.num_rows, pa.list_(pa.int64())))
+    t = t.sort_by("uid")
+    w, u, n, sizes = [], [], [], []
+    for x in t.column("data"):
+        wc, wo, each, uc, uo, learn = unpacked(x.as_py())
+        w.append(np.repeat(words.value.decoded(wc, wo), each))
+        u.append(words.value.decoded(uc, uo))
+        n.append(learn)
+        sizes.append(len(learn))
+    w, u, n = map(np.concatenate, (w, u, n))
+    order = np.lexsort((u, w))
+    ws, us = w[order], u[order]
+    first = np.r_[True, (ws[1:] != ws[:-1]) | (us[1:] != us[:-1])]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(first) - 1
+    count = np.bincount(place, weights=n).astype("<u4")
+    ws, us = ws[first], us[first]
+    contexts, context = np.unique(us, return_inverse=True)
+    own, each = np.unique(ws, return_counts=True)
+    sizes = np.array(sizes, np.int64)
+    starts = np.cumsum(sizes) - sizes
+    steps = np.diff(np.r_[0, place])
+    steps[starts] = place[starts]  # within a slice places ascend
+    data = packed(own, each.astype("<u4"), *words.value.coded(contexts), context.astype("<u4"), count, sizes.astype("<u4"), steps.astype("<u4"))
+    uids = pa.ListArray.from_arrays(pa.array([0, t.num_rows], pa.int32()), t.column("uid").combine_chunks())
+    return t.slice(0, 1).set_column(5, "data", pa.array([data], pa.binary())).append_column("uids", uids)
 
 
 class Bucket:
-    """The tokens of whole words; ``pairs`` are the (word, context) meetings in any text, with their training counts."""
-
-    def __init__(self, row: dict) -> None:
-        self.number = int(row["bucket"])
-        sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
-        self.words = len(sizes)
-        word = np.repeat(np.arange(self.words), sizes)
-        self.slot = np.frombuffer(row["slots"], "<u2").astype(np.int64)
-        self.slice = np.frombuffer(row["slices"], "<u4").astype(np.int64)
-        pair = word * CONTEXTS + np.frombuffer(row["contexts"], "<u2")
-        both, self.of_token = np.unique(pair, return_inverse=True)
-        learn = self.slot < 1 << SLOT_BITS
-        self.slot &= (1 << SLOT_BITS) - 1
-        self.count = np.bincount(self.of_token[learn], minlength=len(both))
-        self.word, self.context = both // CONTEXTS, both % CONTEXTS
-        self.word_count = np.bincount(self.word, weights=self.count, minlength=self.words).astype(np.int64)
+    """The pairs of a bucket, sorted by word and context."""
+
+    def __init__(self, words: Words, data: bytes) -> None:
+        self.keys, each, code, others, self.context, self.count, self.sizes, steps = unpacked(data)
+        self.word = np.repeat(np.arange(len(self.keys)), each)
+        self.n = len(self.keys)
+        self.code, self.contexts = code.astype(np.int64), words.decoded(code, others)
+        self.rare = np.flatnonzero(self.code == FREQUENT)
+        self.context, self.count = self.context.astype(np.int64), self.count.astype(np.int64)
+        self.word_code = words.code(self.keys)
+        self.is_split = words.split(self.word_code) > 1
+        self.place = steps.astype(np.int64)
+        self.word_count = np.bincount(self.word, weights=self.count, minlength=self.n).astype(np.int64)
+
+    def places(self) -> Iterator[np.ndarray]:
+        """For each slice: the bucket's pair that each of its pairs is."""
+        ends = np.cumsum(self.sizes, dtype=np.int64)
+        for a, b in zip(ends - self.sizes, ends, strict=True):
+            yield np.cumsum(self.place[a:b])
+
+    def by_context(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.context, weights=weights, minlength=len(self.contexts)).astype(np.int64)
+
+    def by_word(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.word, weights=weights, minlength=self.n).astype(np.int64)
+
+
+def told(bucket: Bucket, key: int, parts: int, of_context: list[np.ndarray], of_word: list[np.ndarray], sums: list[float]) -> pa.RecordBatch:
+    """What a bucket tells: numbers of its rare contexts to the exchange's parts, of frequent contexts and split words and plain sums to all (part -1)."""
+    rare = bucket.contexts[bucket.rare]
+    part = (rare % np.uint64(parts)).astype(np.int64)
+    rows = []
+    for p in np.unique(part).tolist():
+        at = np.flatnonzero(part == p)
+        rows.append((p, packed(rare[at], *(x[bucket.rare[at]].astype("<u4") for x in of_context))))
+    often, cut_up = np.flatnonzero(bucket.code != FREQUENT), np.flatnonzero(bucket.is_split)
+    common = packed(bucket.code[often].astype("<u2"), *(x[often].astype("<u8") for x in of_context), bucket.word_code[cut_up].astype("<u2"), *(x[cut_up].astype("<u8") for x in of_word), np.array(sums, "<f8").view("<u8"))
+    rows.append((-1, common))
+    return pa.RecordBatch.from_arrays([pa.array([key] * len(rows), pa.int64()), pa.array([p for p, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], ["key", "part", "data"])
+
+
+TOLD = "key long, part long, data binary"
+
+
+def exchanged(rows: DataFrame) -> DataFrame:
+    """For each (key, part) of ``told``: the same contexts' sums over all buckets, in the same order."""
+
+    def add(t: pa.Table) -> pa.Table:
+        blobs = [unpacked(x.as_py()) for x in t.column("data")]
+        ends = np.cumsum([len(b[0]) for b in blobs])
+        _, own = np.unique(np.concatenate([b[0] for b in blobs]), return_inverse=True)
+        sums = [np.bincount(own, weights=np.concatenate(x))[own].astype("<u8") for x in list(zip(*blobs, strict=True))[1:]]
+        data = [packed(*(s[e - len(b[0]) : e] for s in sums)) for b, e in zip(blobs, ends, strict=True)]
+        return t.set_column(2, "data", pa.array(data, pa.binary()))
+
+    return rows.where("part >= 0").groupBy("part").applyInArrow(add, TOLD)
+
+
+class Common:
+    """Sums over all buckets: ``of_context`` and ``of_word`` by frequent code (FREQUENT + 1 rows), and plain ``sums``."""
+
+    def __init__(self, rows: DataFrame, n_context: int, n_word: int, n_sums: int) -> None:
+        shape = (n_context + n_word, FREQUENT + 1)
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, sums = np.zeros(shape, np.int64), np.zeros(n_sums)
+            for b in batches:
+                for x in b.column(0):
+                    code, *of_context = (arrays := unpacked(x.as_py()))[: 1 + n_context]
+                    word, *of_word = arrays[1 + n_context : -1]
+                    for row, own in zip(total, [(code, v) for v in of_context] + [(word, v) for v in of_word], strict=True):
+                        np.add.at(row, own[0], own[1].astype(np.int64))
+                    sums += arrays[-1].view("<f8")
+            yield pa.RecordBatch.from_arrays([pa.array([packed(total.ravel().astype("<u8"), sums.view("<u8"))], pa.binary())], ["data"])
+
+        self.total, self.sums = np.zeros(shape, np.int64), np.zeros(n_sums)
+        # one row a task, added up in a few tasks before the driver adds those
+        again = rows.where("part = -1").select("data").mapInArrow(add, "data binary")
+        for r in again.select("data", F.pmod(F.xxhash64("data"), F.lit(8)).alias("g")).groupBy("g").applyInArrow(_added, "data binary").toLocalIterator():
+            total, sums = unpacked(bytes(r["data"]))
+            self.total += total.view("<i8").reshape(shape)
+            self.sums += sums.view("<f8")
+        self.of_context, self.of_word = self.total[:n_context], self.total[n_context:]
+
+
+def _added(t: pa.Table) -> pa.Table:
+    parts = [unpacked(x.as_py()) for x in t.column("data")]
+    sums = np.sum([s.view("<f8") for _, s in parts], axis=0)
+    return pa.table({"data": pa.array([packed(np.sum([x for x, _ in parts], axis=0, dtype=np.uint64), sums.view("<u8"))], pa.binary())})
 
 
 _log_stirling: dict[float, np.ndarray] = {}
@@ -278,212 +398,187 @@ def draw_tables(rng: np.random.Generator, count: np.ndarray, weight: np.ndarray,
     return tables
 
 
+def discount(once: float, twice: float) -> float:
+    return float(np.clip(once / max(1.0, once + 2 * twice), 0.05, 0.95))
+
+
 class Plan:
-    """Totals that every bucket needs: customers of each context, first table totals, discounts, vocabulary."""
+    """What all buckets start from: sums by frequent context and split word, discounts, vocabulary, tokens, first tables."""
+
+    def __init__(self, words: Words, common: Common) -> None:
+        """``common.sums``: pairs seen once and twice, unsplit words met in one and two contexts, unsplit words known, tokens, pairs known."""
+        (self.customers, self.tables), (self.word_count, self.spread) = common.of_context, common.of_word
+        ones, twos, one, two, known, tokens, pairs = common.sums
+        self.d, self.d_top = discount(ones, twos), discount(one, two)
+        self.vocabulary, self.tokens, self.pairs = int(known) + int((self.word_count > 0).sum()), int(tokens), int(pairs)
+        self.unknown = UNKNOWN if self.vocabulary else 1.0
+        self.base = (1 - self.unknown) / max(1, self.vocabulary)
+
 
-    def __init__(self, customers: np.ndarray, tables: np.ndarray, ones: np.ndarray, vocabulary: int, tokens: int) -> None:
-        self.customers, self.tables = customers, tables
-        self.d, self.d_top = (float(np.clip(a / max(1.0, a + 2 * b), 0.05, 0.95)) for a, b in (ones[:2], ones[2:]))
-        self.vocabulary, self.tokens = vocabulary, tokens
-        self.unknown = UNKNOWN if vocabulary else 1.0
-        self.base = (1 - self.unknown) / max(1, vocabulary)
+def first_facts(bucket: Bucket) -> tuple[list[np.ndarray], list[np.ndarray], list[float]]:
+    seen = np.minimum(bucket.count, 1)
+    spread = bucket.by_word(seen)
+    whole = spread[~bucket.is_split]
+    sums = [(bucket.count == 1).sum(), (bucket.count == 2).sum(), (whole == 1).sum(), (whole == 2).sum(), (whole > 0).sum(), bucket.count.sum(), seen.sum()]
+    return [bucket.by_context(bucket.count), bucket.by_context(seen)], [bucket.word_count, spread], [float(x) for x in sums]
 
 
-def chain(plan: Plan, seed: int, word: np.ndarray, context: np.ndarray, count: np.ndarray, words: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Gibbs sweeps over some whole words: (tables of each pair, customers and tables of each word in the parent), for the sweeps kept.
+def chain(plan: Plan, seed: int, bucket: Bucket, tables: np.ndarray, others: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Gibbs sweeps over a bucket: (tables of each pair, customers and tables of each word in the parent), for the sweeps kept.
 
-    Totals beyond these words are held at the plan's first totals, scaled as these words' own totals change.
+    ``tables``: first tables of each context in all buckets; ``others``: first customers in the parent of each word in
+    other buckets.  What lies in other buckets is held there, scaled as the bucket's own totals change.
     """
     rng = np.random.default_rng([seed, 20_010])
+    word, context, count, words = bucket.word, bucket.context, bucket.count, bucket.n
     t = np.minimum(count, 1)
     first = max(1, int(t.sum()))
-    up = np.bincount(word, weights=t, minlength=words).astype(np.int64)
+    up = bucket.by_word(t)
     top = np.minimum(up, 1)
     first_top = max(1, int(top.sum()))
-    all_up, all_top = max(1.0, float(plan.tables.sum())), max(1.0, float(plan.vocabulary))
+    all_up, all_top = max(1.0, float(plan.pairs)), max(1.0, float(plan.vocabulary))
     for sweep in range(BURN_IN + KEEP):
-        customers, tops = all_up * up.sum() / first, all_top * top.sum() / first_top
-        parent = (np.maximum(up - plan.d_top * top, 0) + (THETA + plan.d_top * tops) * plan.base) / (THETA + customers)
-        others = np.maximum(plan.tables[context] * (t.sum() / first) - t, 0)
-        t = draw_tables(rng, count, (THETA + plan.d * others) * parent[word], plan.d)
-        up = np.bincount(word, weights=t, minlength=words).astype(np.int64)
-        top = draw_tables(rng, up, np.full(words, (THETA + plan.d_top * tops) * plan.base), plan.d_top)
+        ratio = t.sum() / first
+        customers, tops = all_up * ratio, all_top * top.sum() / first_top
+        parent = (np.maximum(up + others * ratio - plan.d_top * top, 0) + (THETA + plan.d_top * tops) * plan.base) / (THETA + customers)
+        rest = np.maximum(tables[context] * ratio - t, 0)
+        t = draw_tables(rng, count, (THETA + plan.d * rest) * parent[word], plan.d)
+        up = bucket.by_word(t)
+        top = draw_tables(rng, up + (others * ratio).astype(np.int64), np.full(words, (THETA + plan.d_top * tops) * plan.base), plan.d_top)
         if sweep >= BURN_IN:
             yield t, up, top
 
 
-class Sweep:
-    """Exact totals of one kept sweep over all words."""
-
-    def __init__(self, tables: np.ndarray, customers: float, tops: float) -> None:
-        self.tables, self.customers, self.tops = tables, customers, tops
-
-    def parent(self, plan: Plan, up: np.ndarray, top: np.ndarray, known: np.ndarray) -> np.ndarray:
+class Sweeps:
+    """Exact totals of the kept sweeps over all buckets: tables by frequent context, customers and tables of split words, customers and tables in the parent."""
+
+    def __init__(self, plan: Plan, common: Common) -> None:
+        self.tables, self.up = common.of_context, common.of_word
+        customers, tops = common.sums[:KEEP], common.sums[KEEP:]
+        self.customers, self.top, self.tops = customers, [], []
+        for s in range(KEEP):
+            # a split word's tables in the parent are drawn once for all its buckets
+            rng = np.random.default_rng([s, 20_011])
+            weight = np.full(FREQUENT + 1, (THETA + plan.d_top * max(tops[s], 1.0)) * plan.base)
+            self.top.append(draw_tables(rng, self.up[s], weight, plan.d_top))
+            self.tops.append(tops[s] + self.top[s].sum())
+
+    def parent(self, plan: Plan, s: int, bucket: Bucket, up: np.ndarray, top: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Probability of each word of a bucket without context."""
+        up = np.where(bucket.is_split, self.up[s][bucket.word_code], up)
+        top = np.where(bucket.is_split, self.top[s][bucket.word_code], top)
         base = np.where(known, plan.base, plan.unknown)
-        if not self.customers:
+        if not self.customers[s]:
             return base
-        return (np.maximum(up - plan.d_top * top, 0) + (THETA + plan.d_top * self.tops) * base) / (THETA + self.customers)
-
-    def pair(self, plan: Plan, context: np.ndarray, count: np.ndarray, t: np.ndarray, parent: np.ndarray) -> np.ndarray:
-        return (np.maximum(count - plan.d * t, 0) + (THETA + plan.d * self.tables[context]) * parent) / (THETA + plan.customers[context])
-
-
-def totals_of(t: np.ndarray, context: np.ndarray, up: np.ndarray, top: np.ndarray) -> np.ndarray:
-    return np.r_[np.bincount(context, weights=t, minlength=CONTEXTS), up.sum(), top.sum()]
+        return (np.maximum(up - plan.d_top * top, 0) + (THETA + plan.d_top * self.tops[s]) * base) / (THETA + self.customers[s])
 
 
-def summed(df: DataFrame) -> np.ndarray | None:
-    """Element-wise sum of the vectors in column ``v``: in each task, then in 64 groups, then here; all have one fixed length."""
-
-    def add(datas: list[bytes]) -> bytes:
-        return np.sum([np.frombuffer(x, np.float64) for x in datas], axis=0).tobytes()
-
-    def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, total = None, None
-        for b in batches:
-            part = b.column(0)[0].as_py() % 64 if part is None and b.num_rows else part
-            for x in b.column(1).to_pylist():
-                total = x if total is None else add([total, x])
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([total], pa.binary())], ["part", "v"])
-
-    def in_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"v": [add(list(pdf["v"]))]})
-
-    rows = df.mapInArrow(in_task, "part long, v binary").groupBy("part").applyInPandas(in_group, "v binary").collect()
-    return np.sum([np.frombuffer(r["v"], np.float64) for r in rows], axis=0) if rows else None
+def of_contexts(bucket: Bucket, common: np.ndarray, parts: int, rows: pa.Table, k: int) -> np.ndarray:
+    """The k-th number of each context: frequent ones from ``common``, rare ones from what the exchange gave back."""
+    out = common[bucket.code].astype(np.int64)
+    rare = bucket.contexts[bucket.rare] % np.uint64(parts)
+    for p, data in zip(rows.column("part").to_pylist(), rows.column("data"), strict=True):
+        out[bucket.rare[rare == p]] = unpacked(data.as_py())[k]
+    return out
 
 
 def score_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs."""
-    heavy, total = frequent_words(docs.where(fold("doc_id", FOLDS) != 0))
-    dealt = cut(spark, deal(docs, heavy, max(8, -(-total // BUCKET))), "lm-dealt", compression="zstd")
-    # a bucket's row is large: one in a file keeps what a task reads at a time small
-    buckets = cut(spark, consolidate(dealt), "lm-buckets", maxRecordsPerFile=1, compression="zstd")
-
-    # frequent words: a table of at most CONTEXTS x HEAVY pair counts, added up by cell
-    def cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for block, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                n = len(data) // 12
-                cell = np.frombuffer(data, "<u4", n).astype(np.int32) + np.int32(block * CONTEXT_BLOCK * HEAVY)
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.frombuffer(data, "<i8", n, 4 * n))], ["cell", "n"])
-
-    sums = dealt.where("kind = 'pairs'").select("bucket", "data").mapInArrow(cells_of, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    cell, count = (sums.column(c).to_numpy().astype(np.int64) for c in ("cell", "n"))
-    order = np.argsort(cell)
-    cell, count = cell[order], count[order]
-    context, word = cell // HEAVY, cell % HEAVY
-    heavy_count = np.bincount(word, weights=count, minlength=HEAVY).astype(np.int64)
-
-    def measure(pairs: np.ndarray, where: np.ndarray, own: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Customers and pairs of each context, pairs seen once and twice, words in one and two contexts, vocabulary."""
-        seen = pairs > 0
-        spread = np.bincount(own[seen], minlength=len(words))
-        return np.r_[np.bincount(where, weights=pairs, minlength=CONTEXTS), np.bincount(where[seen], minlength=CONTEXTS), (pairs == 1).sum(), (pairs == 2).sum(), (spread == 1).sum(), (spread == 2).sum(), (words > 0).sum()]
-
-    def each(function, schema: str):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for row in range(batch.num_rows):
-                    values = ((n, batch.column(k)[row]) for k, n in enumerate(batch.schema.names))
-                    yield from function({n: v.as_buffer() if isinstance(v, pa.BinaryScalar) else v.as_py() for n, v in values})
-
-        return buckets.mapInArrow(run, schema)
-
-    def first(row: dict) -> Iterator[pa.RecordBatch]:
-        b = Bucket(row)
-        yield pa.RecordBatch.from_arrays([pa.array([b.number]), pa.array([measure(b.count, b.context, b.word, b.word_count).astype(float).tobytes()], pa.binary())], ["bucket", "v"])
-
-    facts = measure(count, context, word, heavy_count).astype(float)
-    light = summed(each(first, "bucket long, v binary"))
-    if light is not None:
-        facts = facts + light
-    plan = Plan(facts[:CONTEXTS], facts[CONTEXTS : 2 * CONTEXTS], facts[2 * CONTEXTS : 2 * CONTEXTS + 4], int(facts[-1]), int(facts[:CONTEXTS].sum()))
-    sent_plan = spark.sparkContext.broadcast(plan)
-
-    # totals of each kept sweep
-    def sample(row: dict) -> Iterator[pa.RecordBatch]:
-        b = Bucket(row)
-        v = np.concatenate([totals_of(t, b.context, up, top) for t, up, top in chain(sent_plan.value, b.number, b.word, b.context, b.count, b.words)])
-        yield pa.RecordBatch.from_arrays([pa.array([b.number]), pa.array([v.tobytes()], pa.binary())], ["bucket", "v"])
-
-    kept = list(chain(plan, 1 << 40, word, context, count, HEAVY))
-    sums = np.concatenate([totals_of(t, context, up, top) for t, up, top in kept])
-    light = summed(each(sample, "bucket long, v binary"))
-    if light is not None:
-        sums = sums + light
-    sweeps = [Sweep(v[:CONTEXTS], v[CONTEXTS], v[CONTEXTS + 1]) for v in sums.reshape(KEEP, -1)]
-
-    # averaged probabilities of all frequent pairs
-    dense_count, dense_p = np.zeros((CONTEXTS, HEAVY), np.int64), np.zeros((CONTEXTS, HEAVY))
-    dense_count[context, word] = count
-    for s, (t, up, top) in zip(sweeps, kept, strict=True):
-        dense_t = np.zeros((CONTEXTS, HEAVY), np.int64)
-        dense_t[context, word] = t
-        parent = s.parent(plan, up, top, heavy_count > 0)
-        dense_p += (np.maximum(dense_count - plan.d * dense_t, 0) + (THETA + plan.d * s.tables)[:, None] * parent) / (THETA + plan.customers)[:, None] / KEEP
-    model = spark.sparkContext.broadcast((plan, sweeps, np.log10(dense_p).astype(np.float32), heavy_count))
-
-    def base_log(plan: Plan, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + ADD) / (plan.tokens + ADD * (plan.vocabulary + 1)))
-
-    def light_scores(row: dict) -> Iterator[pa.RecordBatch]:
-        """For each slice: its texts' tokens in this bucket, with their words' counts and their log probabilities in 16 bits."""
-        plan, sweeps, _, _ = model.value
-        b = Bucket(row)
-        known = b.word_count > 0
-        p = np.zeros(len(b.word))
-        for s, (t, up, top) in zip(sweeps, chain(plan, b.number, b.word, b.context, b.count, b.words), strict=True):
-            p += s.pair(plan, b.context, b.count, t, s.parent(plan, up, top, known)[b.word]) / KEEP
-        step = np.round(np.log10(p) * -LOG_STEPS).clip(0, 65_535).astype("<u2")
-        order = np.argsort(b.slice, kind="stable")  # by slice, then as before by word
-        word, slot, step = b.word[b.of_token[order]], b.slot[order].astype("<u2"), step[b.of_token[order]]
-        edges = np.searchsorted(b.slice[order], np.arange(len(row["uids"]) + 1)).tolist()
-        counts, packed = b.word_count.astype("<u8"), []
-        for x, y in zip(edges[:-1], edges[1:], strict=True):
-            heads = np.flatnonzero(np.r_[True, word[x + 1 : y] != word[x : y - 1]]) if y > x else np.zeros(0, int)
-            sizes = np.diff(np.r_[heads, y - x]).astype("<u4")
-            packed.append(len(heads).to_bytes(4, "little") + counts[word[x:y][heads]].astype("<u4" if plan.tokens < 1 << 32 else "<u8").tobytes() + sizes.tobytes() + slot[x:y].tobytes() + step[x:y].tobytes())
-        for lo in range(0, len(packed), 4096):
-            yield pa.RecordBatch.from_arrays([pa.array(row["uids"][lo : lo + 4096], pa.int64()), pa.array(packed[lo : lo + 4096], pa.binary())], ["uid", "data"])
-
-    def heavy_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plan, _, log_p, counts = model.value
-        log_base = base_log(plan, counts)
-        for b in batches:
-            data = b.column(b.num_columns - 1).to_pylist()
-            sizes = np.array([len(x) // 4 for x in data], np.int64)
-            flat = np.frombuffer(b"".join(data), "<u4").astype(np.int64)
-            r, own = flat & 0xFFFF, np.repeat(np.arange(len(data)), sizes)
-            sums = [np.bincount(own, weights=w, minlength=len(data)) for w in (log_p[flat >> 16, r], log_base[r], counts[r] > 0)]
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(b.num_columns - 1)), *(pa.array(x, pa.float64()) for x in sums)], [*b.schema.names[:-1], "score", "base", "known"])
-
+    list_ = word_list(docs.where(fold("doc_id", FOLDS) != 0))
+    words = spark.sparkContext.broadcast(list_)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = dealt.where("kind = 'doc'").select("uid", "slot", "doc_id", "held_out", "n_tokens", "data").mapInArrow(heavy_sums, f"uid long, slot int, doc_id {kind}, held_out boolean, n_tokens long, score double, base double, known double")
-    parts = each(light_scores, "uid long, data binary")
-    n_train = plan.tokens
-
-    def finish(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values("slot")
-        score, base, known = (left[c].to_numpy(float).copy() for c in ("score", "base", "known"))
-        steps = np.zeros(len(left))  # whole numbers: their sum doesn't depend on the order
-        for data in right["data"]:
-            n, wide = int.from_bytes(data[:4], "little"), 4 if n_train < 1 << 32 else 8
-            count = np.frombuffer(data, f"<u{wide}", n, 4).astype(float)
-            sizes = np.frombuffer(data, "<u4", n, 4 + wide * n).astype(np.int64)
-            total = int(sizes.sum())
-            at = 4 + (wide + 4) * n
-            slot = np.frombuffer(data, "<u2", total, at).astype(np.int64)
-            steps += np.bincount(slot, weights=np.frombuffer(data, "<u2", total, at + 2 * total), minlength=len(left))
-            base += np.bincount(slot, weights=np.repeat(base_log(plan, count), sizes), minlength=len(left))
-            known += np.bincount(slot, weights=np.repeat(count > 0, sizes), minlength=len(left))
-        score -= steps / LOG_STEPS
-        return pd.DataFrame({"doc_id": left["doc_id"], "held_out": left["held_out"], "n_tokens": left["n_tokens"], "n_known": known.round().astype(np.int64), "train_tokens": n_train, "base_score": base, "score": score})
-
-    return texts.groupBy("uid").cogroup(parts.groupBy("uid")).applyInPandas(finish, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    row = f"key long, uid long, ids array<{kind}>, held array<boolean>, sizes array<long>, data binary, uids array<long>"
+    # buckets and slices, dealt by key for good: what is joined to them later comes to where they are
+    name, files = f"quirefold_lm_{uuid.uuid4().hex}", max(8, -(-list_.buckets // 4))
+    dealt = deal(docs, words).groupBy("key").applyInArrow(lambda t: gather(words, t), row)
+    dealt.write.bucketBy(min(files, 50_000), "key").sortBy("key").options(path=scratch(spark, "lm-dealt"), maxRecordsPerFile=4, compression="zstd").saveAsTable(name)
+    buckets, slices = spark.table(name).where("key >= 0").select("key", "data", "uids"), spark.table(name).where("key < 0").drop("uids", "uid")
+    parts = max(1, list_.buckets // 4)
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                bucket = Bucket(words.value, b.column(1)[k].as_py())
+                yield told(bucket, b.column(0)[k].as_py(), parts, *first_facts(bucket))
+
+    began = cut(spark, buckets.select("key", "data").mapInArrow(first, TOLD), "lm-first", compression="zstd")
+    plan = spark.sparkContext.broadcast(Plan(list_, Common(began, 2, 2, 7)))
+    totals = exchanged(began)
+
+    def seated(bucket: Bucket, key: int, given: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        p = plan.value
+        tables = of_contexts(bucket, p.tables, parts, given, 1)
+        others = np.where(bucket.is_split, p.spread[bucket.word_code] - bucket.by_word(np.minimum(bucket.count, 1)), 0)
+        return chain(p, key, bucket, tables, others)
+
+    def sample(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for key, data in zip(left.column("key").to_pylist(), left.column("data"), strict=True):
+            bucket = Bucket(words.value, data.as_py())
+            kept = list(seated(bucket, key, right))
+            sums = [float(up.sum()) for _, up, _ in kept] + [float(top[~bucket.is_split].sum()) for _, _, top in kept]
+            out.append(told(bucket, key, parts, [bucket.by_context(t) for t, _, _ in kept], [up for _, up, _ in kept], sums))
+        return pa.Table.from_batches(out) if out else pa.table({"key": pa.array([], pa.int64()), "part": pa.array([], pa.int64()), "data": pa.array([], pa.binary())})
+
+    sat = cut(spark, buckets.select("key", "data").groupBy("key").cogroup(totals.groupBy("key")).applyInArrow(sample, TOLD), "lm-sampled", compression="zstd")
+    sweeps = spark.sparkContext.broadcast(Sweeps(plan.value, Common(sat, KEEP, KEEP, 2 * KEEP)))
+    known = totals.select("key", "part", "data", F.lit(0).alias("round")).unionByName(exchanged(sat).select("key", "part", "data", F.lit(1).alias("round")))
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        """For each slice that has pairs in the bucket: training counts of its words, and the pairs' log probabilities."""
+        p, all_ = plan.value, sweeps.value
+        keys, own, out = [], [], []
+        for key, data, uids in zip(left.column("key").to_pylist(), left.column("data"), left.column("uids").to_pylist(), strict=True):
+            bucket = Bucket(words.value, data.as_py())
+            rounds = [right.filter(pa.array(np.asarray(right.column("round")) == r)) for r in (0, 1)]
+            count = np.where(bucket.is_split, p.word_count[bucket.word_code], bucket.word_count)
+            customers = of_contexts(bucket, p.customers, parts, rounds[0], 0)[bucket.context]
+            sum_p = np.zeros(len(bucket.word))
+            for s, (t, up, top) in enumerate(seated(bucket, key, rounds[0])):
+                tables = of_contexts(bucket, all_.tables[s], parts, rounds[1], s)[bucket.context]
+                parent = all_.parent(p, s, bucket, up, top, count > 0)[bucket.word]
+                sum_p += (np.maximum(bucket.count - p.d * t, 0) + (THETA + p.d * tables) * parent) / (THETA + customers)
+            steps = np.rint(np.log10(sum_p / KEEP) * -FIXED_POINT)
+            if len(steps) and not 0 <= steps.min() <= steps.max() < 1 << 32:
+                raise OverflowError("a log probability beyond fixed point")
+            steps = steps.astype("<u4")
+            for uid, place in zip(uids, bucket.places(), strict=True):
+                w = bucket.word[place]
+                heads = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+                keys.append(-1 - uid)
+                own.append(key)
+                out.append(packed(count[w[heads]].astype("<u8"), np.diff(np.r_[heads, len(w)]).astype("<u4"), steps[place]))
+        return pa.table({"key": pa.array(keys, pa.int64()), "bucket": pa.array(own, pa.int64()), "data": pa.array(out, pa.binary())})
+
+    answers = buckets.groupBy("key").cogroup(known.groupBy("key")).applyInArrow(scored, "key long, bucket long, data binary")
+    out_type = to_arrow_type(docs.schema["doc_id"].dataType)
+
+    def finish(left: pa.Table, right: pa.Table) -> pa.Table:
+        p, rows = plan.value, []
+        right = [unpacked(x.as_py()) for x in right.sort_by("bucket").column("data")]
+        for k in range(left.num_rows):
+            times, text = unpacked(left.column("data")[k].as_py())
+            counts, each, steps = (np.concatenate(x) for x in zip(*right, strict=True))
+            counts, steps = np.repeat(np.repeat(counts, each).astype(float), times), np.repeat(steps, times)
+            n = len(left.column("ids")[k])
+            base = np.bincount(text, weights=np.log10((counts + ADD) / (p.tokens + ADD * (p.vocabulary + 1))), minlength=n)
+            score = np.bincount(text, weights=steps, minlength=n) / -FIXED_POINT
+            seen = np.bincount(text, weights=counts > 0, minlength=n).astype(np.int64)
+            lists = [left.column(c)[k].values for c in ("ids", "held", "sizes")]
+            rows.append(pa.table([*lists, pa.array(seen), pa.array(np.full(n, p.tokens)), pa.array(base), pa.array(score)], names=names))
+        return pa.concat_tables(rows) if rows else pa.table([pa.array([], k) for k in (out_type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())], names=names)
+
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return slices.groupBy("key").cogroup(answers.groupBy("key")).applyInArrow(finish, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def perplexity(scored: DataFrame) -> DataFrame:
+    """(held_out, texts, tokens, perplexity, base_perplexity) of ``score_texts``' rows: ten to the mean negative log10 probability of a token."""
+    per = lambda c: F.pow(F.lit(10.0), -F.sum(c) / F.sum("n_tokens"))
+    return scored.groupBy("held_out").agg(F.count("*").alias("texts"), F.sum("n_tokens").alias("tokens"), per("score").alias("perplexity"), per("base_score").alias("base_perplexity"))
 
 
 def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """log10 probability of every whole text of ``documents``, learnt from nine folds of ten."""
-    return score_texts(spark, table(spark, sf_dir, "documents"))
+    """log10 probability and perplexity of every whole text of ``documents``, learnt from nine folds of ten."""
+    found = score_texts(spark, table(spark, sf_dir, "documents"))
+    return found.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
