@@ -52,7 +52,7 @@ FOLDS = 10
 #: Words coded in two bytes, and texts of the sample that they are found in, at most.
 FREQUENT, SAMPLE_TEXTS = 65_535, 8_192
 #: Tokens for each bucket, and tokens of one word beyond which it is split.
-BUCKET, SPLIT = 1_000_000, 125_000
+BUCKET, SPLIT = 2_000_000, 250_000
 SLICE_CHARS = 8_000_000
 EXACT = 64
 BURN_IN, KEEP = 5, 3
@@ -105,6 +105,11 @@ def unpacked(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def steps_of(a: np.ndarray) -> np.ndarray:
+    """Differences of neighbours, modulo the width: small, and so well compressed, where numbers ascend in runs."""
+    return np.diff(a, prepend=a.dtype.type(0)).astype(a.dtype)
+
+
 class Words:
     """The frequent words: how keys are coded, and over how many buckets each word is split.
 
@@ -127,13 +132,15 @@ class Words:
 
     def coded(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         code = self.code(keys)
-        return code.astype("<u2"), keys[code == FREQUENT]
+        return steps_of(code.astype("<u2")), keys[code == FREQUENT]
 
-    def decoded(self, code: np.ndarray, others: np.ndarray) -> np.ndarray:
+    def decoded(self, steps: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(code, key) of what ``coded`` gave."""
+        code = np.cumsum(steps, dtype=np.uint16).astype(np.int64)
         out = np.empty(len(code), np.uint64)
         own = code == FREQUENT
         out[own], out[~own] = others, self.keys[code[~own]]
-        return out
+        return code, out
 
     def split(self, code: np.ndarray) -> np.ndarray:
         """Over how many buckets the words of these codes are split."""
@@ -233,8 +240,8 @@ def gather(words, t: pa.Table) -> pa.Table:
     w, u, n, sizes = [], [], [], []
     for x in t.column("data"):
         wc, wo, each, uc, uo, learn = unpacked(x.as_py())
-        w.append(np.repeat(words.value.decoded(wc, wo), each))
-        u.append(words.value.decoded(uc, uo))
+        w.append(np.repeat(words.value.decoded(wc, wo)[1], each))
+        u.append(words.value.decoded(uc, uo)[1])
         n.append(learn)
         sizes.append(len(learn))
     w, u, n = map(np.concatenate, (w, u, n))
@@ -251,7 +258,7 @@ def gather(words, t: pa.Table) -> pa.Table:
     starts = np.cumsum(sizes) - sizes
     steps = np.diff(np.r_[0, place])
     steps[starts] = place[starts]  # within a slice places ascend
-    data = packed(own, each.astype("<u4"), *words.value.coded(contexts), context.astype("<u4"), count, sizes.astype("<u4"), steps.astype("<u4"))
+    data = packed(own, each.astype("<u4"), *words.value.coded(contexts), steps_of(context.astype("<u4")), count, sizes.astype("<u4"), steps.astype("<u4"))
     uids = pa.ListArray.from_arrays(pa.array([0, t.num_rows], pa.int32()), t.column("uid").combine_chunks())
     return t.slice(0, 1).set_column(5, "data", pa.array([data], pa.binary())).append_column("uids", uids)
 
@@ -263,9 +270,9 @@ class Bucket:
         self.keys, each, code, others, self.context, self.count, self.sizes, steps = unpacked(data)
         self.word = np.repeat(np.arange(len(self.keys)), each)
         self.n = len(self.keys)
-        self.code, self.contexts = code.astype(np.int64), words.decoded(code, others)
+        self.code, self.contexts = words.decoded(code, others)
         self.rare = np.flatnonzero(self.code == FREQUENT)
-        self.context, self.count = self.context.astype(np.int64), self.count.astype(np.int64)
+        self.context, self.count = np.cumsum(self.context, dtype=np.uint32).astype(np.int64), self.count.astype(np.int64)
         self.word_code = words.code(self.keys)
         self.is_split = words.split(self.word_code) > 1
         self.place = steps.astype(np.int64)
@@ -489,11 +496,11 @@ def score_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     row = f"key long, uid long, ids array<{kind}>, held array<boolean>, sizes array<long>, data binary, uids array<long>"
     # buckets and slices, dealt by key for good: what is joined to them later comes to where they are
-    name, files = f"quirefold_lm_{uuid.uuid4().hex}", max(8, -(-list_.buckets // 4))
+    name, files = f"quirefold_lm_{uuid.uuid4().hex}", max(8, -(-list_.buckets // 2))
     dealt = deal(docs, words).groupBy("key").applyInArrow(lambda t: gather(words, t), row)
     dealt.write.bucketBy(min(files, 50_000), "key").sortBy("key").options(path=scratch(spark, "lm-dealt"), maxRecordsPerFile=4, compression="zstd").saveAsTable(name)
     buckets, slices = spark.table(name).where("key >= 0").select("key", "data", "uids"), spark.table(name).where("key < 0").drop("uids", "uid")
-    parts = max(1, list_.buckets // 4)
+    parts = max(4, list_.buckets // 2)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -503,7 +510,7 @@ def score_texts(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     began = cut(spark, buckets.select("key", "data").mapInArrow(first, TOLD), "lm-first", compression="zstd")
     plan = spark.sparkContext.broadcast(Plan(list_, Common(began, 2, 2, 7)))
-    totals = exchanged(began)
+    totals = cut(spark, exchanged(began), "lm-totals", compression="zstd")
 
     def seated(bucket: Bucket, key: int, given: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         p = plan.value
