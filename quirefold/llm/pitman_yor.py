@@ -49,8 +49,8 @@ from .bpe import Numbers
 from .common import cut, fold, scratch, table, text_slices, thinned
 
 FOLDS = 10
-#: Words coded in two bytes, and texts of the sample that they are found in, at most.
-FREQUENT, SAMPLE_TEXTS = 65_535, 8_192
+#: Words coded by their place in the frequent list, and texts of the sample that they are found in, at most.
+FREQUENT, SAMPLE_TEXTS = 131_071, 16_384
 #: Tokens for each bucket, and tokens of one word beyond which it is split.
 BUCKET, SPLIT = 2_000_000, 250_000
 SLICE_CHARS = 8_000_000
@@ -132,11 +132,11 @@ class Words:
 
     def coded(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         code = self.code(keys)
-        return steps_of(code.astype("<u2")), keys[code == FREQUENT]
+        return steps_of(code.astype("<u4")), keys[code == FREQUENT]
 
     def decoded(self, steps: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(code, key) of what ``coded`` gave."""
-        code = np.cumsum(steps, dtype=np.uint16).astype(np.int64)
+        code = np.cumsum(steps, dtype=np.uint32).astype(np.int64)
         out = np.empty(len(code), np.uint64)
         own = code == FREQUENT
         out[own], out[~own] = others, self.keys[code[~own]]
@@ -300,7 +300,7 @@ def told(bucket: Bucket, key: int, parts: int, of_context: list[np.ndarray], of_
         at = np.flatnonzero(part == p)
         rows.append((p, packed(rare[at], *(x[bucket.rare[at]].astype("<u4") for x in of_context))))
     often, cut_up = np.flatnonzero(bucket.code != FREQUENT), np.flatnonzero(bucket.is_split)
-    common = packed(bucket.code[often].astype("<u2"), *(x[often].astype("<u8") for x in of_context), bucket.word_code[cut_up].astype("<u2"), *(x[cut_up].astype("<u8") for x in of_word), np.array(sums, "<f8").view("<u8"))
+    common = packed(bucket.code[often].astype("<u4"), *(x[often].astype("<u8") for x in of_context), bucket.word_code[cut_up].astype("<u4"), *(x[cut_up].astype("<u8") for x in of_word), np.array(sums, "<f8").view("<u8"))
     rows.append((-1, common))
     return pa.RecordBatch.from_arrays([pa.array([key] * len(rows), pa.int64()), pa.array([p for p, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.binary())], ["key", "part", "data"])
 
