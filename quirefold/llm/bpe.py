@@ -5,7 +5,9 @@ every adjacent pair of a word is looked up by binary search in the sorted pair
 keys, the lowest rank of each word is found with one segmented minimum, and all
 its occurrences merge at once; words without a mergeable pair leave the array.
 Words repeat, so each distinct piece is encoded once per worker and cached (the
-cache is bounded and starts afresh when full: results do not depend on it).
+cache is bounded in bytes and starts afresh when full: results do not depend on it).
+A word of more than ``LONG`` bytes would take as many rounds as it has merges; it is
+merged by itself from a heap of its pairs, in the same order and n log n steps.
 
 Defined results: a null text counts as empty; an empty text has no tokens and
 both digests are those of no bytes; repeated rows give repeated results; other
@@ -17,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,12 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 OTHER_SPACE = [chr(c) for c in (9, 11, 12, 13, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 NO_RANK = np.int64(1 << 40)
-CACHE_WORDS = 600_000
+#: Bytes that a worker's cached pieces, words and their ids may take, about.
+CACHE_BYTES = 128 << 20
+#: What a cached key takes besides its characters.
+KEY_BYTES = 200
+#: Bytes of a word from which on it is merged by itself.
+LONG = 1024
 
 
 def byte_symbols() -> list[str]:
@@ -79,14 +87,16 @@ def gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.
 
 
 class Numbers(dict):
-    """Keys numbered in the order they are first asked for."""
+    """Keys numbered in the order they are first asked for; ``bytes`` is about what they take."""
 
     def __init__(self) -> None:
         self.new: list[str] = []
+        self.bytes = 0
 
     def __missing__(self, key: str) -> int:
         self[key] = n = len(self)
         self.new.append(key)
+        self.bytes += len(key) + KEY_BYTES
         return n
 
     def fresh(self) -> list[str]:
@@ -116,6 +126,7 @@ class ByteBPE:
         keys = left * self.width + right
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made
+        self.pair: dict[int, tuple[int, int]] | None = None
         pieces = [b""] * size
         for token, i in vocab.items():
             pieces[i] = bytes(back[c] for c in token)
@@ -135,8 +146,62 @@ class ByteBPE:
         self.pieces, self.heads, self.word_no = Numbers(), Numbers(), Numbers()
         self.lists, self.head_lists, self.word_lists = Segments(), Segments(), Segments()
 
-    def merge_rounds(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one long word: its lowest-ranked pairs, the leftmost of equals first, from a heap."""
+        if self.pair is None:
+            self.pair = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.made[self.ranks].tolist(), strict=True), strict=True))
+        raw, n, width, pair = np.frombuffer(word, np.uint8), len(word), int(self.width), self.pair
+        sym = self.first[raw]
+        sym[-1] = self.final[raw[-1]]
+        key = sym[:-1] * self.width + sym[1:]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[at] == key)
+        heap = (self.ranks[at[hit]] << 32 | hit).tolist()
+        heapify(heap)
+        rank = np.full(n, -1)
+        rank[hit] = self.ranks[at[hit]]
+        rank, sym, after, before = rank.tolist(), sym.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            r, i = divmod(heappop(heap), 1 << 32)
+            if rank[i] != r:
+                continue
+            j = after[i]
+            sym[i] = pair[sym[i] * width + sym[j]][1]
+            k = after[i] = after[j]
+            rank[j] = -1
+            sym[j] = -1
+            if k < n:
+                before[k] = i
+            for a, b in ((before[i], i), (i, k)):
+                if a >= 0:
+                    found = pair.get(sym[a] * width + sym[b]) if b < n else None
+                    rank[a] = found[0] if found else -1
+                    if found:
+                        heappush(heap, found[0] << 32 | a)
+        sym = np.array(sym, np.int64)
+        return sym[sym >= 0]
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``words`` (none empty), one after another, and how many each has."""
+        long = [k for k, w in enumerate(words) if len(w) > LONG]
+        if not long:
+            return self.merge_rounds(words)
+        apart = set(long)
+        ids, sizes = self.merge_rounds([w for k, w in enumerate(words) if k not in apart])
+        own = [self.merge_long(words[k]) for k in long]
+        total = np.zeros(len(words), np.int64)
+        is_long = np.zeros(len(words), bool)
+        is_long[long] = True
+        total[is_long], total[~is_long] = [len(x) for x in own], sizes
+        out = np.empty(int(total.sum()), np.int64)
+        here = np.repeat(is_long, total)
+        out[here], out[~here] = np.concatenate(own), ids
+        return out, total
+
+    def merge_rounds(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of moderate length, all of them in each round."""
+        if not words:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         raw, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes)
         sym = self.first[raw]
@@ -174,7 +239,11 @@ class ByteBPE:
     def _learn_words(self) -> None:
         new = self.word_no.fresh()
         if new:
-            self.word_lists.add(*self.merge_rounds([w.encode() for w in new]))
+            self.word_lists.add(*self.merged([w.encode() for w in new]))
+
+    def _held(self) -> int:
+        """Bytes that the caches take, about."""
+        return sum(n.bytes for n in (self.pieces, self.heads, self.word_no)) + sum(4 * x.used + 16 * x.n for x in (self.lists, self.head_lists, self.word_lists))
 
     def _learn(self, lists: Segments, new: list[str]) -> None:
         """Encode pieces not met before."""
@@ -190,14 +259,37 @@ class ByteBPE:
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts without added tokens."""
-        if len(self.pieces) > CACHE_WORDS or len(self.heads) > CACHE_WORDS or len(self.word_no) > CACHE_WORDS:
+        if self._held() > CACHE_BYTES:
             self._fresh()
-        # heads: whole uneven texts and first pieces; pieces: those that follow a single space
+        uneven = np.zeros(len(texts), bool)
+        for k, t in enumerate(texts):
+            quick = t[:1].isspace() or t[-1:].isspace() or "  " in t or "\n " in t or " \n" in t or any(c in t for c in OTHER_SPACE)
+            uneven[k] = bool(quick and self.uneven.search(t))
+        if not uneven.any():
+            return self._by_pieces(texts)
+        total = np.zeros(len(texts), np.int64)
+        other, total[uneven] = self._by_words([t for t, u in zip(texts, uneven, strict=True) if u])
+        own, total[~uneven] = self._by_pieces([t for t, u in zip(texts, uneven, strict=True) if not u])
+        ids, here = np.empty(int(total.sum()), np.int32), np.repeat(uneven, total)
+        ids[here], ids[~here] = other, own
+        return ids, total
+
+    def _by_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts word by word; no text is cached whole."""
+        cut = [self.words.findall(t) for t in texts]
+        number = np.array([self.word_no[w] for ws in cut for w in ws], np.int64)
+        self._learn_words()
+        ids, sizes = self.word_lists.gather(number)
+        counts = np.array([len(ws) for ws in cut], np.int64)
+        ends, bounds = np.cumsum(np.r_[0, sizes]), np.cumsum(counts)
+        return ids, ends[bounds] - ends[bounds - counts]
+
+    def _by_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that may be cut at single spaces: first pieces, and those that follow a space."""
         first, rest, counts = [], [], []
         get, head = self.pieces.__getitem__, self.heads.__getitem__
         for t in texts:
-            quick = t[:1].isspace() or t[-1:].isspace() or "  " in t or "\n " in t or " \n" in t or any(c in t for c in OTHER_SPACE)
-            p = [t] if quick and self.uneven.search(t) else t.split(" ")
+            p = t.split(" ")
             first.append(head(p[0]))
             counts.append(len(p))
             p[0] = ""
