@@ -2,11 +2,12 @@
 
 First-fit decreasing with a tournament tree over bin capacities, run on its own
 in each randomised group of pieces.  A document longer than a sequence is cut
-into full pieces and a rest.  Pieces are dealt to groups by a hash of what they
-are, so that no source or copy group gathers in one task; the number of groups
-follows the number of documents, so a group stays at about ``GROUP_DOCS``
-documents at any input size.  Only (id, start, length, checksum) rows are
-shuffled, never tokens.
+into full pieces and a rest.  Full pieces are sequences of their own and aren't
+shuffled.  The others are written, then dealt to groups by a hash of what they are
+and of their place in what was written, so that repeated rows don't meet in one
+group either; the number of groups follows the number of these pieces, so a group
+stays at about ``GROUP_PIECES`` at any input size.  Only (id, start, length,
+checksum) rows are written and shuffled, never tokens.
 
 Defined results: a null text counts as empty and is its end token alone;
 repeated rows are packed once each; null ids are kept as they are; other
@@ -28,14 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import SPACE, ByteBPE, Numbers, Segments
-from .common import rows_of, table, text_slices
+from .common import cut, rows_of, table, text_slices
 
 SEQUENCE = 4096
-#: Documents in a packing group, on average.
-GROUP_DOCS = 2048
+#: Pieces in a packing group, on average.
+GROUP_PIECES = 2048
 SEED = 20_011
 END_ID = 2
-CACHE_WORDS = 700_000
+#: Bytes that a worker's cached chunks, words and their ids may take, about.
+CACHE_BYTES = 80 << 20
 #: Separators that str.split() cuts at and the tokenizer doesn't.
 CONTROL = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(f"[{SPACE}]+")
@@ -76,14 +78,18 @@ def tournament_first_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray,
     return np.array(bins, np.int64), np.array(offsets, np.int64)
 
 
-def pack(spark: SparkSession, pieces: DataFrame, n_docs: int, *, capacity: int = SEQUENCE, group_docs: int = GROUP_DOCS, seed: int = SEED) -> DataFrame:
+def pack(spark: SparkSession, pieces: DataFrame, *, capacity: int = SEQUENCE, group_pieces: int = GROUP_PIECES, seed: int = SEED) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows with a ``length`` of 1 to ``capacity``.
 
-    Groups are drawn by a hash of the whole row; sequence ids are unique across groups.
+    Sequence ids are unique across groups; those of full pieces are below zero.
     """
-    groups = max(1, -(-n_docs // group_docs))
+    written = cut(spark, pieces, "packing-pieces")
+    part = written.where(F.col("length") < capacity)
+    groups = max(1, -(-part.count() // group_pieces))
     names = pieces.columns
-    dealt = pieces.withColumn("__group", F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in names]), F.lit(groups)).cast("long"))
+    # written rows keep their places, so a task that is run again deals them alike
+    key = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in names], F.monotonically_increasing_id())
+    dealt = part.withColumn("__group", F.pmod(key, F.lit(groups)).cast("long"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values([c for c in names if not isinstance(pdf[c].iloc[0], (list, np.ndarray, dict))], kind="stable")
@@ -91,7 +97,9 @@ def pack(spark: SparkSession, pieces: DataFrame, n_docs: int, *, capacity: int =
         return pdf.drop(columns="__group").assign(sequence_id=pdf["__group"].to_numpy() * (1 << 32) + bins, offset=offsets)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return dealt.groupBy("__group").applyInPandas(run, f"{fields}, sequence_id long, offset long")
+    packed = dealt.groupBy("__group").applyInPandas(run, f"{fields}, sequence_id long, offset long")
+    full = written.where(F.col("length") >= capacity).select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return packed.unionByName(full)
 
 
 class WordIds:
@@ -108,7 +116,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        self.bpe = ByteBPE(spec)
+        self.bpe = ByteBPE(spec)  # for its merges; its own caches stay empty
         self.words = regex.compile(WORDS)
         self._fresh()
 
@@ -129,7 +137,7 @@ class WordIds:
         number = np.array([self.word_no[w] for ws in cut for w in ws], np.int64)
         new = self.word_no.fresh()
         if new:
-            self.word_lists.add(*self.bpe.merge_rounds([w.encode() for w in new]))
+            self.word_lists.add(*self.bpe.merged([w.encode() for w in new]))
         flat, sizes = self.word_lists.gather(number)
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
         ends, bounds = np.cumsum(np.r_[0, sizes]), np.cumsum(counts)
@@ -142,7 +150,7 @@ class WordIds:
 
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, each closed by ``end_id``, and how many each has."""
-        if len(self.numbers) > CACHE_WORDS or len(self.word_no) > CACHE_WORDS:
+        if self.numbers.bytes + self.word_no.bytes + 4 * (self.lists.used + self.word_lists.used) > CACHE_BYTES:
             self._fresh()
         get, found, counts = self.numbers.__getitem__, [], []
         for t in texts:
@@ -222,7 +230,7 @@ def sequences(packed: DataFrame, *, capacity: int = SEQUENCE, pad_id: int = 0) -
 
 def pack_documents(spark: SparkSession, docs: DataFrame, *, vocabulary: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset for each piece of each document."""
-    return pack(spark, cut_pieces(spark, docs, vocabulary=vocabulary), docs.count())
+    return pack(spark, cut_pieces(spark, docs, vocabulary=vocabulary))
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
