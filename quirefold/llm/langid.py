@@ -3,10 +3,15 @@
 A linear one-versus-rest stage on hashed byte n-grams first predicts the language
 family; one-versus-one linear support vector machines then separate the
 languages within that family by votes, ties by summed margins.  Margins are
-turned into probabilities by a logistic fit on the training rows.
+turned into probabilities by a logistic fit on the training rows.  Beside that,
+``likeness`` tells how much a text is like any learned language at all: the cosine
+of its square-rooted n-gram counts with the nearest language's mean; the model's
+``floor`` lies well below that of its own training texts.
 
-``TRAIN_PER_LANG`` rows of each language, drawn by a hash of the text, bound the
-training sample; every text is scored whole.
+``TRAIN_PER_LANG`` distinct texts of each language, drawn by a hash of the text, and
+``TRAIN_ROWS`` of all languages together bound the training sample; every text is
+scored whole.  A letter is what Unicode calls one (category L), so digits of any
+script, fractions and numerals are none.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 without training rows every text is; repeated rows get equal results; other
@@ -15,20 +20,20 @@ columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import fold, rows_of, table, text_slices
 
-#: Training rows taken per language, at most.
-TRAIN_PER_LANG = 800
+#: Training rows taken per language, and of all languages together, at most.
+TRAIN_PER_LANG, TRAIN_ROWS = 800, 16_000
 BITS = 12
 DIM = 1 << BITS
 FOLDS = 5
@@ -42,7 +47,11 @@ FAMILIES = {
     "semitic": ["ar", "he", "mt"],
     "indo-aryan": ["hi", "ur", "bn", "mr", "ne", "pa", "gu"],
 }
-LETTER = re.compile(r"[^\W\d_]")
+#: Characters from which on likeness is judged; shorter texts count as alike.
+LEAST_CHARS = 150
+#: Share of training texts, and of their likeness there, below which a text is unlike all languages.
+FLOOR_SHARE, FLOOR = 0.001, 0.75
+LETTER = regex.compile(r"\p{L}")
 
 
 def family(lang: str) -> str:
@@ -106,7 +115,8 @@ def logistic_fit(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 class LanguageModel:
     """``columns`` of weights: one per family (if several), then one per pair of languages within a family."""
 
-    def __init__(self, x: np.ndarray, langs: list[str]) -> None:
+    def __init__(self, x: np.ndarray, langs: list[str], chars: list[int]) -> None:
+        """``x``: n-gram shares of training texts, ``chars``: their lengths."""
         self.langs = sorted(set(langs))
         self.families = sorted({family(x) for x in self.langs})
         lang = np.array(langs)
@@ -123,6 +133,21 @@ class LanguageModel:
             fit.append(logistic_fit(xs @ wi + bi, ys))
         self.weights = np.stack(w, 1).astype(np.float32) * 64.0 if w else np.zeros((DIM, 0), np.float32)
         self.bias, self.fit = np.array(b), np.array(fit).reshape(-1, 2)
+        unit = np.sqrt(x) / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1e-9)) if len(x) else x
+        self.means = np.array([unit[lang == k].mean(0) for k in self.langs]).reshape(-1, DIM)
+        self.means /= np.maximum(np.linalg.norm(self.means, axis=1, keepdims=True), 1e-9)
+        own = (unit @ self.means.T).max(1, initial=0)[np.array(chars, int) >= LEAST_CHARS] if len(x) else np.zeros(0)
+        self.floor = float(FLOOR * np.quantile(own, FLOOR_SHARE)) if len(own) else 0.0
+
+    def likeness(self, texts: list[str]) -> list[float]:
+        """Cosine with the nearest language's mean; 1 for short texts."""
+        out = np.ones(len(texts))
+        long = [k for k, t in enumerate(texts) if len(t) >= LEAST_CHARS]
+        for lo in range(0, len(long) if self.langs else 0, 512):
+            at = long[lo : lo + 512]
+            x = np.sqrt(np.array([np.bincount(grams(texts[k]), minlength=DIM) for k in at], np.float32))
+            out[at] = (x @ self.means.T.astype(np.float32)).max(1) / np.linalg.norm(x, axis=1)
+        return out.tolist()
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         real = [bool(LETTER.search(t)) for t in texts]
@@ -157,31 +182,37 @@ class LanguageModel:
         return [r[0] for r in rows], [r[1] for r in rows]
 
 
-def train(docs: DataFrame, *, per_lang: int = TRAIN_PER_LANG) -> LanguageModel:
-    """Learns from rows with a lang and a letter.  ``per_lang`` rows of each language reach the driver as fixed-size vectors."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), "text")
-    # a row passes if its hash is below its language's share; equal texts count once
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    h, passes = F.xxhash64("text"), F.lit(False)
-    for lang, n in counts.items():
-        share = 2 * per_lang / n
-        passes = passes | ((F.col("lang") == lang) & (F.lit(True) if share >= 1 else h < F.lit(int(share * 2**64) - 2**63)))
-    once = rows.where(passes).withColumn("__h", h).groupBy("lang", "__h").agg(F.first("text").alias("text"))
+def spark_map(shares: dict[str, float]):
+    """A map literal; one row for each language, so as small as the set of languages."""
+    return F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])
+
+
+def train(docs: DataFrame, *, per_lang: int = TRAIN_PER_LANG, most: int = TRAIN_ROWS) -> LanguageModel:
+    """Learns from rows with a lang and a letter.
+
+    At most ``per_lang`` rows of each language, ``most`` in all, reach the driver as fixed-size vectors.
+    """
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text").alias("__h"))
+    # a row passes if its hash is below its language's share of distinct texts; equal texts count once
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("__h").alias("n")).collect()}
+    per_lang = min(per_lang, max(1, most // max(1, len(counts))))
+    share = spark_map({lang: min(1.0, 2 * per_lang / max(1, n)) for lang, n in counts.items()})
+    once = rows.where(F.col("__h") / 2.0**64 + 0.5 <= share[F.col("lang")]).groupBy("lang", "__h").agg(F.first("text").alias("text")) if counts else rows
     drawn = once.withColumn("__n", F.row_number().over(Window.partitionBy("lang").orderBy("__h"))).where(F.col("__n") <= per_lang).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in text_slices(batch):
                 vectors = [vector(t).astype(np.float16).tobytes() if LETTER.search(t) else None for t in texts]
-                yield pa.RecordBatch.from_arrays([rows_of(batch, start, len(texts), "lang"), pa.array(vectors, pa.binary())], ["lang", "x"])
+                yield pa.RecordBatch.from_arrays([rows_of(batch, start, len(texts), "lang"), pa.array(vectors, pa.binary()), pa.array(list(map(len, texts)), pa.int64())], ["lang", "x", "chars"])
 
-    found = sorted((r["lang"], bytes(r["x"])) for r in drawn.mapInArrow(run, "lang string, x binary").where("x is not null").collect())
-    x = np.frombuffer(b"".join(v for _, v in found), np.float16).astype(np.float32).reshape(-1, DIM)
-    return LanguageModel(x, [k for k, _ in found])
+    found = sorted((r["lang"], bytes(r["x"]), r["chars"]) for r in drawn.mapInArrow(run, "lang string, x binary, chars long").where("x is not null").collect())
+    x = np.frombuffer(b"".join(v for _, v, _ in found), np.float16).astype(np.float32).reshape(-1, DIM)
+    return LanguageModel(x, [k for k, _, _ in found], [n for _, _, n in found])
 
 
-def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of docs, lang_pred and score."""
+def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel, keep: list[str], *, likeness: bool = False) -> DataFrame:
+    """Columns ``keep`` of docs, lang_pred and score, and the likeness if asked for."""
     sent = spark.sparkContext.broadcast(model)
     text = "text" if "text" in keep else "__text"
     picked = docs.select(*[F.col(f"`{c}`") for c in keep], *([F.col("text").alias(text)] if text not in keep else []))
@@ -191,9 +222,10 @@ def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel, keep: li
         for batch in batches:
             for start, texts in text_slices(batch, text):
                 names, scores = sent.value.predict(texts)
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in range(len(keep))), pa.array(names), pa.array(scores)], [*keep, "lang_pred", "score"])
+                more = [pa.array(sent.value.likeness(texts))] if likeness else []
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in range(len(keep))), pa.array(names), pa.array(scores), *more], [*keep, "lang_pred", "score"] + ["likeness"] * likeness)
 
-    return picked.mapInArrow(run, f"{fields}, lang_pred string, score double")
+    return picked.mapInArrow(run, f"{fields}, lang_pred string, score double" + ", likeness double" * likeness)
 
 
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
