@@ -32,10 +32,10 @@ SHINGLE = 3
 SEED = 42
 RADIUS = 2
 #: Fingerprints on which the dealing tree is fitted, at most.
-TREE_SAMPLE = 65_536
-#: Distinct fingerprints in a shard, on average, while there are no more than MAX_SHARDS.
+TREE_SAMPLE = 1 << 20
+#: Distinct fingerprints in a shard, on average, up to 2**29 of them; beyond, shards grow, by 8 bytes in a task for each.
 SHARD = 8_192
-MAX_SHARDS = 4_096
+MAX_SHARDS = 65_536
 LEAF = 192
 _LANES = np.array([sum(((v >> i) & 1) << (8 * i) for i in range(8)) for v in range(256)], np.uint64)
 
@@ -205,7 +205,7 @@ def links(spark: SparkSession, distinct: DataFrame, *, radius: int = RADIUS, sha
     """
     n = distinct.count()
     shards = min(MAX_SHARDS, max(1, -(-n // shard)))
-    sample = [r[0] for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(min(TREE_SAMPLE, 64 * shards)).collect()] if shards > 1 else []
+    sample = [r[0] for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(min(TREE_SAMPLE, 32 * shards)).collect()] if shards > 1 else []
     nodes = spark.sparkContext.broadcast(fit_tree(np.array(sample, np.int64).view(np.uint64), shards, radius))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,11 +223,12 @@ def links(spark: SparkSession, distinct: DataFrame, *, radius: int = RADIUS, sha
     return distinct.select("fp").mapInArrow(deal, "shard long, fp long").groupBy("shard").applyInPandas(solve, "a long, b long")
 
 
-def components(spark: SparkSession, edges: DataFrame, *, rounds: int = 60) -> DataFrame:
+def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, root) of every node in ``edges`` (a, b); root is the component's smallest node.
 
-    Alternating large-star and small-star; minima are aggregated before they are
-    joined back, so a node with very many links is a skewed join and not a group.
+    Alternating large-star and small-star until no edge changes, which the stars
+    reach in about log(nodes) rounds; minima are aggregated before they are joined
+    back, so a node with very many links is a skewed join and not a group.
     """
     shared_dir(spark)
     now = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct().checkpoint()
@@ -236,9 +237,7 @@ def components(spark: SparkSession, edges: DataFrame, *, rounds: int = 60) -> Da
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
     before = mark(now)
-    for _ in range(rounds):
-        if not before[0]:
-            break
+    while before[0]:
         # large star: each neighbour above a node points at the least of the node and its neighbours
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(now.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
