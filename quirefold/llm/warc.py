@@ -7,9 +7,10 @@ inflating just its headers.  Predicates on record type and on header columns are
 pushed down; they are tested on the headers, and only payloads of records that
 pass, and only if payloads are asked for, are inflated whole.
 
-Writing gives every task a file of its own; the commit lists the files of the
-tasks that succeeded in a manifest, so what a failed or repeated attempt left
-behind is never read.
+Writing gives every task a file of its own; each commit lists the files of the
+tasks that succeeded in a manifest of its own, so what a failed or repeated attempt
+left behind is never read.  Appending adds a manifest; overwriting adds one and then
+removes those that were there before, with their files.
 
 Defined results (``deduplicate``): a null payload is empty; among payloads of at
 least ``least`` bytes that are equal the one with the largest id is a response
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull, WriterCommitMessage
@@ -39,7 +41,7 @@ from .common import cut, scratch, table
 VERSION = b"WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest-"
 MEMBER = re.compile(rb"\x1f\x8b\x08\x04.{6}\x0c\x00sl\x08\x00", re.DOTALL)
 MEMBER_HEAD = 24
 RANGE_BYTES = 32 << 20
@@ -52,9 +54,7 @@ PUSHED = ("record_id", "record_type", "date", "target_uri", "payload_digest", "r
 
 def filesystem(path: str):
     """(file system, path in it) for a local path or a URI."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
 
 
 def member(data: bytes, level: int = 6) -> bytes:
@@ -158,6 +158,17 @@ def read_range(path: str, start: int, end: int, wanted, payloads: bool) -> Itera
             at = following
 
 
+def manifests(path: str) -> dict[str, list]:
+    """Each manifest's path and the (name, size) of its files."""
+    fs, inner = filesystem(path.rstrip("/"))
+    found = {}
+    for info in fs.get_file_info(pafs.FileSelector(inner, allow_not_found=True)):
+        if info.base_name.startswith(MANIFEST):
+            with fs.open_input_file(info.path) as f:
+                found[info.path] = json.loads(f.read())
+    return found
+
+
 class Reader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.path = options["path"]
@@ -178,9 +189,7 @@ class Reader(DataSourceReader):
                 yield f
 
     def partitions(self) -> list[FileRange]:
-        fs, inner = filesystem(self.path)
-        with fs.open_input_file(f"{inner}/{MANIFEST}") as f:
-            files = json.loads(f.read())
+        files = [tuple(x) for files in manifests(self.path).values() for x in files]
         base = self.path.rstrip("/")
         return [FileRange(f"{base}/{name}", at, min(size, at + self.range_bytes)) for name, size in sorted(files) for at in range(0, size, self.range_bytes)] or [FileRange("", 0, 0)]
 
@@ -204,8 +213,8 @@ class Reader(DataSourceReader):
 class Writer(DataSourceArrowWriter):
     """Rows need record_id, record_type, target_uri, refers_to and payload."""
 
-    def __init__(self, options: dict) -> None:
-        self.path = options["path"].rstrip("/")
+    def __init__(self, options: dict, overwrite: bool) -> None:
+        self.path, self.overwrite = options["path"].rstrip("/"), overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, inner = filesystem(self.path)
@@ -226,8 +235,13 @@ class Writer(DataSourceArrowWriter):
     def commit(self, messages: list[Written | None]) -> None:
         fs, inner = filesystem(self.path)
         fs.create_dir(inner, recursive=True)
-        with fs.open_output_stream(f"{inner}/{MANIFEST}", compression=None) as f:
+        before = manifests(self.path) if self.overwrite else {}
+        with fs.open_output_stream(f"{inner}/{MANIFEST}{uuid.uuid4().hex}.json", compression=None) as f:
             f.write(json.dumps([x for m in messages if m for x in m.files]).encode())
+        for manifest, files in before.items():
+            fs.delete_file(manifest)
+            for name, _ in files:
+                fs.delete_file(f"{inner}/{name}")
 
     def abort(self, messages: list[Written | None]) -> None:
         fs, inner = filesystem(self.path)
@@ -249,7 +263,7 @@ class WarcSource(DataSource):
         return Reader(self.options)
 
     def writer(self, schema, overwrite: bool) -> Writer:
-        return Writer(self.options)
+        return Writer(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -285,12 +299,12 @@ def archive(spark: SparkSession, pages: DataFrame, path: str) -> None:
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A record for every row of ``pages``, written and read back."""
+    """A record for every row of ``pages``, written and read back by pushed-down record types."""
     path = scratch(spark, "warc")
     archive(spark, table(spark, sf_dir, "pages"), path)
-    found = spark.read.format("warc").option("path", path).load()
+    read = lambda kind, payload: spark.read.format("warc").option("path", path).option("payload", payload).load().where(F.col("record_type") == kind)
     number = lambda c: F.when(F.length(c) > len(URN), F.substring(c, len(URN) + 1, 40)).cast("long")
-    # the digest of a stored payload is taken anew from what was read
-    digest = F.when(F.col("record_type") == "response", F.sha1("payload")).otherwise(F.col("payload_digest"))
-    size = F.when(F.col("record_type") == "response", F.octet_length("payload").cast("long")).otherwise(F.col("payload_length"))
-    return found.select(number("record_id").alias("page_id"), size.alias("payload_bytes"), digest.alias("payload_digest"), "record_type", number("refers_to").alias("refers_to"))
+    # the digest of a stored payload is taken anew from what was read; of revisits only headers are read
+    stored = read("response", "true").select("record_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), "record_type", "refers_to")
+    again = read("revisit", "false").select("record_id", F.col("payload_length").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    return stored.unionAll(again).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
