@@ -41,9 +41,16 @@ def plain_glyphs(c: Column) -> Column:
     return F.translate(c, "\u02bc\u00a0\u202f\u2009", "\u2019   ")
 
 
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def normalize(c: Column) -> Column:
-    """Composed, plain glyphs, collapsed: the text compared between editions."""
-    return collapse(plain_glyphs(nfc(c)))
+    """Composed, plain glyphs, collapsed: the text compared between editions.
+
+    ASCII text is composed already; it goes through Python as a null, not as text.
+    """
+    return collapse(plain_glyphs(F.coalesce(nfc(F.when(~is_ascii(c), c)), c)))
 
 
 @F.pandas_udf(_CLEAN)
@@ -60,6 +67,15 @@ def normalize_spans(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[
         yield pd.DataFrame(rows, columns=["text", "italics"])
 
 
+def normalize_both(text: Column, italics: Column, needed: Column) -> Column:
+    """struct(text, italics) as ``normalize_spans`` gives it where ``needed``, null elsewhere; ASCII text without spans stays in the JVM."""
+    plain = is_ascii(text) & (F.coalesce(F.size(italics), F.lit(0)) <= 0)
+    other = needed & ~plain
+    mixed = normalize_spans(F.when(other, text), F.when(other, italics))
+    own = F.struct(collapse(text).alias("text"), F.expr(f"cast(array() as {SPANS})").alias("italics"))
+    return F.when(needed & F.coalesce(plain, F.lit(True)), own).when(other, mixed)
+
+
 def suspicious(c: Column) -> Column:
     """map of glyph name to count, only those that occur."""
     pairs = [F.struct(F.lit(name).alias("key"), (F.length(c) - F.length(F.replace(c, F.lit(ch), F.lit("")))).alias("value")) for ch, name in sp.SUSPICIOUS.items()]

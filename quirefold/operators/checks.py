@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .html import html_papers
@@ -18,7 +17,7 @@ def recount(tex_files: DataFrame, html_files: DataFrame, tex: DataFrame, html: D
     The markup may hold more verses than markers (poetic lines), the other side
     exactly its distinct ids, floaters dropped.
     """
-    number = F.regexp_extract("path", r"(\d{3})\.\w+$", 1).cast("int").alias("paper")
+    number = F.regexp_extract("path", r"(\d{3,})\.\w+$", 1).cast("int").alias("paper")
     marks = tex_files.select(number, F.regexp_count("src", F.lit(r"\\vs p\d+ \d+:\d+")).alias("markers"))
     ids = html_files.select(number, F.explode(F.regexp_extract_all("src", F.lit(r'<p[^>]*\bid="U(\d+_\d+_\d+)[A-Z]*"'), F.lit(1))).alias("id"))
     # only the paper's own ids
@@ -41,37 +40,52 @@ def deterministic(make: Callable[[], DataFrame]) -> bool:
     return digest(make()) == digest(make())
 
 
-def mutants(paper: int, section: int, verse: int) -> list[tuple[str, str, str, str, str]]:
-    """(name, side, pattern, replacement, compared column) of deliberate damage to one verse."""
-    mark = rf"\\vs p{paper:03d} {section}:{verse}"
-    return [
-        ("replace_word", "tex", rf"({mark})\s+\w+", r"\1 XXX", "text"),
-        ("comma_to_dot", "tex", rf"({mark}[^\n]{{4,400}}?),", r"\1.", "text"),
-        ("drop_sentence", "tex", rf"({mark}[^\n]+?\.)\s+[A-Z][^.]+\.", r"\1", "text"),
-        ("add_emphasis", "tex", rf"({mark} \w+ \w+ )(\w+)( )", r"\1\\bibemph{\2}\3", "italics"),
-        ("drop_emphasis", "html", r"(?s)<em>(.*?)</em>", r"\1", "italics"),
-    ]
-
-
-def mutation_check(tex_files: DataFrame, html_files: DataFrame, paper: int, section: int, verse: int) -> DataFrame:
-    """(name, caught): each mutant must make the two sides differ where the originals agree."""
-    spark = tex_files.sparkSession
-    found = []
-    src = {side: [(r.path, r.src) for r in files.where(F.regexp_extract("path", r"(\d{3})\.\w+$", 1).cast("int") == paper).collect()] for side, files in (("tex", tex_files), ("html", html_files))}
-    for name, side, pattern, new, column in mutants(paper, section, verse):
-        changed = {s: [(p, re.sub(pattern, new, t, count=1) if s == side else t) for p, t in rows] for s, rows in src.items()}
-        sides = []
-        for s, parse in (("tex", tex_papers), ("html", html_papers)):
-            v = parse(spark.createDataFrame(changed[s], "path string, src string")).select("paper", F.explode("verses").alias("v")).select("v.*")
-            sides.append(v.agg(F.sum(F.size("italics"))).first()[0] if name == "drop_emphasis" else [x[column] for x in v.where(f"section = {section} and verse = {verse}").collect()])
-        found.append((name, sides[0] != sides[1]))
-    return spark.createDataFrame(found, "name string, caught boolean")
+#: Deliberate damage to a paper's source: name, side, what is matched (once a paper), what replaces it.
+DAMAGE = [
+    ("double_word", "tex", r"(?s)(\\vs p\d+ \d+:\d+ (?:\\pc )?)([\p{L}\p{N}]+)", "$1$2 $2"),
+    ("lose_verse", "tex", r"(?m)^\\vs p\d+ [^\n]*$", ""),
+    ("shift_number", "tex", r"(\\vs p\d+ \d+:\d+)", "$17"),
+    ("mark_word", "tex", r"(?s)(\\vs p\d+ \d+:\d+ (?:\\pc )?)([\p{L}\p{N}]+)", "$1\\\\bibemph{$2}"),
+    ("cut_letter", "html", r"(?s)(<p id=\"U\d+_\d+_\d+\">(?:<small>[^<]*</small>)?[\p{L}\p{N}]*)[\p{L}\p{N}]", "$1"),
+    ("unmark_word", "html", r"(?s)<em>(.*?)</em>", "$1"),
+]
+
+
+def mutation_check(tex_files: DataFrame, html_files: DataFrame) -> DataFrame:
+    """(paper, mutant, caught): each damage that applies to a paper must change what the comparison finds there.
+
+    Only papers whose two sides agree undamaged are judged.  All papers and mutants are
+    extracted and compared in one job; a mutant is a source like any other.
+    """
+    number = F.regexp_extract("path", r"(\d{3,})\.\w+$", 1).cast("int").alias("paper")
+
+    def first_replaced(pattern: str, new: str) -> tuple[Column, Column, Column]:
+        # once: what comes before the first match, the match replaced, and the rest as it was
+        at = F.regexp_instr("src", F.lit(pattern))
+        found = F.regexp_extract("src", pattern, 0)
+        return F.concat(F.expr("substring(src, 1, greatest(at - 1, 0))"), F.regexp_replace(found, pattern, new), F.expr("substring(src, at + char_length(found))")), at, found
+
+    sides = {}
+    for side, files, parse in (("tex", tex_files, tex_papers), ("html", html_files, html_papers)):
+        made = files.select(F.lit("").alias("mutant"), "path", "src")
+        for name, own, pattern, new in DAMAGE:
+            if own == side:
+                text, at, found = first_replaced(pattern, new)
+                damaged = files.withColumn("at", at).withColumn("found", found).where("at > 0").select(F.lit(name).alias("mutant"), "path", text.alias("src"))
+                made = made.unionByName(damaged)
+        papers = parse(made.select(F.concat_ws("/", "mutant", "path").alias("path"), "src"))
+        verses = papers.select(F.regexp_extract("path", r"^(\w*)/", 1).alias("mutant"), "paper", F.explode_outer("verses").alias("v"))
+        sides[side] = verses.groupBy("mutant", "paper").agg(F.sort_array(F.collect_list(F.struct("v.section", "v.verse", "v.text", "v.italics"))).alias("all"))
+    both = sides["tex"].select("paper", "mutant", F.col("all").alias("left")), sides["html"].select("paper", "mutant", F.col("all").alias("right"))
+    plain = both[0].where("mutant = ''").drop("mutant").join(both[1].where("mutant = ''").drop("mutant"), "paper").where("left = right")
+    found = [both[k].where("mutant <> ''").toDF("paper", "mutant", "damaged").join(plain.select("paper", F.col(side).alias("other")), "paper") for k, side in ((0, "right"), (1, "left"))]
+    return found[0].unionByName(found[1]).select("paper", "mutant", (~F.col("damaged").eqNullSafe(F.col("other"))).alias("caught"))
 
 
 def sample_keys(verses: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """n verse keys drawn by a seeded hash, in key order; the same rows on every run and partitioning."""
     keys = verses.select("paper", "section", "verse").distinct()
-    return keys.orderBy(F.xxhash64("paper", "section", "verse", F.lit(seed)), "paper", "section", "verse").limit(n).orderBy("paper", "section", "verse")
+    return keys.orderBy(F.md5(F.concat_ws(":", F.lit(seed), "paper", "section", "verse")), "paper", "section", "verse").limit(n).orderBy("paper", "section", "verse")
 
 
 def spot_check(left: DataFrame, right: DataFrame, n: int = 20, seed: int = 42) -> DataFrame:

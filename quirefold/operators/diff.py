@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..sources.files import headers_of, sections_of, verses_of
+from ..sources.scratch import stored
 
 MISMATCH = ["paper", "kind", "section", "verse", "detail", "left", "right"]
 KEY = ["paper", "section", "verse"]
@@ -33,16 +34,20 @@ def last_wins(verses: DataFrame, order: str = "ord", keys: list[str] | None = No
 def compare_verses(left: DataFrame, right: DataFrame, deviations: DataFrame) -> DataFrame:
     """One row per key of either side with ``status``: only_left, only_right, text, italic, same; and skip.
 
-    Sides must have one row per key.  Spans are compared only where texts agree.
+    Sides must have one row per key.  Spans are compared only where texts agree.  Sides
+    that are equal as they are need no normalizing; ``nl`` and ``nr`` hold the normalized
+    sides of the others.
     """
     both = left.select(*KEY, F.struct("text", "italics").alias("l")).join(right.select(*KEY, F.struct("text", "italics").alias("r")), KEY, "full_outer")
     marked = both.join(deviations.select(*KEY, "skip", "ignore_italics"), KEY, "left")
     flags = [F.coalesce(c, F.lit(False)).alias(c) for c in ("skip", "ignore_italics")]
-    clean = lambda c: tx.normalize_spans(F.col(f"{c}.text"), F.col(f"{c}.italics"))
-    n = marked.select(*KEY, "l", "r", *flags).withColumn("nl", clean("l")).withColumn("nr", clean("r"))
+    equal = F.col("l.text").eqNullSafe(F.col("r.text")) & F.col("l.italics").eqNullSafe(F.col("r.italics")) & F.col("l").isNotNull() & F.col("r").isNotNull()
+    clean = lambda c: tx.normalize_both(F.col(f"{c}.text"), F.col(f"{c}.italics"), ~F.col("__equal") & F.col(c).isNotNull())
+    n = marked.select(*KEY, "l", "r", *flags, equal.alias("__equal")).withColumn("nl", clean("l")).withColumn("nr", clean("r"))
     status = (
         F.when(F.col("r").isNull(), "only_left")
         .when(F.col("l").isNull(), "only_right")
+        .when(F.col("__equal"), "same")
         .when(~F.col("nl.text").eqNullSafe(F.col("nr.text")), "text")
         .when(~F.col("ignore_italics") & ~F.col("nl.italics").eqNullSafe(F.col("nr.italics")), "italic")
         .otherwise("same")
@@ -61,8 +66,9 @@ def compare_sections(left: DataFrame, right: DataFrame) -> DataFrame:
     side = lambda df, c: df.groupBy("paper", "n").agg(F.max_by("title", "pos").alias(c), F.lit(True).alias(f"has_{c}"))
     j = side(left, "a").join(side(right, "b"), ["paper", "n"], "full_outer")
     detail = F.when(F.col("has_a").isNull(), "missing on the left").when(F.col("has_b").isNull(), "missing on the right").otherwise("titles differ")
+    # normalize what differs as it is
     bad = F.col("has_a").isNull() | F.col("has_b").isNull() | ~tx.normalize(F.col("a")).eqNullSafe(tx.normalize(F.col("b")))
-    return _mismatch(j.where(bad).withColumn("section", F.col("n")), "SECTION_TITLE", detail, verse=None, left="a", right="b")
+    return _mismatch(j.where(~F.col("a").eqNullSafe(F.col("b")) | F.col("has_a").isNull() | F.col("has_b").isNull()).where(bad).withColumn("section", F.col("n")), "SECTION_TITLE", detail, verse=None, left="a", right="b")
 
 
 def mismatches(left_heads: DataFrame, right_heads: DataFrame, left_sections: DataFrame, right_sections: DataFrame, left_keyed: DataFrame, right_keyed: DataFrame, compared: DataFrame) -> DataFrame:
@@ -91,20 +97,21 @@ def text_changes(compared: DataFrame) -> DataFrame:
 
 
 class Comparison:
-    """All tables of one comparison of extracted papers (schema PAPER on both sides)."""
+    """All tables of one comparison of extracted papers (schema PAPER on both sides).
+
+    What is parsed and what is compared is written once to the shared folder, as several tables are made of it.
+    """
 
     def __init__(self, left: DataFrame, right: DataFrame, deviations: DataFrame) -> None:
         from .html import drop_floaters
 
-        # parsed once; a lost block is parsed again from its files
-        left, right = left.persist(), right.persist()
-
+        left, right = stored(left, "left-papers"), stored(right, "right-papers")
         self.left_heads, self.right_heads = headers_of(left), headers_of(right)
         self.left_sections, self.right_sections = sections_of(left), sections_of(right)
         self.left_verses = remap_combined(verses_of(left), self.left_sections)
         self.right_verses = drop_floaters(verses_of(right))
         self.left_keyed, self.right_keyed = last_wins(self.left_verses), last_wins(self.right_verses)
-        self.compared = compare_verses(self.left_keyed, self.right_keyed, deviations).persist()
+        self.compared = stored(compare_verses(self.left_keyed, self.right_keyed, deviations), "compared")
         self.mismatches = mismatches(self.left_heads, self.right_heads, self.left_sections, self.right_sections, self.left_keyed, self.right_keyed, self.compared)
 
     def errors(self) -> DataFrame:

@@ -1,114 +1,168 @@
-"""HTML papers: verses by element id, with emphasis spans, and the floater rule."""
+"""HTML papers: verses by element id, with emphasis spans, and the floater rule.
+
+A paper is a list of events; blocks are cut out of it by their ids, and what a block
+says comes from passes over its own events, one for each rule of the format.
+"""
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, replace
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.spans import collapse
+from ..functions.spans import Spans, collapse
 from ..schemas import PAPER
 from .tex import MarkupError, _papers, _rows
 
-FILE = re.compile(r"Paper(\d{3})\.html$")
-_ID = re.compile(r"U(\d+)_(\d+)_(\d+)([A-Z]*)")
-_BOTH = re.compile(r"(\d+)\.\s+and\s+(\d+)\.\s+(.*)$")
-_NUMBERED = re.compile(r"(?:\d+|[IVXLCDM]+)\.\s+(.*)$")
-_TITLED = re.compile(r"(?:Paper\s+\d+\.\s+)?(.*)$")
+FILE = re.compile(r"Paper(\d{3,})\.html$")
+#: The ids that name titles, sections and verses, and how titles are numbered.
+_ID = re.compile(r"U(?P<paper>\d+)_(?P<section>\d+)_(?P<verse>\d+)(?P<floater>[A-Z]*)")
+_TITLE_NUMBER = re.compile(r"Paper\s+\d+\.\s+")
+_SECTION_NUMBER = re.compile(r"(?:(?P<first>\d+)\.\s+and\s+(?P<second>\d+)|\d+|[IVXLCDM]+)\.\s+(?P<title>.*)")
 _OPENER = re.compile(r"(?:[A-Z]+\b ?)+")
 BLOCKS = {"h1", "h2", "h3", "p"}
 
 
-class _Reader(HTMLParser):
-    """Collects the elements whose id names a title, a section or a verse of the paper."""
+@dataclass(frozen=True)
+class Event:
+    """A start tag (+), an end tag (-) or text (empty sign)."""
+
+    sign: str
+    tag: str = ""
+    text: str = ""
+    id: str = ""
+    classes: frozenset = frozenset()
+
 
-    def __init__(self, paper: int) -> None:
+class _Events(HTMLParser):
+    def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.paper, self.title = paper, None
-        self.sections: list[dict] = []
-        self.verses: list[dict] = []
-        self.caps = 0  # small caps end with any </span>, whatever opened it
-        self.sups, self.sup_at = 0, 0
-        self.open: tuple | None = None
-
-    def begin(self, what: str, section: int, verse: int, suffix: str) -> None:
-        self.open, self.nested = (what, section, verse, bool(suffix)), 1
-        self.text, self.emphasis, self.italics = "", [], []
-        self.skipping, self.skipped = None, 0
+        self.found: list[Event] = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
-        given = dict(attrs)
-        if self.open is None:
-            m = _ID.fullmatch(given.get("id") or "")
-            if m is None or int(m[1]) != self.paper:
-                return
-            section, verse = int(m[2]), int(m[3])
-            if tag == "h1" and section == 0 and verse == 0 and not m[4]:
-                self.begin("title", 0, 0, "")
-            elif tag == "h2" and m[3] == "0" and not m[4]:
-                self.begin("section", section, 0, "")
-            elif tag == "p":
-                self.begin("verse", section, verse, m[4])
-            return
-        classes = (given.get("class") or "").split()
-        if self.skipping:
-            self.skipped += tag == self.skipping
-        elif tag == "small" and self.open[0] == "verse" and not self.text or tag == "span" and "dot" in classes:
-            self.skipping, self.skipped = tag, 1
-        elif tag == "span" and "scaps" in classes:
-            self.caps += 1
-        elif tag == "em":
-            self.emphasis.append(len(self.text))
-        elif tag == "sup":
-            self.sups, self.sup_at = self.sups + 1, len(self.text)
-        elif tag in BLOCKS:
-            self.nested += 1
+        given = {k: v or "" for k, v in attrs}
+        self.found.append(Event("+", tag, id=given.get("id", ""), classes=frozenset(given.get("class", "").split())))
 
     def handle_endtag(self, tag: str) -> None:
-        if self.open is None:
-            return
-        if self.skipping:
-            self.skipped -= tag == self.skipping
-            if not self.skipped:
-                self.skipping = None
-        elif tag == "em":
-            if self.emphasis and len(self.text) > (start := self.emphasis.pop()):
-                self.italics.append((start, len(self.text)))
-        elif tag == "sup" and self.sups:
-            self.sups -= 1
-            if self.text[self.sup_at :].isdigit():
-                self.text = f"{self.text[: self.sup_at]}^{self.text[self.sup_at :]}"
-        elif tag == "span" and self.caps:
-            self.caps -= 1
-        elif tag in BLOCKS:
-            self.nested -= 1
-            if not self.nested:
-                self.finish()
+        self.found.append(Event("-", tag))
 
     def handle_data(self, data: str) -> None:
-        if self.open is not None and not self.skipping:
-            self.text += data.upper() if self.caps else data
-
-    def finish(self) -> None:
-        (what, section, verse, floater), self.open = self.open, None
-        text, spans = collapse(unicodedata.normalize("NFC", self.text), self.italics)
-        if what == "title":
-            self.title = _TITLED.match(text)[1].strip()
-        elif what == "verse":
-            if (section, verse) == (0, 1):
-                text = plain_opener(text)
-            self.verses.append(dict(section=section, verse=verse, text=text, italics=_rows(spans), macros_seen=[], floater=floater, ord=len(self.verses)))
-        elif m := _BOTH.match(text):
-            pair = int(m[1]), int(m[2])
-            if section != pair[1]:
-                raise MarkupError(f"combined section id {section} disagrees with title {text!r}")
-            self.sections += [dict(n=n, title=m[3].strip(), combined=True, combined_with=sum(pair) - n) for n in pair]
+        self.found.append(Event("", text=data))
+
+
+def events(src: str) -> list[Event]:
+    reader = _Events()
+    reader.feed(src)
+    reader.close()
+    return reader.found
+
+
+def blocks(found: list[Event], paper: int) -> Iterator[tuple[str, re.Match, list[Event]]]:
+    """(tag, id, inner events) of each block whose id belongs to the paper; an unclosed one is left out."""
+    at = 0
+    while at < len(found):
+        e, at = found[at], at + 1
+        m = _ID.fullmatch(e.id) if e.sign == "+" and e.tag in ("h1", "h2", "p") else None
+        if m is None or int(m["paper"]) != paper:
+            continue
+        plain = m["verse"] == "0" and not m["floater"]
+        if e.tag == "h1" and not (plain and m["section"] == "0") or e.tag == "h2" and not plain:
+            continue
+        begin, depth = at, 1
+        while at < len(found) and depth:
+            if found[at].tag in BLOCKS:
+                depth += 1 if found[at].sign == "+" else -1
+            at += 1
+        if depth:
+            return
+        yield e.tag, m, found[begin : at - 1]
+
+
+def shown(inner: list[Event], cited: bool) -> Iterator[Event]:
+    """Without dot leaders and, if ``cited``, without small print before the first text."""
+    at, started = 0, False
+    while at < len(inner):
+        e, at = inner[at], at + 1
+        if e.sign == "+" and (e.tag == "span" and "dot" in e.classes or e.tag == "small" and cited and not started):
+            depth = 1
+            while at < len(inner) and depth:
+                if inner[at].tag == e.tag:
+                    depth += 1 if inner[at].sign == "+" else -1
+                at += 1
+            continue
+        started = started or not e.sign and bool(e.text)
+        yield e
+
+
+def capitals(inner: Iterable[Event]) -> Iterator[Event]:
+    """Small caps as capitals; any end of a span ends them."""
+    caps = 0
+    for e in inner:
+        if e.tag == "span":
+            caps = caps + ("scaps" in e.classes) if e.sign == "+" else max(0, caps - 1)
+        elif not e.sign and caps:
+            e = replace(e, text=e.text.upper())
+        yield e
+
+
+def marks(inner: Iterable[Event]) -> Iterator[Event]:
+    """Raised numbers behind a caret, other raised text as it is."""
+    held: list[Event] | None = None
+    for e in inner:
+        if e.tag == "sup" and e.sign == "+":
+            yield from held or ()
+            held = []
+        elif e.tag == "sup" and held is not None:
+            raised = "".join(x.text for x in held if not x.sign)
+            yield from [Event("", text="^")] * raised.isdigit()
+            yield from held
+            held = None
+        elif held is not None:
+            held.append(e)
         else:
-            m = _NUMBERED.match(text)
-            self.sections.append(dict(n=section, title=m[1].strip() if m else text, combined=False, combined_with=None))
+            yield e
+    yield from held or ()
+
+
+def spoken(inner: list[Event], cited: bool) -> tuple[str, Spans]:
+    """A block's composed, collapsed text and its emphasis."""
+    pieces, size, opened, spans = [], 0, [], []
+    for e in marks(capitals(shown(inner, cited))):
+        if not e.sign:
+            pieces.append(e.text)
+            size += len(e.text)
+        elif e.tag == "em":
+            if e.sign == "+":
+                opened.append(size)
+            elif opened:
+                spans.append((opened.pop(), size))
+    return collapse(unicodedata.normalize("NFC", "".join(pieces)), [x for x in spans if x[0] < x[1]])
+
+
+def extract(src: str, number: int) -> dict:
+    """Header, sections and verses of one paper; raises MarkupError."""
+    title, sections, verses = None, [], []
+    for tag, m, inner in blocks(events(src), number):
+        text, spans = spoken(inner, tag == "p")
+        section, verse = int(m["section"]), int(m["verse"])
+        if tag == "h1":
+            title = _TITLE_NUMBER.sub("", text, count=1) if _TITLE_NUMBER.match(text) else text
+        elif tag == "p":
+            text = plain_opener(text) if (section, verse) == (0, 1) else text
+            verses.append(dict(section=section, verse=verse, text=text, italics=_rows(spans), macros_seen=[], floater=bool(m["floater"]), ord=len(verses)))
+        else:
+            n = _SECTION_NUMBER.match(text)
+            pair = (int(n["first"]), int(n["second"])) if n and n["first"] else None
+            if pair and section != pair[1]:
+                raise MarkupError(f"combined section id {section} disagrees with title {text!r}")
+            named = n["title"].strip() if n else text
+            sections += [dict(n=k, title=named, combined=pair is not None, combined_with=sum(pair) - k if pair else None) for k in pair or (section,)]
+    return dict(title=title, subtitle=None, author=None, sections=sections, verses=verses)
 
 
 def plain_opener(text: str) -> str:
@@ -120,13 +174,6 @@ def plain_opener(text: str) -> str:
     return first.capitalize() + gap + rest.lower() + text[m.end() :]
 
 
-def extract(src: str, number: int) -> dict:
-    reader = _Reader(number)
-    reader.feed(src)
-    reader.close()
-    return dict(title=reader.title, subtitle=None, author=None, sections=reader.sections, verses=reader.verses)
-
-
 def html_papers(files: DataFrame) -> DataFrame:
     """One row per (path, src) file, schema PAPER, before the floater rule."""
     return files.select("path", "src").mapInPandas(lambda rows: _papers(rows, extract, FILE), PAPER)

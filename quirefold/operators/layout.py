@@ -7,6 +7,8 @@ document or page; nothing leaves the JVM.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,10 +50,7 @@ def page_lines(words: DataFrame) -> DataFrame:
 
 def unbalanced(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(columns of a section that end apart on a page, pages with text past the bottom margin)."""
-    lines = page_lines(words)
-    title = F.col("is_title") & (F.col("x_max") - F.col("x_min") > 100)
-    order = Window.partitionBy("doc").orderBy("page", "y").rowsBetween(Window.unboundedPreceding, 0)
-    runs = lines.withColumn("title", title).withColumn("section", F.sum(title.cast("int")).over(order)).where(~F.col("title"))
+    runs = section_runs(words)
     last = lambda side: F.max(F.when(F.exists(side, lambda x: is_body(x["h"])), F.struct("y", _texts(F.col(side)).alias("text"))))
     ends = runs.groupBy("doc", "section", "page").agg(last("left").alias("l"), last("right").alias("r")).where("l is not null and r is not null")
     diff = F.abs(F.col("l.y") - F.col("r.y"))
@@ -89,7 +88,7 @@ def orphans(words: DataFrame) -> DataFrame:
 
 
 def page_summary(words: DataFrame) -> DataFrame:
-    """(doc, page, header, has_header, max_body, first, n_lines) for every page up to the last."""
+    """(doc, page, header, has_header, max_body, first, n_lines) for every page that has a word."""
     ok = words.where(F.trim("text") != "").withColumn("text", F.trim("text")).withColumn("h", F.col("yMax") - F.col("yMin")).withColumn("y", half_even(F.col("yMax")))
     ordered = lambda when: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(when, F.struct("xMin", "flow", "block", "line", "word", "text")))), lambda w: w["text"]), " ")
     head = ok.where("yMax <= 50").groupBy("doc", "page").agg(ordered(F.lit(True)).alias("header"))
@@ -99,14 +98,18 @@ def page_summary(words: DataFrame) -> DataFrame:
         F.min(F.when(F.col("h") > 8.0, F.struct("y", "h", "text"))).alias("first"),
         F.count("*").alias("n_lines"),
     )
-    pages = words.groupBy("doc").agg(F.max("page").alias("last")).select("doc", F.explode(F.sequence(F.lit(1), F.col("last"))).alias("page"))
-    out = pages.join(head, ["doc", "page"], "left").join(body, ["doc", "page"], "left")
+    out = head.join(body, ["doc", "page"], "full_outer")
     return out.select("doc", "page", F.coalesce("header", F.lit("")).alias("header"), F.col("header").isNotNull().alias("has_header"), F.coalesce("max_body", F.lit(0)).alias("max_body"), "first", F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
 
 def section_top_gaps(words: DataFrame) -> DataFrame:
-    """Numbered section titles at a page's top, with the room left on the page before and above the title."""
-    pages = page_summary(words).withColumn("before", F.lag("max_body").over(Window.partitionBy("doc").orderBy("page")))
+    """Numbered section titles at a page's top, with the room left on the page before and above the title.
+
+    A page without a word is an empty page before; the first page has none before it.
+    """
+    order = Window.partitionBy("doc").orderBy("page")
+    before = F.when(F.lag("page").over(order) == F.col("page") - 1, F.lag("max_body").over(order)).when(F.col("page") > 1, 0)
+    pages = page_summary(words).withColumn("before", before)
     number = r"^\s*(\d+(?:\s+and\s+\d+)?)\.\s+\S"
     hit = pages.where(F.col("has_header") & (F.col("first.h") > 12.0) & (F.col("first.h") < 14.5) & F.col("first.text").rlike(number))
     gap = F.when(F.col("before").isNotNull(), FULL_BOTTOM - F.col("before")).otherwise(0.0)
@@ -153,15 +156,24 @@ def text_blocks(lines: DataFrame) -> DataFrame:
 def ends_with(lines: DataFrame, targets: DataFrame) -> DataFrame:
     """Lines that end in a target: equal tails of the targets' lengths join, so no pair is tried in vain.
 
-    The distinct lengths of targets are few; a line is matched once per length.
+    The distinct lengths of targets, at most as many as the longest has characters, come to the driver.
     """
-    lengths = sorted(r[0] for r in targets.select(F.length("target").alias("n")).where("n > 0").distinct().limit(1001).collect())
-    if len(lengths) > 1000:
-        raise ValueError("targets of more than 1000 different lengths")
-    tails = F.explode(F.transform(F.filter(F.array(*[F.lit(n) for n in lengths]) if lengths else F.expr("cast(array() as array<int>)"), lambda n: n <= F.length("text")), lambda n: F.right(F.col("text"), n)))
+    lengths = sorted(r[0] for r in targets.select(F.length("target").alias("n")).where("n > 0").distinct().collect())
+    known = F.array(*[F.lit(n) for n in lengths]) if lengths else F.expr("cast(array() as array<int>)")
+    tails = F.explode(F.transform(F.filter(known, lambda n: n <= F.length("text")), lambda n: F.right(F.col("text"), n)))
     return lines.withColumn("target", tails).join(targets.select("target").distinct(), "target")
 
 
+def probe(words: DataFrame, low: float, high: float) -> DataFrame:
+    """Words with text whose baseline lies strictly between ``low`` and ``high``, as (doc, page, text, xMin, xMax, yMax), for a look at one band."""
+    return words.where((F.trim("text") != "") & (F.col("yMax") > low) & (F.col("yMax") < high)).select("doc", "page", F.trim("text").alias("text"), "xMin", "xMax", "yMax")
+
+
+def probe_lines(lines: DataFrame, page: int) -> DataFrame:
+    """The native lines of one page of each document with their boxes, top to bottom."""
+    return lines.where(F.col("page") == page).select("doc", "ord", "yMax", "xMin", "xMax", "text")
+
+
 #: The first paper of each part.
 PARTS = [(1, 1, 31), (2, 32, 56), (3, 57, 119), (4, 120, 196)]
 
@@ -172,6 +184,20 @@ def part_of(papers: DataFrame) -> DataFrame:
     return papers.join(F.broadcast(parts), F.col("paper").between(F.col("first"), F.col("last")), "left").drop("first", "last")
 
 
+def section_runs(words: DataFrame) -> DataFrame:
+    """The lines of each document with the number of titles up to them; titles themselves are left out, page ends change nothing."""
+    lines = page_lines(words)
+    title = F.col("is_title") & (F.col("x_max") - F.col("x_min") > 100)
+    order = Window.partitionBy("doc").orderBy("page", "y").rowsBetween(Window.unboundedPreceding, 0)
+    return lines.withColumn("title", title).withColumn("section", F.sum(title.cast("int")).over(order)).where(~F.col("title"))
+
+
+def finding_totals(findings: dict[str, DataFrame]) -> DataFrame:
+    """(kind, n): how many rows each table of findings has."""
+    counts = [df.agg(F.lit(kind).alias("kind"), F.count("*").alias("n")) for kind, df in findings.items()]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def page_marks(marks: DataFrame) -> DataFrame:
     """(doc, page, first, last, shown): first and last mark of each page; odd pages show the last, even ones the first."""
     m = F.struct("chapter", "verse")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.macros import macro_table
-from .diff import Comparison
+from .diff import Comparison, glyph_log, text_changes
 
 
 COUNTS = ["left_sections", "right_sections", "left_verses", "right_verses", "common", "only_left", "only_right", "text_diffs", "italic_diffs", "mismatches"]
@@ -38,12 +38,15 @@ def totals(summary: DataFrame) -> DataFrame:
 
 
 def by_kind(mismatches: DataFrame, examples: int = 8) -> DataFrame:
-    """Findings by kind, most first, with the first few keys as examples."""
-    w = Window.partitionBy("kind").orderBy("paper", "section", "verse")
-    n = F.row_number().over(w)
-    marked = mismatches.withColumn("__n", n)
-    key = F.concat_ws(":", "paper", "section", "verse")
-    return marked.groupBy("kind").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.when(F.col("__n") <= examples, F.struct("__n", key.alias("key"))))).alias("x")).select("kind", "n", F.transform("x", lambda e: e["key"]).alias("examples")).orderBy(F.desc("n"), "kind")
+    """Findings by kind, most first, with the first few keys as examples.
+
+    A kind may hold most rows: each task counts them and keeps its first few, only these meet.
+    """
+    first = F.row_number().over(Window.partitionBy("kind").orderBy("paper", "section", "verse"))
+    near = mismatches.select("kind", "paper", "section", "verse").withColumn("__n", first).where(F.col("__n") <= examples)
+    keys = near.groupBy("kind").agg(F.sort_array(F.collect_list(F.struct("__n", F.concat_ws(":", "paper", "section", "verse").alias("key")))).alias("x"))
+    counts = mismatches.groupBy("kind").agg(F.count("*").alias("n"))
+    return counts.join(keys, "kind").select("kind", "n", F.transform("x", lambda e: e["key"]).alias("examples")).orderBy(F.desc("n"), "kind")
 
 
 def macro_coverage(tokens: DataFrame, places: int = 3) -> DataFrame:
@@ -65,23 +68,89 @@ def unknown_macros(tokens: DataFrame) -> DataFrame:
     return used.join(F.broadcast(macro_table(tokens.sparkSession).select("name")), "name", "left_anti")
 
 
+def _joined(rows: DataFrame, order: list[str], line, most: int, more: str) -> DataFrame:
+    """(paper, text): the lines of each paper's first ``most`` rows in order, and how many more there are."""
+    w = Window.partitionBy("paper")
+    ranked = rows.withColumn("__n", F.row_number().over(w.orderBy(*order))).withColumn("__all", F.count("*").over(w)).where(F.col("__n") <= most)
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__n", line.alias("line")))), lambda x: x["line"]), "\n")
+    left = F.max("__all") - most
+    return ranked.groupBy("paper").agg(F.concat(text, F.when(left > 0, F.concat(F.lit("\n... ("), left.cast("string"), F.lit(f" more {more})"))).otherwise("")).alias("text"))
+
+
+def _quoted(c) -> Column:
+    return F.concat(F.lit("`"), F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")), F.lit("`"))
+
+
+def _key() -> Column:
+    return F.concat_ws(":", "paper", "section", "verse")
+
+
+def paper_reports(c: Comparison, most: int = 50) -> DataFrame:
+    """(paper, report): Markdown for each paper, written by the executors.
+
+    Counts and status, both titles, all mismatches, and at most ``most`` text changes with
+    their characters, italic differences and odd glyphs, with how many more there are.
+    """
+    heads = c.left_heads.select("paper", F.col("title").alias("lt"), F.col("sections").alias("ls")).join(c.right_heads.select("paper", F.col("title").alias("rt"), F.col("sections").alias("rs")), "paper", "full_outer")
+    told = c.compared.where("not skip")
+    edits = text_changes(c.compared)
+    per_verse = edits.groupBy("paper", "section", "verse").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i1", "j1", F.concat(F.lit("- `..."), "before", F.lit("` left "), _quoted("left"), F.lit(" right "), _quoted("right"), F.lit(" `"), "after", F.lit("...`")).alias("line")))), lambda x: x["line"]), "\n").alias("edits"))
+    spans = lambda s: F.array_join(F.transform(F.col(f"{s}.italics"), lambda x: F.concat(x["s"].cast("string"), F.lit("-"), x["e"].cast("string"))), " ")
+    line = F.concat(F.lit("- **"), "kind", F.lit("** "), F.concat_ws(":", F.col("section").cast("string"), F.col("verse").cast("string")), F.lit(" "), "detail")
+    parts = {
+        "Mismatches": _joined(c.mismatches, ["kind", "section", "verse", "detail"], line, 1 << 30, ""),
+        "Text": _joined(per_verse, ["section", "verse"], F.concat(F.lit("### "), _key(), F.lit("\n"), "edits"), most, "text differences"),
+        "Italics": _joined(told.where("status = 'italic'"), ["section", "verse"], F.concat(F.lit("### "), _key(), F.lit("\n- left "), spans("nl"), F.lit("\n- right "), spans("nr"), F.lit("\n- "), F.substring(F.col("nl.text"), 1, 200)), most, "italic differences"),
+        "Glyphs": _joined(glyph_log(c.compared), ["section", "verse", "side", "glyph"], F.concat(F.lit("- "), _key(), F.lit(" "), "side", F.lit(" "), "glyph", F.lit(" "), F.col("n").cast("string")), most, "glyph notes"),
+    }
+    s = paper_summary(c).join(heads, "paper", "left")
+    number = lambda x: F.col(x).cast("string")
+    top = F.concat_ws("\n", F.concat(F.lit("# Paper "), number("paper")), F.concat(F.lit("- Left verses: "), number("left_verses"), F.lit(" Right verses: "), number("right_verses"), F.lit(" common: "), number("common")),
+        F.concat(F.lit("- Only left: "), number("only_left"), F.lit(" Only right: "), number("only_right")), F.concat(F.lit("- Text diffs: "), number("text_diffs"), F.lit(" Italic diffs: "), number("italic_diffs")), F.concat(F.lit("- Status: "), "status"),
+        F.concat(F.lit("- Titles: "), _quoted("lt"), F.lit(" "), _quoted("rt")), F.concat(F.lit("- Sections: "), F.coalesce(number("ls"), F.lit("0")), F.lit(" "), F.coalesce(number("rs"), F.lit("0"))))
+    for name, rows in parts.items():
+        s = s.join(rows.withColumnRenamed("text", f"__{name}"), "paper", "left")
+    sections = [F.when(F.col(f"__{n}").isNotNull(), F.concat(F.lit(f"\n## {n}\n"), f"__{n}")) for n in parts]
+    return s.select("paper", F.concat_ws("\n", top, *sections).alias("report"))
+
+
+def read_reports(reports: DataFrame) -> DataFrame:
+    """Counts read back from ``paper_reports``' Markdown; a report without them has nulls and the status ``?``."""
+    get = lambda label: F.expr(f"try_cast(nullif(regexp_extract(report, '(?m){label}: (\\\\d+)', 1), '') as bigint)")
+    labels = {"left_verses": "Left verses", "right_verses": "Right verses", "common": "common", "only_left": "Only left", "only_right": "Only right", "text_diffs": "Text diffs", "italic_diffs": "Italic diffs"}
+    status = F.regexp_extract("report", r"(?m)^- Status: (\w+)", 1)
+    return reports.select("paper", *[get(v).alias(k) for k, v in labels.items()], F.when(status == "", "?").otherwise(status).alias("status"), F.regexp_count("report", F.lit(r"(?m)^- \*\*")).cast("long").alias("mismatches"))
+
+
 def paper_report(c: Comparison, paper: int) -> str:
-    """Markdown for one paper; at most 50 differences of each sort are shown."""
-    s = paper_summary(c).where(F.col("paper") == paper).first()
-    if s is None:
-        return f"# Paper {paper}: absent\n"
-    out = [f"# Paper {paper} verification report", "", f"- Left verses: {s.left_verses}   Right verses: {s.right_verses}   common: {s.common}", f"- Only left: {s.only_left}   Only right: {s.only_right}", f"- Text diffs: {s.text_diffs}   Italic diffs: {s.italic_diffs}", f"- Status: {s.status}", "", "## Mismatches", ""]
-    for kind in ("PAPER_TITLE", "SECTION_TITLE", "STRUCT", "TEXT", "ITALIC"):
-        out += [f"- **{kind}** {r.section}:{r.verse} {r.detail}" for r in c.limited(kind).where(F.col("paper") == paper).collect()]
-    return "\n".join(out) + "\n"
+    """The report of one paper."""
+    r = paper_reports(c).where(F.col("paper") == paper).first()
+    return r.report + "\n" if r else f"# Paper {paper}: absent\n"
+
+
+def failed_details(c: Comparison, most: int = 20) -> DataFrame:
+    """(paper, text): the first ``most`` mismatches of each failed paper, for the book's report."""
+    return _joined(c.mismatches, ["kind", "section", "verse", "detail"], F.concat(F.lit("- **"), "kind", F.lit("** "), "detail"), most, "in the paper's own report")
 
 
 def book_report(c: Comparison) -> str:
-    """Markdown for the book: totals, categories, a line per paper."""
+    """Markdown for the book: totals, categories, a line per paper, details of the papers that failed."""
     summary = paper_summary(c)
     t = totals(summary).first()
-    out = ["# Summary", "", f"- Papers: {t.papers}, clean {t.clean}, failed {t.failed}", f"- Verses: {t.left_verses} and {t.right_verses}, common {t.common}", "", "| Category | Count | First |", "|-|-|-|"]
+    out = ["# Summary", "", f"- Papers: {t.papers}, clean {t.clean}, failed {t.failed}", f"- Verses: {t.left_verses} and {t.right_verses}, common {t.common}, only left {t.only_left}, only right {t.only_right}", f"- Text diffs: {t.text_diffs}, italic diffs: {t.italic_diffs}", "", "| Category | Count | First |", "|-|-|-|"]
     out += [f"| {r.kind} | {r.n} | {r.examples[0] if r.examples else ''} |" for r in by_kind(c.mismatches).collect()]
-    out += ["", "| Paper | Status | Mismatches |", "|-|-|-|"]
-    out += [f"| {r.paper} | {r.status} | {r.mismatches} |" for r in summary.orderBy("paper").toLocalIterator()]
+    out += ["", "| Paper | Left | Right | Common | Only left | Only right | Text | Italic | Status |", "|-|-|-|-|-|-|-|-|-|"]
+    out += [f"| {r.paper} | {r.left_verses} | {r.right_verses} | {r.common} | {r.only_left} | {r.only_right} | {r.text_diffs} | {r.italic_diffs} | {r.status} |" for r in summary.orderBy("paper").toLocalIterator()]
+    for r in failed_details(c).orderBy("paper").toLocalIterator():
+        out += ["", f"### Paper {r.paper}", r.text]
+    return "\n".join(out) + "\n"
+
+
+def coverage_report(tokens: DataFrame) -> str:
+    """Text of the macro coverage: totals, unknown ones, then each macro with its places, most used first."""
+    rows = macro_coverage(tokens).collect()  # a row for each macro's name
+    unknown = [r.value for r in rows if not r.known]
+    out = [f"# {len(rows)} macros, {sum(r.n for r in rows)} occurrences", f"# unknown: {len(unknown)} {' '.join(sorted(unknown))}".rstrip()]
+    for r in rows:
+        out += [f"{'KNOWN' if r.known else 'UNKNOWN'} {r.n} \\{r.value}", *(f"    at {p}" for p in r.places)]
     return "\n".join(out) + "\n"

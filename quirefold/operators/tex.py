@@ -22,7 +22,7 @@ _LEX = re.compile(r"\\(?:(?P<word>[^\W\d_]+)[ \t]*|(?P<sign>.)|(?P<lone>\Z))|(?P
 _GROUP = {"{": "OPEN_BRACE", "}": "CLOSE_BRACE", "[": "OPEN_BRACKET", "]": "CLOSE_BRACKET"}
 _LENGTH = re.compile(r"[+-]?\d+(?:\.\d+)?(?:pt|em|ex|mm|cm|in|bp|pc|sp|mu)")
 _VERSE = re.compile(r"\s*p(\d+)\s+(\d+):(\d+)(?:\s+(.*))?$", re.DOTALL)
-FILE = re.compile(r"p(\d{3})\.tex$")
+FILE = re.compile(r"p(\d{3,})\.tex$")
 
 
 def tokens(src: str) -> list[tuple[str, str, int, int]]:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import checks, diff, layout, summary, tex
 from ..operators.html import drop_floaters, html_papers
+from . import editions, pages
 
 NO_SPANS = "cast(array() as array<struct<s:int,e:int>>)"
 
@@ -39,7 +40,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _editions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Lines as verses, and the same with lines of every 7th document gone and of every 5th changed."""
+    """Lines as verses, and the same with all lines of every 7th document gone and the first line of every 5th changed."""
     v = _lines(spark, sf_dir).select(F.col("doc_id").alias("paper"), F.lit(0).alias("section"), F.col("line_no").alias("verse"), F.col("line").alias("text"), F.expr(NO_SPANS).alias("italics"), "source")
     right = v.where("paper % 7 <> 0").withColumn("text", F.when((F.col("paper") % 5 == 0) & (F.col("verse") == 0), F.concat(F.lit("X"), "text")).otherwise(F.col("text")))
     return v, right
@@ -293,7 +294,7 @@ FUNCTIONS = [
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in FUNCTIONS}
+    return {f.__name__: f for f in [*FUNCTIONS, *pages.FUNCTIONS, *editions.FUNCTIONS]}
 
 
 _SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -369,4 +370,4 @@ SELECT value, count(*) AS n, value IN ('par', 'ldots') AS known FROM m GROUP BY
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | pages.ORACLE | editions.ORACLE

@@ -5,13 +5,12 @@ Everything is read through Spark, so any store that Spark reads will do.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import BBOX_PAGE, DEVIATION, SECTION, SPANS
+from .scratch import write_files
 
 JSONL = f"_kind string, paper int, title string, subtitle string, author string, sections array<{SECTION}>, section int, verse int, text string, italics array<array<int>>, macros_seen array<string>, floater boolean"
 
@@ -33,7 +32,7 @@ def html_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def file_problems(files: DataFrame, papers: DataFrame) -> DataFrame:
     """(paper, n) of the wanted papers that don't have exactly one file."""
-    number = F.regexp_extract("path", r"(\d{3})\.\w+$", 1).cast("int")
+    number = F.regexp_extract("path", r"(\d{3,})\.\w+$", 1).cast("int")
     counts = files.groupBy(number.alias("paper")).agg(F.count("*").alias("n"))
     return papers.select("paper").join(counts, "paper", "left").select("paper", F.coalesce("n", F.lit(0)).alias("n")).where("n <> 1")
 
@@ -67,65 +66,70 @@ def write_jsonl(papers: DataFrame, path: str) -> None:
 
 
 def read_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(headers, verses) of a folder of extracts; missing optional fields get their defaults."""
-    rows = spark.read.schema(JSONL).json(path)
+    """(headers, verses) of a folder of extracts; missing optional fields get their defaults.
+
+    ``ord`` is a line's place: its file, the file's split and the place in that, so the order of lines holds however a file is split.
+    """
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("n"))
+    rows = spark.read.schema(JSONL).json(path).select("*", place.alias("ord"))
     is_head = F.col("_kind").eqNullSafe("paper")
     spans = F.coalesce(F.transform("italics", lambda x: F.struct(x[0].alias("s"), x[1].alias("e"))), F.expr(f"cast(array() as {SPANS})")).alias("italics")
     heads = rows.where(is_head).select("paper", "title", "subtitle", "author", "sections")
-    verses = rows.where(~is_head).select("paper", "section", "verse", "text", spans, F.coalesce("macros_seen", F.expr("cast(array() as array<string>)")).alias("macros_seen"), F.coalesce("floater", F.lit(False)).alias("floater"), F.monotonically_increasing_id().alias("ord"))
+    verses = rows.where(~is_head).select("paper", "section", "verse", "text", spans, F.coalesce("macros_seen", F.expr("cast(array() as array<string>)")).alias("macros_seen"), F.coalesce("floater", F.lit(False)).alias("floater"), "ord")
     return heads, verses
 
 
-_KEY = re.compile(r"(\d+):(\d+):(\d+)(?:-(\d+))?:\s*")
-_FIELD = re.compile(r"\s+(skip|reason|expect_tex|expect_srt|ignore_italics):\s*(.*)")
-
-
-def parse_deviations(text: str) -> list[tuple]:
-    """(paper, section, first, last, fields) blocks; a reversed range is an error, unknown lines are skipped."""
-    blocks: list[tuple] = []
-    fields: dict = {}
-    for line in text.splitlines():
-        if not line.strip() or line.strip().startswith("#"):
-            continue
-        if m := _KEY.fullmatch(line):
-            first, last = int(m[3]), int(m[4] or m[3])
-            if last < first:
-                raise ValueError(f"invalid range {line.strip()}")
-            fields = {}
-            blocks.append((int(m[1]), int(m[2]), first, last, fields))
-        elif m := _FIELD.fullmatch(line):
-            value = m[2]
-            if len(value) > 1 and value[0] == value[-1] and value[0] in "\"'":
-                value = value[1:-1]
-            fields[m[1]] = value.lower() in ("true", "yes", "1") if m[1] in ("skip", "ignore_italics") else value
-    return blocks
+#: How a key is written, and the fields that a deviation may have.
+_KEY = r"^(\d+):(\d+):(\d+)(?:-(\d+))?:\s*$"
+_FLAGS, _NOTES = ["skip", "ignore_italics"], ["reason", "expect_tex", "expect_srt"]
+
+
+def deviation_rows(lines: DataFrame) -> DataFrame:
+    """The allow-list (schema DEVIATION) from its lines (n, line), a row per verse key.
+
+    A key's line opens a block, the fields below it are the block's; ranges fan out, a
+    reversed one is an error, the last block of a key holds, other lines are passed over.
+    The file is small, written by hand: its lines are numbered in one task.
+    """
+    number = lambda k: F.regexp_extract("line", _KEY, k).try_cast("int")
+    told = lines.where("trim(line) <> '' and not trim(line) like '#%'").withColumn("is_key", F.col("line").rlike(_KEY))
+    blocks = told.withColumn("block", F.max(F.when(F.col("is_key"), F.col("n"))).over(Window.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)))
+    field = r"^\s+(\w+):\s*(.*)$"
+    value = F.regexp_replace(F.regexp_extract("line", field, 2), r"""^(["'])(.*)\1$""", "$2")
+    named = F.regexp_extract("line", field, 1)
+    last = lambda f: F.max_by(F.when(~F.col("is_key") & (named == f), value), F.when(~F.col("is_key") & (named == f), F.col("n")))
+    keys = [F.max(F.when(F.col("is_key"), number(k))).alias(c) for k, c in enumerate(("paper", "section", "a", "b"), 1)]
+    found = blocks.where("block is not null").groupBy("block").agg(*keys, *[F.coalesce(F.lower(last(f)).isin("true", "yes", "1"), F.lit(False)).alias(f) for f in _FLAGS], *[last(f).alias(f) for f in _NOTES])
+    upto = F.coalesce("b", "a")
+    span = F.when(upto < F.col("a"), F.raise_error(F.concat(F.lit("invalid range "), F.col("a").cast("string"), F.lit("-"), upto.cast("string")))).otherwise(F.sequence("a", upto))
+    rows = found.select("block", "paper", "section", F.explode(span).alias("verse"), *_FLAGS, *_NOTES)
+    fields = [c.split()[0] for c in DEVIATION.split(", ")[3:]]
+    return rows.groupBy("paper", "section", "verse").agg(F.max_by(F.struct(*fields), "block").alias("d")).select("paper", "section", "verse", "d.*")
 
 
 def read_deviations(spark: SparkSession, path: str | None) -> DataFrame:
-    """The allow-list, a row per verse key; ranges fan out, the last entry of a key holds, a missing file is empty."""
+    """The allow-list of a file; a missing file is empty."""
+    empty = spark.createDataFrame([], "n int, line string")
+    if not path:
+        return deviation_rows(empty)
     try:
-        text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()) if path else ""
+        return deviation_rows(spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\n")).alias("n", "line")))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" not in str(e):
             raise
-        text = ""
-    blocks = [(k, p, s, a, b, f.get("skip", False), f.get("ignore_italics", False), f.get("reason"), f.get("expect_tex"), f.get("expect_srt")) for k, (p, s, a, b, f) in enumerate(parse_deviations(text))]
-    df = spark.createDataFrame(blocks, "k int, paper int, section int, a int, b int, skip boolean, ignore_italics boolean, reason string, expect_tex string, expect_srt string")
-    rows = df.select("k", "paper", "section", F.explode(F.sequence("a", "b")).alias("verse"), "skip", "ignore_italics", "reason", "expect_tex", "expect_srt")
-    fields = [c.split()[0] for c in DEVIATION.split(", ")[3:]]
-    return rows.groupBy("paper", "section", "verse").agg(F.max_by(F.struct(*fields), "k").alias("d")).select("paper", "section", "verse", "d.*")
+        return deviation_rows(empty)
 
 
 def bbox_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(doc, page, body): pages of box documents in file order, parsed with a fixed schema."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("doc"), F.regexp_extract("value", r"(?s)<doc\b.*</doc>", 0).alias("xml"))
-    parsed = F.from_xml("xml", F.lit(f"page array<struct<{_ddl(BBOX_PAGE)}>>"), {"ignoreNamespace": "true"})
-    return files.select("doc", F.posexplode(parsed["page"]).alias("pos", "body")).select("doc", (F.col("pos") + 1).alias("page"), "body")
-
+    """(doc, page, body): pages of box documents in file order, parsed with a fixed schema.
 
-def _ddl(fields: str) -> str:
-    """Struct fields as they are written inside struct<...>."""
-    return re.sub(r"(^|, )(\w+) ", lambda m: f"{',' if m[1] else ''}{m[2]}:", fields)
+    Files are read page by page: what a task holds is a page, and a large file is split.
+    """
+    place = [F.col("_metadata.file_name").alias("doc"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("n")]
+    pieces = spark.read.option("lineSep", "</page>").text(path).select("value", *place).where(F.col("value").contains("<page"))
+    xml = F.concat(F.regexp_extract("value", r"(?s)<page\b.*", 0), F.lit("</page>"))
+    parsed = pieces.select("doc", "split", "n", F.from_xml(xml, F.lit(BBOX_PAGE), {"ignoreNamespace": "true"}).alias("body"))
+    return parsed.select("doc", F.row_number().over(Window.partitionBy("doc").orderBy("split", "n")).alias("page"), "body")
 
 
 def bbox_words(pages: DataFrame) -> DataFrame:
@@ -150,18 +154,21 @@ def bbox_lines(pages: DataFrame) -> DataFrame:
 
 
 def text_pages(spark: SparkSession, path: str) -> DataFrame:
-    """(doc, page, line_no, line) of text layouts: pages end at form feeds; line_no counts from 0."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("doc"), "value")
+    """(doc, page, n_lines, line_no, line) of text layouts: pages end at form feeds; line_no counts from 0."""
+    return laid_out(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("doc"), "value"))
+
+
+def laid_out(files: DataFrame) -> DataFrame:
+    """The lines of (doc, value) text layouts."""
     pages = files.select("doc", F.posexplode(F.split("value", "\\x0c")).alias("p", "page_text"))
     lines = pages.select("doc", (F.col("p") + 1).alias("page"), F.split("page_text", "\n").alias("ls"))
     return lines.select("doc", "page", F.size("ls").alias("n_lines"), F.posexplode("ls").alias("line_no", "line"))
 
 
 def write_fixed(files: DataFrame, folder: str) -> DataFrame:
-    """Writes list openers with their paragraph mark to a new folder; returns (path, fixes) of the changed files."""
+    """Writes the files whose list openers lack the paragraph mark, with it and under their names, to a new folder; returns (path, fixes)."""
     from ..functions.text import mark_list_openers
 
     text, n = mark_list_openers(F.col("src"))
     fixed = files.select("path", text.alias("src"), n.alias("fixes")).where("fixes > 0")
-    fixed.write.mode("overwrite").parquet(folder)
-    return fixed.select("path", "fixes")
+    return write_files(fixed, folder).join(fixed.select("path", "fixes"), "path").select("path", "fixes")
