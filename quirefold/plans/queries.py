@@ -363,6 +363,15 @@ SELECT paper, n AS left_verses, n - lost AS right_verses, n - lost AS common, lo
 e AS (SELECT doc, page, max(y) FILTER (WHERE is_left) AS left_y, max(y) FILTER (WHERE NOT is_left) AS right_y FROM w GROUP BY doc, page)
 SELECT doc, page, left_y, right_y, abs(left_y - right_y) AS diff FROM e WHERE abs(left_y - right_y) > 5""",
     "page_maximum_body": """SELECT CAST(l_orderkey % 211 AS VARCHAR) AS doc, CAST(l_orderkey + 1 AS INTEGER) AS page, max(100 + 11 * l_linenumber) AS max_body, count(DISTINCT l_linenumber) AS n_lines, min(100 + 11 * l_linenumber) AS first_y FROM lineitem GROUP BY 1, 2""",
+    "html_extract_headings": """WITH h AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?s)<script.*?</script>|<!--.*?-->|<style.*?</style>', '', 'g'), '(?s)<h[1-3]\\b[^>]*>.*?</h[1-3]>') AS found FROM pages),
+x AS (SELECT page_id, unnest(found) AS e, generate_subscripts(found, 1) - 1 AS k FROM h)
+SELECT page_id, CAST(k AS INTEGER) AS k, substr(e, 2, 2) AS level, replace(replace(replace(replace(replace(regexp_replace(e, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS heading FROM x""",
+    "opcode_diff": f"""WITH {_BOTH}, e AS (SELECT doc_id, {_clean('line')} AS t FROM lines WHERE doc_id % 5 = 0 AND doc_id % 7 <> 0 AND line_no = 0)
+SELECT doc_id AS paper, CAST(0 AS INTEGER) AS verse, 'insert' AS tag, CAST(0 AS INTEGER) AS i1, CAST(0 AS INTEGER) AS i2, CAST(0 AS INTEGER) AS j1, CAST(1 AS INTEGER) AS j2, '' AS before, '' AS "left", 'X' AS "right", substr(t, 1, 20) AS after FROM e""",
+    "token_counts": r"""WITH t AS (SELECT doc_id, replace(text, 'the ', '\hyp{}the ') || chr(10) AS x FROM documents),
+u AS (SELECT doc_id, unnest(regexp_extract_all(x, '\\hyp|[{}\[\]]|%[^\n]*|\n|[^\\{}\[\]%\n]+')) AS tok FROM t)
+SELECT doc_id, CASE substr(tok, 1, 1) WHEN '\' THEN 'MACRO' WHEN '{' THEN 'OPEN_BRACE' WHEN '}' THEN 'CLOSE_BRACE' WHEN '[' THEN 'OPEN_BRACKET' WHEN ']' THEN 'CLOSE_BRACKET' WHEN '%' THEN 'COMMENT' WHEN chr(10) THEN 'NEWLINE' ELSE 'TEXT' END AS kind, count(*) AS n FROM u GROUP BY 1, 2""",
+    "seeded_sample": f"""WITH {_LINES} SELECT doc_id AS paper, CAST(0 AS INTEGER) AS section, line_no AS verse FROM lines ORDER BY md5('42:' || doc_id || ':0:' || line_no), paper, verse LIMIT 20""",
     "macro_coverage": """WITH t AS (SELECT replace(replace(replace(replace(text, '%', ' '), 'the ', '\\par '), 'and ', '\\mystery '), 'de ', '\\ldots ') AS x FROM documents),
 m AS (SELECT unnest(list_transform(string_split(x, '\\')[2:], lambda s: regexp_extract(s, '^[\\pL]+'))) AS value FROM t)
 SELECT value, count(*) AS n, value IN ('par', 'ldots') AS known FROM m GROUP BY value""",

@@ -81,6 +81,27 @@ def test_column_blocks(read):
     assert [(r.page, r.block) for r in layout.first_uneven(lines).collect()] == [(1, 0)]
 
 
+def test_pages_are_read_one_by_one(spark, tmp_path):
+    """A box file in several splits keeps the order of its pages; probes show a band and a page."""
+    (tmp_path / "b_bbox.html").write_text(doc(*[page((f"w{k}", 60, 70, 100 + k)) for k in range(400)]), encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        pages = fs.bbox_pages(spark, str(tmp_path / "b_bbox.html"))
+        words = fs.bbox_words(pages).collect()
+        assert len(words) == 400 and all(r.text == f"w{r.page - 1}" for r in words)
+        assert [(r.page, r.text) for r in layout.probe(fs.bbox_words(pages), 102.0, 104.0).collect()] == [(4, "w3")]
+        assert [r.text for r in layout.probe_lines(fs.bbox_lines(pages), 7).collect()] == ["w6"]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_suffixes_of_many_lengths(spark):
+    targets = spark.range(1, 1300).selectExpr("repeat('a', cast(id as int)) AS target")
+    hits = layout.ends_with(spark.createDataFrame([("b" + "a" * 1200,)], "text string"), targets)
+    assert hits.count() == 1200
+
+
 def test_text_blocks(spark, tmp_path):
     row = lambda a, b="": f"{a:<43}     {b}"
     body = ["head", "", row("one", "uno"), row("two", "dos"), row("three"), row("12", "7"), "x" * 60, row("a", "b"), "", "tail", "end"]

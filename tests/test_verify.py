@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirefold.operators import checks, summary, tex
-from quirefold.operators.diff import Comparison, glyph_log, text_changes
+from quirefold.operators.diff import Comparison, glyph_log, last_wins, text_changes
 from quirefold.plans.verify import verify
 from quirefold.sources import files as fs
 
@@ -64,7 +64,20 @@ def test_summaries(compared):
     kinds = summary.by_kind(compared.mismatches).collect()
     assert {(k.kind, k.n) for k in kinds} == {("SECTION_TITLE", 3), ("STRUCT", 3), ("PAPER_TITLE", 1), ("TEXT", 1)}
     assert [r.n for r in kinds] == sorted((r.n for r in kinds), reverse=True)
-    assert "FAIL" in summary.paper_report(compared, 2) and "clean 1" in summary.book_report(compared)
+    report = summary.paper_report(compared, 2)
+    assert "- Status: FAIL" in report and "- Titles: `Two` `Deux`" in report and "## Text" not in report.replace("## Text\n### 2:1:1", "") and "- **STRUCT** 1:5 only_left" in report
+    assert "## Italics" not in report and "absent" in summary.paper_report(compared, 9)
+    book = summary.book_report(compared)
+    assert "clean 1" in book and "### Paper 2" in book and "- **PAPER_TITLE** paper titles differ" in book and "### Paper 1" not in book
+
+
+def test_reports_tell_what_they_leave_out(compared):
+    rows = {r.paper: r.report for r in summary.paper_reports(compared, most=0).collect()}
+    assert "more text differences" not in rows[1]
+    details = {r.paper: r.text for r in summary.failed_details(compared, most=3).collect()}
+    assert details[2].endswith("... (5 more in the paper's own report)") and details[2].count("- **") == 3
+    back = {r.paper: r for r in summary.read_reports(summary.paper_reports(compared)).collect()}
+    assert (back[2].left_verses, back[2].right_verses, back[2].common, back[2].only_left, back[2].text_diffs, back[2].status, back[2].mismatches) == (7, 6, 5, 1, 1, "FAIL", 8)
 
 
 def test_glyphs_and_changes(compared):
@@ -87,14 +100,33 @@ def test_files(spark, folder, tmp_path):
     src = "\\vs p001 1:1 \\ublistelem{1.} a"
     fixed = fs.write_fixed(spark.createDataFrame([("p", src), ("q", "x")], "path string, src string"), str(tmp_path / "f"))
     assert [tuple(r) for r in fixed.collect()] == [("p", 1)]
+    assert (tmp_path / "f" / "p").read_text() == "\\pc " + src and not (tmp_path / "f" / "q").exists()
+
+
+def test_lines_keep_their_order(spark, tmp_path):
+    """The last line of a key wins, also where a file is read in several splits."""
+    (tmp_path / "j").mkdir()
+    lines = [f'{{"paper": 1, "section": 1, "verse": {i % 50}, "text": "t{i}"}}' for i in range(20_000)]
+    (tmp_path / "j" / "a.json").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        _, verses = fs.read_jsonl(spark, str(tmp_path / "j"))
+        assert verses.rdd.getNumPartitions() > 5
+        assert {(r.verse, r.text) for r in last_wins(verses).collect()} == {(i % 50, f"t{i}") for i in range(19_950, 20_000)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
 def test_deviations(spark, folder):
     rows = {(r.paper, r.section, r.verse): r for r in fs.read_deviations(spark, str(folder / "allow.yaml")).collect()}
     assert rows[2, 1, 6].skip and rows[2, 1, 6].reason == "known" and rows[2, 1, 8].ignore_italics and len(rows) == 3
     assert fs.read_deviations(spark, str(folder / "absent.yaml")).count() == 0
-    with pytest.raises(ValueError):
-        fs.parse_deviations("1:1:5-2:\n")
+    lines = spark.createDataFrame([(0, "1:1:5-2:"), (1, "  skip: true")], "n int, line string")
+    with pytest.raises(Exception, match="invalid range 5-2"):
+        fs.deviation_rows(lines).collect()
+    twice = spark.createDataFrame(list(enumerate(["1:1:1:", "  skip: true", "", "1:1:1-2:", "  skip: 'false'"])), "n int, line string")
+    assert {(r.verse, r.skip) for r in fs.deviation_rows(twice).collect()} == {(1, False), (2, False)}
 
 
 def test_coverage(spark, folder):
@@ -102,6 +134,8 @@ def test_coverage(spark, folder):
     rows = summary.macro_coverage(t).collect()
     assert rows[0].value == "vs" and rows[0].n == 9 and rows[0].known and len(rows[0].places) == 3 and rows[0].places[0] == "p001.tex:3:1"
     assert [r.name for r in summary.unknown_macros(t).collect()] == ["mystery"]
+    report = summary.coverage_report(t)
+    assert "# unknown: 1 mystery" in report and "KNOWN 9 \\vs\n    at p001.tex:3:1" in report
 
 
 def test_self_checks(spark, folder, compared):
@@ -110,8 +144,11 @@ def test_self_checks(spark, folder, compared):
     assert all(r.ok for r in counts) and len(counts) == 2
     assert checks.deterministic(lambda: fs.verses_of(tex.tex_papers(t)))
     assert checks.digest(compared.left_verses) != checks.digest(compared.right_verses)
-    caught = {r.name: r.caught for r in checks.mutation_check(t, h, 1, 1, 1).collect()}
-    assert caught == dict.fromkeys(("replace_word", "comma_to_dot", "drop_sentence", "add_emphasis", "drop_emphasis"), True)
+    # the second paper's sides differ as they are, the first's only before glyphs are normalized
+    assert checks.mutation_check(t, h).count() == 0
+    plain = h.withColumn("src", F.replace("src", F.lit("\u02bc"), F.lit("\u2019")))
+    caught = {(r.paper, r.mutant): r.caught for r in checks.mutation_check(t, plain).collect()}
+    assert caught == {(1, m): True for m in ("double_word", "lose_verse", "shift_number", "mark_word", "cut_letter", "unmark_word")}
     spot = checks.spot_check(compared.left_verses, compared.right_verses, 4)
     assert spot.count() == 4 and [tuple(r) for r in spot.collect()] == [tuple(r) for r in checks.spot_check(compared.left_verses.repartition(3), compared.right_verses, 4).collect()]
 
