@@ -4,7 +4,8 @@ A text is the set of its lower-cased words and their prefixes of four to six
 letters, hashed.  Features that speak for toxicity are chosen by a chi-squared
 test, then a logistic model with weights of at least zero (a long harmless rest
 can't outweigh an insult) is fitted with a penalty on the squared change of the logit when
-an identity term of a labelled sentence is swapped for another of its kind: a
+an identity term of a labelled sentence is swapped for another of its kind, or, in a
+sentence without one, when one term of a pair is put in instead of the other: a
 mention of a group, by itself, then moves the score little.
 
 ``TRAIN_ROWS`` labelled rows, drawn by a hash of the text, bound the training
@@ -37,10 +38,11 @@ FOLDS, HELD = 4, 2
 THRESHOLD = 0.3
 #: Strength of the counterfactual penalty against the mean log loss.
 SWAP_PENALTY = 1.0
+#: Targets that a term is swapped for in one sentence; they rotate over the sentences, so that each is one.
 SWAPS_PER_TERM = 2
 PREFIXES = (4, 5, 6)
 WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 #: Identity terms by kind; a term is swapped within its line.
 IDENTITY = [
     ["women", "men", "girls", "boys", "females", "males"],
@@ -76,9 +78,27 @@ def words_of(text: str) -> set[str]:
     return set(WORD.findall(text.lower()))
 
 
-def counterfactuals(words: set[str]) -> list[set[str]]:
-    """The word set with one identity term at a time swapped for another of its kind."""
-    return [(words - {t}) | {other} for t in sorted(words & SWAP.keys()) for other in SWAP[t][:SWAPS_PER_TERM]]
+def counterfactuals(words: set[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(features gained, features lost) by each counterfactual of a sentence, against the sentence or against its pair.
+
+    One identity term at a time is swapped for others of its kind; a sentence without any
+    gets a pair of terms of one kind, which one turning with the sentence's length.
+    """
+    turn, pairs = len(words), []
+    for term in sorted(words & SWAP.keys()):
+        others = SWAP[term]
+        pairs += [((words - {term}) | {others[(turn + k) % len(others)]}, words) for k in range(min(SWAPS_PER_TERM, len(others)))]
+    if not pairs:
+        line = IDENTITY[turn % len(IDENTITY)]
+        at = turn // len(IDENTITY)
+        pairs = [(words | {line[(at + 1) % len(line)]}, words | {line[at % len(line)]})]
+    out = []
+    for a, b in pairs:
+        own, other = text_features(a - b), text_features(b - a)
+        shared = text_features(a & b)
+        new, old = (np.setdiff1d(x, shared) for x in (own, other))
+        out.append((np.setdiff1d(new, old), np.setdiff1d(old, new)))
+    return out
 
 
 class Sparse:
@@ -97,7 +117,8 @@ class Sparse:
 
 
 class ToxicityModel:
-    def __init__(self, rows: list[np.ndarray], labels: np.ndarray, swaps: list[tuple[int, np.ndarray]], *, penalty: float = SWAP_PENALTY, features: int = FEATURES, steps: int = 400, sparsity: float = 2e-5) -> None:
+    def __init__(self, rows: list[np.ndarray], labels: np.ndarray, swaps: list[tuple[np.ndarray, np.ndarray]], *, penalty: float = SWAP_PENALTY, features: int = FEATURES, steps: int = 400, sparsity: float = 2e-5) -> None:
+        self.acting = 0
         self.bias, self.usable = 0.0, bool(len(labels)) and 0 < labels.sum() < len(labels)
         self.names, self.weights = np.zeros(0, np.uint32), np.zeros(0)
         self._fresh()
@@ -105,8 +126,9 @@ class ToxicityModel:
             return
         self._choose(rows, labels, features)
         x = Sparse([self._known(r) for r in rows])
-        pair_a = Sparse([self._known(rows[i]) for i, _ in swaps])
-        pair_b = Sparse([self._known(r) for _, r in swaps])
+        known = [(self._known(a), self._known(b)) for a, b in swaps]
+        pair_a, pair_b = Sparse([a for a, _ in known]), Sparse([b for _, b in known])
+        self.acting = sum(1 for a, b in known if len(a) or len(b))  # pairs that differ in a feature of the model
         self._fit(x, labels.astype(float), pair_a, pair_b, penalty, steps, sparsity)
         self._fresh()
 
@@ -184,13 +206,14 @@ def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS, penalty
             for start, texts in text_slices(batch):
                 sets = [words_of(t) for t in texts]
                 own = [text_features(s).tobytes() for s in sets]
-                swapped = [[text_features(c).tobytes() for c in counterfactuals(s)] for s in sets]
-                yield pa.RecordBatch.from_arrays([rows_of(batch, start, len(texts), "toxic").cast(pa.int32()), pa.array(own, pa.binary()), pa.array(swapped, pa.list_(pa.binary()))], ["toxic", "x", "swaps"])
+                pairs = [[x.tobytes() for pair in counterfactuals(s) for x in pair] for s in sets]
+                yield pa.RecordBatch.from_arrays([rows_of(batch, start, len(texts), "toxic").cast(pa.int32()), pa.array(own, pa.binary()), pa.array(pairs, pa.list_(pa.binary()))], ["toxic", "x", "pairs"])
 
-    made = drawn.mapInArrow(run, "toxic int, x binary, swaps array<binary>").orderBy(F.xxhash64("x"), "x", "toxic").limit(rows)
-    found = sorted((bytes(r["x"]), r["toxic"], [bytes(s) for s in r["swaps"]]) for r in made.collect())
+    made = drawn.mapInArrow(run, "toxic int, x binary, pairs array<binary>").orderBy(F.xxhash64("x"), "x", "toxic").limit(rows)
+    found = sorted((bytes(r["x"]), r["toxic"], [bytes(s) for s in r["pairs"]]) for r in made.collect())
     as_row = lambda b: np.frombuffer(b, np.uint32)
-    return ToxicityModel([as_row(x) for x, _, _ in found], np.array([t > 0 for _, t, _ in found], float), [(i, as_row(s)) for i, (_, _, ss) in enumerate(found) for s in ss], penalty=penalty)
+    swaps = [(as_row(a), as_row(b)) for *_, ss in found for a, b in zip(ss[::2], ss[1::2], strict=True)]
+    return ToxicityModel([as_row(x) for x, _, _ in found], np.array([t > 0 for _, t, _ in found], float), swaps, penalty=penalty)
 
 
 def score(spark: SparkSession, docs: DataFrame, model: ToxicityModel, keep: list[str]) -> DataFrame:
@@ -204,6 +227,7 @@ def score(spark: SparkSession, docs: DataFrame, model: ToxicityModel, keep: list
         for batch in batches:
             for start, texts in text_slices(batch, text):
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in range(len(keep))), pa.array(sent.value.score(texts), pa.float64())], [*keep, "score"])
+        sent.value.cache.clear()  # a worker lives on, with other operators
 
     return picked.mapInArrow(run, f"{fields}, score double")
 
