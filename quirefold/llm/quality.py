@@ -2,13 +2,19 @@
 
 Trusted positives (labelled good) are set against unlabelled web text.  The class
 prior, the share of good texts among the unlabelled, is estimated from the two
-samples alone: a first scorer separates them, and the smallest ratio of their
-upper tails bounds the prior (best-bin estimation).  A small network on features
-of the text's shape is then fitted by minimising the non-negative unbiased risk
+alone: a first scorer separates them, and the smallest ratio of their upper tails
+bounds the prior (best-bin estimation); the unlabelled tails are counted over all
+texts.  A small network is then fitted by minimising the non-negative unbiased risk
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)]).
 
-``TRAIN_ROWS`` rows of each sample, drawn by a hash of the text, bound training;
-every text is scored whole.
+Its inputs are the text's shape and its wording: every word and every run of four
+bytes has a log ratio of how often positives and unlabelled texts have it (hashed to
+``BINS``), learnt on each half of the sample, and a text sees the means of what was
+learnt on the half that it (and every copy of it) is not in.
+
+``TRAIN_ROWS`` rows of each side, drawn by a hash of the text, bound what is
+fitted on; every text is measured once, whole, and what is measured is written for
+the prior and the score.
 
 Defined results: a null text is empty; an empty text has all features zero and
 gets the model's score for that; without positives or unlabelled rows every text
@@ -22,29 +28,67 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, table, text_slices, thinned
+from .common import cut, fold, table, text_slices, thinned
 
 #: Rows of positives, and of unlabelled text, used for fitting, at most.
 TRAIN_ROWS = 12_000
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.7
 HIDDEN = 24
+#: Half of the bins are for words, half for runs of bytes; log ratios stay within CLIP.
+BINS = 1 << 16
+CLIP = 2.0
+CACHE_WORDS = 200_000
 MARKS = ["|", "!", "%", "*", "$", "&", "#", "@", "=", "_", "<", ">", "{", "}", "[", "]", "/", "\\", "~", "^", "+"]
 NAMES = [
     "log_words", "unique_words", "repeated_next", "longest_run", "mean_length", "sd_length", "upper_words", "title_words", "no_letter_words", "marked_words",
     "digits", "pipes", "exclamations", "symbols", "ends_of_sentences", "commas", "lines", "repeated_lines", "short_lines", "unique_pairs", "top_word", "capital_letters", "long_words", "list_lines",
+    "word_ratio", "byte_ratio", "unlikely_words",
 ]
 
 
-def features_of(text: str) -> list[float]:
-    """Shape features of a whole text, in the order of NAMES; zeros for one without words."""
+class Bins(dict):
+    """The bin of each lower-cased word."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[word] = b = xxhash.xxh32_intdigest(word) % (BINS // 2)
+        return b
+
+
+def bins_of(text: str, bins: Bins) -> tuple[np.ndarray, np.ndarray]:
+    """Bins of all words and of all runs of four bytes of a whole text."""
+    low = text.lower()
+    words = np.fromiter(map(bins.__getitem__, low.split()), np.int64)
+    b = np.frombuffer(low.encode(), np.uint8).astype(np.uint32)
+    if len(b) < 4:
+        return words, np.zeros(0, np.int64)
+    run = b[:-3] * np.uint32(0x9E3779B1) + b[1:-2] * np.uint32(0x85EBCA77) + b[2:-1] * np.uint32(0xC2B2AE3D) + b[3:] * np.uint32(0x27D4EB2F)
+    run = (run ^ run >> np.uint32(15)) * np.uint32(0x2C1B3C6D)
+    return words, (run >> np.uint32(17)).astype(np.int64) % (BINS // 2) + BINS // 2
+
+
+def features_of(text: str, ratios: np.ndarray, bins: Bins) -> list[float]:
+    """Features of a whole text, in the order of NAMES; zeros for one without words."""
+    shape = shape_of(text)
+    words, runs = bins_of(text, bins) if text.strip() else ((), ())
+    if not len(words):
+        return [*shape, 0.0, 0.0, 0.0]
+    own = ratios[words]
+    return [*shape, float(own.mean()), float(ratios[runs].mean()) if len(runs) else 0.0, float((own < -1).mean())]
+
+
+def shape_of(text: str) -> list[float]:
+    """What a text looks like; zeros for one without words."""
     words = text.split()
     n = len(words)
     if not n:
-        return [0.0] * len(NAMES)
+        return [0.0] * (len(NAMES) - 3)
     chars = len(text)
     lengths = np.fromiter(map(len, words), np.int64, n)
     same = np.fromiter(map(str.__eq__, words[1:], words), bool, n - 1) if n > 1 else np.zeros(0, bool)
@@ -68,20 +112,27 @@ def features_of(text: str) -> list[float]:
 
 
 class QualityModel:
-    def __init__(self, positive: np.ndarray, unlabelled: np.ndarray, *, steps: int = 1500, seed: int = 7) -> None:
-        self.usable = len(positive) > 0 and len(unlabelled) > 0
-        self.prior = 0.0
-        if not self.usable:
-            return
+    """``begin`` separates the sides, ``finish`` fits the network once the prior is known."""
+
+    def __init__(self, ratios: np.ndarray) -> None:
+        self.ratios, self.prior, self.usable = ratios, 0.0, False
+
+    def begin(self, positive: np.ndarray, unlabelled: np.ndarray, *, steps: int = 750, seed: int = 7) -> np.ndarray:
+        """Logits of positives that the first scorer hasn't seen."""
+        self.usable = True
         both = np.concatenate([positive, unlabelled])
         self.mean, self.scale = both.mean(0), both.std(0) + 1e-3
         p, u = self._norm(positive), self._norm(unlabelled)
-        half = np.arange(len(p)) % 2 == 0, np.arange(len(u)) % 2 == 0
-        # the scorer for the prior never sees the halves that it is read off
-        first = self._fit(p[half[0]], u[half[1]], None, steps // 2, seed)
-        fresh_p, fresh_u = (p[~half[0]], u[~half[1]]) if len(p) > 1 and len(u) > 1 else (p, u)
-        self.prior = best_bin_prior(self._logit(first, fresh_p), self._logit(first, fresh_u))
-        self.net = self._fit(p, u, self.prior, steps, seed)
+        half = np.arange(len(p)) % 2 == 0
+        self.first = self._fit(p[half], u, None, steps, seed)
+        return self._logit(self.first, p[~half] if len(p) > 1 else p)
+
+    def finish(self, positive: np.ndarray, unlabelled: np.ndarray, prior: float, *, steps: int = 1500, seed: int = 7) -> None:
+        self.prior = prior
+        self.net = self._fit(self._norm(positive), self._norm(unlabelled), prior, steps, seed)
+
+    def first_logit(self, x: np.ndarray) -> np.ndarray:
+        return self._logit(self.first, self._norm(x))
 
     def _norm(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.scale, -6, 6)
@@ -127,61 +178,147 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self._logit(self.net, self._norm(x)), -30, 30)))
 
 
-def best_bin_prior(p: np.ndarray, u: np.ndarray, *, delta: float = 0.1) -> float:
-    """The least ratio of upper tails of U and P, over tails that are large enough to tell."""
-    cuts = np.unique(np.quantile(p, np.linspace(0, 0.98, 99)))
-    slack = np.sqrt(np.log(4 / delta) / (2 * len(u))) + np.sqrt(np.log(4 / delta) / (2 * len(p)))
-    tails = [((u >= c).mean(), (p >= c).mean()) for c in cuts]
+def best_bin_prior(p: np.ndarray, cuts: np.ndarray, counts: np.ndarray, *, delta: float = 0.1) -> float:
+    """The least ratio of upper tails of U and P, over tails that are large enough to tell; ``counts``: unlabelled rows with k cuts at or below them."""
+    n = max(1, int(counts.sum()))
+    tail = counts[::-1].cumsum()[::-1][1:] / n
+    slack = np.sqrt(np.log(4 / delta) / (2 * n)) + np.sqrt(np.log(4 / delta) / (2 * len(p)))
+    tails = [(u, (p >= c).mean()) for u, c in zip(tail, cuts, strict=True)]
     best = min(tails, key=lambda t: (t[0] + slack) / max(t[1], 1e-9))
     return float(np.clip(best[0] / max(best[1], 1e-9), 0.01, 0.99))
 
 
-def _features(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of docs and the feature vector of each whole text."""
-    picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__text"))
+def good_labels(labels: DataFrame) -> DataFrame:
+    marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    return marks.where("quality = 1").select("doc_id")
+
+
+def hashed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, __h): rows with the hash that samples are drawn by; its lowest bit tells the halves."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("__h"))
+
+
+def drawn(rows: DataFrame, marks: DataFrame, most: int) -> DataFrame:
+    """rows that are among about ``most`` positives (``pos``) or about ``most`` of all (``any``)."""
+    # the thinned labels are bounded by ``most``, so they can be broadcast
+    pos = F.broadcast(thinned(marks, most, "doc_id").select(F.col("doc_id").alias("__pos")))
+    share = min(1.0, 1.25 * most / max(1, rows.count()))
+    both = rows.join(pos, F.col("doc_id") == F.col("__pos"), "left")
+    flags = both.withColumn("pos", F.col("__pos").isNotNull()).withColumn("any", F.abs(F.xxhash64("__h", F.lit(5)) / 2.0**63) <= share)
+    return flags.where("pos or any").drop("__pos")
+
+
+def log_ratios(docs: DataFrame, marks: DataFrame, *, rows: int = TRAIN_ROWS) -> np.ndarray:
+    """The log ratio of each bin between positives and unlabelled texts, for each half of the sample."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins = Bins()
+        for batch in batches:
+            pos, each, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
+            for start, texts in text_slices(batch, limit=1_000_000):
+                counts = np.zeros((2, 2 * BINS), np.int64)
+                for i, t in enumerate(texts, start):
+                    half = BINS * int(hashes[i] & 1)
+                    for own in bins_of(t, bins):
+                        seen, n = np.unique(own, return_counts=True)
+                        counts[0, half + seen] += n * bool(pos[i])
+                        counts[1, half + seen] += n * bool(each[i])
+                at = np.flatnonzero(counts.any(0))
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[0, at]), pa.array(counts[1, at])], ["bin", "p", "u"])
+
+    found = drawn(hashed(docs.where("text is not null")), marks, rows).select("text", "pos", "any", "__h").mapInArrow(run, "bin long, p long, u long")
+    sums = found.groupBy("bin").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).collect()  # 2 x BINS rows at most
+    p, u = np.zeros(2 * BINS), np.zeros(2 * BINS)
+    for r in sums:
+        p[r["bin"]], u[r["bin"]] = r["p"], r["u"]
+    out = np.zeros(2 * BINS, np.float32)
+    for lo in range(0, 2 * BINS, BINS // 2):
+        part = slice(lo, lo + BINS // 2)
+        if p[part].sum() and u[part].sum():
+            out[part] = np.clip(np.log((p[part] + 1) / (p[part].sum() + BINS / 2)) - np.log((u[part] + 1) / (u[part].sum() + BINS / 2)), -CLIP, CLIP)
+    return out.reshape(2, BINS)[::-1]
+
+
+def measured(spark: SparkSession, docs: DataFrame, ratios: np.ndarray, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of docs and the features ``x`` of each whole text; ``ratios``: those for texts of either half."""
+    sent = spark.sparkContext.broadcast(ratios)
+    picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("__text"), F.xxhash64("text").bitwiseAND(1).cast("int").alias("__half"))
     fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in picked.schema[: len(keep)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins = Bins()
         for batch in batches:
             for start, texts in text_slices(batch, "__text"):
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in range(len(keep))), pa.array([features_of(t) for t in texts], pa.list_(pa.float64()))], [*keep, "x"])
+                half = batch.column(len(keep) + 1).slice(start, len(texts)).to_pylist()
+                x = pa.array([features_of(t, sent.value[k], bins) for t, k in zip(texts, half, strict=True)], pa.list_(pa.float32()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in range(len(keep))), x], [*keep, "x"])
 
-    return picked.mapInArrow(run, f"{fields}x array<double>")
+    return picked.mapInArrow(run, f"{fields}x array<float>")
 
 
-def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> QualityModel:
-    """Fits on at most ``rows`` positives and ``rows`` unlabelled texts."""
-    marks = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    texts = docs.where("text is not null").select("doc_id", "text")
+def fit(spark: SparkSession, rows: DataFrame, marks: DataFrame, ratios: np.ndarray, *, most: int = TRAIN_ROWS) -> QualityModel:
+    """Fits on at most ``most`` rows of each side of ``rows`` (doc_id, __h, x); the prior's tails are counted over all of them."""
+    sample = drawn(rows, marks, most).select("pos", "any", "__h", "x")
 
-    def vectors(df: DataFrame) -> np.ndarray:
-        found = _features(df.withColumn("__h", F.xxhash64("doc_id", "text")), ["__h"]).orderBy("__h", "x").limit(rows)
-        return np.array(sorted(r["x"] for r in found.select("x").collect())).reshape(-1, len(NAMES))
+    def side(flag: str) -> np.ndarray:
+        found = sample.where(flag).select("__h", "x").orderBy("__h", "x").limit(most).collect()
+        return np.array(sorted(r["x"] for r in found), np.float64).reshape(-1, len(NAMES))
 
-    # the thinned labels are bounded by ``rows``, so they can be broadcast
-    positive = vectors(texts.join(F.broadcast(thinned(marks.where("quality = 1"), rows, "doc_id")), "doc_id"))
-    return QualityModel(positive, vectors(thinned(texts, rows, "doc_id", "text")))
+    model, positive, unlabelled = QualityModel(ratios), side("pos"), side("any")
+    if not len(positive) or not len(unlabelled):
+        return model
+    logits = model.begin(positive, unlabelled)
+    cuts = np.unique(np.quantile(logits, np.linspace(0, 0.98, 99)))
+    sent = spark.sparkContext.broadcast((model, cuts))
 
+    def tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, edges = sent.value
+        for b in batches:
+            if b.num_rows:
+                x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                k, n = np.unique(np.searchsorted(edges, first.first_logit(x.astype(np.float64)), "right"), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(n)], ["k", "n"])
 
-def score(spark: SparkSession, docs: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of docs and the score of each whole text."""
+    counts = np.zeros(len(cuts) + 1)
+    for r in rows.select("x").mapInArrow(tails, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+        counts[r["k"]] = r["n"]
+    model.finish(positive, unlabelled, best_bin_prior(logits, cuts, counts))
+    return model
+
+
+def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> QualityModel:
+    """A model of docs; all its texts are measured once for the prior."""
+    spark, marks = docs.sparkSession, good_labels(labels)
+    ratios = log_ratios(docs, marks, rows=rows)
+    texts = hashed(docs.where("text is not null"))
+    return fit(spark, cut(spark, measured(spark, texts, ratios, ["doc_id", "__h"]), "quality-features"), marks, ratios, most=rows)
+
+
+def scored(spark: SparkSession, rows: DataFrame, model: QualityModel) -> DataFrame:
+    """``rows`` of ``measured`` with the score in place of the features."""
     sent = spark.sparkContext.broadcast(model)
-    text = "text" if "text" in keep else "__text"
-    picked = docs.select(*[F.col(f"`{c}`") for c in keep], *([F.col("text").alias(text)] if text not in keep else []))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema[: len(keep)])
+    names = [c for c in rows.columns if c != "x"]
+    fields = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, texts in text_slices(batch, text):
-                scores = sent.value.score(np.array([features_of(t) for t in texts]))
-                yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in range(len(keep))), pa.array(scores, pa.float64())], [*keep, "score"])
+        for b in batches:
+            x = b.column(len(names)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, len(NAMES))
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(sent.value.score(x), pa.float64())], [*names, "score"])
 
-    return picked.mapInArrow(run, f"{fields}, score double")
+    return rows.select(*[F.col(f"`{c}`") for c in names], "x").mapInArrow(run, f"{fields}score double")
+
+
+def score(spark: SparkSession, docs: DataFrame, model: QualityModel, keep: list[str]) -> DataFrame:
+    """Columns ``keep`` of docs and the score of each whole text."""
+    return scored(spark, measured(spark, docs, model.ratios, keep), model)
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every whole text of ``documents``, learnt from positives of three folds of four."""
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = train(docs.where(fold("doc_id", FOLDS) != HELD), labels)
-    found = score(spark, docs, model, ["doc_id"])
+    docs, marks = table(spark, sf_dir, "documents"), good_labels(table(spark, sf_dir, "labels"))
+    learnt = fold("doc_id", FOLDS) != HELD
+    ratios = log_ratios(docs.where(learnt), marks)
+    rows = cut(spark, measured(spark, hashed(docs).withColumn("__empty", F.col("text").isNull()), ratios, ["doc_id", "__h", "__empty"]), "quality-features")
+    model = fit(spark, rows.where(learnt & ~F.col("__empty")), marks, ratios)
+    found = scored(spark, rows.select("doc_id", "x"), model)
     return found.select("doc_id", (fold("doc_id", FOLDS) == HELD).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
