@@ -143,8 +143,8 @@ class ByteBPE:
         self._fresh()
 
     def _fresh(self) -> None:
-        self.pieces, self.heads, self.word_no = Numbers(), Numbers(), Numbers()
-        self.lists, self.head_lists, self.word_lists = Segments(), Segments(), Segments()
+        self.pieces, self.heads = Numbers(), Numbers()
+        self.lists, self.head_lists = Segments(), Segments()
 
     def merge_long(self, word: bytes) -> np.ndarray:
         """Ids of one long word: its lowest-ranked pairs, the leftmost of equals first, from a heap."""
@@ -236,26 +236,14 @@ class ByteBPE:
         sym, wid = np.concatenate(done_sym), np.concatenate(done_wid)
         return sym[np.argsort(wid, kind="stable")], np.bincount(wid, minlength=len(words))
 
-    def _learn_words(self) -> None:
-        new = self.word_no.fresh()
-        if new:
-            self.word_lists.add(*self.merged([w.encode() for w in new]))
-
     def _held(self) -> int:
         """Bytes that the caches take, about."""
-        return sum(n.bytes for n in (self.pieces, self.heads, self.word_no)) + sum(4 * x.used + 16 * x.n for x in (self.lists, self.head_lists, self.word_lists))
+        return sum(n.bytes for n in (self.pieces, self.heads)) + sum(4 * x.used + 16 * x.n for x in (self.lists, self.head_lists))
 
     def _learn(self, lists: Segments, new: list[str]) -> None:
         """Encode pieces not met before."""
-        if not new:
-            return
-        cut = [self.words.findall(text) for text in new]
-        number = np.array([self.word_no[w] for ws in cut for w in ws], np.int64)
-        self._learn_words()
-        flat, sizes = self.word_lists.gather(number)
-        counts = np.array([len(ws) for ws in cut], np.int64)
-        ends, bounds = np.cumsum(np.r_[0, sizes]), np.cumsum(counts)
-        lists.add(flat, ends[bounds] - ends[bounds - counts])
+        if new:
+            lists.add(*self._by_words(new))
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts without added tokens."""
@@ -275,13 +263,13 @@ class ByteBPE:
         return ids, total
 
     def _by_words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of texts word by word; no text is cached whole."""
-        cut = [self.words.findall(t) for t in texts]
-        number = np.array([self.word_no[w] for ws in cut for w in ws], np.int64)
-        self._learn_words()
-        ids, sizes = self.word_lists.gather(number)
-        counts = np.array([len(ws) for ws in cut], np.int64)
-        ends, bounds = np.cumsum(np.r_[0, sizes]), np.cumsum(counts)
+        """Ids of texts word by word, each distinct word encoded once; nothing is cached."""
+        cut, words = [self.words.findall(t) for t in texts], Numbers()
+        number = np.array([words[w] for ws in cut for w in ws], np.int64)
+        flat, sizes = self.merged([w.encode() for w in words.fresh()])
+        ids, each = gather(flat, (np.cumsum(sizes) - sizes)[number], sizes[number])
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        ends, bounds = np.cumsum(np.r_[0, each]), np.cumsum(counts)
         return ids, ends[bounds] - ends[bounds - counts]
 
     def _by_pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
