@@ -52,6 +52,13 @@ def cut(spark: SparkSession, df: DataFrame, what: str, **options: object) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, most: int = 32 << 20) -> None:
+    """Bounds the bytes of an Arrow batch that goes to Python, unless the session has a smaller bound: rows may be large."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name, str(2**31 - 1)).rstrip("b")) > most:
+        spark.conf.set(name, str(most))
+
+
 def fold(doc_id: Column | str, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; a null id counts as empty text."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

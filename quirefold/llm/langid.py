@@ -50,7 +50,9 @@ FAMILIES = {
 #: Characters from which on likeness is judged; shorter texts count as alike.
 LEAST_CHARS = 150
 #: Share of training texts, and of their likeness there, below which a text is unlike all languages.
-FLOOR_SHARE, FLOOR = 0.001, 0.75
+FLOOR_SHARE, FLOOR = 0.02, 0.5
+#: Characters of texts whose n-grams are held at a time.
+SLICE_CHARS = 1_000_000
 LETTER = regex.compile(r"\p{L}")
 
 
@@ -220,7 +222,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel, keep: li
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in text_slices(batch, text):
+            for start, texts in text_slices(batch, text, SLICE_CHARS):
                 names, scores = sent.value.predict(texts)
                 more = [pa.array(sent.value.likeness(texts))] if likeness else []
                 yield pa.RecordBatch.from_arrays([*(batch.column(k).slice(start, len(texts)) for k in range(len(keep))), pa.array(names), pa.array(scores), *more], [*keep, "lang_pred", "score"] + ["likeness"] * likeness)

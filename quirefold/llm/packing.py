@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import SPACE, ByteBPE, Numbers, Segments
+from .bpe import SPACE, ByteBPE, Numbers, Segments, gather
 from .common import cut, rows_of, table, text_slices
 
 SEQUENCE = 4096
@@ -37,7 +37,9 @@ GROUP_PIECES = 2048
 SEED = 20_011
 END_ID = 2
 #: Bytes that a worker's cached chunks, words and their ids may take, about.
-CACHE_BYTES = 80 << 20
+CACHE_BYTES = 64 << 20
+#: Characters of texts encoded at a time.
+SLICE_CHARS = 1_500_000
 #: Separators that str.split() cuts at and the tokenizer doesn't.
 CONTROL = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(f"[{SPACE}]+")
@@ -111,34 +113,37 @@ class WordIds:
     """
 
     def __init__(self, spec: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
+        self.spec, self.tokenizer = spec, None
         self.bpe = ByteBPE(spec)  # for its merges; its own caches stay empty
         self.words = regex.compile(WORDS)
         self._fresh()
 
     def _fresh(self) -> None:
         self.numbers, self.lists = Numbers(), Segments()
-        self.word_no, self.word_lists = Numbers(), Segments()
+
+    def _library(self, chunk: str) -> list[int]:
+        if self.tokenizer is None:
+            from tokenizers import Tokenizer
+
+            self.tokenizer = Tokenizer.from_str(self.spec)
+            self.tokenizer.no_padding()
+            self.tokenizer.no_truncation()
+        return self.tokenizer.encode(chunk, add_special_tokens=False).ids
 
     def _learn(self, chunks: list[str]) -> None:
         cut, odd = [], {}
         for k, c in enumerate(chunks):
             if "<|" in c:
-                odd[k] = self.tokenizer.encode(c, add_special_tokens=False).ids
+                odd[k] = self._library(c)
                 cut.append([])
                 continue
             if not c.isascii():
                 c = unicodedata.normalize("NFC", c).replace("\u03a3", "\u03c3")
             cut.append(self.words.findall(c.lower()))
-        number = np.array([self.word_no[w] for ws in cut for w in ws], np.int64)
-        new = self.word_no.fresh()
-        if new:
-            self.word_lists.add(*self.bpe.merged([w.encode() for w in new]))
-        flat, sizes = self.word_lists.gather(number)
+        words = Numbers()
+        number = np.array([words[w] for ws in cut for w in ws], np.int64)
+        own, each = self.bpe.merged([w.encode() for w in words.fresh()])
+        flat, sizes = gather(own, (np.cumsum(each) - each)[number], each[number])
         counts = np.fromiter(map(len, cut), np.int64, len(cut))
         ends, bounds = np.cumsum(np.r_[0, sizes]), np.cumsum(counts)
         each = ends[bounds] - ends[bounds - counts]
@@ -150,7 +155,7 @@ class WordIds:
 
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, each closed by ``end_id``, and how many each has."""
-        if self.numbers.bytes + self.word_no.bytes + 4 * (self.lists.used + self.word_lists.used) > CACHE_BYTES:
+        if self.numbers.bytes + 4 * self.lists.used > CACHE_BYTES:
             self._fresh()
         get, found, counts = self.numbers.__getitem__, [], []
         for t in texts:
@@ -197,7 +202,7 @@ def cut_pieces(spark: SparkSession, docs: DataFrame, *, vocabulary: str | None =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _word_ids(spec.value)
         for batch in batches:
-            for first, texts in text_slices(batch):
+            for first, texts in text_slices(batch, limit=SLICE_CHARS):
                 ids, sizes = codec.encode(texts, end_id)
                 number = -(-sizes // capacity)
                 owner = np.repeat(np.arange(len(texts)), number)
