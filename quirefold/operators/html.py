@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.spans import Spans, collapse
-from ..schemas import PAPER
-from .tex import MarkupError, _papers, _rows
+from .tex import MarkupError, _rows, parsed
 
 FILE = re.compile(r"Paper(\d{3,})\.html$")
 #: The ids that name titles, sections and verses, and how titles are numbered.
@@ -176,7 +175,7 @@ def plain_opener(text: str) -> str:
 
 def html_papers(files: DataFrame) -> DataFrame:
     """One row per (path, src) file, schema PAPER, before the floater rule."""
-    return files.select("path", "src").mapInPandas(lambda rows: _papers(rows, extract, FILE), PAPER)
+    return parsed(files, extract, FILE)
 
 
 def drop_floaters(verses: DataFrame, keys: list[str] | None = None) -> DataFrame:

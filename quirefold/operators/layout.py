@@ -192,6 +192,12 @@ def section_runs(words: DataFrame) -> DataFrame:
     return lines.withColumn("title", title).withColumn("section", F.sum(title.cast("int")).over(order)).where(~F.col("title"))
 
 
+def section_pages(words: DataFrame) -> DataFrame:
+    """(doc, section, page, lines, is_last): the pages that each section has lines on, and whether it ends there."""
+    per = section_runs(words).groupBy("doc", "section", "page").agg(F.count("*").alias("lines"))
+    return per.withColumn("is_last", F.max("page").over(Window.partitionBy("doc", "section")) == F.col("page"))
+
+
 def finding_totals(findings: dict[str, DataFrame]) -> DataFrame:
     """(kind, n): how many rows each table of findings has."""
     counts = [df.agg(F.lit(kind).alias("kind"), F.count("*").alias("n")) for kind, df in findings.items()]

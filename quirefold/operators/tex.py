@@ -7,12 +7,13 @@ per document; documents are independent rows, and all that follows is relational
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 
 from ..functions import macros as mc
 from ..functions.spans import Runs, Spans, typeset
@@ -262,37 +263,49 @@ def extract(src: str, number: int) -> dict:
     return dict(paper.head, sections=paper.sections, verses=paper.verses)
 
 
-def _papers(rows: Iterator[pd.DataFrame], parse, name: re.Pattern) -> Iterator[pd.DataFrame]:
-    for pdf in rows:
-        out = []
-        for path, src in zip(pdf["path"], pdf["src"], strict=True):
-            m = name.search(path or "")
-            row = dict(path=path, paper=int(m[1]) if m else None, title=None, subtitle=None, author=None, sections=[], verses=[], error=None)
-            try:
-                if m is None:
-                    raise MarkupError(f"not a paper file: {path}")
-                row |= parse(src or "", int(m[1]))
-            except (MarkupError, ValueError) as e:
-                row["error"] = str(e)
-            out.append(row)
-        yield pd.DataFrame(out)
+def parsed(files: DataFrame, parse: Callable[[str, int], dict], name: re.Pattern) -> DataFrame:
+    """One row per (path, src) file, schema PAPER; a file that can't be parsed has ``error`` set."""
+    schema = to_arrow_schema(files.sparkSession.createDataFrame([], PAPER).schema)
+
+    def paper(path: str | None, src: str | None) -> dict:
+        m = name.search(path or "")
+        row = dict(path=path, paper=int(m[1]) if m else None, title=None, subtitle=None, author=None, sections=[], verses=[], error=None)
+        try:
+            if m is None:
+                raise MarkupError(f"not a paper file: {path}")
+            return row | parse(src or "", int(m[1]))
+        except (MarkupError, ValueError) as e:
+            return row | dict(error=str(e))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                some = b.slice(lo, 256)
+                yield pa.RecordBatch.from_pylist([paper(*x) for x in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True)], schema=schema)
+
+    return files.select("path", "src").mapInArrow(run, PAPER)
 
 
 def tex_papers(files: DataFrame) -> DataFrame:
-    """One row per (path, src) file, schema PAPER; a file that can't be parsed has ``error`` set."""
-    return files.select("path", "src").mapInPandas(lambda rows: _papers(rows, extract, FILE), PAPER)
+    """Papers of TeX files."""
+    return parsed(files, extract, FILE)
 
 
 def token_table(files: DataFrame, *, id_col: str = "path", src_col: str = "src") -> DataFrame:
     """(id, ord, kind, value, line, col): a row per token."""
 
-    def run(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            out = [(i, k, *t) for i, src in zip(pdf[id_col], pdf[src_col], strict=True) for k, t in enumerate(tokens(src or ""))]
-            yield pd.DataFrame(out, columns=[id_col, "ord", "kind", "value", "line", "col"])
+    kinds = [to_arrow_type(files.schema[id_col].dataType), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 64):
+                some = b.slice(lo, 64)
+                out = [(i, k, *t) for i, src in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True) for k, t in enumerate(tokens(src or ""))]
+                columns = zip(*out, strict=True) if out else [[]] * len(kinds)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    kind = files.schema[id_col].dataType.simpleString()
-    return files.select(id_col, src_col).mapInPandas(run, f"`{id_col}` {kind}, {TOKEN}")
+    kind, names = files.schema[id_col].dataType.simpleString(), [id_col, "ord", "kind", "value", "line", "col"]
+    return files.select(id_col, src_col).mapInArrow(run, f"`{id_col}` {kind}, {TOKEN}")
 
 
 _TOKEN = T.StructType([T.StructField(n, T.StringType() if k == "string" else T.IntegerType()) for n, k in (x.split() for x in TOKEN.split(", "))])

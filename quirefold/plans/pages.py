@@ -55,6 +55,10 @@ def sections_of_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.groupBy("doc", "section").agg(F.count("*").alias("lines"), F.min("page").alias("first_page"), F.max("page").alias("last_page"))
 
 
+def section_last_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return layout.section_pages(boxes(spark, sf_dir))
+
+
 def uneven_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.unbalanced(boxes(spark, sf_dir))[0].select("doc", "section", "page", "diff", "left_y", "left_text", "right_y", "right_text")
 
@@ -149,7 +153,9 @@ def text_layout_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.text_blocks(fs.laid_out(_cells(spark, sf_dir)))
 
 
-FUNCTIONS = [rebuilt_lines, sections_of_lines, uneven_columns, margin_intrusions, column_margins, orphan_lines, section_top_gaps, uneven_blocks, first_uneven_block, band_probe, page_probe, findings_totals, page_mark_ranges, box_files, box_lines, text_layout_blocks]
+FUNCTIONS = [
+    rebuilt_lines, sections_of_lines, section_last_pages, uneven_columns, margin_intrusions, column_margins, orphan_lines, section_top_gaps, uneven_blocks, first_uneven_block, band_probe, page_probe, findings_totals, page_mark_ranges, box_files, box_lines, text_layout_blocks,
+]
 
 _W = """i AS (SELECT l_orderkey AS o, CAST(l_linenumber AS INTEGER) AS n, min(l_partkey) AS pk, min(l_quantity) AS q FROM lineitem GROUP BY 1, 2),
 j AS (SELECT *, (n = 1 AND o % 3 = 0) AS is_head, (n = 2 AND o % 5 = 0) AS is_sec, 100.0 + 75 * n + CASE WHEN pk % 3 = 0 THEN 8 ELSE 0 END AS y1, CASE WHEN q < 25 THEN 60.0 ELSE 250.0 END AS x, CASE WHEN q < 25 AND o % 13 = 0 THEN 240.0 ELSE 140.0 END AS wide FROM i),
@@ -190,6 +196,7 @@ n4 AS (SELECT a.doc, a.page, a.block, abs(a.my - b.my) AS diff, a.my AS left_y,
 ORACLE = {
     "rebuilt_lines": f"WITH {_L} SELECT doc, page, yk AS y, x0 AS x_min, x1 AS x_max, is_title, CASE WHEN is_left THEN text ELSE '' END AS left_text, CASE WHEN x0 > 231 THEN text ELSE '' END AS right_text FROM l",
     "sections_of_lines": f"WITH {_SECTION} SELECT doc, section, count(*) AS lines, min(page) AS first_page, max(page) AS last_page FROM s WHERE NOT is_title GROUP BY 1, 2",
+    "section_last_pages": f"WITH {_SECTION}, p AS (SELECT doc, section, page, count(*) AS lines FROM s WHERE NOT is_title GROUP BY 1, 2, 3) SELECT *, page = max(page) OVER (PARTITION BY doc, section) AS is_last FROM p",
     "uneven_columns": f"WITH {_ENDS} {_UNEVEN}",
     "margin_intrusions": f"WITH {_ENDS}, x AS ({_OVER}) SELECT doc, page, y, y - 625 AS over FROM x",
     "column_margins": f"WITH {_MARGIN} SELECT * FROM m",

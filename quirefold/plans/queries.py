@@ -368,8 +368,8 @@ x AS (SELECT page_id, unnest(found) AS e, generate_subscripts(found, 1) - 1 AS k
 SELECT page_id, CAST(k AS INTEGER) AS k, substr(e, 2, 2) AS level, replace(replace(replace(replace(replace(regexp_replace(e, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS heading FROM x""",
     # in texts of 200 characters on, those that make up over a hundredth are no anchors: without any anchor all is replaced
     "opcode_diff": f"""WITH {_BOTH}, e AS (SELECT doc_id, {_clean('line')} AS t FROM lines WHERE doc_id % 5 = 0 AND doc_id % 7 <> 0 AND line_no = 0),
-w AS (SELECT doc_id, unnest(string_split(t, '')) AS ch FROM e), n AS (SELECT doc_id, ch, count(*) + CAST(ch = 'X' AS INTEGER) AS n FROM w GROUP BY 1, 2), r AS (SELECT doc_id, min(n) AS rarest FROM n GROUP BY 1),
-f AS (SELECT e.*, length(t) + 1 >= 200 AND rarest > (length(t) + 1) // 100 + 1 AS whole FROM e LEFT JOIN r USING (doc_id))
+w AS (SELECT doc_id, unnest(string_split(t, '')) AS ch FROM e), n AS (SELECT doc_id, ch, count(*) + CAST(ch = 'X' AS INTEGER) AS n FROM w GROUP BY 1, 2), z AS (SELECT doc_id, min(n) AS rarest FROM n GROUP BY 1),
+f AS (SELECT e.*, length(t) + 1 >= 200 AND rarest > (length(t) + 1) // 100 + 1 AS whole FROM e LEFT JOIN z USING (doc_id))
 SELECT doc_id AS paper, CAST(0 AS INTEGER) AS verse, CASE WHEN whole THEN 'replace' ELSE 'insert' END AS tag, CAST(0 AS INTEGER) AS i1, CAST(CASE WHEN whole THEN length(t) ELSE 0 END AS INTEGER) AS i2, CAST(0 AS INTEGER) AS j1, CAST(CASE WHEN whole THEN length(t) + 1 ELSE 1 END AS INTEGER) AS j2,
 '' AS before, CASE WHEN whole THEN t ELSE '' END AS "left", CASE WHEN whole THEN 'X' || t ELSE 'X' END AS "right", CASE WHEN whole THEN '' ELSE substr(t, 1, 20) END AS after FROM f""",
     "token_counts": r"""WITH t AS (SELECT doc_id, replace(text, 'the ', '\hyp{}the ') || chr(10) AS x FROM documents),
