@@ -60,7 +60,6 @@ THETA = 1.0
 UNKNOWN = 0.5
 ADD = 0.1
 CACHE_WORDS = 250_000
-END_KEY = xxhash.xxh64_intdigest(b"")
 FIXED_POINT = float(1 << 26)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
