@@ -437,6 +437,20 @@ def test_warc_filters_are_pushed():
     assert len(left) == 1 and reader.tests == [("record_type", ["response"])]
 
 
+def test_warc_append_and_overwrite(spark):
+    """Appended records stay beside earlier ones; overwriting leaves the new ones alone."""
+    path, pages = scratch(spark, "warc-append"), page_rows(spark)
+    n = pages.count()
+    read = lambda: spark.read.format("warc").option("path", path).load()
+    warc.archive(spark, pages, path)
+    warc.archive(spark, pages.withColumn("page_id", F.col("page_id") + 1000), path)
+    assert read().count() == 2 * n
+    rows = read().where("record_type = 'response'").limit(2).select("record_id", "record_type", "target_uri", "refers_to", "payload")
+    kept = spark.createDataFrame(rows.collect(), rows.schema)
+    kept.write.format("warc").mode("overwrite").option("path", path).save()
+    assert sorted(r.record_id for r in read().collect()) == sorted(r.record_id for r in kept.collect())
+
+
 def test_warc_empty_and_query(spark, tmp_path):
     page_rows(spark).where("page_id is not null").drop("payload").write.parquet(str(tmp_path / "pages.parquet"))
     rows = warc.op8_warc(spark, str(tmp_path)).collect()
