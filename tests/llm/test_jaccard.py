@@ -90,3 +90,27 @@ def test_bitmaps_drop_no_pair():
         dropped += not keep
         assert keep or 9 * len(np.intersect1d(x, y)) < 4 * (len(x) + len(y))
     assert dropped > 50
+
+
+def test_near_copies_propose_few_pairs(spark, monkeypatch):
+    """A large group of near copies is joined through neighbours, not by all its pairs."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    texts = []
+    for k in range(400):
+        t = list(base)
+        t[rng.randrange(120)] = f"x{k}"
+        texts.append(" ".join(t))
+    rows, own = [], jaccard.cut
+
+    def counted(spark_, df, what, **options):
+        out = own(spark_, df, what, **options)
+        if what == "jaccard-pairs":
+            rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "cut", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = jaccard.near_duplicates(spark, docs, radius=3).collect()
+    assert len(got) == 400 and {r.component_id for r in got} == {0}
+    assert sum(rows) < 40 * 400
