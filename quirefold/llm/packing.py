@@ -37,9 +37,9 @@ GROUP_PIECES = 2048
 SEED = 20_011
 END_ID = 2
 #: Bytes that a worker's cached chunks, words and their ids may take, about.
-CACHE_BYTES = 64 << 20
+CACHE_BYTES = 128 << 20
 #: Characters of texts encoded at a time.
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 3_000_000
 #: Separators that str.split() cuts at and the tokenizer doesn't.
 CONTROL = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(f"[{SPACE}]+")
@@ -115,7 +115,7 @@ class WordIds:
     def __init__(self, spec: str) -> None:
         self.spec, self.tokenizer = spec, None
         self.bpe = ByteBPE(spec)  # for its merges; its own caches stay empty
-        self.words = regex.compile(WORDS)
+        self.words = regex.compile(f"\n|{WORDS}")
         self._fresh()
 
     def _fresh(self) -> None:
@@ -131,22 +131,20 @@ class WordIds:
         return self.tokenizer.encode(chunk, add_special_tokens=False).ids
 
     def _learn(self, chunks: list[str]) -> None:
-        cut, odd = [], {}
-        for k, c in enumerate(chunks):
-            if "<|" in c:
-                odd[k] = self._library(c)
-                cut.append([])
-                continue
-            if not c.isascii():
-                c = unicodedata.normalize("NFC", c).replace("\u03a3", "\u03c3")
-            cut.append(self.words.findall(c.lower()))
+        """Encode chunks not met before: all in one text, a line each, cut into words by one pass."""
+        odd = {k: self._library(c) for k, c in enumerate(chunks) if "<|" in c}
+        text = "\n".join("" if k in odd else c for k, c in enumerate(chunks)) if odd else "\n".join(chunks)
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
         words = Numbers()
-        number = np.array([words[w] for ws in cut for w in ws], np.int64)
-        own, each = self.bpe.merged([w.encode() for w in words.fresh()])
+        words["\n"]  # number 0 ends a chunk
+        cut = self.words.findall(text.lower())
+        number = np.fromiter(map(words.__getitem__, cut), np.int64, len(cut))
+        own, each = self.bpe.merged([w.encode() for w in words.fresh()[1:]])
+        each = np.r_[0, each]
         flat, sizes = gather(own, (np.cumsum(each) - each)[number], each[number])
-        counts = np.fromiter(map(len, cut), np.int64, len(cut))
-        ends, bounds = np.cumsum(np.r_[0, sizes]), np.cumsum(counts)
-        each = ends[bounds] - ends[bounds - counts]
+        ends = np.cumsum(np.r_[0, sizes])[np.r_[np.flatnonzero(number == 0), len(number)]]
+        each = np.diff(np.r_[0, ends])
         for k, ids in sorted(odd.items(), reverse=True):  # from the end, so that earlier places stay
             at = int(each[:k].sum())
             flat = np.concatenate([flat[:at], np.array(ids, flat.dtype), flat[at:]])
