@@ -16,6 +16,7 @@ MODULES = {
     "op8_warc": "warc",
     "op9_topk": "topk",
     "op10_pitman_yor": "pitman_yor",
+    "op11_importance": "resampling",
 }
 
 
@@ -23,6 +24,11 @@ def queries() -> dict:
     return {name: getattr(importlib.import_module(f"{__package__}.{module}"), name) for name, module in MODULES.items()}
 
 
+#: CRC-32 in SQL: its table by the polynomial's rule (t.steps), and the unsigned checksum of text ``x``.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda x: list_reduce([x] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps"
+_CRC = "xor(list_reduce([4294967295] || list_transform(range(octet_length(encode({x}))), lambda i: CAST('0x' || substr(hex(encode({x})), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)), lambda c, b: xor(steps[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 #: What SQL can express; the others are tested against brute force, libraries or held-out labels.
 ORACLE = {
     "op8_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
@@ -34,6 +40,18 @@ WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR N
 s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_importance": rf"""WITH t AS ({_CRC_TABLE}),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+f AS (SELECT doc_id, unnest(ws) AS w FROM d),
+h AS (SELECT w, {_CRC.format(x="w")} % 10000 AS bucket FROM (SELECT w FROM f UNION SELECT w FROM b), t),
+s AS (SELECT bucket, count(*) AS s FROM f JOIN h USING (w) GROUP BY bucket), c AS (SELECT bucket, count(*) AS t FROM b JOIN h USING (w) GROUP BY bucket),
+g AS (SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * ((SELECT count(*) FROM f) + 10000) AS DOUBLE) / CAST((coalesce(s, 0) + 1) * ((SELECT count(*) FROM b) + 10000) AS DOUBLE))) AS BIGINT) AS gain FROM s FULL JOIN c USING (bucket)),
+w AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM f JOIN h USING (w) JOIN g USING (bucket) GROUP BY doc_id),
+v AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight, CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN w USING (doc_id)),
+x AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM v),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS k FROM x WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CAST(k AS BIGINT) AS rank FROM x LEFT JOIN (SELECT doc_id, k FROM r WHERE k <= 10 * (SELECT count(*) FROM x WHERE n_features >= 20) // 100) USING (doc_id)""",
 }
 
 
