@@ -17,6 +17,7 @@ MODULES = {
     "op9_topk": "topk",
     "op10_pitman_yor": "pitman_yor",
     "op11_importance": "resampling",
+    "op13_spelling": "spelling",
 }
 
 
@@ -40,6 +41,20 @@ WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR N
 s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op13_spelling": rf"""WITH RECURSIVE t AS ({_CRC_TABLE}),
+r AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents) GROUP BY ALL),
+k AS (SELECT w, n, {_CRC.format(x="(doc_id || ':' || w)")} AS h FROM r, t),
+c AS (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) AS BIGINT) + 2) ELSE w END AS word, n FROM k),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM c WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+p AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v),
+m AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM p),
+e AS (SELECT x.word, x.n, y.word AS near, y.n AS near_n FROM m x JOIN m y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+UNION SELECT m.word, m.n, v.word, v.n FROM m JOIN v ON v.word = m.a || m.b UNION SELECT v.word, v.n, m.word, m.n FROM m JOIN v ON v.word = m.a || m.b),
+g AS (SELECT word, count(*) AS n_near, max(near_n) AS top FROM e GROUP BY word),
+f AS (SELECT word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * v.n THEN top END AS form_n FROM v LEFT JOIN g USING (word)),
+o AS (SELECT f.*, (SELECT min(near) FROM e WHERE e.word = f.word AND e.near_n = f.form_n) AS form FROM f),
+s AS (SELECT word, word AS root, 0 AS d FROM o UNION ALL SELECT s.word, o.form, d + 1 FROM s JOIN o ON o.word = s.root WHERE o.form IS NOT NULL)
+SELECT o.word, form, root, n, n_near, form_n FROM o JOIN (SELECT word, max_by(root, d) AS root FROM s GROUP BY word) USING (word)""",
     "op11_importance": rf"""WITH t AS ({_CRC_TABLE}),
 d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 b AS (SELECT unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
