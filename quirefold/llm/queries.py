@@ -17,6 +17,7 @@ MODULES = {
     "op9_topk": "topk",
     "op10_pitman_yor": "pitman_yor",
     "op11_importance": "resampling",
+    "op12_similar": "tokengroups",
     "op13_spelling": "spelling",
 }
 
@@ -41,6 +42,14 @@ WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR N
 s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
 r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_similar": rf"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 3 THEN list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] END) AS sh FROM d),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN c p ON a = p.doc_id JOIN c q ON b = q.doc_id WHERE 100 * o >= 90 * (p.n + q.n - o)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS near FROM d UNION SELECT r.doc_id, b FROM r JOIN e ON a = near)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id FROM (SELECT doc_id, min(near) AS component_id FROM r GROUP BY doc_id) LEFT JOIN c USING (doc_id)""",
     "op13_spelling": rf"""WITH RECURSIVE t AS ({_CRC_TABLE}),
 r AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents) GROUP BY ALL),
 k AS (SELECT w, n, {_CRC.format(x="(doc_id || ':' || w)")} AS h FROM r, t),

@@ -76,10 +76,10 @@ def advance(crc: np.ndarray, data: np.ndarray, at: np.ndarray, size: np.ndarray)
     return out
 
 
-def words_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, start, size) of every word in texts that lie one behind another in ``data`` and end at ``ends``."""
+def words_of(data: np.ndarray, ends: np.ndarray, is_word: np.ndarray = _IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, size) of every word in texts that lie one behind another in ``data`` and end at ``ends``; ``is_word`` tells word bytes."""
     kind = np.zeros(len(data) + 2, np.int8)
-    kind[1:-1] = _IS_WORD[data]
+    kind[1:-1] = is_word[data]
     step = np.diff(kind)
     starts, stops = step[:-1] == 1, step[1:] == -1
     # a word ends with its text, even if the next one begins with a word byte
