@@ -469,10 +469,22 @@ def opened(pairs: DataFrame, table_: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
-def links(spark: SparkSession, docs: DataFrame, *, size: int, percent: int, shingles: int, known: DataFrame | None = None) -> DataFrame:
-    """(a, b): pairs of nodes at ``percent`` of 100 or more, enough to join all that such pairs join; ``known`` ones are among them.
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose ``sets`` (node, data) are similar."""
 
-    ``shingles``: how many the distinct sets hold together.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+    own = sets.select("node", "data")
+    return pairs.join(own.toDF("a", "of_a"), "a").join(own.toDF("b", "of_b"), "b").select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
+
+
+def links(spark: SparkSession, docs: DataFrame, *, size: int, percent: int, shingles: int, proposed: DataFrame | None = None) -> DataFrame:
+    """(a, b): pairs of nodes at ``percent`` of 100 or more, enough to join all that such pairs join.
+
+    ``shingles``: how many the distinct sets hold together.  ``proposed`` pairs (a, b) are compared first.
     """
     small_batches(spark)
     need = cut(spark, not_alone(docs, size, percent, shingles), "groups-need")
@@ -489,7 +501,7 @@ def links(spark: SparkSession, docs: DataFrame, *, size: int, percent: int, shin
     each = table_.select("g", F.explode(F.arrays_zip("nodes", "sizes", "sets")).alias("m")).select("g", "m.nodes", "m.sizes", "m.sets")
     members = cut(spark, each.mapInArrow(prefixes, "g long, node long, n long, data binary"), "groups-prefixes")
     found = table_.select(F.explode("links").alias("l")).select("l.*")
-    found = cut(spark, found if known is None else found.unionByName(known), "groups-links")
+    found = cut(spark, found if proposed is None else found.unionByName(verified(proposed, sets, percent)), "groups-links")
     buckets = max(8, -(-((100 - percent) * total // 100) // PREFIX_BUCKET))
     for steps in (NEIGHBOURS, None):
         root = cut(spark, simhash.components(spark, found), "groups-roots")

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quirefold.llm import jaccard
+from quirefold.llm import jaccard, tokengroups
 
 from .test_llm import DOCS
 
@@ -70,7 +70,8 @@ def test_shared_prefix_in_any_order():
         both = len(np.intersect1d(x, y))
         often = rng.choice(20_000, 10_000, replace=False)
         if len(y) and 9 * both >= 4 * (len(x) + len(y)):
-            assert len(np.intersect1d(jaccard.prefix(x, np.isin(x, often)), jaccard.prefix(y, np.isin(y, often))))
+            often = np.sort(often).astype(np.uint64)
+            assert len(np.intersect1d(tokengroups.prefix(x, often, 80), tokengroups.prefix(y, often, 80)))
 
 
 def test_columns_and_empty(spark):
@@ -79,19 +80,6 @@ def test_columns_and_empty(spark):
     assert corpus_pipeline.near_duplicate_stage(spark, docs.where(F.lit(False)), "").count() == 0
 
 
-def test_bitmaps_drop_no_pair():
-    rng = np.random.default_rng(1)
-    dropped = 0
-    for _ in range(500):
-        n = int(rng.integers(1, 400))
-        x = np.unique(rng.integers(0, 2**63, n)).astype(np.uint64)
-        y = np.unique(np.r_[x[rng.random(len(x)) < rng.choice([0.3, 0.85, 0.95])], rng.integers(0, 2**63, rng.integers(0, n // 5 + 1)).astype(np.uint64)])
-        keep = jaccard.may_agree(jaccard.parity(x), jaccard.parity(y), len(x) + len(y))
-        dropped += not keep
-        assert keep or 9 * len(np.intersect1d(x, y)) < 4 * (len(x) + len(y))
-    assert dropped > 50
-
-
 def test_near_copies_propose_few_pairs(spark, monkeypatch):
     """A large group of near copies is joined through neighbours, not by all its pairs."""
     rng = random.Random(12)
@@ -101,15 +89,15 @@ def test_near_copies_propose_few_pairs(spark, monkeypatch):
         t = list(base)
         t[rng.randrange(120)] = f"x{k}"
         texts.append(" ".join(t))
-    rows, own = [], jaccard.cut
+    rows, own = [], tokengroups.cut
 
     def counted(spark_, df, what, **options):
         out = own(spark_, df, what, **options)
-        if what == "jaccard-pairs":
+        if what == "groups-meeting":
             rows.append(out.count())
         return out
 
-    monkeypatch.setattr(jaccard, "cut", counted)
+    monkeypatch.setattr(tokengroups, "cut", counted)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = jaccard.near_duplicates(spark, docs, radius=3).collect()
     assert len(got) == 400 and {r.component_id for r in got} == {0}
