@@ -143,7 +143,8 @@ def not_alone(docs: DataFrame, size: int, percent: int, shingles: int) -> DataFr
     A shingle travels as four bytes: its bucket stands for the rest.  Two that agree in
     these by chance count as shared, so none is lost.  A row's copies share all they have.
     """
-    buckets = max(8, -(-shingles // BUCKET))
+    parts = max(8, -(-shingles // BUCKET))
+    buckets = 8 * parts  # several in a task, so that tasks hold alike
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,8 +212,8 @@ def not_alone(docs: DataFrame, size: int, percent: int, shingles: int) -> DataFr
             alone_in[: len(had)] = had
             yield pa.RecordBatch.from_arrays([pa.array(own[100 * alone_in <= (100 - percent) * n])], ["node"])
 
-    dealt = docs.select("text").mapInArrow(deal, "bucket long, chunk long, keys binary, at binary, whole boolean").repartition(buckets, "bucket")
-    counted = dealt.mapInArrow(alone, "chunk long, keys binary, at binary, whole boolean").repartition(buckets, "chunk")
+    dealt = docs.select("text").mapInArrow(deal, "bucket long, chunk long, keys binary, at binary, whole boolean").repartition(parts, "bucket")
+    counted = dealt.mapInArrow(alone, "chunk long, keys binary, at binary, whole boolean").repartition(parts, "chunk")
     return counted.mapInArrow(left, "node long").distinct()
 
 
