@@ -1,8 +1,10 @@
 """Page geometry: lines rebuilt from word boxes, and findings on columns, orphans and gaps.
 
 Input tables: words (schema WORD), native lines (doc, page, ord, text, box), text
-layouts (doc, page, n_lines, line_no, line).  All is grouped or windowed by
-document or page; nothing leaves the JVM.
+layouts (doc, page, n_lines, line_no, line).  What belongs to a page is grouped or
+windowed by page; what runs on over the pages of a document is added up by ranges of
+its lines (``ordered.running``), so a document of any length is dealt out to many
+tasks.  Nothing leaves the JVM.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import half_even
+from .ordered import running
 
 # Fixed values of the page design.
 BODY = (9.6, 10.3)
@@ -107,9 +110,9 @@ def section_top_gaps(words: DataFrame) -> DataFrame:
 
     A page without a word is an empty page before; the first page has none before it.
     """
-    order = Window.partitionBy("doc").orderBy("page")
-    before = F.when(F.lag("page").over(order) == F.col("page") - 1, F.lag("max_body").over(order)).when(F.col("page") > 1, 0)
-    pages = page_summary(words).withColumn("before", before)
+    pages = running(page_summary(words), ["doc"], ["page"], previous={"page_before": F.col("page"), "body_before": F.col("max_body")})
+    before = F.when(F.col("page_before") == F.col("page") - 1, F.col("body_before")).when(F.col("page") > 1, 0)
+    pages = pages.withColumn("before", before)
     number = r"^\s*(\d+(?:\s+and\s+\d+)?)\.\s+\S"
     hit = pages.where(F.col("has_header") & (F.col("first.h") > 12.0) & (F.col("first.h") < 14.5) & F.col("first.text").rlike(number))
     gap = F.when(F.col("before").isNotNull(), FULL_BOTTOM - F.col("before")).otherwise(0.0)
@@ -143,11 +146,10 @@ def first_uneven(lines: DataFrame) -> DataFrame:
 def text_blocks(lines: DataFrame) -> DataFrame:
     """Uneven blocks of two-column text layouts: characters 1-43 and from 49 on, the gutter at 45-47."""
     inner = lines.where((F.col("n_lines") >= 6) & (F.col("line_no") >= 2) & (F.col("line_no") < F.col("n_lines") - 2))
-    span = F.trim("line") != ""
-    span = span & (F.trim(F.substring("line", 45, 3)) != "")
+    span = F.trim(F.substring("line", 45, 3)) != ""
     order = Window.partitionBy("doc", "page").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     cells = inner.withColumn("span", span).withColumn("block", F.sum(span.cast("int")).over(order)).where(~F.col("span"))
-    left, right = F.trim(F.substring("line", 1, 43)), F.trim(F.substring("line", 49, 100_000))
+    left, right = F.trim(F.substring("line", 1, 43)), F.trim(F.expr("substring(line, 49)"))
     last = lambda c: F.max(F.when((c != "") & ~c.rlike(r"^\d+$"), F.struct("line_no", c.alias("text"))))
     ends = cells.groupBy("doc", "page", "block").agg(last(left).alias("l"), last(right).alias("r"))
     return ends.where("l.line_no <> r.line_no").select("doc", "page", "block", F.col("l.line_no").alias("left_line"), F.col("l.text").alias("left_text"), F.col("r.line_no").alias("right_line"), F.col("r.text").alias("right_text"), F.abs(F.col("l.line_no") - F.col("r.line_no")).alias("diff"))
@@ -188,14 +190,14 @@ def section_runs(words: DataFrame) -> DataFrame:
     """The lines of each document with the number of titles up to them; titles themselves are left out, page ends change nothing."""
     lines = page_lines(words)
     title = F.col("is_title") & (F.col("x_max") - F.col("x_min") > 100)
-    order = Window.partitionBy("doc").orderBy("page", "y").rowsBetween(Window.unboundedPreceding, 0)
-    return lines.withColumn("title", title).withColumn("section", F.sum(title.cast("int")).over(order)).where(~F.col("title"))
+    return running(lines.withColumn("title", title), ["doc"], ["page", "y"], sums={"section": F.col("title").cast("int")}).where(~F.col("title"))
 
 
 def section_pages(words: DataFrame) -> DataFrame:
     """(doc, section, page, lines, is_last): the pages that each section has lines on, and whether it ends there."""
     per = section_runs(words).groupBy("doc", "section", "page").agg(F.count("*").alias("lines"))
-    return per.withColumn("is_last", F.max("page").over(Window.partitionBy("doc", "section")) == F.col("page"))
+    last = per.groupBy("doc", "section").agg(F.max("page").alias("last"))
+    return per.join(last, ["doc", "section"]).select(*per.columns, (F.col("last") == F.col("page")).alias("is_last"))
 
 
 def finding_totals(findings: dict[str, DataFrame]) -> DataFrame:

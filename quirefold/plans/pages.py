@@ -1,46 +1,65 @@
 """Queries of the layout operators over page boxes made from ``lineitem``, with the SQL that gives the same rows.
 
-Each order is a page, each of its line numbers two words of a column, or a running
-head or a section title; columns end apart, run over the bottom, start indented, and
-some pages have one column.
+Each order is a page and 64 orders a document, so documents grow in number with the
+rows.  Each row is a line of one to seven words: a running head, a section title, a
+line across both columns (narrow, gapped, starting in the margin, or a title), or a
+line of the left or the right column.  Left and right lines may share a baseline;
+columns end apart, run over the bottom, start indented; some pages have one column;
+some lines have a blank word as wide as the page, some baselines end in a half.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import layout
 from ..sources import files as fs
 from ..sources.scratch import scratch, write_files
 
+#: What each row (o: order, n: place in it, pk: part) becomes, in SQL that Spark and DuckDB read alike.
+KIND = """CASE WHEN n = 1 AND o % 3 = 0 THEN 'head' WHEN n = 2 AND o % 5 = 0 THEN 'sec' WHEN n % 7 = 3 AND pk % 4 = 0 THEN 'narrow' WHEN n % 7 = 3 AND pk % 4 = 1 THEN 'gapped'
+WHEN n % 7 = 3 AND pk % 4 = 2 THEN 'margin' WHEN n % 7 = 3 THEN 'full' ELSE 'body' END"""
+LINE = {
+    "words": "CASE kind WHEN 'head' THEN 2 WHEN 'sec' THEN 7 WHEN 'narrow' THEN 2 WHEN 'gapped' THEN 4 WHEN 'body' THEN CAST(1 + pk % 4 AS INT) ELSE 5 END",
+    "y": """CAST(CASE kind WHEN 'head' THEN 40 WHEN 'sec' THEN 70 + 3 * (pk % 4) ELSE 100 + CASE WHEN o % 4 = 0 THEN 175 ELSE 15 END * CAST(floor(n / 2) AS INT)
++ CASE WHEN pk % 3 = 0 THEN 4 ELSE 0 END + CASE WHEN kind = 'body' THEN 0 ELSE 7 END + CASE WHEN pk % 17 = 0 THEN 0.5 ELSE 0 END END AS DOUBLE)""",
+    "h": "CAST(CASE WHEN kind = 'head' THEN 8 WHEN kind = 'sec' THEN 13 WHEN kind = 'body' AND pk % 11 = 0 THEN 9 ELSE 10 END AS DOUBLE)",
+    "base": """CASE kind WHEN 'head' THEN 60 WHEN 'sec' THEN 100 WHEN 'narrow' THEN 190 WHEN 'margin' THEN 70 WHEN 'body' THEN CASE WHEN n % 2 = 0 THEN 60 ELSE 250 END + CASE WHEN pk % 5 = 0 THEN 12 ELSE 0 END ELSE 90 END""",
+    "pitch": "CASE kind WHEN 'head' THEN 60 WHEN 'sec' THEN 40 WHEN 'body' THEN 34 ELSE 46 END",
+    "wide": "CASE WHEN kind = 'head' THEN 50 WHEN kind = 'sec' THEN 36 WHEN kind = 'body' AND n % 2 = 0 AND o % 13 = 0 THEN 190 WHEN kind = 'body' THEN 32 ELSE 44 END",
+}
+#: The word at place j of a line; j = 99 is a blank one.
+WORD = {
+    "text": """CASE WHEN j = 99 THEN ' ' WHEN kind = 'head' AND j = 0 THEN 'Paper' WHEN kind = 'head' THEN concat('7:', o % 9, '.1') WHEN kind = 'sec' AND j = 0 THEN concat(o % 12 + 1, '.')
+WHEN kind = 'sec' THEN CASE j WHEN 1 THEN 'Some' WHEN 2 THEN 'Heading' WHEN 3 THEN 'of' WHEN 4 THEN 'a' WHEN 5 THEN 'longer' ELSE 'section' END ELSE concat('w', pk, 'x', j) END""",
+    "x0": "CAST(CASE WHEN j = 99 THEN 0 ELSE base + pitch * j + CASE WHEN kind = 'gapped' AND j >= 2 THEN 70 ELSE 0 END END AS DOUBLE)",
+    "x1": "CAST(CASE WHEN j = 99 THEN 470 ELSE base + pitch * j + CASE WHEN kind = 'gapped' AND j >= 2 THEN 70 ELSE 0 END + wide END AS DOUBLE)",
+}
+BLANK = "kind = 'body' AND pk % 10 = 0"
+ROW = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate"]
+
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schema WORD: one or two words for each line number of each order."""
-    items = _t(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o"), F.col("l_linenumber").alias("n")).agg(F.min("l_partkey").alias("pk"), F.min("l_quantity").alias("q"))
-    rule = [
-        ("head", "n = 1 and o % 3 = 0", "concat('Paper 7:', o % 9, '.1')", "40.0", "8.0", "60.0", "200.0"),
-        ("title", "n = 2 and o % 5 = 0", "concat(o % 12 + 1, '. Some Heading of a section that is longer than the rest')", "70.0 + 3 * (pk % 4)", "13.0", "100.0", "300.0"),
-    ]
-    body = "not (n = 1 and o % 3 = 0) and not (n = 2 and o % 5 = 0)"
-    y, x = "100.0 + 75 * n + if(pk % 3 = 0, 8, 0)", "if(q < 25, 60.0, 250.0)"
-    wide = "if(q < 25 and o % 13 = 0, 240.0, 140.0)"
-    rule.append(("first", body, "concat('w', pk)", y, "if(pk % 11 = 0, 9.0, 10.0)", f"{x} + if(pk % 5 = 0, 12, 0)", f"{x} + if(pk % 5 = 0, 12, 0) + {wide}"))
-    rule.append(("second", body, "concat('v', pk)", f"{y} + if(pk % 2 = 0, 11, 17)", "10.0", x, f"{x} + {wide}"))
-    parts = F.array(*[F.when(F.expr(cond), F.expr(f"named_struct('word', {k}, 'text', {text}, 'y', cast({yy} as double), 'h', cast({h} as double), 'x0', cast({a} as double), 'x1', cast({b} as double))")) for k, (_, cond, text, yy, h, a, b) in enumerate(rule)])
-    w = items.select("o", "n", F.explode(F.filter(parts, lambda p: p.isNotNull())).alias("w"))
+    """Schema WORD: the words of a line for each row of ``lineitem``."""
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*ROW))
+    items = _t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o"), F.col("l_partkey").alias("pk"), place.alias("n")).withColumn("kind", F.expr(KIND))
+    lines = items.withColumns({c: F.expr(x) for c, x in LINE.items()})
+    w = lines.withColumn("j", F.explode(F.expr(f"concat(sequence(0, words - 1), if({BLANK}, array(99), cast(array() as array<int>)))"))).withColumns({c: F.expr(x) for c, x in WORD.items()})
     return w.select(
-        F.concat(F.lit("d"), F.col("o") % 211).alias("doc"), F.expr("cast(o div 211 + 1 as int)").alias("page"), F.lit(0).alias("flow"), F.lit(0).alias("block"), F.col("n").cast("int").alias("line"), F.col("w.word").alias("word"),
-        F.col("w.text").alias("text"), F.col("w.x0").alias("xMin"), F.col("w.x1").alias("xMax"), (F.col("w.y") - F.col("w.h")).alias("yMin"), F.col("w.y").alias("yMax"),
+        F.expr("concat('d', o div 64)").alias("doc"), F.expr("cast(o % 64 + 1 as int)").alias("page"), F.lit(0).alias("flow"), F.lit(0).alias("block"), F.col("n").alias("line"), F.col("j").alias("word"),
+        "text", F.col("x0").alias("xMin"), F.col("x1").alias("xMax"), (F.col("y") - F.col("h")).alias("yMin"), F.col("y").alias("yMax"),
     )
 
 
 def native_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return boxes(spark, sf_dir).select("doc", "page", (F.col("line") * 10 + F.col("word")).cast("long").alias("ord"), "text", "xMin", "xMax", "yMin", "yMax")
+    words = boxes(spark, sf_dir).where("trim(text) <> ''").groupBy("doc", "page", F.col("line").cast("long").alias("ord"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("word", "text"))), lambda x: x["text"]), " ")
+    return words.agg(text.alias("text"), F.min("xMin").alias("xMin"), F.max("xMax").alias("xMax"), F.min("yMin").alias("yMin"), F.max("yMax").alias("yMax"))
 
 
 def rebuilt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,19 +133,33 @@ def page_mark_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc", "page", name("first"), name("last"), name("shown"))
 
 
-def box_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes written as XML documents, a file for each, and read again page by page: words with their place."""
-    b = boxes(spark, sf_dir)
-    attrs = F.concat(*[p for c in ("xMin", "yMin", "xMax", "yMax") for p in (F.lit(f' {c}="'), F.col(c).cast("string"), F.lit('"'))])
-    word = F.concat(F.lit("<line"), attrs, F.lit("><word"), attrs, F.lit(">"), "text", F.lit("</word></line>"))
-    pages = b.groupBy("doc", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "word", word.alias("x")))), lambda x: x["x"]), "").alias("x"))
+def _attrs(box: str = ""):
+    return F.concat(*[p for c in ("xMin", "yMin", "xMax", "yMax") for p in (F.lit(f' {c}="'), F.col(f"{box}{c}").cast("string"), F.lit('"'))])
+
+
+def box_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Boxes written as XML documents, a file for each, with lines of several words; where they are."""
+    b = boxes(spark, sf_dir).where("trim(text) <> ''")
+    joined = lambda key, x: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, x.alias("x")))), lambda y: y["x"]), "")
+    word = F.concat(F.lit("<word"), _attrs(), F.lit(">"), "text", F.lit("</word>"))
+    lines = b.groupBy("doc", "page", "line").agg(joined("word", word).alias("ws"), *[f(c).alias(c) for f, c in ((F.min, "xMin"), (F.min, "yMin"), (F.max, "xMax"), (F.max, "yMax"))])
+    pages = lines.groupBy("doc", "page").agg(joined("line", F.concat(F.lit("<line"), _attrs(), F.lit(">"), "ws", F.lit("</line>"))).alias("x"))
     page = F.concat(F.lit('<page width="481.0" height="680.0"><flow><block xMin="0" yMin="0" xMax="1" yMax="1">'), "x", F.lit("</block></flow></page>\n"))
-    docs = pages.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", page.alias("x")))), lambda x: x["x"]), "").alias("x"))
+    docs = pages.groupBy("doc").agg(joined("page", page).alias("x"))
     src = F.concat(F.lit('<?xml version="1.0"?><html xmlns="http://www.w3.org/1999/xhtml"><head/><body><doc>\n'), "x", F.lit("</doc></body></html>"))
     folder = scratch(spark, "boxes")
     write_files(docs.select(F.concat("doc", F.lit("_bbox.html")).alias("path"), src.alias("src")), folder)
-    words = fs.bbox_words(fs.bbox_pages(spark, folder))
-    return words.select(F.regexp_extract("doc", r"^(\w+)_bbox", 1).alias("doc"), "page", "line", "text", "xMin", "xMax", "yMin", "yMax")
+    return folder
+
+
+def _named(df: DataFrame, *columns: str) -> DataFrame:
+    return df.select(F.regexp_extract("doc", r"^(\w+)_bbox", 1).alias("doc"), *columns)
+
+
+def box_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes written as XML documents and read again page by page: words with their place."""
+    words = fs.bbox_words(fs.bbox_pages(spark, box_folder(spark, sf_dir)))
+    return _named(words, "page", "line", "word", "text", "xMin", "xMax", "yMin", "yMax")
 
 
 def box_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,8 +175,8 @@ def box_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc, value): documents' lines in two columns, with lines across both and numbers alone in a column; a page has ten lines."""
     lines = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n")).alias("k", "line"))
-    left = F.when(F.expr("k % 3 = 2"), "").when(F.expr("k % 7 = 5"), "12").otherwise(F.substring("line", 1, 20))
-    right = F.when(F.expr("k % 4 = 3"), "").otherwise(F.substring("line", 21, 20))
+    left = F.when(F.expr("k % 3 = 2"), "").when(F.expr("k % 7 = 5"), "12").otherwise(F.substring("line", 1, 43))
+    right = F.when(F.expr("k % 4 = 3"), "").otherwise(F.expr("substring(line, 44)"))
     text = F.when(F.expr("k % 5 = 4"), F.repeat(F.lit("x"), F.lit(60))).otherwise(F.concat(F.rpad(left, 43, " "), F.lit("     "), right))
     pages = lines.select("doc", F.expr("k div 10").alias("p"), "k", text.alias("t")).groupBy("doc", "p").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "t"))), lambda x: x["t"]), "\n").alias("t"))
     return pages.groupBy("doc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("p", "t"))), lambda x: x["t"]), "\f").alias("value"))
@@ -157,63 +190,69 @@ FUNCTIONS = [
     rebuilt_lines, sections_of_lines, section_last_pages, uneven_columns, margin_intrusions, column_margins, orphan_lines, section_top_gaps, uneven_blocks, first_uneven_block, band_probe, page_probe, findings_totals, page_mark_ranges, box_files, box_lines, text_layout_blocks,
 ]
 
-_W = """i AS (SELECT l_orderkey AS o, CAST(l_linenumber AS INTEGER) AS n, min(l_partkey) AS pk, min(l_quantity) AS q FROM lineitem GROUP BY 1, 2),
-j AS (SELECT *, (n = 1 AND o % 3 = 0) AS is_head, (n = 2 AND o % 5 = 0) AS is_sec, 100.0 + 75 * n + CASE WHEN pk % 3 = 0 THEN 8 ELSE 0 END AS y1, CASE WHEN q < 25 THEN 60.0 ELSE 250.0 END AS x, CASE WHEN q < 25 AND o % 13 = 0 THEN 240.0 ELSE 140.0 END AS wide FROM i),
-r AS (SELECT o, n, pk, 0 AS word, 'Paper 7:' || (o % 9) || '.1' AS text, 40.0 AS y, 8.0 AS h, 60.0 AS x0, 200.0 AS x1 FROM j WHERE is_head
- UNION ALL SELECT o, n, pk, 1, (o % 12 + 1) || '. Some Heading of a section that is longer than the rest', 70.0 + 3 * (pk % 4), 13.0, 100.0, 300.0 FROM j WHERE is_sec
- UNION ALL SELECT o, n, pk, 2, 'w' || pk, y1, CASE WHEN pk % 11 = 0 THEN 9.0 ELSE 10.0 END, x + CASE WHEN pk % 5 = 0 THEN 12 ELSE 0 END, x + CASE WHEN pk % 5 = 0 THEN 12 ELSE 0 END + wide FROM j WHERE NOT is_head AND NOT is_sec
- UNION ALL SELECT o, n, pk, 3, 'v' || pk, y1 + CASE WHEN pk % 2 = 0 THEN 11 ELSE 17 END, 10.0, x, x + wide FROM j WHERE NOT is_head AND NOT is_sec),
-w AS (SELECT 'd' || (o % 211) AS doc, CAST(o // 211 + 1 AS INTEGER) AS page, n AS line, word, text, CAST(y AS DOUBLE) AS y, CAST(h AS DOUBLE) AS h, CAST(x0 AS DOUBLE) AS x0, CAST(x1 AS DOUBLE) AS x1 FROM r)"""
-# one word a line, as no two words of a page share a baseline; heads lie outside the band
-_L = f"""{_W}, l AS (SELECT *, word = 1 AS is_title, h > 9.6 AND h < 10.3 AS body, x0 < 231 AS is_left, CAST(y AS INTEGER) AS yk FROM w WHERE y > 50 AND y < 660)"""
-_SECTION = f"""{_L}, s AS (SELECT *, CAST(sum(CAST(is_title AS INTEGER)) OVER (PARTITION BY doc ORDER BY page, yk ROWS UNBOUNDED PRECEDING) AS BIGINT) AS section FROM l)"""
-_ENDS = f"""{_SECTION}, e AS (SELECT doc, section, page, max(yk) FILTER (WHERE is_left) AS left_y, arg_max(text, yk) FILTER (WHERE is_left) AS left_text, max(yk) FILTER (WHERE NOT is_left) AS right_y, arg_max(text, yk) FILTER (WHERE NOT is_left) AS right_text FROM s WHERE NOT is_title AND body GROUP BY 1, 2, 3),
+_W = f"""i AS (SELECT l_orderkey AS o, l_partkey AS pk, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(ROW)}) AS INTEGER) AS n FROM lineitem),
+j1 AS (SELECT *, {KIND} AS kind FROM i), j2 AS (SELECT *, {', '.join(f'{x} AS {c}' for c, x in LINE.items())} FROM j1),
+j3 AS (SELECT *, CAST(unnest(CASE WHEN {BLANK} THEN list_append(range(words), 99) ELSE range(words) END) AS INTEGER) AS j FROM j2),
+w AS (SELECT 'd' || (o // 64) AS doc, CAST(o % 64 + 1 AS INTEGER) AS page, n AS line, j AS word, {', '.join(f'{x} AS {c}' for c, x in WORD.items())}, y, h FROM j3)"""
+_L = f"""{_W}, f AS (SELECT *, CAST(round_even(y, 0) AS INTEGER) AS yk, h > 9.6 AND h < 10.3 AS body, x0 < 231 AS is_left FROM w WHERE trim(text) <> ''),
+fg AS (SELECT *, coalesce(lead(x0) OVER v - x1 > 12 AND x0 < 240 AND lead(x1) OVER v > 245, false) AS crossing FROM f WHERE yk > 50 AND yk < 660 WINDOW v AS (PARTITION BY doc, page, yk ORDER BY x0, line, word)),
+l AS (SELECT doc, page, yk, min((line, word)) AS first, min(x0) AS x_min, max(x1) AS x_max, NOT bool_or(crossing) AND min(x0) < 220 AND max(x1) > 260 AND min(x0) > 80 AND max(x1) < 390 AS is_title,
+ coalesce(string_agg(text, ' ' ORDER BY x0, line, word) FILTER (WHERE is_left), '') AS left_text, coalesce(string_agg(text, ' ' ORDER BY x0, line, word) FILTER (WHERE x0 > 231), '') AS right_text,
+ string_agg(text, ' ' ORDER BY x0, line, word) FILTER (WHERE is_left AND body) AS left_body, string_agg(text, ' ' ORDER BY x0, line, word) FILTER (WHERE x0 > 231 AND body) AS right_body,
+ min(x0) FILTER (WHERE is_left AND body) AS left_x, min(x0) FILTER (WHERE x0 > 231 AND body) AS right_x FROM fg GROUP BY doc, page, yk)"""
+_SECTION = f"""{_L}, s1 AS (SELECT *, is_title AND x_max - x_min > 100 AS closes FROM l),
+s AS (SELECT *, CAST(sum(CAST(closes AS INTEGER)) OVER (PARTITION BY doc ORDER BY page, yk ROWS UNBOUNDED PRECEDING) AS BIGINT) AS section FROM s1)"""
+_ENDS = f"""{_SECTION}, e AS (SELECT doc, section, page, max(yk) FILTER (WHERE left_x IS NOT NULL) AS left_y, arg_max(left_text, yk) FILTER (WHERE left_x IS NOT NULL) AS left_text,
+ max(yk) FILTER (WHERE right_x IS NOT NULL) AS right_y, arg_max(right_text, yk) FILTER (WHERE right_x IS NOT NULL) AS right_text FROM s WHERE NOT closes GROUP BY 1, 2, 3),
 g AS (SELECT * FROM e WHERE left_y IS NOT NULL AND right_y IS NOT NULL)"""
 _UNEVEN = "SELECT doc, section, page, abs(left_y - right_y) AS diff, left_y, left_text, right_y, right_text FROM g WHERE abs(left_y - right_y) > 5"
 _OVER = "SELECT doc, page, arg_min(greatest(left_y, right_y), section) AS y FROM g WHERE greatest(left_y, right_y) > 625 GROUP BY 1, 2"
-_MARGIN = f"""{_L}, mc AS (SELECT doc, page % 2 AS parity, CASE WHEN is_left THEN 'left' ELSE 'right' END AS side, CAST(x0 AS INTEGER) AS x, count(*) AS n, min((page, line, word)) AS seen FROM l WHERE body GROUP BY 1, 2, 3, 4),
+_MARGIN = f"""{_L}, ls AS (SELECT doc, page, yk, first, is_title, 'left' AS side, left_x AS x, left_body AS text FROM l WHERE left_x IS NOT NULL UNION ALL SELECT doc, page, yk, first, is_title, 'right', right_x, right_body FROM l WHERE right_x IS NOT NULL),
+mc AS (SELECT doc, page % 2 AS parity, side, CAST(round_even(x, 0) AS INTEGER) AS x, count(*) AS n, min((page, first)) AS seen FROM ls GROUP BY 1, 2, 3, 4),
 mr AS (SELECT *, row_number() OVER (PARTITION BY doc, parity, side ORDER BY n DESC, seen) AS k FROM mc), m AS (SELECT doc, parity, side, x AS margin FROM mr WHERE k = 1)"""
-_ORPHAN = f"""{_MARGIN}, p AS (SELECT l.*, ml.margin AS lm, mm.margin AS rm FROM l LEFT JOIN m ml ON ml.doc = l.doc AND ml.parity = l.page % 2 AND ml.side = 'left' LEFT JOIN m mm ON mm.doc = l.doc AND mm.parity = l.page % 2 AND mm.side = 'right'),
-c AS (SELECT *, count(*) FILTER (WHERE body AND x0 <= rm - 4 AND x1 >= rm - 4) OVER (PARTITION BY doc, page) AS cover FROM p),
-t AS (SELECT *, row_number() OVER v AS k, lead(yk) OVER v - yk AS gap FROM c WHERE cover < 3 AND NOT is_title AND body WINDOW v AS (PARTITION BY doc, page, is_left ORDER BY yk)),
-orphan AS (SELECT doc, page, CASE WHEN is_left THEN 'left' ELSE 'right' END AS side, yk AS y, gap, text FROM t WHERE k = 1 AND abs(x0 - CASE WHEN is_left THEN lm ELSE rm END) <= 6 AND gap > 16)"""
-_GAPS = """hd AS (SELECT doc, page, min(text) AS header FROM w WHERE y <= 50 GROUP BY 1, 2),
-bl AS (SELECT * FROM w WHERE y > 50 AND y < 640),
-bp AS (SELECT doc, page, CAST(coalesce(max(y) FILTER (WHERE h > 9.6 AND h < 10.6), max(y)) AS INTEGER) AS max_body, min((CAST(y AS INTEGER), h, text)) FILTER (WHERE h > 8.0) AS first FROM bl GROUP BY 1, 2),
+_ORPHAN = f"""{_MARGIN}, cv AS (SELECT fg.doc, page, count(*) FILTER (WHERE body AND x0 <= margin - 4 AND x1 >= margin - 4) AS cover FROM fg LEFT JOIN m ON m.doc = fg.doc AND m.parity = fg.page % 2 AND m.side = 'right' GROUP BY 1, 2),
+t AS (SELECT ls.*, row_number() OVER v AS k, lead(yk) OVER v - yk AS gap FROM ls JOIN cv USING (doc, page) WHERE cover < 3 AND NOT is_title WINDOW v AS (PARTITION BY doc, page, side ORDER BY yk)),
+orphan AS (SELECT t.doc, page, t.side, yk AS y, gap, text FROM t JOIN m ON m.doc = t.doc AND m.parity = page % 2 AND m.side = t.side WHERE k = 1 AND abs(x - margin) <= 6 AND gap > 16)"""
+_GAPS = """gw AS (SELECT *, CAST(round_even(y, 0) AS INTEGER) AS yk FROM w WHERE trim(text) <> ''),
+hd AS (SELECT doc, page, string_agg(text, ' ' ORDER BY x0, line, word) AS header FROM gw WHERE y <= 50 GROUP BY 1, 2),
+bl AS (SELECT doc, page, yk, max(h) AS h, string_agg(text, ' ' ORDER BY x0, line, word) AS text FROM gw WHERE y > 50 AND y < 640 GROUP BY 1, 2, 3),
+bp AS (SELECT doc, page, coalesce(max(yk) FILTER (WHERE h > 9.6 AND h < 10.6), max(yk)) AS max_body, min((yk, h, text)) FILTER (WHERE h > 8.0) AS first FROM bl GROUP BY 1, 2),
 ps AS (SELECT coalesce(hd.doc, bp.doc) AS doc, coalesce(hd.page, bp.page) AS page, header, coalesce(max_body, 0) AS max_body, first[1] AS fy, first[2] AS fh, first[3] AS ft FROM hd FULL JOIN bp ON hd.doc = bp.doc AND hd.page = bp.page),
 pb AS (SELECT *, CASE WHEN lag(page) OVER v = page - 1 THEN lag(max_body) OVER v WHEN page > 1 THEN 0 END AS before FROM ps WINDOW v AS (PARTITION BY doc ORDER BY page)),
 gp AS (SELECT doc, page, regexp_extract(header, '(\\d+):(\\d+)\\.(\\d+)', 1) AS paper, regexp_extract(ft, '^(\\d+)\\.', 1) AS section, coalesce(623.0 - before, 0.0)::DOUBLE AS bottom_gap, fy AS title_y, fy - 67.0::DOUBLE AS top_gap, substr(regexp_replace(ft, '^\\d+\\. ', ''), 1, 36) AS title
  FROM pb WHERE header IS NOT NULL AND fh > 12.0 AND fh < 14.5 AND regexp_matches(ft, '^\\d+\\. '))"""
+_NATIVE = f"{_W}, nl AS (SELECT doc, page, CAST(line AS BIGINT) AS ord, string_agg(text, ' ' ORDER BY word) AS text, min(x0) AS x0, max(x1) AS x1, min(y - h) AS y0, max(y) AS y1 FROM w WHERE trim(text) <> '' GROUP BY 1, 2, 3)"
 
 
 def _blocks(band: str) -> str:
-    return f"""{_W}, n1 AS (SELECT *, y - h AS y0, row_number() OVER (PARTITION BY doc, page ORDER BY y - h, line * 10 + word) AS k, x0 < 240 AND x1 > 240 AS span FROM w WHERE {band}),
+    return f"""{_NATIVE}, n1 AS (SELECT *, y1 AS y, row_number() OVER (PARTITION BY doc, page ORDER BY y0, ord) AS k, x0 < 240 AND x1 > 240 AS span FROM nl WHERE {band}),
 n2 AS (SELECT *, CAST(sum(CAST(span AS INTEGER)) OVER (PARTITION BY doc, page ORDER BY k ROWS UNBOUNDED PRECEDING) AS BIGINT) AS block, CASE WHEN span THEN NULL WHEN x1 < 240 THEN 'left' WHEN x0 > 240 THEN 'right' END AS side FROM n1),
 n3 AS (SELECT doc, page, block, side, max(y) AS my, (list(text ORDER BY y DESC, k))[1] AS mt, array_to_string(list(text ORDER BY k)[-2:], '|') AS tail FROM n2 WHERE side IS NOT NULL GROUP BY 1, 2, 3, 4),
 n4 AS (SELECT a.doc, a.page, a.block, abs(a.my - b.my) AS diff, a.my AS left_y, a.mt AS left_text, b.my AS right_y, b.mt AS right_text, a.tail AS left_tail, b.tail AS right_tail FROM n3 a JOIN n3 b ON a.doc = b.doc AND a.page = b.page AND a.block = b.block AND a.side = 'left' AND b.side = 'right' WHERE abs(a.my - b.my) > 5)"""
 
 
 ORACLE = {
-    "rebuilt_lines": f"WITH {_L} SELECT doc, page, yk AS y, x0 AS x_min, x1 AS x_max, is_title, CASE WHEN is_left THEN text ELSE '' END AS left_text, CASE WHEN x0 > 231 THEN text ELSE '' END AS right_text FROM l",
-    "sections_of_lines": f"WITH {_SECTION} SELECT doc, section, count(*) AS lines, min(page) AS first_page, max(page) AS last_page FROM s WHERE NOT is_title GROUP BY 1, 2",
-    "section_last_pages": f"WITH {_SECTION}, p AS (SELECT doc, section, page, count(*) AS lines FROM s WHERE NOT is_title GROUP BY 1, 2, 3) SELECT *, page = max(page) OVER (PARTITION BY doc, section) AS is_last FROM p",
+    "rebuilt_lines": f"WITH {_L} SELECT doc, page, yk AS y, x_min, x_max, is_title, left_text, right_text FROM l",
+    "sections_of_lines": f"WITH {_SECTION} SELECT doc, section, count(*) AS lines, min(page) AS first_page, max(page) AS last_page FROM s WHERE NOT closes GROUP BY 1, 2",
+    "section_last_pages": f"WITH {_SECTION}, p AS (SELECT doc, section, page, count(*) AS lines FROM s WHERE NOT closes GROUP BY 1, 2, 3) SELECT *, page = max(page) OVER (PARTITION BY doc, section) AS is_last FROM p",
     "uneven_columns": f"WITH {_ENDS} {_UNEVEN}",
     "margin_intrusions": f"WITH {_ENDS}, x AS ({_OVER}) SELECT doc, page, y, y - 625 AS over FROM x",
     "column_margins": f"WITH {_MARGIN} SELECT * FROM m",
     "orphan_lines": f"WITH {_ORPHAN} SELECT * FROM orphan",
     "section_top_gaps": f"WITH {_W}, {_GAPS} SELECT doc, page, paper, section, bottom_gap, bottom_gap / 11 AS bottom_lines, title_y, top_gap, top_gap > 5 AS flagged, title FROM gp",
-    "uneven_blocks": f"WITH {_blocks('y > 100 AND y - h < 615')} SELECT * FROM n4",
-    "first_uneven_block": f"WITH {_blocks('y > 100 AND y < 610')}, n5 AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY page, block) AS nth FROM n4) SELECT * EXCLUDE (nth) FROM n5 WHERE nth = 1",
-    "band_probe": f'WITH {_W} SELECT doc, page, text, x0 AS "xMin", x1 AS "xMax", y AS "yMax" FROM w WHERE y > 72 AND y < 80',
-    "page_probe": f'WITH {_W} SELECT doc, CAST(line * 10 + word AS BIGINT) AS ord, y AS "yMax", x0 AS "xMin", x1 AS "xMax", text FROM w WHERE page = 8',
+    "uneven_blocks": f"WITH {_blocks('y1 > 100 AND y0 < 615')} SELECT * FROM n4",
+    "first_uneven_block": f"WITH {_blocks('y1 > 100 AND y1 < 610')}, n5 AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY page, block) AS nth FROM n4) SELECT * EXCLUDE (nth) FROM n5 WHERE nth = 1",
+    "band_probe": f'WITH {_W} SELECT doc, page, text, x0 AS "xMin", x1 AS "xMax", y AS "yMax" FROM w WHERE trim(text) <> \'\' AND y > 72 AND y < 80',
+    "page_probe": f'WITH {_NATIVE} SELECT doc, ord, y1 AS "yMax", x0 AS "xMin", x1 AS "xMax", text FROM nl WHERE page = 8',
     "findings_totals": f"WITH {_ENDS}, {_MARGIN.removeprefix(_L).removeprefix(', ')}, {_ORPHAN.removeprefix(_MARGIN).removeprefix(', ')}, {_GAPS} SELECT 'uneven' AS kind, count(*) AS n FROM ({_UNEVEN}) UNION ALL SELECT 'intrusion', count(*) FROM ({_OVER}) UNION ALL SELECT 'orphan', count(*) FROM orphan UNION ALL SELECT 'top_gap', count(*) FROM gp WHERE top_gap > 5",
     "page_mark_ranges": """WITH e AS (SELECT user_id % 50 AS doc, CAST(event_id // 97 AS INTEGER) AS page, min(event_id) AS a, max(event_id) AS b FROM events GROUP BY 1, 2)
 SELECT doc, page, (a // 40) || ':' || (a % 40) AS first, (b // 40) || ':' || (b % 40) AS last, CASE WHEN page % 2 = 1 THEN (b // 40) || ':' || (b % 40) ELSE (a // 40) || ':' || (a % 40) END AS shown FROM e""",
-    "box_files": f"""WITH {_W} SELECT doc, CAST(dense_rank() OVER (PARTITION BY doc ORDER BY page) AS INTEGER) AS page, CAST(row_number() OVER (PARTITION BY doc, page ORDER BY line, word) - 1 AS INTEGER) AS line, text, x0 AS "xMin", x1 AS "xMax", y - h AS "yMin", y AS "yMax" FROM w""",
-    "box_lines": f"""WITH {_W}, x AS (SELECT doc, page, line, string_agg(text, ' ' ORDER BY word) AS text, min(x0) AS x0, max(x1) AS x1, min(y - h) AS y0, max(y) AS y1 FROM w GROUP BY 1, 2, 3)
+    "box_files": f"""WITH {_W} SELECT doc, CAST(dense_rank() OVER (PARTITION BY doc ORDER BY page) AS INTEGER) AS page, CAST(dense_rank() OVER (PARTITION BY doc, page ORDER BY line) - 1 AS INTEGER) AS line,
+CAST(row_number() OVER (PARTITION BY doc, page, line ORDER BY word) - 1 AS INTEGER) AS word, text, x0 AS "xMin", x1 AS "xMax", y - h AS "yMin", y AS "yMax" FROM w WHERE trim(text) <> ''""",
+    "box_lines": f"""WITH {_W}, x AS (SELECT doc, page, line, trim(string_agg(text, ' ' ORDER BY word)) AS text, min(x0) AS x0, max(x1) AS x1, min(y - h) AS y0, max(y) AS y1 FROM w GROUP BY 1, 2, 3)
 SELECT doc, page, CAST(dense_rank() OVER (PARTITION BY doc, page ORDER BY line) - 1 AS BIGINT) AS ord, text, x0 AS "xMin", x1 AS "xMax", y0 AS "yMin", y1 AS "yMax" FROM x""",
     "text_layout_blocks": """WITH s AS (SELECT doc_id AS doc, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k FROM documents),
-u AS (SELECT doc, CAST(k // 10 + 1 AS INTEGER) AS page, CAST(k % 10 AS INTEGER) AS line_no, k % 5 = 4 AS span, CASE WHEN k % 3 = 2 THEN '' WHEN k % 7 = 5 THEN '12' ELSE substr(line, 1, 20) END AS a, CASE WHEN k % 4 = 3 THEN '' ELSE substr(line, 21, 20) END AS b, count(*) OVER (PARTITION BY doc, k // 10) AS n FROM s),
+u AS (SELECT doc, CAST(k // 10 + 1 AS INTEGER) AS page, CAST(k % 10 AS INTEGER) AS line_no, k % 5 = 4 AS span, CASE WHEN k % 3 = 2 THEN '' WHEN k % 7 = 5 THEN '12' ELSE substr(line, 1, 43) END AS a, CASE WHEN k % 4 = 3 THEN '' ELSE substr(line, 44) END AS b, count(*) OVER (PARTITION BY doc, k // 10) AS n FROM s),
 v AS (SELECT doc, page, line_no, span, trim(a) AS a, trim(b) AS b, CAST(sum(CAST(span AS INTEGER)) OVER (PARTITION BY doc, page ORDER BY line_no ROWS UNBOUNDED PRECEDING) AS BIGINT) AS block FROM u WHERE n >= 6 AND line_no >= 2 AND line_no < n - 2),
 e AS (SELECT doc, page, block, max((line_no, a)) FILTER (WHERE a <> '' AND NOT regexp_matches(a, '^\\d+$')) AS l, max((line_no, b)) FILTER (WHERE b <> '' AND NOT regexp_matches(b, '^\\d+$')) AS r FROM v WHERE NOT span GROUP BY 1, 2, 3)
 SELECT doc, page, block, l[1] AS left_line, l[2] AS left_text, r[1] AS right_line, r[2] AS right_text, abs(l[1] - r[1]) AS diff FROM e WHERE l[1] <> r[1]""",

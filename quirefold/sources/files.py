@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordered import running
 from ..schemas import BBOX_PAGE, DEVIATION, SECTION, SPANS
 from .scratch import write_files
 
@@ -89,11 +90,11 @@ def deviation_rows(lines: DataFrame) -> DataFrame:
 
     A key's line opens a block, the fields below it are the block's; ranges fan out, a
     reversed one is an error, the last block of a key holds, other lines are passed over.
-    The file is small, written by hand: its lines are numbered in one task.
+    Blocks are told by ranges of the lines, so a list of any length is read by many tasks.
     """
     number = lambda k: F.regexp_extract("line", _KEY, k).try_cast("int")
     told = lines.where("trim(line) <> '' and not trim(line) like '#%'").withColumn("is_key", F.col("line").rlike(_KEY))
-    blocks = told.withColumn("block", F.max(F.when(F.col("is_key"), F.col("n"))).over(Window.orderBy("n").rowsBetween(Window.unboundedPreceding, 0)))
+    blocks = running(told, [], ["n"], lasts={"block": F.when(F.col("is_key"), F.col("n"))})
     field = r"^\s+(\w+):\s*(.*)$"
     value = F.regexp_replace(F.regexp_extract("line", field, 2), r"""^(["'])(.*)\1$""", "$2")
     named = F.regexp_extract("line", field, 1)
