@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import difflib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -12,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..schemas import SPANS
 from . import spans as sp
+from .edits import edits
 
 #: Types as objects: a type written as text needs a session, which importing this module must not.
 _SPANS = T.ArrayType(T.StructType([T.StructField("s", T.IntegerType()), T.StructField("e", T.IntegerType())]))
@@ -106,8 +106,7 @@ def changes(a: pd.Series, b: pd.Series) -> pd.Series:
         if x is None or y is None:
             out.append(None)
             continue
-        codes = difflib.SequenceMatcher(None, x, y).get_opcodes()
-        out.append([dict(tag=t, i1=i1, i2=i2, j1=j1, j2=j2, before=x[max(0, i1 - 20) : i1], left=x[i1:i2], right=y[j1:j2], after=x[i2 : i2 + 20]) for t, i1, i2, j1, j2 in codes if t != "equal"])
+        out.append([dict(tag=t, i1=i1, i2=i2, j1=j1, j2=j2, before=x[max(0, i1 - 20) : i1], left=x[i1:i2], right=y[j1:j2], after=x[i2 : i2 + 20]) for t, i1, i2, j1, j2 in edits(x, y)])
     return pd.Series(out)
 
 
