@@ -41,16 +41,33 @@ def plain_glyphs(c: Column) -> Column:
     return F.translate(c, "\u02bc\u00a0\u202f\u2009", "\u2019   ")
 
 
-def is_ascii(c: Column) -> Column:
-    return F.octet_length(c) == F.length(c)
+#: Code points that composition leaves alone in any text made of them: none is a mark, none is part of a longer composition.
+COMPOSED = "\\x{0}-\\x{2ff}\\x{400}-\\x{482}\\x{48a}-\\x{52f}\\x{2002}-\\x{206f}\\x{20a0}-\\x{20bf}\\x{3041}-\\x{3096}\\x{30a1}-\\x{30fa}\\x{4e00}-\\x{9fff}"
+
+
+def is_composed(c: Column) -> Column:
+    """Whether a text is surely composed already, told in the JVM; null is."""
+    return F.coalesce(~c.rlike(f"[^{COMPOSED}]"), F.lit(True))
 
 
 def normalize(c: Column) -> Column:
     """Composed, plain glyphs, collapsed: the text compared between editions.
 
-    ASCII text is composed already; it goes through Python as a null, not as text.
+    Only text that may not be composed yet goes to Python, the rest as a null.
+    """
+    return collapse(plain_glyphs(F.coalesce(nfc(F.when(~is_composed(c), c)), c)))
+
+
+def collapse_spans(text: Column, spans: Column) -> Column:
+    """Spans of ``text`` where collapsing its white space moves them, JVM-side: those that vanish go, those that touch join.
+
+    A place moves to as many characters as what lies before it keeps.
     """
-    return collapse(plain_glyphs(F.coalesce(nfc(F.when(~is_ascii(c), c)), c)))
+    size = F.length(collapse(text))
+    before = lambda p: F.length(F.regexp_replace(F.regexp_replace(F.substring(text, F.lit(1), p), f"^{sp.SPACE}+", ""), f"{sp.SPACE}+", " "))
+    inside = lambda p: F.greatest(F.least(p, F.length(text)), F.lit(0))
+    moved = F.transform(spans, lambda x: F.struct(F.least(before(inside(x["s"])), size).cast("int").alias("s"), F.least(before(inside(x["e"])), size).cast("int").alias("e")))
+    return merge_spans(F.filter(moved, lambda x: x["s"] < x["e"]))
 
 
 @F.pandas_udf(_CLEAN)
@@ -68,12 +85,14 @@ def normalize_spans(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[
 
 
 def normalize_both(text: Column, italics: Column, needed: Column) -> Column:
-    """struct(text, italics) as ``normalize_spans`` gives it where ``needed``, null elsewhere; ASCII text without spans stays in the JVM."""
-    plain = is_ascii(text) & (F.coalesce(F.size(italics), F.lit(0)) <= 0)
-    other = needed & ~plain
-    mixed = normalize_spans(F.when(other, text), F.when(other, italics))
-    own = F.struct(collapse(text).alias("text"), F.expr(f"cast(array() as {SPANS})").alias("italics"))
-    return F.when(needed & F.coalesce(plain, F.lit(True)), own).when(other, mixed)
+    """struct(text, italics) as ``normalize_spans`` gives it where ``needed``, null elsewhere; composed text stays in the JVM, with its spans."""
+    composed = is_composed(text)
+    mixed = normalize_spans(F.when(needed & ~composed, text), F.when(needed & ~composed, italics))
+    glyphs = plain_glyphs(text)
+    none = F.expr(f"cast(array() as {SPANS})")
+    spans = F.when(F.coalesce(F.size(italics), F.lit(0)) > 0, collapse_spans(glyphs, italics)).otherwise(none)
+    own = F.struct(collapse(glyphs).alias("text"), F.when(text.isNull(), none).otherwise(spans).alias("italics"))
+    return F.when(needed & composed, own).when(needed, mixed)
 
 
 def suspicious(c: Column) -> Column:

@@ -14,7 +14,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.suffixes import endings
 from ..functions.text import half_even
+from ..sources.scratch import stored
 from .ordered import running
 
 # Fixed values of the page design.
@@ -137,10 +139,26 @@ def column_blocks(lines: DataFrame, *, body: Column | None = None) -> DataFrame:
     return pairs.where(diff > float(UNEVEN)).select("doc", "page", "block", diff.alias("diff"), F.col("l.yMax").alias("left_y"), F.col("l.text").alias("left_text"), F.col("r.yMax").alias("right_y"), F.col("r.text").alias("right_text"), tail("la").alias("left_tail"), tail("ra").alias("right_tail"))
 
 
-def first_uneven(lines: DataFrame) -> DataFrame:
-    """The first uneven block of each document, by the stricter body band."""
-    found = column_blocks(lines, body=(F.col("yMax") > 100) & (F.col("yMax") < 610))
-    return found.groupBy("doc").agg(F.min_by(F.struct(*[c for c in found.columns if c != "doc"]), F.struct("page", "block")).alias("x")).select("doc", "x.*")
+def first_uneven(lines: DataFrame, *, pages: int = 16) -> DataFrame:
+    """The first uneven block of each document, by the stricter body band.
+
+    Pages are looked through in ranges, each twice as long as the one before: a document
+    whose block is found is left out of the next, and the search ends when none is open.
+    The page's bounds are filters on ``lines``; of a table in the order of pages, later
+    ranges aren't read.
+    """
+    last = lines.agg(F.max("page")).first()[0] or 0
+    low, found = 0, None
+    while low < last or found is None:
+        part = lines.where((F.col("page") > low) & (F.col("page") <= low + pages))
+        part = part if found is None else part.join(found.select("doc"), "doc", "left_anti")
+        hits = column_blocks(part, body=(F.col("yMax") > 100) & (F.col("yMax") < 610))
+        first = hits.groupBy("doc").agg(F.min_by(F.struct(*[c for c in hits.columns if c != "doc"]), F.struct("page", "block")).alias("x")).select("doc", "x.*")
+        found = stored(first if found is None else found.unionByName(first), "first-uneven")
+        low, pages = low + pages, 2 * pages
+        if low < last and lines.where(F.col("page") > low).join(found.select("doc"), "doc", "left_anti").isEmpty():
+            break
+    return found
 
 
 def text_blocks(lines: DataFrame) -> DataFrame:
@@ -155,15 +173,29 @@ def text_blocks(lines: DataFrame) -> DataFrame:
     return ends.where("l.line_no <> r.line_no").select("doc", "page", "block", F.col("l.line_no").alias("left_line"), F.col("l.text").alias("left_text"), F.col("r.line_no").alias("right_line"), F.col("r.text").alias("right_text"), F.abs(F.col("l.line_no") - F.col("r.line_no")).alias("diff"))
 
 
+#: Characters of targets, all together, up to which they are broadcast as a trie; beyond, tails join.
+TRIE_CHARS = 4_000_000
+
+
 def ends_with(lines: DataFrame, targets: DataFrame) -> DataFrame:
-    """Lines that end in a target: equal tails of the targets' lengths join, so no pair is tried in vain.
+    """Lines that end in a target: a row for each match, with ``target``.
 
-    The distinct lengths of targets, at most as many as the longest has characters, come to the driver.
+    Targets of up to TRIE_CHARS characters together are broadcast as a trie of reversed
+    strings: a line is walked from its end for as long as some target goes on, and only
+    matches leave the walk.  More targets are joined: a target is known by its last 1, 2,
+    4, 8 ... characters, as many as it has, so a line meets it under one such tail, of
+    which it has as many as its length has binary digits.
     """
-    lengths = sorted(r[0] for r in targets.select(F.length("target").alias("n")).where("n > 0").distinct().collect())
-    known = F.array(*[F.lit(n) for n in lengths]) if lengths else F.expr("cast(array() as array<int>)")
-    tails = F.explode(F.transform(F.filter(known, lambda n: n <= F.length("text")), lambda n: F.right(F.col("text"), n)))
-    return lines.withColumn("target", tails).join(targets.select("target").distinct(), "target")
+    own = targets.select("target").where("target <> ''").distinct()
+    size = own.agg(F.sum(F.length("target"))).first()[0] or 0
+    if size <= TRIE_CHARS:
+        shared = lines.sparkSession.sparkContext.broadcast([r[0] for r in own.toLocalIterator()])
+        return lines.withColumn("target", F.explode(endings(F.col("text"), lambda: shared.value)))
+    tail = lambda c: F.pow(F.lit(2), F.floor(F.log2(F.length(c)))).cast("int")
+    known = own.select("target", F.right("target", tail("target")).alias("__tail"))
+    powers = F.transform(F.sequence(F.lit(0), F.floor(F.log2(F.length("text"))).cast("int")), lambda k: F.pow(F.lit(2), k).cast("int"))
+    tails = lines.where("text <> ''").withColumn("__tail", F.explode(F.transform(powers, lambda n: F.right(F.col("text"), n))))
+    return tails.join(known, "__tail").where(F.col("text").endswith(F.col("target"))).drop("__tail")
 
 
 def probe(words: DataFrame, low: float, high: float) -> DataFrame:

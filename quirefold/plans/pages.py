@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import layout
 from ..sources import files as fs
-from ..sources.scratch import scratch, write_files
+from ..sources.scratch import scratch, stored, write_files
 
 #: What each row (o: order, n: place in it, pk: part) becomes, in SQL that Spark and DuckDB read alike.
 KIND = """CASE WHEN n = 1 AND o % 3 = 0 THEN 'head' WHEN n = 2 AND o % 5 = 0 THEN 'sec' WHEN n % 7 = 3 AND pk % 4 = 0 THEN 'narrow' WHEN n % 7 = 3 AND pk % 4 = 1 THEN 'gapped'
@@ -107,7 +107,8 @@ def uneven_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_uneven_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(layout.first_uneven(native_lines(spark, sf_dir)))
+    """Lines are written in the order of pages, so that later pages are only read where no block was found before."""
+    return _flat(layout.first_uneven(stored(native_lines(spark, sf_dir).repartitionByRange("page").sortWithinPartitions("page"), "native-lines"), pages=8))
 
 
 def band_probe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Page geometry on synthetic boxes."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -119,3 +120,45 @@ def test_suffix_parts_marks(spark):
     marks = spark.createDataFrame([("d", 1, 1, 5, 1), ("d", 1, 2, 5, 2), ("d", 2, 3, 5, 3), ("d", 2, 4, 6, 1)], "doc string, page int, serial int, chapter int, verse int")
     rows = layout.page_marks(marks).orderBy("page").select("page", F.col("shown.chapter").alias("c"), F.col("shown.verse").alias("v")).collect()
     assert [tuple(r) for r in rows] == [(1, 5, 2), (2, 5, 3)]
+
+
+def test_endings_by_trie_and_by_tails(spark, monkeypatch):
+    """Both ways of finding endings give every line with every target it ends in."""
+    import random
+
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abé", k=rng.randrange(12))) for _ in range(300)] + [None, ""]
+    targets = ["".join(rng.choices("abé", k=rng.randrange(7))) for _ in range(60)] + [None, "", "a", "aa", "aaa"]
+    lines = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string")
+    wanted = spark.createDataFrame([(t,) for t in targets], "target string")
+    want = sorted((k, x) for k, t in enumerate(texts) for x in {x for x in targets if x} if t and t.endswith(x))
+    found = layout.ends_with(lines, wanted)
+    assert sorted((r.k, r.target) for r in found.collect()) == want and len(want) > 300
+    assert found.columns == ["k", "text", "target"]
+    monkeypatch.setattr(layout, "TRIE_CHARS", 0)
+    assert sorted((r.k, r.target) for r in layout.ends_with(lines, wanted).collect()) == want
+    assert layout.ends_with(lines, wanted.where("false")).count() == 0
+
+
+def test_first_uneven_stops_early(spark, tmp_path):
+    """Pages behind the range in which every document has a hit aren't read for it."""
+    rows = []
+    for doc, hit in (("a", 2), ("b", 3)):
+        for page in range(1, 401):
+            low = 300.0 if page == hit else 200.0
+            rows += [(doc, page, 0, "l", 60.0, 200.0, 190.0, 200.0), (doc, page, 1, "r", 250.0, 390.0, low - 10, low)]
+    path = str(tmp_path / "lines")
+    spark.createDataFrame(rows, "doc string, page int, ord long, text string, xMin double, xMax double, yMin double, yMax double").repartitionByRange(4, "page").write.parquet(path)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("string")
+    def counted(t: pd.Series) -> pd.Series:
+        seen.add(len(t))
+        return t
+
+    lines = spark.read.parquet(path).withColumn("text", counted("text"))
+    got = layout.first_uneven(lines, pages=4).orderBy("doc").collect()
+    assert [(r.doc, r.page, r.diff) for r in got] == [("a", 2, 100.0), ("b", 3, 100.0)]
+    assert 0 < seen.value < len(rows) // 4
+    assert layout.first_uneven(lines.where("doc = 'a' and page > 2"), pages=4).count() == 0
+    assert layout.first_uneven(lines.where("false")).count() == 0

@@ -1,5 +1,6 @@
 """Text and span functions against plain definitions."""
 
+import random
 import re
 import unicodedata
 
@@ -71,3 +72,35 @@ def test_list_openers(spark):
 
 def test_composed():
     assert sp.normalize("e\u0301 x", [])[0] == unicodedata.normalize("NFC", "e\u0301 x")
+
+
+def test_composed_texts_stay_in_the_jvm():
+    """Of the code points taken as composed, each and each two together are what composition makes of them."""
+    known = [chr(c) for c in range(0x11000) if not 0xD800 <= c < 0xE000 and in_class(c)]
+    assert len(known) > 20_000 and all(unicodedata.is_normalized("NFC", c) and not unicodedata.combining(c) for c in known)
+    rng = random.Random(0)
+    assert all(unicodedata.is_normalized("NFC", rng.choice(known) + rng.choice(known)) for _ in range(50_000))
+
+
+def in_class(c):
+    return any(int(a, 16) <= c <= int(b, 16) for a, b in re.findall(r"\\x\{(\w+)\}-\\x\{(\w+)\}", tx.COMPOSED))
+
+
+def test_both_ways_of_normalizing_agree(spark):
+    rng = random.Random(4)
+    rows = []
+    for k in range(400):
+        t = "".join(rng.choices("ab c\t\u00a0\u02bc\u2009é日-\u202f" + ("\u0301e" if k % 4 == 0 else ""), k=rng.randrange(30)))
+        rows.append((k, t, [(rng.randrange(-2, 33), rng.randrange(-2, 33)) for _ in range(rng.randrange(4))]))
+    rows += [(1000, None, None), (1001, "x", None)]
+    df = spark.createDataFrame(rows, "k int, t string, i array<struct<s:int,e:int>>")
+    got = {r.k: r for r in df.select("k", tx.is_composed(F.col("t")).alias("c"), tx.normalize_both(F.col("t"), F.col("i"), F.lit(True)).alias("n"), tx.normalize(F.col("t")).alias("p")).collect()}
+    assert 250 < sum(r.c for r in got.values()) < 400
+    for k, t, i in rows:
+        want = (None, []) if t is None else sp.normalize(t, i or [])
+        assert (got[k].n.text, [tuple(x) for x in got[k].n.italics]) == want and got[k].p == want[0], t
+
+
+def test_composed_texts_are_not_sent_to_python(spark):
+    df = spark.createDataFrame([("plain and é ’ —",)] * 50 + [("e\u0301",)], "t string")
+    assert df.where(~tx.is_composed(F.col("t"))).count() == 1
