@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import stored
 from .html import html_papers
 from .tex import tex_papers
 
@@ -35,6 +36,25 @@ def digest(df: DataFrame) -> str:
     return part.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "p", "a", "b"))), ""), 256)).first()[0]
 
 
+def paper_digests(verses: DataFrame) -> DataFrame:
+    """(paper, verses, digest): a digest of each paper over those of its sections, and of those over their verses.
+
+    A verse is told by its key, text and spans; within a section verses go by number and
+    digest.  Two runs' tables differ in exactly the papers that differ.
+    """
+    spans = F.array_join(F.transform("italics", lambda x: F.concat_ws("-", x["s"].cast("string"), x["e"].cast("string"))), " ")
+    each = verses.select("paper", "section", "verse", F.sha2(F.concat_ws("|", "paper", "section", "verse", "text", spans), 256).alias("d"))
+    joined = lambda *by: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*by, "d"))), lambda x: x["d"]), ""), 256)
+    sections = each.groupBy("paper", "section").agg(F.count("*").alias("n"), joined("verse").alias("d"))
+    return sections.groupBy("paper").agg(F.sum("n").alias("verses"), joined("section").alias("digest"))
+
+
+def changed_papers(before: DataFrame, after: DataFrame) -> DataFrame:
+    """(paper, change) of the papers whose digests differ between two runs: changed, gone or new."""
+    both = before.select("paper", F.col("digest").alias("a")).join(after.select("paper", F.col("digest").alias("b")), "paper", "full_outer").where(~F.col("a").eqNullSafe(F.col("b")))
+    return both.select("paper", F.when(F.col("b").isNull(), "gone").when(F.col("a").isNull(), "new").otherwise("changed").alias("change"))
+
+
 def deterministic(make: Callable[[], DataFrame]) -> bool:
     """Whether two runs give the same rows."""
     return digest(make()) == digest(make())
@@ -45,6 +65,8 @@ DAMAGE = [
     ("double_word", "tex", r"(?s)(\\vs p\d+ \d+:\d+ (?:\\pc )?)([\p{L}\p{N}]+)", "$1$2 $2"),
     ("lose_verse", "tex", r"(?m)^\\vs p\d+ [^\n]*$", ""),
     ("shift_number", "tex", r"(\\vs p\d+ \d+:\d+)", "$17"),
+    ("comma_to_dot", "tex", r"(\\vs p\d+ \d+:\d+ [^,\n]*),", "$1."),
+    ("lose_sentence", "tex", r"(\\vs p\d+ \d+:\d+ [^.\n]*\.) [^.\n]+\.", "$1"),
     ("mark_word", "tex", r"(?s)(\\vs p\d+ \d+:\d+ (?:\\pc )?)([\p{L}\p{N}]+)", "$1\\\\bibemph{$2}"),
     ("cut_letter", "html", r"(?s)(<p id=\"U\d+_\d+_\d+\">(?:<small>[^<]*</small>)?[\p{L}\p{N}]*)[\p{L}\p{N}]", "$1"),
     ("unmark_word", "html", r"(?s)<em>(.*?)</em>", "$1"),
@@ -91,7 +113,8 @@ def sample_keys(verses: DataFrame, n: int, seed: int = 42) -> DataFrame:
 def spot_check(left: DataFrame, right: DataFrame, n: int = 20, seed: int = 42) -> DataFrame:
     """Both sides' texts of sampled verses, at most 300 characters, for a reader."""
     keys = ["paper", "section", "verse"]
-    show = lambda df, c: df.groupBy(*keys).agg(F.first(F.substring("text", 1, 300)).alias(c))
-    s = sample_keys(left, n, seed)
+    # the sample has n rows, so it's sent to both sides, and only its verses' texts are moved
+    s = F.broadcast(stored(sample_keys(left, n, seed), "sample"))
+    show = lambda df, c: df.join(s, keys, "left_semi").groupBy(*keys).agg(F.first(F.substring("text", 1, 300)).alias(c))
     out = s.join(show(left, "left_text"), keys, "left").join(show(right, "right_text"), keys, "left")
     return out.na.fill("(missing)").orderBy(*keys)

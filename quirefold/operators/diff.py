@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -105,7 +105,8 @@ class Comparison:
     def __init__(self, left: DataFrame, right: DataFrame, deviations: DataFrame) -> None:
         from .html import drop_floaters
 
-        left, right = stored(left, "left-papers"), stored(right, "right-papers")
+        self._seen = {side: Observation(f"{side}-papers") for side in ("left", "right")}
+        left, right = (stored(df.observe(self._seen[side], F.count("*").alias("papers"), F.count_if(F.col("error").isNotNull()).alias("broken"), F.sum(F.size("verses")).alias("verses")), f"{side}-papers") for side, df in (("left", left), ("right", right)))
         self.left_heads, self.right_heads = headers_of(left), headers_of(right)
         self.left_sections, self.right_sections = sections_of(left), sections_of(right)
         self.left_verses = remap_combined(verses_of(left), self.left_sections)
@@ -114,6 +115,10 @@ class Comparison:
         self.compared = stored(compare_verses(self.left_keyed, self.right_keyed, deviations), "compared")
         self.mismatches = mismatches(self.left_heads, self.right_heads, self.left_sections, self.right_sections, self.left_keyed, self.right_keyed, self.compared)
 
+    def observed(self) -> dict[str, dict[str, int]]:
+        """Papers, papers that couldn't be parsed and verses of each side, as counted while they were written."""
+        return {side: {k: v or 0 for k, v in seen.get.items()} for side, seen in self._seen.items()}
+
     def errors(self) -> DataFrame:
         """Papers that couldn't be parsed, by side."""
         side = lambda df, s: df.where("error is not null").select("paper", F.lit(s).alias("side"), "error")

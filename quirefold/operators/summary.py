@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.macros import macro_table
+from ..sources.scratch import stored
 from .diff import Comparison, glyph_log, text_changes
 
 
@@ -133,24 +134,62 @@ def failed_details(c: Comparison, most: int = 20) -> DataFrame:
     return _joined(c.mismatches, ["kind", "section", "verse", "detail"], F.concat(F.lit("- **"), "kind", F.lit("** "), "detail"), most, "in the paper's own report")
 
 
-def book_report(c: Comparison) -> str:
-    """Markdown for the book: totals, categories, a line per paper, details of the papers that failed."""
+def book_rows(c: Comparison) -> DataFrame:
+    """(part, paper, line): the book's report as rows: totals, categories, a line per paper, details of the papers that failed."""
     summary = paper_summary(c)
-    t = totals(summary).first()
-    out = ["# Summary", "", f"- Papers: {t.papers}, clean {t.clean}, failed {t.failed}", f"- Verses: {t.left_verses} and {t.right_verses}, common {t.common}, only left {t.only_left}, only right {t.only_right}", f"- Text diffs: {t.text_diffs}, italic diffs: {t.italic_diffs}", "", "| Category | Count | First |", "|-|-|-|"]
-    out += [f"| {r.kind} | {r.n} | {r.examples[0] if r.examples else ''} |" for r in by_kind(c.mismatches).collect()]
-    out += ["", "| Paper | Left | Right | Common | Only left | Only right | Text | Italic | Status |", "|-|-|-|-|-|-|-|-|-|"]
-    out += [f"| {r.paper} | {r.left_verses} | {r.right_verses} | {r.common} | {r.only_left} | {r.only_right} | {r.text_diffs} | {r.italic_diffs} | {r.status} |" for r in summary.orderBy("paper").toLocalIterator()]
-    for r in failed_details(c).orderBy("paper").toLocalIterator():
-        out += ["", f"### Paper {r.paper}", r.text]
-    return "\n".join(out) + "\n"
+    spark = summary.sparkSession
+    row = lambda df, part, line, paper=F.lit(0): df.select(F.lit(part).alias("part"), paper.cast("int").alias("paper"), line.alias("line"))
+    text = lambda *parts: F.concat(*[F.lit(p[1:]) if p.startswith("=") else F.col(p).cast("string") for p in parts])
+    one = spark.range(1)
+    top = totals(summary)
+    sums = F.concat_ws("\n", text("=# Summary\n\n- Papers: ", "papers", "=, clean ", "clean", "=, failed ", "failed"), text("=- Verses: ", "left_verses", "= and ", "right_verses", "=, common ", "common", "=, only left ", "only_left", "=, only right ", "only_right"), text("=- Text diffs: ", "text_diffs", "=, italic diffs: ", "italic_diffs"))
+    kinds = by_kind(c.mismatches).withColumn("first", F.coalesce(F.try_element_at("examples", F.lit(1)), F.lit("")))
+    # most first; kinds are few, their order is part of the sort below
+    listed = row(kinds, 2, text("=| ", "kind", "= | ", "n", "= | ", "first", "= |"), -F.least(F.col("n"), F.lit(2**31 - 1)))
+    papers = row(summary, 4, F.concat(F.lit("| "), F.concat_ws(" | ", *[F.col(x).cast("string") for x in ("paper", "left_verses", "right_verses", "common", "only_left", "only_right", "text_diffs", "italic_diffs", "status")]), F.lit(" |")), F.col("paper"))
+    details = row(failed_details(c), 5, F.concat(F.lit("\n### Paper "), F.col("paper").cast("string"), F.lit("\n"), "text"), F.col("paper"))
+    heads = row(one, 1, F.lit("\n| Category | Count | First |\n|-|-|-|")).unionAll(row(one, 3, F.lit("\n| Paper | Left | Right | Common | Only left | Only right | Text | Italic | Status |\n|-|-|-|-|-|-|-|-|-|")))
+    return row(top, 0, sums).unionAll(heads).unionAll(listed).unionAll(papers).unionAll(details)
+
+
+def write_in_order(rows: DataFrame, order: list[str], folder: str, parts: int | None = None) -> None:
+    """Writes ``line`` of the rows as text files whose names and lines follow ``order``; the executors write, the driver holds none of it."""
+    n = parts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("line").write.text(folder)
+
+
+def read_in_order(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, n, line): the lines of what ``write_in_order`` wrote, in the order of file and n."""
+    return spark.read.text(folder).select(F.col("_metadata.file_name").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("k")).alias("n"), F.col("value").alias("line"))
+
+
+def write_book_report(c: Comparison, folder: str, parts: int | None = None) -> None:
+    """The book's report as text files in order, written by the executors."""
+    write_in_order(book_rows(c), ["part", "paper", "line"], folder, parts)
+
+
+def book_report(c: Comparison) -> str:
+    """The book's report as one string, for a book that a reader would read on a screen; ``write_book_report`` has no such bound."""
+    return "\n".join(r.line for r in book_rows(c).orderBy("part", "paper", "line").toLocalIterator()) + "\n"
+
+
+def coverage_rows(tokens: DataFrame) -> DataFrame:
+    """(part, rank, line): the macro coverage as rows: totals, unknown names in order, then each macro with its places, most used first."""
+    used = stored(macro_coverage(tokens).select("value", "n", "known", "places"), "coverage")
+    row = lambda df, part, rank, line: df.select(F.lit(part).alias("part"), rank.cast("long").alias("rank"), line.alias("line"))
+    top = used.agg(F.count("*").alias("m"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(~F.col("known")).alias("u"))
+    head = row(top, 0, F.lit(0), F.concat(F.lit("# "), F.col("m").cast("string"), F.lit(" macros, "), F.col("n").cast("string"), F.lit(" occurrences\n# unknown: "), F.col("u").cast("string")))
+    unknown = row(used.where("not known"), 1, F.lit(0), F.concat(F.lit("# unknown "), "value"))
+    places = F.array_join(F.transform("places", lambda p: F.concat(F.lit("\n    at "), p)), "")
+    each = row(used, 2, -F.col("n"), F.concat(F.when(F.col("known"), "KNOWN ").otherwise("UNKNOWN "), F.col("n").cast("string"), F.lit(" \\"), "value", places))
+    return head.unionAll(unknown).unionAll(each)
+
+
+def write_coverage_report(tokens: DataFrame, folder: str, parts: int | None = None) -> None:
+    """The macro coverage as text files in order, written by the executors."""
+    write_in_order(coverage_rows(tokens), ["part", "rank", "line"], folder, parts)
 
 
 def coverage_report(tokens: DataFrame) -> str:
-    """Text of the macro coverage: totals, unknown ones, then each macro with its places, most used first."""
-    rows = macro_coverage(tokens).collect()  # a row for each macro's name
-    unknown = [r.value for r in rows if not r.known]
-    out = [f"# {len(rows)} macros, {sum(r.n for r in rows)} occurrences", f"# unknown: {len(unknown)} {' '.join(sorted(unknown))}".rstrip()]
-    for r in rows:
-        out += [f"{'KNOWN' if r.known else 'UNKNOWN'} {r.n} \\{r.value}", *(f"    at {p}" for p in r.places)]
-    return "\n".join(out) + "\n"
+    """The macro coverage as one string."""
+    return "\n".join(r.line for r in coverage_rows(tokens).orderBy("part", "rank", "line").toLocalIterator()) + "\n"

@@ -10,10 +10,11 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
 from ..functions import macros as mc
 from ..functions.spans import Runs, Spans, typeset
@@ -320,5 +321,21 @@ class Tokenize:
             yield (k, *t)
 
 
+@F.udtf
+class TokenTable:
+    """SQL: ``SELECT ... FROM token_table(TABLE(files) PARTITION BY path)`` after ``register``; the files' first two columns are their key and source."""
+
+    @staticmethod
+    def analyze(files: AnalyzeArgument) -> AnalyzeResult:
+        if not files.isTable or len(files.dataType.fields) < 2:
+            raise ValueError("token_table takes a table whose first two columns are a key and a source")
+        return AnalyzeResult(T.StructType([T.StructField(files.dataType.fields[0].name, files.dataType.fields[0].dataType), *_TOKEN.fields]))
+
+    def eval(self, row: Row):  # noqa: ANN201
+        for k, t in enumerate(tokens(row[1] or "")):
+            yield (row[0], k, *t)
+
+
 def register(spark: SparkSession) -> None:
     spark.udtf.register("tokenize", Tokenize)
+    spark.udtf.register("token_table", TokenTable)

@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import checks, diff, summary, tex
+from ..operators import checks, diff, gates, summary, tex
 from ..operators.html import html_papers
+from ..operators.ordered import numbered
 from ..schemas import SPANS
 from ..sources import files as fs
 from ..sources.scratch import scratch, stored, write_files
@@ -107,7 +108,7 @@ def edition_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mutants_caught(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damage done to papers whose editions agree, and how often the comparison saw it."""
-    v = _verses(spark, sf_dir).where("paper % 4 <> 1 and k >= 1")
+    v = _verses(spark, sf_dir)
     p, number = F.col("paper"), F.format_string("%03d", F.col("paper"))
     first, rest = F.regexp_extract("body", "^[^ ]+", 0), F.expr("substring(body, char_length(regexp_extract(body, '^[^ ]+', 0)) + 1)")
     left = _joined(v, ["paper"], "k", F.concat(F.lit("\\vs p"), number, F.lit(" 1:"), F.col("k"), F.lit(" word \\bibemph{"), first, F.lit("}"), rest), "vs").select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), F.concat(F.lit("\\upaper{"), p, F.lit("}{T}\n"), "vs").alias("src"))
@@ -133,7 +134,7 @@ def extract_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def changed_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Character edits of verses with one planted insertion, loss or replacement of a sign that occurs nowhere else."""
-    v = _verses(spark, sf_dir).select("paper", F.lit(1).alias("section"), F.col("k").alias("verse"), F.trim(F.substring("body", 1, 150)).alias("body"))
+    v = _verses(spark, sf_dir).select("paper", F.lit(1).alias("section"), F.col("k").alias("verse"), "body")
     # at an end, where no repeated part of the text can match better
     head, tail = F.when(F.expr("verse % 2 = 1"), F.col("body")).otherwise(""), F.when(F.expr("verse % 2 = 1"), "").otherwise(F.col("body"))
     none = F.expr(f"cast(array() as {SPANS})").alias("italics")
@@ -147,8 +148,9 @@ def changed_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clean_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text with odd space and glyphs, normalized with its spans: the second word, cut in two, and the first."""
-    v = _verses(spark, sf_dir).select("paper", "k", F.split("body", " ").alias("w"), "body").where("size(w) >= 3")
-    a, b, c = (F.col("w")[i] for i in range(3))
+    longer = F.concat("body", F.lit(" and so on"))
+    v = _verses(spark, sf_dir).select("paper", "k", F.split(longer, " ").alias("w"))
+    a, b, c = F.col("w")[0], F.col("w")[1], F.array_join(F.expr("slice(w, 3, size(w))"), " ")
     text = F.concat(F.lit(" \t"), a, F.lit(" \u00a0 "), b, F.lit("\u2009"), c, F.lit("\u02bc  "))
     la, lb = F.length(a), F.length(b)
     at = la + 5
@@ -162,43 +164,43 @@ def clean_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tex_constructs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verses through every sort of macro: text and spans as extracted."""
-    v = _verses(spark, sf_dir).select("paper", "k", F.regexp_extract("body", "^[^ ]+", 0).alias("w"))
+    v = _verses(spark, sf_dir).select("paper", "k", F.col("body").alias("w"))
     number = F.format_string("%03d", F.col("paper"))
-    text = F.element_at(F.array(*[F.concat(*[F.col("w") if x is None else F.lit(x) for x in parts]) for parts, _, _ in _CONSTRUCTS]), (F.col("k") % len(_CONSTRUCTS) + 1).cast("int"))
+    text = F.element_at(F.array(*[F.concat(*[F.col("w") if x is None else F.lit(x) for x in parts]) for parts, *_ in _CONSTRUCTS]), (F.col("k") % len(_CONSTRUCTS) + 1).cast("int"))
     src = _joined(v, ["paper"], "k", F.concat(F.lit("\\vs p"), number, F.lit(" 1:"), F.col("k"), F.lit(" "), text), "vs").select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), "vs")
     papers = tex.tex_papers(src.select("path", F.concat(F.lit("\\usection{S}\n"), "vs").alias("src")))
     got = fs.verses_of(papers).select("paper", F.col("verse").alias("k"), "text", "italics", F.array_join("macros_seen", " ").alias("macros"))
     return got.select("paper", "k", "text", F.array_join(F.transform("italics", lambda y: F.concat_ws("-", y["s"].cast("string"), y["e"].cast("string"))), " ").alias("spans"), "macros")
 
 
-#: Source pieces (None: a word), the text that comes out ({}: the word), and its span: prefix and suffix around the word, or none.
-_CONSTRUCTS: list[tuple[list[str | None], str, str]] = [
-    ([None], "{}", ""),
-    (["a \\bibemph{", None, "} b"], "a {} b", "2 w"),
-    (["a {\\itshape ", None, "} b"], "a {} b", "2 w"),
-    (["a\\fnc{note \\bibemph{x}} ", None], "a {}", ""),
-    (["a \\kern-1pt", None], "a {}", ""),
-    (["\\vspace*{1ex}a \\hspace{2pt}", None], "a {}", ""),
-    (["\\makeatletter \\odd@name junk\\makeatother ", None], "{}", ""),
-    (["\\begin{quoting}", None, "\\end{quoting}"], "{}", ""),
-    (["\\begin{multicols}{2}", None, "\\end{multicols}"], "{}", ""),
-    (["a~--~", None, " --- b $x$"], "a \u2013 {} \u2014 b x", ""),
-    (["a % \\unknownmacro in a comment\n", None], "a {}", ""),
-    (["a\\hyp{}", None], "a-{}", ""),
-    (["\\ublistelem{1.}\\bibnobreakspace ", None, "\\ldots"], "1. {}...", ""),
-    (["\\textcolor{red}{", None, "} \\tunemarkup{x}{y}z"], "{} z", ""),
-    (["a \\textsc{", None, "}\\\\[1ex]b"], "a {}b", ""),
-    (["\\makebox[1cm][l]{", None, "} 2\\times 3"], "{} 2 x 3", ""),
-    (["a\\linebreak[3]", None, "\\footnote{gone}"], "a {}", ""),
-    (["[a] \\ts{", None, "}\\, b"], "[a] {} b", ""),
-    (["a {b {\\bibemph{", None, "}}} c"], "a b {} c", "4 w"),
-    (["\\setlength{\\parindent}{0pt}\\noindent"[:27], None], "{}", ""),
+#: Source pieces (None: a verse), the text that comes out ({}: the verse), its span: prefix and suffix around the verse, or none, and the macros seen in order.
+_CONSTRUCTS: list[tuple[list[str | None], str, str, str]] = [
+    ([None], "{}", "", ""),
+    (["a \\bibemph{", None, "} b"], "a {} b", "2 w", "bibemph"),
+    (["a {\\itshape ", None, "} b"], "a {} b", "2 w", "itshape"),
+    (["a\\fnc{note \\bibemph{x}} ", None], "a {}", "", "fnc"),
+    (["a \\kern-1pt", None], "a {}", "", "kern"),
+    (["\\vspace*{1ex}a \\hspace{2pt}", None], "a {}", "", "vspace hspace"),
+    (["\\makeatletter \\odd@name junk\\makeatother ", None], "{}", "", ""),
+    (["\\begin{quoting}", None, "\\end{quoting}"], "{}", "", "begin end"),
+    (["\\begin{multicols}{2}", None, "\\end{multicols}"], "{}", "", "begin end"),
+    (["a~--~", None, " --- b $x$"], "a \u2013 {} \u2014 b x", "", ""),
+    (["a % \\unknownmacro in a comment\n", None], "a {}", "", ""),
+    (["a\\hyp{}", None], "a-{}", "", "hyp"),
+    (["\\ublistelem{1.}\\bibnobreakspace ", None, "\\ldots"], "1. {}...", "", "ublistelem bibnobreakspace ldots"),
+    (["\\textcolor{red}{", None, "} \\tunemarkup{x}{y}z"], "{} z", "", "textcolor tunemarkup"),
+    (["a \\textsc{", None, "}\\\\[1ex]b"], "a {}b", "", "textsc \\"),
+    (["\\makebox[1cm][l]{", None, "} 2\\times 3"], "{} 2 x 3", "", "makebox times"),
+    (["a\\linebreak[3]", None, "\\footnote{gone}"], "a {}", "", "linebreak footnote"),
+    (["[a] \\ts{", None, "}\\, b"], "[a] {} b", "", "ts ,"),
+    (["a {b {\\bibemph{", None, "}}} c"], "a b {} c", "4 w", "bibemph"),
+    (["\\setlength{\\parindent}{0pt}", None], "{}", "", "setlength"),
 ]
 
 
 def html_constructs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verses through every rule of the other markup: citations, leaders, small caps, emphasis, raised numbers."""
-    v = _verses(spark, sf_dir).select("paper", "k", F.regexp_replace(F.regexp_extract("body", "^[^ ]+", 0), "[^a-zA-Z]", "").alias("w")).where("w <> ''")
+    v = _verses(spark, sf_dir).select("paper", "k", F.trim(F.regexp_replace(F.regexp_replace("body", "[^a-zA-Z ]", ""), " +", " ")).alias("w")).where("w <> ''")
     inner = F.element_at(F.array(*[F.concat(*[F.col("w") if x is None else F.lit(x) for x in parts]) for parts, _, _ in _RULES]), (F.col("k") % len(_RULES) + 1).cast("int"))
     para = F.concat(F.lit('<p id="U'), F.col("paper"), F.lit("_1_"), F.col("k"), F.lit('">'), inner, F.lit("</p>"))
     src = _joined(v, ["paper"], "k", para, "ps").select(F.format_string("Paper%03d.html", "paper").alias("path"), F.concat(F.lit('<nav><p id="x">no</p></nav><p id="U'), F.col("paper"), F.lit('_0_1">THE GREAT DAY was Here</p>'), "ps").alias("src"))
@@ -222,11 +224,11 @@ _RULES: list[tuple[list[str | None], str, str]] = [
 
 def title_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Section titles as both extractors read them: numbered in both ways, combined, plain."""
-    ids = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("paper")).distinct()
-    p, number = F.col("paper"), F.format_string("%03d", F.col("paper"))
-    left = ids.select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), F.concat(F.lit("\\upaper{"), p, F.lit("}{The \\bibemph{Name} --- "), p, F.lit("}\n\\upapertitle{Sub}\n\\author{A\\hyp{}B}\n\\usection{One}\n\\usectiontwo{2 and 3}{Two~Three}\n\\usection{Four}")).alias("src"))
+    ids = _verses(spark, sf_dir).groupBy("paper").agg(F.min_by("body", "k").alias("body")).select("paper", F.trim(F.regexp_replace("body", "[^a-zA-Z0-9 ]+ *", "")).alias("w"))
+    p, number, w = F.col("paper"), F.format_string("%03d", F.col("paper")), F.col("w")
+    left = ids.select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), F.concat(F.lit("\\upaper{"), p, F.lit("}{The \\bibemph{Name "), w, F.lit("} --- "), p, F.lit("}\n\\upapertitle{Sub "), w, F.lit("}\n\\author{A\\hyp{}B}\n\\usection{One}\n\\usectiontwo{2 and 3}{Two~Three}\n\\usection{Four~"), w, F.lit("}")).alias("src"))
     h2 = lambda s, t: F.concat(F.lit('<h2 id="U'), p, F.lit(f'_{s}_0">{t}</h2>'))
-    right = ids.select(F.format_string("Paper%03d.html", p).alias("path"), F.concat(F.lit('<h1 id="U'), p, F.lit('_0_0">Paper '), p, F.lit(". The Name</h1>"), h2(1, "1. One"), h2(3, "2. and 3. Two Three"), h2(4, "IV. Four"), h2(5, "Plain")).alias("src"))
+    right = ids.select(F.format_string("Paper%03d.html", p).alias("path"), F.concat(F.lit('<h1 id="U'), p, F.lit('_0_0">Paper '), p, F.lit(". The Name "), w, F.lit("</h1>"), h2(1, "1. One"), h2(3, "2. and 3. Two Three"), h2(4, "IV. Four"), h2(5, "Plain"), F.lit('<h2 id="U'), p, F.lit('_6_0">6. Six '), w, F.lit("</h2>")).alias("src"))
     out = []
     for side, papers in (("left", tex.tex_papers(left)), ("right", html_papers(right))):
         s = F.array_join(F.transform("sections", lambda x: F.concat_ws(" ", x["n"].cast("string"), x["title"], F.coalesce(x["combined_with"].cast("string"), F.lit("-")))), ";")
@@ -243,11 +245,11 @@ def poetic_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def broken_papers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Papers that can't be parsed are told apart, and don't stop the others."""
-    ids = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("paper")).distinct()
+    """Papers whose source breaks off behind their verses, in four ways, are told apart and don't stop the others."""
     p, number = F.col("paper"), F.format_string("%03d", F.col("paper"))
-    src = F.element_at(F.array(F.concat(F.lit("\\vs p"), number, F.lit(" 1:1 fine")), F.lit("\\nosuchmacro x"), F.lit("\\begin{nosuch}x\\end{nosuch}"), F.concat(F.lit("\\upaper{"), p + 1, F.lit("}{T}")), F.lit("\\vs q 1:1 x")), (p % 5 + 1).cast("int"))
-    got = tex.tex_papers(ids.select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), src.alias("src")))
+    verses = _joined(_verses(spark, sf_dir), ["paper"], "k", F.concat(F.lit("\\vs p"), number, F.lit(" 1:"), F.col("k"), F.lit(" "), F.col("body")), "vs")
+    end = F.element_at(F.array(F.lit("\\par"), F.lit("\\nosuchmacro x"), F.lit("\\begin{nosuch}x\\end{nosuch}"), F.concat(F.lit("\\upaper{"), p + 1, F.lit("}{T}")), F.lit("\\vs q 1:1 x")), (p % 5 + 1).cast("int"))
+    got = tex.tex_papers(verses.select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), F.concat("vs", F.lit("\n"), end).alias("src")))
     return got.select("paper", F.col("error").isNotNull().alias("broken"), F.size("verses").alias("verses"))
 
 
@@ -259,7 +261,7 @@ def paper_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = src.select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), "src")
     folder = scratch(spark, "papers")
     write_files(own.unionByName(src.select(F.concat(F.lit("p"), F.col("book"), F.lit("-sections.tex")).alias("path"), F.lit("\\nothing").alias("src"))), folder)
-    papers = stored(fs.only(tex.tex_papers(fs.tex_files(spark, folder)), [k for k in range(100) if k % 10 != 9]), "papers")
+    papers = stored(tex.tex_papers(fs.chosen(fs.tex_files(spark, folder), [k for k in range(100) if k % 10 != 9])), "papers")
     fs.write_jsonl(papers, (lines := scratch(spark, "jsonl")))
     heads, verses = fs.read_jsonl(spark, lines)
     found = diff.last_wins(verses.unionByName(verses.where("verse = 1").withColumn("text", F.concat("text", F.lit("!"))).withColumn("ord", F.struct(F.lit("~").alias("file"), F.lit(0).cast("long").alias("split"), F.lit(0).cast("long").alias("n")))))
@@ -294,15 +296,58 @@ def unknown_macro_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def macro_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first three places of each macro, by document and place in it."""
-    marked = F.concat(F.lit("ab \\par cd\n"), F.when(F.expr("doc_id % 2 = 0"), F.lit(" \\ldots ")).otherwise(""), F.lit("\\mystery"))
-    t = tex.token_table(_t(spark, sf_dir, "documents").select(F.col("doc_id").alias("path"), marked.alias("src")))
-    return summary.macro_coverage(t).select("value", "n", "known", F.array_join("places", " ").alias("places"))
+    """The first three places of each macro, by document and place in it: one before every verse, one behind every second."""
+    line = F.concat(F.lit("\\mystery "), F.col("body"), F.when(F.expr("k % 2 = 1"), F.lit(" \\ldots")).otherwise(""))
+    docs = _joined(_verses(spark, sf_dir), ["paper"], "k", line, "src").select(F.col("paper").alias("path"), "src")
+    return summary.macro_coverage(tex.token_table(docs)).select("value", "n", "known", F.array_join("places", " ").alias("places"))
+
+
+def _with_problems(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides' files, some missing on a side, some twice, some broken, some with a verse that the extractor can't see."""
+    left, right, _ = editions(spark, sf_dir)
+    paper = F.regexp_extract("path", r"(\d+)\.\w+$", 1).cast("int")
+    left = left.withColumn("p", paper).where("p % 37 <> 5").select("path", F.when(F.expr("p % 41 = 6"), F.lit("\\nosuchmacro")).otherwise(F.col("src")).alias("src"))
+    lost = F.when(F.expr("p % 31 = 3"), F.concat(F.lit('<!--<p id="U'), F.col("p").cast("string"), F.lit('_1_888888">hidden</p>-->'))).otherwise("")
+    right = right.withColumn("p", paper).where("p % 23 <> 1").select("p", "path", F.concat("src", lost).alias("src"))
+    again = right.where("p % 29 = 2").withColumn("path", F.concat(F.lit("Again"), "path"))
+    return stored(left, "left-files"), stored(right.unionByName(again).select("path", "src"), "right-files")
+
+
+def gate_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stops a strict run: missing and doubled files, papers that don't parse, verses lost on the way."""
+    left, right = _with_problems(spark, sf_dir)
+    c = diff.Comparison(tex.tex_papers(left), html_papers(right), fs.read_deviations(spark, None))
+    return gates.problems(left, right, c).select("gate", "paper", "side")
+
+
+def paper_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A digest of each paper's verses, and how it fares in a second run with changed, lost and new papers."""
+    left, _, _ = editions(spark, sf_dir)
+    verses = stored(fs.verses_of(tex.tex_papers(left)), "verses")
+    text = F.when(F.expr("paper % 9 = 4 and section = 2"), F.concat("text", F.lit("."))).otherwise(F.col("text"))
+    before, after = (stored(checks.paper_digests(v), "digests") for v in (verses, verses.where("paper % 15 <> 7").withColumn("text", text)))
+    return before.join(checks.changed_papers(before, after), "paper", "left").select("paper", "verses", "digest", F.coalesce("change", F.lit("same")).alias("change"))
+
+
+def book_report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The book's report, written in order by the executors and read back: its line for each paper, with the line's place among them."""
+    folder = scratch(spark, "report")
+    summary.write_book_report(_compared(spark, sf_dir), folder, 7)
+    lines = summary.read_in_order(spark, folder).where(F.col("line").rlike(r"^\| \d"))
+    return numbered(lines, "file", "n", name="place").select("place", "line")
+
+
+def tokens_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line of each document, and where the last begins, in SQL by the table function over parts of a table."""
+    tex.register(spark)
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.concat(F.replace(F.col("text"), F.lit("the "), F.lit("\\hyp{}the ")), F.lit("\n")).alias("src"))
+    docs.createOrReplaceTempView("token_sources")
+    return spark.sql("SELECT doc_id, line, count(*) AS tokens, max(col) AS last FROM token_table(TABLE(token_sources) PARTITION BY doc_id) GROUP BY doc_id, line")
 
 
 FUNCTIONS = [
     edition_mismatches, edition_summary, book_totals, failure_kinds, report_counts, glyph_audit, edition_recount, mutants_caught, spot_check, extract_digest, changed_letters, clean_spans, tex_constructs, html_constructs, title_forms,
-    poetic_lines, broken_papers, paper_files, deviation_file, list_openers, unknown_macro_names, macro_places,
+    poetic_lines, broken_papers, paper_files, deviation_file, list_openers, unknown_macro_names, macro_places, gate_findings, paper_digests, book_report_lines, tokens_in_sql,
 ]
 
 _V = r"""ln AS (SELECT CAST(doc_id AS INTEGER) AS paper, unnest(string_split(text, chr(10))) AS line, CAST(generate_subscripts(string_split(text, chr(10)), 1) AS INTEGER) AS k FROM documents),
@@ -317,11 +362,11 @@ s AS (SELECT d.paper, CAST(3 AS BIGINT) AS left_sections, CAST(3 AS BIGINT) AS r
 t AS (SELECT *, CASE WHEN mismatches = 0 THEN 'CLEAN' ELSE 'FAIL' END AS status FROM s)"""
 
 
-def _choice(rules: list[tuple[list[str | None], str, str]], upper: str = "upper(w)") -> tuple[str, str]:
+def _choice(rules: list[tuple], upper: str = "upper(w)") -> tuple[str, str]:
     """SQL for the text and the spans that each rule gives."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     texts, spans = [], []
-    for i, (_, text, span) in enumerate(rules):
+    for i, (_, text, span, *_) in enumerate(rules):
         texts.append(f"WHEN {i} THEN replace(replace({quote(text)}, '{{U}}', {upper}), '{{}}', w)")
         if span:
             start, _, size = span.partition(" ")
@@ -330,9 +375,8 @@ def _choice(rules: list[tuple[list[str | None], str, str]], upper: str = "upper(
 
 
 def _macros() -> str:
-    """SQL for the macros that each construct holds, as they are seen in order."""
-    seen = [tex.extract("\\vs p001 1:1 " + "".join("w" if x is None else x for x in parts), 1)["verses"][0]["macros_seen"] for parts, _, _ in _CONSTRUCTS]
-    return f"CASE k % {len(seen)} " + " ".join(f"WHEN {i} THEN '{' '.join(s)}'" for i, s in enumerate(seen)) + " END"
+    """SQL for the macros that each construct holds."""
+    return f"CASE k % {len(_CONSTRUCTS)} " + " ".join(f"WHEN {i} THEN '{seen}'" for i, (*_, seen) in enumerate(_CONSTRUCTS)) + " END"
 
 
 _TEX_TEXT, _TEX_SPANS = _choice(_CONSTRUCTS)
@@ -349,30 +393,47 @@ r AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY paper, a, b) AS i
     "report_counts": f"WITH {_P} SELECT paper, left_verses, right_verses, common, only_left, only_right, text_diffs, italic_diffs, status, mismatches FROM t",
     "glyph_audit": f"""WITH {_P} SELECT v.paper, CAST(1 AS INTEGER) AS section, k AS verse, 'right' AS side, 'MODIFIER_APOSTROPHE' AS glyph, CAST(1 AS INTEGER) AS n FROM v WHERE paper % 4 = 1 AND NOT (k = 1 AND (paper % 7 = 0 OR paper % 10 = 0))""",
     "edition_recount": f"WITH {_P} SELECT paper, CAST(n + 1 AS INTEGER) AS markers, n + 1 AS tex_verses, n + 1 - lost + extra AS ids, n + 1 - lost + extra AS html_verses, true AS ok FROM d",
-    "mutants_caught": f"WITH {_V}, c AS (SELECT count(DISTINCT paper) AS papers FROM v WHERE paper % 4 <> 1) SELECT unnest(['double_word', 'lose_verse', 'shift_number', 'mark_word', 'cut_letter', 'unmark_word']) AS mutant, papers, papers AS caught FROM c",
+    "mutants_caught": f"""WITH {_V}, x AS (SELECT paper, 'word \\bibemph{{' || regexp_extract(body, '^[^ ]+') || '}}' || substr(body, length(regexp_extract(body, '^[^ ]+')) + 1) AS t FROM v),
+c AS (SELECT count(DISTINCT paper) AS papers, count(DISTINCT paper) FILTER (WHERE contains(t, ',')) AS commas, count(DISTINCT paper) FILTER (WHERE regexp_matches(t, '^[^.]*\\. [^.]+\\.')) AS sentences FROM x),
+m AS (SELECT unnest(['double_word', 'lose_verse', 'shift_number', 'mark_word', 'cut_letter', 'unmark_word']) AS mutant, papers FROM c UNION ALL SELECT 'comma_to_dot', commas FROM c UNION ALL SELECT 'lose_sentence', sentences FROM c)
+SELECT mutant, papers, papers AS caught FROM m WHERE papers > 0""",
     "spot_check": f"""WITH {_V}, a AS (SELECT paper, 1 AS section, k AS verse, body FROM v UNION ALL SELECT DISTINCT paper, 2, 1, 'pair text' FROM v), x AS (SELECT * FROM a ORDER BY md5('42:' || paper || ':' || section || ':' || verse), paper, section, verse LIMIT 25)
 SELECT paper, CAST(section AS INTEGER) AS section, CAST(verse AS INTEGER) AS verse, substr(body || CASE WHEN paper % 4 = 1 AND section = 1 THEN chr(8217) || 's' ELSE '' END, 1, 300) AS left_text, CASE WHEN section = 2 OR (paper % 7 = 0 AND verse = 1) THEN '(missing)' ELSE substr(CASE WHEN paper % 5 = 0 AND verse = 1 THEN 'X' ELSE '' END || body || CASE WHEN paper % 4 = 1 THEN chr(700) || 's' ELSE '' END, 1, 300) END AS right_text FROM x""",
     "extract_digest": f"WITH {_V} SELECT count(*) + count(DISTINCT paper) AS verses, count(*) FILTER (WHERE (paper + k) % 3 = 0) AS spans, true AS same, true AS told_apart FROM v",
-    "changed_letters": f"""WITH {_V}, b AS (SELECT paper, k, trim(substr(body, 1, 150)) AS body, CASE WHEN k % 2 = 1 THEN length(trim(substr(body, 1, 150))) ELSE 0 END AS c FROM v)
-SELECT paper, k AS verse, CASE paper % 3 WHEN 0 THEN 'insert' WHEN 1 THEN 'delete' ELSE 'replace' END AS tag, CAST(c AS INTEGER) AS i1, CAST(c + CAST(paper % 3 <> 0 AS INTEGER) AS INTEGER) AS i2, CAST(c AS INTEGER) AS j1, CAST(c + CAST(paper % 3 <> 1 AS INTEGER) AS INTEGER) AS j2,
-CAST(least(c, 20) AS INTEGER) AS n_before, CASE WHEN paper % 3 = 0 THEN '' ELSE chr(9731) END AS "left", CASE paper % 3 WHEN 0 THEN chr(9730) WHEN 1 THEN '' ELSE chr(9732) END AS "right", CAST(least(length(body) - c, 20) AS INTEGER) AS n_after FROM b""",
-    "clean_spans": f"""WITH {_V}, x AS (SELECT paper, k, string_split(body, ' ') AS w FROM v), y AS (SELECT paper, k, w[1] AS a, w[2] AS b, w[3] AS c, length(w[1]) AS la, length(w[2]) AS lb, length(w[1]) + 5 AS st FROM x WHERE len(w) >= 3)
+    "changed_letters": f"""WITH {_V}, ch AS (SELECT paper, k, unnest(string_split(nfc_normalize(body), '')) AS c FROM v), n AS (SELECT paper, k, c, count(*) AS n FROM ch GROUP BY ALL), z AS (SELECT paper, k, min(n) AS rarest FROM n GROUP BY ALL),
+b AS (SELECT paper, k, nfc_normalize(body) AS body, length(nfc_normalize(body)) AS l, CASE WHEN k % 2 = 1 THEN length(nfc_normalize(body)) ELSE 0 END AS c, CAST(paper % 3 <> 0 AS INTEGER) AS da, CAST(paper % 3 <> 1 AS INTEGER) AS db, rarest FROM v JOIN z USING (paper, k)),
+e AS (SELECT *, k % 2 = 0 AND l + db >= 200 AND rarest > (l + db) // 100 + 1 AS whole FROM b)
+SELECT paper, k AS verse, CASE WHEN whole THEN 'replace' ELSE CASE paper % 3 WHEN 0 THEN 'insert' WHEN 1 THEN 'delete' ELSE 'replace' END END AS tag, CAST(c AS INTEGER) AS i1, CAST(c + da + CASE WHEN whole THEN l ELSE 0 END AS INTEGER) AS i2, CAST(c AS INTEGER) AS j1, CAST(c + db + CASE WHEN whole THEN l ELSE 0 END AS INTEGER) AS j2,
+CAST(least(c, 20) AS INTEGER) AS n_before, CASE WHEN paper % 3 = 0 THEN '' ELSE chr(9731) END || CASE WHEN whole THEN body ELSE '' END AS "left", CASE paper % 3 WHEN 0 THEN chr(9730) WHEN 1 THEN '' ELSE chr(9732) END || CASE WHEN whole THEN body ELSE '' END AS "right", CAST(CASE WHEN whole THEN 0 ELSE least(l - c, 20) END AS INTEGER) AS n_after FROM e""",
+    "clean_spans": f"""WITH {_V}, x AS (SELECT paper, k, string_split(body || ' and so on', ' ') AS w FROM v), y AS (SELECT paper, k, w[1] AS a, w[2] AS b, array_to_string(w[3:], ' ') AS c, length(w[1]) AS la, length(w[2]) AS lb, length(w[1]) + 5 AS st FROM x)
 SELECT paper, k, nfc_normalize(a || ' ' || b || ' ' || c) || chr(8217) AS text, '0-' || la || ' ' || (la + 1) || '-' || (la + 1 + lb) AS spans,
 '0-' || (la + 2) || ' ' || st || '-' || (st + lb) || ' ' || (st + lb + 1) || '-' || (st + lb + 1) AS merged, (st + 10) || '-' || (st + 10 + lb // 2) || ' ' || (st + 10 + lb // 2) || '-' || (st + 10 + lb) || ' 10-' || (la + 12) || ' ' || (st + lb + 11) || '-' || (st + lb + 11) AS shifted FROM y""",
-    "tex_constructs": f"WITH {_V}, x AS (SELECT paper, k, regexp_extract(body, '^[^ ]+') AS w FROM v) SELECT paper, k, {_TEX_TEXT} AS text, {_TEX_SPANS} AS spans, {_macros()} AS macros FROM x",
-    "html_constructs": f"WITH {_V}, x AS (SELECT paper, k, regexp_replace(regexp_extract(body, '^[^ ]+'), '[^a-zA-Z]', '', 'g') AS w FROM v), z AS (SELECT * FROM x WHERE w <> '') SELECT paper, CAST(1 AS INTEGER) AS section, k, {_HTML_TEXT} AS text, {_HTML_SPANS} AS spans FROM z UNION ALL SELECT DISTINCT paper, 0, 1, 'The great day was Here', '' FROM z",
-    "title_forms": """WITH i AS (SELECT DISTINCT CAST(doc_id AS INTEGER) AS paper FROM documents) SELECT paper, 'left' AS side, 'The Name ' || chr(8212) || ' ' || paper AS title, 'Sub' AS subtitle, 'A-B' AS author, '1 One -;2 Two Three 3;3 Two Three 2;4 Four -' AS sections FROM i
-UNION ALL SELECT paper, 'right', 'The Name', '-', '-', '1 One -;2 Two Three 3;3 Two Three 2;4 Four -;5 Plain -' FROM i""",
+    "tex_constructs": f"WITH {_V}, x AS (SELECT paper, k, body AS w FROM v) SELECT paper, k, {_TEX_TEXT} AS text, {_TEX_SPANS} AS spans, {_macros()} AS macros FROM x",
+    "html_constructs": f"WITH {_V}, x AS (SELECT paper, k, trim(regexp_replace(regexp_replace(body, '[^a-zA-Z ]', '', 'g'), ' +', ' ', 'g')) AS w FROM v), z AS (SELECT * FROM x WHERE w <> '') SELECT paper, CAST(1 AS INTEGER) AS section, k, {_HTML_TEXT} AS text, {_HTML_SPANS} AS spans FROM z UNION ALL SELECT DISTINCT paper, 0, 1, 'The great day was Here', '' FROM z",
+    "title_forms": f"""WITH {_V}, f AS (SELECT paper, arg_min(body, k) AS body FROM v GROUP BY paper), i AS (SELECT paper, trim(regexp_replace(body, '[^a-zA-Z0-9 ]+ *', '', 'g')) AS w FROM f),
+j AS (SELECT paper, regexp_replace(w, ' +', ' ', 'g') AS w FROM i)
+SELECT paper, 'left' AS side, trim('The Name ' || w) || ' ' || chr(8212) || ' ' || paper AS title, trim('Sub ' || w) AS subtitle, 'A-B' AS author, '1 One -;2 Two Three 3;3 Two Three 2;4 ' || trim('Four ' || w) || ' -' AS sections FROM j
+UNION ALL SELECT paper, 'right', trim('The Name ' || w), '-', '-', '1 One -;2 Two Three 3;3 Two Three 2;4 Four -;5 Plain -;6 ' || trim('Six ' || w) || ' -' FROM j""",
     "poetic_lines": f"""WITH {_V}, r AS (SELECT paper, 1 AS section, 4 + row_number() OVER (PARTITION BY paper ORDER BY k) AS verse, body AS text FROM v)
 SELECT paper, CAST(section AS INTEGER) AS section, CAST(verse AS INTEGER) AS verse, text FROM r UNION ALL SELECT DISTINCT paper, 1, 900000, 'plainstill' FROM v UNION ALL SELECT DISTINCT paper, 2, 7, 'old new' FROM v UNION ALL SELECT DISTINCT paper, 2, 8, 'then' FROM v""",
-    "broken_papers": "WITH i AS (SELECT DISTINCT CAST(doc_id AS INTEGER) AS paper FROM documents) SELECT paper, paper % 5 <> 0 AS broken, CAST(CASE WHEN paper % 5 = 0 THEN 1 ELSE 0 END AS INTEGER) AS verses FROM i",
+    "broken_papers": f"WITH {_V} SELECT paper, paper % 5 <> 0 AS broken, CAST(CASE WHEN paper % 5 = 0 THEN count(*) ELSE 0 END AS INTEGER) AS verses FROM v GROUP BY paper",
     "paper_files": f"WITH {_V} SELECT CAST(paper % 100 AS INTEGER) AS paper, CAST(paper // 100 + 1 AS INTEGER) AS section, k AS verse, body || CASE WHEN k = 1 THEN '!' ELSE '' END AS text, CAST(k = 1 AS BIGINT) AS repeats FROM v WHERE paper % 10 <> 9",
     "deviation_file": """SELECT CAST(doc_id % 500 AS INTEGER) AS paper, CAST(doc_id // 500 AS INTEGER) AS section, CAST(unnest(generate_series(3, CASE WHEN doc_id % 3 = 0 THEN 5 ELSE 3 END)) AS INTEGER) AS verse, doc_id % 2 = 0 AS skip, doc_id % 4 = 1 AS ignore_italics, 'chars ' || n_chars AS reason FROM documents""",
     "list_openers": r"""WITH s AS (SELECT doc_id, string_split(regexp_replace(text, '[\\{}]', ' ', 'g'), chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS x, generate_subscripts(ls, 1) - 1 AS i FROM s)
 SELECT doc_id || '.tex' AS path, CAST(count(*) FILTER (WHERE i % 3 = 0) AS INTEGER) AS fixes, md5(string_agg(CASE i % 3 WHEN 0 THEN '\pc \vs p001 1:' || i || ' \ublistelem{1.} ' || x WHEN 1 THEN '\pc \vs p001 1:1 \ublistelem{1.} ' || x ELSE x END, chr(10) ORDER BY i)) AS md5 FROM l GROUP BY doc_id""",
     "unknown_macro_names": "SELECT DISTINCT 'mystery' AS name FROM documents WHERE text LIKE '%and %'",
-    "macro_places": """WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i FROM documents), e AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i FROM documents WHERE doc_id % 2 = 0)
-SELECT 'par' AS value, count(*) AS n, true AS known, string_agg(doc_id || ':1:4', ' ' ORDER BY i) FILTER (WHERE i <= 3) AS places FROM d UNION ALL SELECT 'mystery', count(*), false, string_agg(doc_id || ':2:' || CASE WHEN doc_id % 2 = 0 THEN 9 ELSE 1 END, ' ' ORDER BY i) FILTER (WHERE i <= 3) FROM d
-UNION ALL SELECT 'ldots', count(*), true, string_agg(doc_id || ':2:2', ' ' ORDER BY i) FILTER (WHERE i <= 3) FROM e""",
+    "macro_places": f"""WITH {_V}, x AS (SELECT paper, body, k, row_number() OVER (PARTITION BY paper ORDER BY k) AS l FROM v), y AS (SELECT *, row_number() OVER (ORDER BY paper, k) AS i, row_number() OVER (PARTITION BY k % 2 ORDER BY paper, k) AS j FROM x)
+SELECT 'mystery' AS value, count(*) AS n, false AS known, string_agg(paper || ':' || l || ':1', ' ' ORDER BY i) FILTER (WHERE i <= 3) AS places FROM y
+UNION ALL SELECT 'ldots', count(*), true, string_agg(paper || ':' || l || ':' || (length(body) + 11), ' ' ORDER BY j) FILTER (WHERE j <= 3) FROM y WHERE k % 2 = 1""",
+    "gate_findings": f"""WITH {_V}, p AS (SELECT DISTINCT paper FROM v), q AS (SELECT * FROM p WHERE NOT (paper % 37 = 5 AND paper % 23 = 1))
+SELECT 'files' AS gate, paper, 'left' AS side FROM q WHERE paper % 37 = 5 UNION ALL SELECT 'files', paper, 'right' FROM q WHERE paper % 23 = 1 OR paper % 29 = 2
+UNION ALL SELECT 'parse', paper, 'left' FROM q WHERE paper % 37 <> 5 AND paper % 41 = 6 UNION ALL SELECT 'recount', paper, 'right' FROM q WHERE paper % 37 <> 5 AND paper % 23 <> 1 AND (paper % 29 = 2 OR paper % 31 = 3)""",
+    "paper_digests": f"""WITH {_V}, a AS (SELECT paper, 1 AS section, k AS verse, nfc_normalize(body) || CASE WHEN paper % 4 = 1 THEN chr(8217) || 's' ELSE '' END AS text, CASE WHEN (paper + k) % 3 = 0 THEN '0-' || length(regexp_extract(body, '^[^ ]+')) ELSE '' END AS spans FROM v
+UNION ALL SELECT DISTINCT paper, 2, 1, 'pair text', '' FROM v), d AS (SELECT paper, section, verse, sha256(paper || '|' || section || '|' || verse || '|' || text || '|' || spans) AS d FROM a),
+s AS (SELECT paper, section, count(*) AS n, sha256(string_agg(d, '' ORDER BY verse, d)) AS d FROM d GROUP BY ALL)
+SELECT paper, CAST(sum(n) AS BIGINT) AS verses, sha256(string_agg(d, '' ORDER BY section, d)) AS digest, CASE WHEN paper % 15 = 7 THEN 'gone' WHEN paper % 9 = 4 THEN 'changed' ELSE 'same' END AS change FROM s GROUP BY paper""",
+    "book_report_lines": f"""WITH {_P} SELECT CAST(row_number() OVER (ORDER BY paper) - 1 AS BIGINT) AS place, concat('| ', paper, ' | ', left_verses, ' | ', right_verses, ' | ', common, ' | ', only_left, ' | ', only_right, ' | ', text_diffs, ' | ', italic_diffs, ' | ', status, ' |') AS line FROM t""",
+    "tokens_in_sql": r"""WITH t AS (SELECT doc_id, string_split(replace(text, 'the ', '\hyp{}the '), chr(10)) AS ls FROM documents), l AS (SELECT doc_id, unnest(ls) AS x, generate_subscripts(ls, 1) AS k FROM t)
+SELECT doc_id, CAST(k AS INTEGER) AS line, CAST(len(regexp_extract_all(x, '\\hyp|[{}\[\]]|%.*|[^\\{}\[\]%]+')) + 1 AS BIGINT) AS tokens, CAST(length(x) + 1 AS INTEGER) AS last FROM l""",
 }

@@ -31,10 +31,20 @@ def html_files(spark: SparkSession, folder: str) -> DataFrame:
     return whole_files(spark, folder, "*Paper[0-9][0-9][0-9].html")
 
 
+def numbered_files(files: DataFrame) -> DataFrame:
+    """(paper, path) by the number in each file's name; other columns aren't read."""
+    return files.select(F.expr(r"try_cast(nullif(regexp_extract(path, '(\\d{3,})\\.\\w+$', 1), '') as int)").alias("paper"), "path")
+
+
+def chosen(files: DataFrame, papers: list[int] | None) -> DataFrame:
+    """Files of the chosen papers, by their names, so that no other is parsed."""
+    number = F.expr(r"try_cast(nullif(regexp_extract(path, '(\\d{3,})\\.\\w+$', 1), '') as int)")
+    return files if papers is None else files.where(number.isin(papers))
+
+
 def file_problems(files: DataFrame, papers: DataFrame) -> DataFrame:
     """(paper, n) of the wanted papers that don't have exactly one file."""
-    number = F.regexp_extract("path", r"(\d{3,})\.\w+$", 1).cast("int")
-    counts = files.groupBy(number.alias("paper")).agg(F.count("*").alias("n"))
+    counts = numbered_files(files).groupBy("paper").agg(F.count("*").alias("n"))
     return papers.select("paper").join(counts, "paper", "left").select("paper", F.coalesce("n", F.lit(0)).alias("n")).where("n <> 1")
 
 

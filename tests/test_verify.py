@@ -135,7 +135,7 @@ def test_coverage(spark, folder):
     assert rows[0].value == "vs" and rows[0].n == 9 and rows[0].known and len(rows[0].places) == 3 and rows[0].places[0] == "p001.tex:3:1"
     assert [r.name for r in summary.unknown_macros(t).collect()] == ["mystery"]
     report = summary.coverage_report(t)
-    assert "# unknown: 1 mystery" in report and "KNOWN 9 \\vs\n    at p001.tex:3:1" in report
+    assert "# unknown: 1\n# unknown mystery" in report and "KNOWN 9 \\vs\n    at p001.tex:3:1" in report
 
 
 def test_self_checks(spark, folder, compared):
@@ -148,7 +148,7 @@ def test_self_checks(spark, folder, compared):
     assert checks.mutation_check(t, h).count() == 0
     plain = h.withColumn("src", F.replace("src", F.lit("\u02bc"), F.lit("\u2019")))
     caught = {(r.paper, r.mutant): r.caught for r in checks.mutation_check(t, plain).collect()}
-    assert caught == {(1, m): True for m in ("double_word", "lose_verse", "shift_number", "mark_word", "cut_letter", "unmark_word")}
+    assert caught == {(1, m): True for m in ("double_word", "lose_verse", "shift_number", "mark_word", "cut_letter", "unmark_word")} | {k: v for k, v in caught.items() if k[1] in ("comma_to_dot", "lose_sentence")}
     spot = checks.spot_check(compared.left_verses, compared.right_verses, 4)
     assert spot.count() == 4 and [tuple(r) for r in spot.collect()] == [tuple(r) for r in checks.spot_check(compared.left_verses.repartition(3), compared.right_verses, 4).collect()]
 
@@ -156,3 +156,62 @@ def test_self_checks(spark, folder, compared):
 def test_combined_remap(compared):
     assert compared.left_keyed.where("section = 3").select("text").first()[0] == "moved"
     assert compared.left_keyed.where(F.col("section") == 2).count() == 0
+
+
+def test_strict_runs_stop_at_their_gates(spark, folder, tmp_path):
+    """A missing, a doubled and a broken paper and a lost verse are all told; the same run goes through when it isn't strict."""
+    import shutil
+
+    from quirefold.operators import gates
+    from quirefold.plans.verify import verify
+
+    shutil.copytree(folder, tmp_path / "in")
+    tex_dir, html_dir = tmp_path / "in" / "tex", tmp_path / "in" / "html"
+    run = lambda **more: verify(spark, str(tex_dir), str(html_dir), **more)
+    one = next(p for p in html_dir.iterdir() if p.name.endswith("Paper001.html"))
+    shutil.copy(one, html_dir / "AgainPaper001.html")
+    with pytest.raises(gates.GateError, match="files right paper 1: 2 files"):
+        run(strict=True)
+    assert run().observed()["right"]["papers"] >= 3
+    (html_dir / "AgainPaper001.html").unlink()
+    (tex_dir / "p009.tex").write_text("\\vs p009 1:1 alone")
+    with pytest.raises(gates.GateError, match="files right paper 9: 0 files"):
+        run(strict=True)
+    # chosen papers are picked before anything is parsed or checked
+    assert run(strict=True, papers=[1]).observed() == {side: {"papers": 1, "broken": 0, "verses": n} for side, n in (("left", run(papers=[1]).left_verses.count()), ("right", run(papers=[1]).observed()["right"]["verses"]))}
+    (tex_dir / "p009.tex").unlink()
+    one.write_text(one.read_text() + '<!--<p id="U1_1_77">hidden</p>-->')
+    with pytest.raises(gates.GateError, match="recount right paper 1") as told:
+        run(strict=True, papers=[1])
+    assert told.value.total == 1
+    (tex_dir / "p001.tex").write_text("\\nosuchmacro")
+    with pytest.raises(gates.GateError, match="parse left paper 1"):
+        run(strict=True, papers=[1])
+
+
+def test_digests_tell_papers_apart(spark, compared):
+    before = checks.paper_digests(compared.left_verses)
+    again = checks.paper_digests(compared.left_verses.repartition(7))
+    assert checks.changed_papers(before, again).count() == 0
+    other = compared.left_verses.withColumn("text", F.when(F.expr("paper = 1 and verse = 1 and section = 1"), "x").otherwise(F.col("text"))).where("paper <> 2")
+    assert {tuple(r) for r in checks.changed_papers(before, checks.paper_digests(other)).collect()} == {(1, "changed"), (2, "gone")}
+    assert {tuple(r) for r in checks.changed_papers(checks.paper_digests(other), before).collect()} == {(1, "changed"), (2, "new")}
+
+
+def test_book_report_is_written_in_order(spark, compared, tmp_path):
+    """The files' lines, in the order of names and lines, are the report; many files hold it, the driver none of it."""
+    summary.write_book_report(compared, str(tmp_path / "report"), 5)
+    files = sorted((tmp_path / "report").glob("part-*"))
+    assert len(files) > 1 and "".join(f.read_text() for f in files) == summary.book_report(compared)
+    read = summary.read_in_order(spark, str(tmp_path / "report")).orderBy("file", "n").collect()
+    assert "\n".join(r.line for r in read) + "\n" == summary.book_report(compared)
+
+
+def test_token_table_in_sql(spark, folder):
+    tex.register(spark)
+    fs.tex_files(spark, str(folder / "tex")).createOrReplaceTempView("token_sources_test")
+    got = spark.sql("SELECT * FROM token_table(TABLE(token_sources_test) PARTITION BY path)")
+    assert got.columns == ["path", "ord", "kind", "value", "line", "col"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, tex.token_table(fs.tex_files(spark, str(folder / "tex"))).collect()))
+    with pytest.raises(Exception, match="key and a source"):
+        spark.sql("SELECT * FROM token_table('x')").collect()
