@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import layout
+from ..sources import boxes as boxsource
 from ..sources import files as fs
 from ..sources.scratch import scratch, stored, write_files
 
@@ -163,6 +164,12 @@ def box_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _named(words, "page", "line", "word", "text", "xMin", "xMax", "yMin", "yMax")
 
 
+def box_source_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of pages 3 to 5 of each document, through the data source that opens only the byte ranges that hold them."""
+    pages = boxsource.box_pages(spark, box_folder(spark, sf_dir), range_bytes=65_536).where("page between 3 and 5")
+    return _named(fs.bbox_words(boxsource.parsed_pages(pages)), "page", "line", "word", "text", "xMin", "xMax", "yMin", "yMax")
+
+
 def box_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of several words from parsed pages, joined and trimmed."""
     b = boxes(spark, sf_dir)
@@ -188,7 +195,7 @@ def text_layout_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 FUNCTIONS = [
-    rebuilt_lines, sections_of_lines, section_last_pages, uneven_columns, margin_intrusions, column_margins, orphan_lines, section_top_gaps, uneven_blocks, first_uneven_block, band_probe, page_probe, findings_totals, page_mark_ranges, box_files, box_lines, text_layout_blocks,
+    rebuilt_lines, sections_of_lines, section_last_pages, uneven_columns, margin_intrusions, column_margins, orphan_lines, section_top_gaps, uneven_blocks, first_uneven_block, band_probe, page_probe, findings_totals, page_mark_ranges, box_files, box_source_pages, box_lines, text_layout_blocks,
 ]
 
 _W = f"""i AS (SELECT l_orderkey AS o, l_partkey AS pk, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(ROW)}) AS INTEGER) AS n FROM lineitem),
@@ -232,6 +239,9 @@ n3 AS (SELECT doc, page, block, side, max(y) AS my, (list(text ORDER BY y DESC,
 n4 AS (SELECT a.doc, a.page, a.block, abs(a.my - b.my) AS diff, a.my AS left_y, a.mt AS left_text, b.my AS right_y, b.mt AS right_text, a.tail AS left_tail, b.tail AS right_tail FROM n3 a JOIN n3 b ON a.doc = b.doc AND a.page = b.page AND a.block = b.block AND a.side = 'left' AND b.side = 'right' WHERE abs(a.my - b.my) > 5)"""
 
 
+_BOX_WORDS = f"""{_W}, bx AS (SELECT doc, CAST(dense_rank() OVER (PARTITION BY doc ORDER BY page) AS INTEGER) AS page, CAST(dense_rank() OVER (PARTITION BY doc, page ORDER BY line) - 1 AS INTEGER) AS line,
+CAST(row_number() OVER (PARTITION BY doc, page, line ORDER BY word) - 1 AS INTEGER) AS word, text, x0 AS "xMin", x1 AS "xMax", y - h AS "yMin", y AS "yMax" FROM w WHERE trim(text) <> '')"""
+
 ORACLE = {
     "rebuilt_lines": f"WITH {_L} SELECT doc, page, yk AS y, x_min, x_max, is_title, left_text, right_text FROM l",
     "sections_of_lines": f"WITH {_SECTION} SELECT doc, section, count(*) AS lines, min(page) AS first_page, max(page) AS last_page FROM s WHERE NOT closes GROUP BY 1, 2",
@@ -248,8 +258,8 @@ ORACLE = {
     "findings_totals": f"WITH {_ENDS}, {_MARGIN.removeprefix(_L).removeprefix(', ')}, {_ORPHAN.removeprefix(_MARGIN).removeprefix(', ')}, {_GAPS} SELECT 'uneven' AS kind, count(*) AS n FROM ({_UNEVEN}) UNION ALL SELECT 'intrusion', count(*) FROM ({_OVER}) UNION ALL SELECT 'orphan', count(*) FROM orphan UNION ALL SELECT 'top_gap', count(*) FROM gp WHERE top_gap > 5",
     "page_mark_ranges": """WITH e AS (SELECT user_id % 50 AS doc, CAST(event_id // 97 AS INTEGER) AS page, min(event_id) AS a, max(event_id) AS b FROM events GROUP BY 1, 2)
 SELECT doc, page, (a // 40) || ':' || (a % 40) AS first, (b // 40) || ':' || (b % 40) AS last, CASE WHEN page % 2 = 1 THEN (b // 40) || ':' || (b % 40) ELSE (a // 40) || ':' || (a % 40) END AS shown FROM e""",
-    "box_files": f"""WITH {_W} SELECT doc, CAST(dense_rank() OVER (PARTITION BY doc ORDER BY page) AS INTEGER) AS page, CAST(dense_rank() OVER (PARTITION BY doc, page ORDER BY line) - 1 AS INTEGER) AS line,
-CAST(row_number() OVER (PARTITION BY doc, page, line ORDER BY word) - 1 AS INTEGER) AS word, text, x0 AS "xMin", x1 AS "xMax", y - h AS "yMin", y AS "yMax" FROM w WHERE trim(text) <> ''""",
+    "box_files": f"WITH {_BOX_WORDS} SELECT * FROM bx",
+    "box_source_pages": f"WITH {_BOX_WORDS} SELECT * FROM bx WHERE page BETWEEN 3 AND 5",
     "box_lines": f"""WITH {_W}, x AS (SELECT doc, page, line, trim(string_agg(text, ' ' ORDER BY word)) AS text, min(x0) AS x0, max(x1) AS x1, min(y - h) AS y0, max(y) AS y1 FROM w GROUP BY 1, 2, 3)
 SELECT doc, page, CAST(dense_rank() OVER (PARTITION BY doc, page ORDER BY line) - 1 AS BIGINT) AS ord, text, x0 AS "xMin", x1 AS "xMax", y0 AS "yMin", y1 AS "yMax" FROM x""",
     "text_layout_blocks": """WITH s AS (SELECT doc_id AS doc, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS k FROM documents),
