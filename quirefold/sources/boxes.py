@@ -9,6 +9,7 @@ none of the pages asked for are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -32,9 +33,18 @@ def opened(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
 
 
-class Range(InputPartition):
-    def __init__(self, doc: str, start: int, length: int, first: int) -> None:
-        self.doc, self.start, self.length, self.first = doc, start, length, first
+class Range(NamedTuple):
+    doc: str
+    start: int
+    length: int
+    first: int
+
+
+class Ranges(InputPartition):
+    """Ranges that one task reads: small files together, large ones a range at a time."""
+
+    def __init__(self, ranges: list[Range]) -> None:
+        self.ranges = ranges
 
 
 def pages_in(folder: str, part: Range) -> Iterator[bytes]:
@@ -90,24 +100,30 @@ class BoxReader(DataSourceReader):
         files = [f for f in store.get_file_info(pafs.FileSelector(inner)) if f.is_file and f.base_name.endswith(("html", "xml")) and not f.base_name.startswith(("_", "."))]
         return [Range(f.base_name, at, min(self.bytes, f.size - at), 1) for f in sorted(files, key=lambda f: f.base_name) for at in range(0, f.size, self.bytes)]
 
-    def partitions(self) -> list[Range]:
-        return self.ranges() or [Range("", 0, 0, 0)]
-
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        if not partition.doc:
-            return
+    def partitions(self) -> list[Ranges]:
+        out: list[list[Range]] = [[]]
+        size = 0
+        for r in self.ranges():
+            if out[-1] and size + r.length > self.bytes:
+                out.append([])
+                size = 0
+            out[-1].append(r)
+            size += r.length
+        return [Ranges(some) for some in out]
+
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         if not self.index:
-            n = sum(1 for _ in pages_in(self.path, partition))
-            yield pa.RecordBatch.from_arrays([pa.array([partition.doc]), *(pa.array([x], pa.int64()) for x in (partition.start, partition.length, n))], ["doc", "start", "length", "pages"])
+            counts = [(r.doc, r.start, r.length, sum(1 for _ in pages_in(self.path, r))) for r in partition.ranges]
+            yield pa.RecordBatch.from_arrays([pa.array([c[k] for c in counts], pa.int64() if k else pa.string()) for k in range(4)], ["doc", "start", "length", "pages"])
             return
-        held, size, page = [], 0, partition.first
-        for raw in pages_in(self.path, partition):
-            at = raw.find(b"<page")
-            held.append((partition.doc, page, raw[max(at, 0) :].decode()))
-            size, page = size + len(raw), page + 1
-            if size > READ_BYTES:
-                yield self.batch(held)
-                held, size = [], 0
+        held, size = [], 0
+        for r in partition.ranges:
+            for page, raw in enumerate(pages_in(self.path, r), r.first):
+                held.append((r.doc, page, raw[max(raw.find(b"<page"), 0) :].decode()))
+                size += len(raw)
+                if size > READ_BYTES:
+                    yield self.batch(held)
+                    held, size = [], 0
         if held:
             yield self.batch(held)
 
