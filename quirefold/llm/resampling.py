@@ -110,8 +110,8 @@ def features(data: np.ndarray, ends: np.ndarray, max_words: int, buckets: int) -
     return n_words, np.concatenate(rows), ((np.concatenate(found) ^ np.uint32(0xFFFFFFFF)) % np.uint32(buckets)).astype(np.int64)
 
 
-def buffers(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, ends) for runs of rows of about ``SLICE_BYTES``, out of the Arrow buffers; nulls are empty."""
+def buffers(batch: pa.RecordBatch, column: str, limit: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, ends) for runs of rows of about ``limit`` bytes (SLICE_BYTES), out of the Arrow buffers; nulls are empty."""
     col = pc.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.large_string()), "")
     if not len(col):
         return
@@ -119,7 +119,7 @@ def buffers(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, np.ndarra
     data = np.frombuffer(col.buffers()[2] or b"", np.uint8)
     first = 0
     while first < len(col):
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1)
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + (limit or SLICE_BYTES), side="right")) - 1)
         last = min(last, len(col))
         yield first, data[offsets[first] : offsets[last]], offsets[first + 1 : last + 1] - offsets[first]
         first = last

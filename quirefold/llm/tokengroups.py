@@ -47,6 +47,8 @@ PERCENT = 90
 BUCKET, PREFIX_BUCKET = 2_000_000, 200_000
 #: Sets in a group at most, and shingles of all its members beyond which it gets no more.
 GROUP, GROUP_SHINGLES = 64, 1_000_000
+#: Bytes of texts whose shingles are made at a time, shingles that are dealt out together, and bytes of a batch that goes to Python.
+SLICE_BYTES, CHUNK, BATCH_BYTES = 1_000_000, 500_000, 8 << 20
 #: Nodes (8 bytes each) that are broadcast at most; beyond, they are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Sets among those left that hold a shingle which goes last in the prefixes' order, and such shingles at most (8 bytes each); they change the cost alone.
@@ -112,7 +114,7 @@ def node_of(hashes: np.ndarray) -> int:
 def own_sets(batch: pa.RecordBatch, size: int, most: int = 65_536) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, set of each text) for runs of at most ``most`` rows of column ``text``."""
     for lo in range(0, batch.num_rows, most):
-        for first, data, ends in buffers(batch.slice(lo, most), "text"):
+        for first, data, ends in buffers(batch.slice(lo, most), "text", SLICE_BYTES):
             h, at = shingle_sets(data, ends, size)
             yield lo + first, np.split(h, at[:-1])
 
@@ -143,27 +145,35 @@ def not_alone(docs: DataFrame, size: int, percent: int, shingles: int) -> DataFr
     A shingle travels as four bytes: its bucket stands for the rest.  Two that agree in
     these by chance count as shared, so none is lost.  A row's copies share all they have.
     """
-    parts = max(8, -(-shingles // BUCKET))
-    buckets = 8 * parts  # several in a task, so that tasks hold alike
+    buckets = max(8, -(-shingles // BUCKET))
+
+    def dealt_out(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
+        nodes, n = np.array(list(sets), np.int64), np.array([len(s) for s in sets.values()])
+        h, index = np.concatenate(list(sets.values())), np.repeat(np.arange(len(n), dtype=np.uint16), n)
+        bucket = (h % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        key, index, bucket = (h // np.uint64(buckets)).astype(np.uint32)[order], index[order], bucket[order]
+        used, at = np.unique(bucket, return_index=True)
+        # one row more has the nodes themselves; it goes through any bucket
+        return pa.RecordBatch.from_arrays(
+            [pa.array([*used.tolist(), int(used[0])]), pa.array([node_of(nodes)] * (len(used) + 1), pa.int64()), _blobs([*np.split(key, at[1:]), nodes]), _blobs([*np.split(index, at[1:]), n]), pa.array([False] * len(used) + [True])],
+            ["bucket", "chunk", "keys", "at", "whole"],
+        )
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        total = 0
         for batch in batches:
             for _, rows in own_sets(batch, size):
-                sets = distinct_sets(rows)
-                if not sets:
-                    continue
-                nodes, n = np.array(list(sets), np.int64), np.array([len(s) for s in sets.values()])
-                h, index = np.concatenate(list(sets.values())), np.repeat(np.arange(len(n)), n)
-                bucket = (h % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                key, index = (h // np.uint64(buckets)).astype(np.uint32)[order], index.astype(np.uint16)[order]
-                used, at = np.unique(bucket[order], return_index=True)
-                chunk, home = node_of(nodes), int(used[0])
-                # one row more has the nodes themselves; it goes through any bucket
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([*used.tolist(), home]), pa.array([chunk] * (len(used) + 1), pa.int64()), _blobs([*np.split(key, at[1:]), nodes]), _blobs([*np.split(index, at[1:]), n]), pa.array([False] * len(used) + [True])],
-                    ["bucket", "chunk", "keys", "at", "whole"],
-                )
+                for node, own in distinct_sets(rows).items():
+                    if node not in held:
+                        if held and (total + len(own) > CHUNK or len(held) == 1 << 16):
+                            yield dealt_out(held)
+                            held, total = {}, 0
+                        held[node] = own
+                        total += len(own)
+        if held:
+            yield dealt_out(held)
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each chunk, how many of the keys of each of its sets occur once."""
@@ -212,8 +222,8 @@ def not_alone(docs: DataFrame, size: int, percent: int, shingles: int) -> DataFr
             alone_in[: len(had)] = had
             yield pa.RecordBatch.from_arrays([pa.array(own[100 * alone_in <= (100 - percent) * n])], ["node"])
 
-    dealt = docs.select("text").mapInArrow(deal, "bucket long, chunk long, keys binary, at binary, whole boolean").repartition(parts, "bucket")
-    counted = dealt.mapInArrow(alone, "chunk long, keys binary, at binary, whole boolean").repartition(parts, "chunk")
+    dealt = docs.select("text").mapInArrow(deal, "bucket long, chunk long, keys binary, at binary, whole boolean").repartition(buckets, "bucket")
+    counted = dealt.mapInArrow(alone, "chunk long, keys binary, at binary, whole boolean").repartition(buckets, "chunk")
     return counted.mapInArrow(left, "node long").distinct()
 
 
@@ -487,7 +497,7 @@ def links(spark: SparkSession, docs: DataFrame, *, size: int, percent: int, shin
 
     ``shingles``: how many the distinct sets hold together.  ``proposed`` pairs (a, b) are compared first.
     """
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     need = cut(spark, not_alone(docs, size, percent, shingles), "groups-need")
     sets = cut(spark, sets_of(spark, docs, need, size), "groups-sets")
     total = sets.agg(F.sum("n")).first()[0] or 0
@@ -517,7 +527,7 @@ def links(spark: SparkSession, docs: DataFrame, *, size: int, percent: int, shin
 
 def similar(spark: SparkSession, docs: DataFrame, *, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; component_id is the smallest doc_id reachable by links."""
-    small_batches(spark)
+    small_batches(spark, BATCH_BYTES)
     rows = cut(spark, facts(docs, size), "groups-facts")
     nodes = cut(spark, rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n")), "groups-nodes")
     shingles = nodes.agg(F.sum("n")).first()[0] or 0
