@@ -52,7 +52,8 @@ IDENTITY = [
     ["black", "white", "asian", "hispanic", "latino", "african", "european", "arab"],
     ["gay", "straight", "lesbian", "bisexual", "transgender", "heterosexual", "queer"],
     ["immigrants", "refugees", "foreigners", "migrants", "citizens", "natives"],
-    ["mexican", "chinese", "american", "german", "french", "spanish", "indian", "russian", "turkish", "polish"],
+    ["mexican", "chinese", "american", "german", "french", "spanish", "indian", "russian", "turkish", "polish", "moroccan", "tunisian", "algerian", "egyptian"],
+    ["mexicans", "americans", "germans", "indians", "russians", "turks", "poles", "moroccans", "tunisians", "algerians", "egyptians"],
     ["deaf", "blind", "disabled", "autistic"],
     ["frauen", "männer", "mädchen", "jungen"],
     ["muslime", "christen", "juden", "hindus"],
@@ -74,6 +75,11 @@ def text_features(words: set[str]) -> np.ndarray:
     return np.unique(np.array([f for w in words for f in features_of(w)], np.uint32))
 
 
+def identity_features() -> np.ndarray:
+    """Features of all identity terms, their prefixes too, which they may share with an insult."""
+    return text_features(set(SWAP))
+
+
 def words_of(text: str) -> set[str]:
     return set(WORD.findall(text.lower()))
 
@@ -82,9 +88,9 @@ def counterfactuals(words: set[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """(features gained, features lost) by each counterfactual of a sentence, against the sentence or against its pair.
 
     One identity term at a time is swapped for others of its kind; a sentence without any
-    gets a pair of terms of one kind, which one turning with the sentence's length.
+    gets a pair of terms of one kind; which, turns with the sentence's words.
     """
-    turn, pairs = len(words), []
+    turn, pairs = xxhash.xxh32_intdigest(" ".join(sorted(words))), []
     for term in sorted(words & SWAP.keys()):
         others = SWAP[term]
         pairs += [((words - {term}) | {others[(turn + k) % len(others)]}, words) for k in range(min(SWAPS_PER_TERM, len(others)))]
@@ -142,7 +148,8 @@ class ToxicityModel:
         chi = np.maximum(0, hit - seen * rate - 1) ** 2 / (seen * rate * (1 - rate) + 1e-9)
         order = np.argsort(-chi, kind="stable")[:most]
         order = order[chi[order] > LEAST_CHI]
-        self.names = np.sort(names[order])
+        # what makes up identity terms stays in, whatever its test says: the penalty has to see it
+        self.names = np.union1d(names[order], identity_features())
 
     def _known(self, row: np.ndarray) -> np.ndarray:
         at = np.searchsorted(self.names, row)
