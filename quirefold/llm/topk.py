@@ -18,9 +18,10 @@ and results are exact.
 
 Defined results: vectors that are null, empty, or hold null or non-finite
 components take no part, nor do rows with a null id; shorter vectors count as
-padded with zeros; a component or a score beyond 64 bits is an error, as the
-score's column can't hold it; repeated rows of an id count once; different
-vectors of one id are each searched for, and are never neighbours of that id.
+padded with zeros; a vector with a scaled component beyond 64 bits takes no part
+either, and a score beyond 64 bits is the largest or smallest that the score's
+column holds; repeated rows of an id count once; different vectors of one id are
+each searched for, and are never neighbours of that id.
 """
 
 from __future__ import annotations
@@ -67,7 +68,7 @@ def quantise(df: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedd
                         x = np.floor(scale * x)
                     most = np.abs(x).max()
                     if most >= 2.0**63:
-                        raise OverflowError(f"vector {i} has a component beyond 64 bits")
+                        continue
                     width = 4 if most < 2.0**31 else 8
                     ids.append(i)
                     out.append(bytes([width]) + x.astype(f"<i{width}").tobytes())
@@ -87,16 +88,14 @@ def matrix(blobs: list[bytes], dim: int) -> np.ndarray:
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Integer inner products: in floating point where that is exact, in 64-bit integers where they can't overflow, else in Python's."""
+    """Integer inner products: in floating point where that is exact, in 64-bit integers where they can't overflow, else in Python's, cut to 64 bits."""
     bound = float(np.abs(a.astype(float)).max(initial=0)) * float(np.abs(b.astype(float)).max(initial=0)) * a.shape[1]
     if bound < 2**53:
         return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
     if bound < 2**62:
         return a.astype(np.int64) @ b.astype(np.int64).T
     out = a.astype(np.int64).astype(object) @ b.astype(np.int64).astype(object).T
-    if out.size and max(abs(x) for x in out.ravel()) >= 2**63:
-        raise OverflowError("a score beyond 64 bits")
-    return out.astype(np.int64)
+    return np.maximum(np.minimum(out, 2**63 - 1), 1 - 2**63).astype(np.int64)
 
 
 class Index:

@@ -284,6 +284,20 @@ def test_toxicity_held_out_and_edges(spark, labelled, edge, empty):
     assert [r.score for r in toxicity.score(spark, edge, none, ["doc_id"]).collect()] == [0.0] * edge.count()
 
 
+def test_toxicity_penalty_acts_without_identity_terms(spark, labelled):
+    """Labelled texts that name no group: what a term shares with an insult still weighs less with the penalty, and held-out results stay."""
+    docs, labels = labelled
+    insult = docs.withColumn("text", F.regexp_replace("text", "scum", "moron"))
+    scores = {}
+    for penalty in (0.0, 1.0):
+        model = toxicity.train(insult, labels, penalty=penalty)
+        assert model.acting > 0
+        mention, plain, toxic = model.score(["a moroccan said so", "a tunisian said so", "a moron said so"])
+        scores[penalty] = mention - plain
+        assert toxic >= 0.3 > plain
+    assert scores[1.0] < scores[0.0] / 2 and scores[0.0] > 0
+
+
 def test_toxicity_swaps_are_penalised():
     """A term that only meets toxic rows keeps less weight against its counterparts with the penalty."""
     base = [{"fine", f"w{i % 9}"} for i in range(60)] + [{"women", "scum", f"w{i % 9}"} for i in range(30)]
@@ -512,8 +526,9 @@ def test_top_k_with_several_vectors_of_one_id(spark):
 
 
 def test_top_k_beyond_64_bits(spark):
-    with pytest.raises(Exception, match="beyond 64 bits"):
-        topk.top_k(spark, topk.quantise(spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>"))).collect()
+    rows = [(0, [1e30]), (50, [2.0**50]), (1, [1.0]), (2, [2.0**52]), (3, [-(2.0**52)]), (4, [2.0**52]), (5, [2.0**55])]
+    got = topk.top_k(spark, topk.quantise(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))).orderBy("rank").collect()
+    assert [(r.query_id, r.vec_id, r.score) for r in got] == [(50, 1, 2**63 - 1), (50, 2, 2**63 - 1), (50, 4, 2**63 - 1), (50, 3, 1 - 2**63)]
 
 
 def test_top_k_of_nothing(spark):
