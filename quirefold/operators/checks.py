@@ -36,6 +36,11 @@ def digest(df: DataFrame) -> str:
     return part.agg(F.sha2(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "p", "a", "b"))), ""), 256)).first()[0]
 
 
+def verse_totals(verses: DataFrame) -> DataFrame:
+    """One row: how many verses there are, and how many spans they hold together."""
+    return verses.agg(F.count("*").alias("verses"), F.coalesce(F.sum(F.size("italics")), F.lit(0)).alias("spans"))
+
+
 def paper_digests(verses: DataFrame) -> DataFrame:
     """(paper, verses, digest): a digest of each paper over those of its sections, and of those over their verses.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.macros import macro_table
 from ..sources.scratch import stored
 from .diff import Comparison, glyph_log, text_changes
+from .ordered import numbered
 
 
 COUNTS = ["left_sections", "right_sections", "left_verses", "right_verses", "common", "only_left", "only_right", "text_diffs", "italic_diffs", "mismatches"]
@@ -51,7 +52,7 @@ def by_kind(mismatches: DataFrame, examples: int = 8) -> DataFrame:
 
 
 def macro_coverage(tokens: DataFrame, places: int = 3) -> DataFrame:
-    """Each macro used: count, whether the table knows it, first places; most used first.
+    """Each macro used: count, whether the table knows it, first places, and its rank: most used first, then first seen.
 
     ``tokens`` has path, ord, kind, value, line and col.
     """
@@ -60,7 +61,8 @@ def macro_coverage(tokens: DataFrame, places: int = 3) -> DataFrame:
     near = used.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= places).groupBy("value").agg(F.sort_array(F.collect_list(F.struct("__n", F.concat_ws(":", "path", "line", "col").alias("at")))).alias("x"))
     counts = used.groupBy("value").agg(F.count("*").alias("n"), F.min(F.struct("path", "ord")).alias("first"))
     known = F.broadcast(macro_table(tokens.sparkSession).select(F.col("name").alias("value"), F.lit(True).alias("k")))
-    return counts.join(known, "value", "left").join(near, "value").select("value", "n", F.coalesce("k", F.lit(False)).alias("known"), F.transform("x", lambda e: e["at"]).alias("places"), "first").orderBy(F.desc("n"), "first").drop("first")
+    told = counts.join(known, "value", "left").join(near, "value").select("value", "n", F.coalesce("k", F.lit(False)).alias("known"), F.transform("x", lambda e: e["at"]).alias("places"), "first")
+    return numbered(told, F.desc("n"), "first", name="rank").select("value", "n", "known", "places", (F.col("rank") + 1).alias("rank"))
 
 
 def unknown_macros(tokens: DataFrame) -> DataFrame:
@@ -175,13 +177,13 @@ def book_report(c: Comparison) -> str:
 
 def coverage_rows(tokens: DataFrame) -> DataFrame:
     """(part, rank, line): the macro coverage as rows: totals, unknown names in order, then each macro with its places, most used first."""
-    used = stored(macro_coverage(tokens).select("value", "n", "known", "places"), "coverage")
+    used = stored(macro_coverage(tokens), "coverage")
     row = lambda df, part, rank, line: df.select(F.lit(part).alias("part"), rank.cast("long").alias("rank"), line.alias("line"))
     top = used.agg(F.count("*").alias("m"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(~F.col("known")).alias("u"))
     head = row(top, 0, F.lit(0), F.concat(F.lit("# "), F.col("m").cast("string"), F.lit(" macros, "), F.col("n").cast("string"), F.lit(" occurrences\n# unknown: "), F.col("u").cast("string")))
     unknown = row(used.where("not known"), 1, F.lit(0), F.concat(F.lit("# unknown "), "value"))
     places = F.array_join(F.transform("places", lambda p: F.concat(F.lit("\n    at "), p)), "")
-    each = row(used, 2, -F.col("n"), F.concat(F.when(F.col("known"), "KNOWN ").otherwise("UNKNOWN "), F.col("n").cast("string"), F.lit(" \\"), "value", places))
+    each = row(used, 2, F.col("rank"), F.concat(F.when(F.col("known"), "KNOWN ").otherwise("UNKNOWN "), F.col("n").cast("string"), F.lit(" \\"), "value", places))
     return head.unionAll(unknown).unionAll(each)
 
 

@@ -129,7 +129,7 @@ def extract_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     once = stored(verses(), "verses")
     same, other = checks.deterministic(lambda: once.unionByName(once.limit(0))), checks.digest(once) != checks.digest(once.withColumn("text", F.concat("text", F.lit("."))))
     again = checks.digest(verses()) == checks.digest(once)
-    return once.agg(F.count("*").alias("verses"), F.sum(F.size("italics")).alias("spans")).select("verses", "spans", F.lit(same and again).alias("same"), F.lit(other).alias("told_apart"))
+    return checks.verse_totals(once).select("verses", "spans", F.lit(same and again).alias("same"), F.lit(other).alias("told_apart"))
 
 
 def changed_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,6 +195,7 @@ _CONSTRUCTS: list[tuple[list[str | None], str, str, str]] = [
     (["[a] \\ts{", None, "}\\, b"], "[a] {} b", "", "ts ,"),
     (["a {b {\\bibemph{", None, "}}} c"], "a b {} c", "4 w", "bibemph"),
     (["\\setlength{\\parindent}{0pt}", None], "{}", "", "setlength"),
+    (["a ", None, "} b"], "a {} b", "", ""),
 ]
 
 
@@ -299,7 +300,7 @@ def macro_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first three places of each macro, by document and place in it: one before every verse, one behind every second."""
     line = F.concat(F.lit("\\mystery "), F.col("body"), F.when(F.expr("k % 2 = 1"), F.lit(" \\ldots")).otherwise(""))
     docs = _joined(_verses(spark, sf_dir), ["paper"], "k", line, "src").select(F.col("paper").alias("path"), "src")
-    return summary.macro_coverage(tex.token_table(docs)).select("value", "n", "known", F.array_join("places", " ").alias("places"))
+    return summary.macro_coverage(tex.token_table(docs)).select("rank", "value", "n", "known", F.array_join("places", " ").alias("places"))
 
 
 def _with_problems(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -424,8 +425,8 @@ l AS (SELECT doc_id, unnest(ls) AS x, generate_subscripts(ls, 1) - 1 AS i FROM s
 SELECT doc_id || '.tex' AS path, CAST(count(*) FILTER (WHERE i % 3 = 0) AS INTEGER) AS fixes, md5(string_agg(CASE i % 3 WHEN 0 THEN '\pc \vs p001 1:' || i || ' \ublistelem{1.} ' || x WHEN 1 THEN '\pc \vs p001 1:1 \ublistelem{1.} ' || x ELSE x END, chr(10) ORDER BY i)) AS md5 FROM l GROUP BY doc_id""",
     "unknown_macro_names": "SELECT DISTINCT 'mystery' AS name FROM documents WHERE text LIKE '%and %'",
     "macro_places": f"""WITH {_V}, x AS (SELECT paper, body, k, row_number() OVER (PARTITION BY paper ORDER BY k) AS l FROM v), y AS (SELECT *, row_number() OVER (ORDER BY paper, k) AS i, row_number() OVER (PARTITION BY k % 2 ORDER BY paper, k) AS j FROM x)
-SELECT 'mystery' AS value, count(*) AS n, false AS known, string_agg(paper || ':' || l || ':1', ' ' ORDER BY i) FILTER (WHERE i <= 3) AS places FROM y
-UNION ALL SELECT 'ldots', count(*), true, string_agg(paper || ':' || l || ':' || (length(body) + 11), ' ' ORDER BY j) FILTER (WHERE j <= 3) FROM y WHERE k % 2 = 1""",
+SELECT CAST(1 AS BIGINT) AS rank, 'mystery' AS value, count(*) AS n, false AS known, string_agg(paper || ':' || l || ':1', ' ' ORDER BY i) FILTER (WHERE i <= 3) AS places FROM y
+UNION ALL SELECT 2, 'ldots', count(*), true, string_agg(paper || ':' || l || ':' || (length(body) + 11), ' ' ORDER BY j) FILTER (WHERE j <= 3) FROM y WHERE k % 2 = 1""",
     "gate_findings": f"""WITH {_V}, p AS (SELECT DISTINCT paper FROM v), q AS (SELECT * FROM p WHERE NOT (paper % 37 = 5 AND paper % 23 = 1))
 SELECT 'files' AS gate, paper, 'left' AS side FROM q WHERE paper % 37 = 5 UNION ALL SELECT 'files', paper, 'right' FROM q WHERE paper % 23 = 1 OR paper % 29 = 2
 UNION ALL SELECT 'parse', paper, 'left' FROM q WHERE paper % 37 <> 5 AND paper % 41 = 6 UNION ALL SELECT 'recount', paper, 'right' FROM q WHERE paper % 37 <> 5 AND paper % 23 <> 1 AND (paper % 29 = 2 OR paper % 31 = 3)""",

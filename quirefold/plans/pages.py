@@ -194,8 +194,15 @@ def text_layout_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.text_blocks(fs.laid_out(_cells(spark, sf_dir)))
 
 
+def text_layout_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same layouts written as files, one for each document, and read again."""
+    folder = scratch(spark, "layouts")
+    write_files(_cells(spark, sf_dir).select(F.concat(F.col("doc").cast("string"), F.lit(".txt")).alias("path"), F.col("value").alias("src")), folder)
+    return layout.text_blocks(fs.text_pages(spark, folder)).withColumn("doc", F.regexp_extract("doc", r"^(\d+)", 1).cast("long"))
+
+
 FUNCTIONS = [
-    rebuilt_lines, sections_of_lines, section_last_pages, uneven_columns, margin_intrusions, column_margins, orphan_lines, section_top_gaps, uneven_blocks, first_uneven_block, band_probe, page_probe, findings_totals, page_mark_ranges, box_files, box_source_pages, box_lines, text_layout_blocks,
+    rebuilt_lines, sections_of_lines, section_last_pages, uneven_columns, margin_intrusions, column_margins, orphan_lines, section_top_gaps, uneven_blocks, first_uneven_block, band_probe, page_probe, findings_totals, page_mark_ranges, box_files, box_source_pages, box_lines, text_layout_blocks, text_layout_files,
 ]
 
 _W = f"""i AS (SELECT l_orderkey AS o, l_partkey AS pk, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(ROW)}) AS INTEGER) AS n FROM lineitem),
@@ -268,3 +275,4 @@ v AS (SELECT doc, page, line_no, span, trim(a) AS a, trim(b) AS b, CAST(sum(CAST
 e AS (SELECT doc, page, block, max((line_no, a)) FILTER (WHERE a <> '' AND NOT regexp_matches(a, '^\\d+$')) AS l, max((line_no, b)) FILTER (WHERE b <> '' AND NOT regexp_matches(b, '^\\d+$')) AS r FROM v WHERE NOT span GROUP BY 1, 2, 3)
 SELECT doc, page, block, l[1] AS left_line, l[2] AS left_text, r[1] AS right_line, r[2] AS right_text, abs(l[1] - r[1]) AS diff FROM e WHERE l[1] <> r[1]""",
 }
+ORACLE["text_layout_files"] = ORACLE["text_layout_blocks"]

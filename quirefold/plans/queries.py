@@ -278,7 +278,7 @@ def macro_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     for word, macro in (("the ", "\\par "), ("and ", "\\mystery "), ("de ", "\\ldots ")):
         marked = F.replace(marked, F.lit(word), F.lit(macro))
     docs = _docs(spark, sf_dir).select(F.col("doc_id").alias("path"), marked.alias("src"))
-    return summary.macro_coverage(tex.token_table(docs)).select("value", "n", "known")
+    return summary.macro_coverage(tex.token_table(docs)).select("rank", "value", "n", "known")
 
 
 def seeded_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,9 +376,10 @@ SELECT doc_id AS paper, CAST(0 AS INTEGER) AS verse, CASE WHEN whole THEN 'repla
 u AS (SELECT doc_id, unnest(regexp_extract_all(x, '\\hyp|[{}\[\]]|%[^\n]*|\n|[^\\{}\[\]%\n]+')) AS tok FROM t)
 SELECT doc_id, CASE substr(tok, 1, 1) WHEN '\' THEN 'MACRO' WHEN '{' THEN 'OPEN_BRACE' WHEN '}' THEN 'CLOSE_BRACE' WHEN '[' THEN 'OPEN_BRACKET' WHEN ']' THEN 'CLOSE_BRACKET' WHEN '%' THEN 'COMMENT' WHEN chr(10) THEN 'NEWLINE' ELSE 'TEXT' END AS kind, count(*) AS n FROM u GROUP BY 1, 2""",
     "seeded_sample": f"""WITH {_LINES} SELECT doc_id AS paper, CAST(0 AS INTEGER) AS section, line_no AS verse FROM lines ORDER BY md5('42:' || doc_id || ':0:' || line_no), paper, verse LIMIT 20""",
-    "macro_coverage": """WITH t AS (SELECT replace(replace(replace(replace(text, '%', ' '), 'the ', '\\par '), 'and ', '\\mystery '), 'de ', '\\ldots ') AS x FROM documents),
-m AS (SELECT unnest(list_transform(string_split(x, '\\')[2:], lambda s: regexp_extract(s, '^[\\pL]+'))) AS value FROM t)
-SELECT value, count(*) AS n, value IN ('par', 'ldots') AS known FROM m GROUP BY value""",
+    "macro_coverage": """WITH t AS (SELECT doc_id, replace(replace(replace(replace(text, '%', ' '), 'the ', '\\par '), 'and ', '\\mystery '), 'de ', '\\ldots ') AS x FROM documents),
+m AS (SELECT doc_id, unnest(list_transform(string_split(x, '\\')[2:], lambda s: regexp_extract(s, '^[\\pL]+'))) AS value, generate_subscripts(string_split(x, '\\')[2:], 1) AS i FROM t),
+c AS (SELECT value, count(*) AS n, min((doc_id, i)) AS first FROM m GROUP BY value)
+SELECT row_number() OVER (ORDER BY n DESC, first) AS rank, value, n, value IN ('par', 'ldots') AS known FROM c""",
 }
 
 
