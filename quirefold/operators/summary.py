@@ -62,7 +62,7 @@ def macro_coverage(tokens: DataFrame, places: int = 3) -> DataFrame:
     counts = used.groupBy("value").agg(F.count("*").alias("n"), F.min(F.struct("path", "ord")).alias("first"))
     known = F.broadcast(macro_table(tokens.sparkSession).select(F.col("name").alias("value"), F.lit(True).alias("k")))
     told = counts.join(known, "value", "left").join(near, "value").select("value", "n", F.coalesce("k", F.lit(False)).alias("known"), F.transform("x", lambda e: e["at"]).alias("places"), "first")
-    return numbered(told, F.desc("n"), "first", name="rank").select("value", "n", "known", "places", (F.col("rank") + 1).alias("rank"))
+    return numbered(told, F.desc("n"), "first", name="rank").select("value", "n", "known", "places", (F.col("rank") + 1).alias("rank")).orderBy("rank")
 
 
 def unknown_macros(tokens: DataFrame) -> DataFrame:
