@@ -9,12 +9,15 @@ texts.  A small network is then fitted by minimising the non-negative unbiased r
 
 Its inputs are the text's shape and its wording: every word and every run of four
 bytes has a log ratio of how often positives and unlabelled texts have it (hashed to
-``BINS``), learnt on each half of the sample, and a text sees the means of what was
+``BINS``), learnt on each half of the texts, and a text sees the means of what was
 learnt on the half that it (and every copy of it) is not in.
 
-``TRAIN_ROWS`` rows of each side, drawn by a hash of the text, bound what is
-fitted on; every text is measured once, whole, and what is measured is written for
-the prior and the score.
+At most about ``TRAIN_ROWS`` labelled positives, drawn by a hash, are fitted on.  The
+unlabelled side is all texts: they are counted for the log ratios, their tails for the
+prior, and the risk is minimised over all of them: a start is found on ``TRAIN_ROWS``
+of them, then ``STEPS`` steps follow the gradient of the risk of every text, summed by
+the tasks, and the network with the least such risk is kept.  Every text is measured
+once, whole, and what is measured is written for prior, risk and score.
 
 Defined results: a null text is empty; an empty text has all features zero and
 gets the model's score for that; without positives or unlabelled rows every text
@@ -34,8 +37,10 @@ from pyspark.sql import functions as F
 
 from .common import cut, fold, table, text_slices, thinned
 
-#: Rows of positives, and of unlabelled text, used for fitting, at most.
+#: Labelled positives used for fitting, at most, and unlabelled rows on which a start is found.
 TRAIN_ROWS = 12_000
+#: Steps along the gradient of the risk over all unlabelled texts.
+STEPS = 8
 FOLDS, HELD = 4, 2
 THRESHOLD = 0.7
 HIDDEN = 24
@@ -131,6 +136,48 @@ class QualityModel:
         self.prior = prior
         self.net = self._fit(self._norm(positive), self._norm(unlabelled), prior, steps, seed)
 
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        """Rows, the sum of loss(-) over them and the sums of its gradient, flat."""
+        w1, b1, w2, b2 = self.net
+        x = self._norm(x)
+        h = np.tanh(x @ w1 + b1)
+        z = np.clip(h @ w2 + b2, -30, 30)
+        s = 1 / (1 + np.exp(-z))
+        dh = np.outer(s, w2) * (1 - h * h)
+        return np.concatenate([[len(x), np.log1p(np.exp(z)).sum()], (x.T @ dh).ravel(), dh.sum(0), h.T @ s, [s.sum()]])
+
+    def risk(self, positive: np.ndarray, unlabelled: np.ndarray) -> tuple[float, np.ndarray]:
+        """The non-negative risk and its gradient, flat; ``unlabelled``: ``sums`` of all unlabelled texts."""
+        w1, b1, w2, b2 = self.net
+        x = self._norm(positive)
+        h = np.tanh(x @ w1 + b1)
+        z = np.clip(h @ w2 + b2, -30, 30)
+        own = self.sums(positive)[1:] / len(x)
+        rest = unlabelled[1:] / unlabelled[0] - self.prior * own
+        # loss(+) is loss(-) less the logit
+        g = np.full(len(x), 1 / len(x))
+        dh = np.outer(g, w2) * (1 - h * h)
+        logit = np.concatenate([[z.mean()], (x.T @ dh).ravel(), dh.sum(0), h.T @ g, [1.0]])
+        both = self.prior * (own - logit)
+        # below zero the part of the negatives is stepped back from, alone
+        return float(both[0] + max(0.0, rest[0])), both[1:] + rest[1:] if rest[0] >= 0 else -rest[1:]
+
+    def refine(self, positive: np.ndarray, total, *, steps: int = STEPS, rate: float = 0.003) -> list[float]:
+        """Steps along the gradient over all unlabelled texts (``total()`` sums them for the net as it is); keeps the net of least risk, returns the risks."""
+        best, kept, risks = np.inf, self.net, []
+        m1 = m2 = 0.0
+        for t in range(1, steps + 2):
+            risk, g = self.risk(positive, total())
+            risks.append(risk)
+            if risk < best:
+                best, kept = risk, self.net
+            m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
+            step = rate * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.999**t)) + 1e-8)
+            ends = np.cumsum([np.size(v) for v in self.net])[:-1]
+            self.net = tuple(v - d.reshape(np.shape(v)) for v, d in zip(self.net, np.split(step, ends), strict=True))
+        self.net = kept
+        return risks
+
     def first_logit(self, x: np.ndarray) -> np.ndarray:
         return self._logit(self.first, self._norm(x))
 
@@ -198,35 +245,58 @@ def hashed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.xxhash64("text").alias("__h"))
 
 
-def drawn(rows: DataFrame, marks: DataFrame, most: int) -> DataFrame:
-    """rows that are among about ``most`` positives (``pos``) or about ``most`` of all (``any``)."""
+def positives(rows: DataFrame, marks: DataFrame, most: int) -> DataFrame:
+    """All rows, with ``pos`` for those among about ``most`` positives."""
     # the thinned labels are bounded by ``most``, so they can be broadcast
     pos = F.broadcast(thinned(marks, most, "doc_id").select(F.col("doc_id").alias("__pos")))
+    return rows.join(pos, F.col("doc_id") == F.col("__pos"), "left").withColumn("pos", F.col("__pos").isNotNull()).drop("__pos")
+
+
+def drawn(rows: DataFrame, marks: DataFrame, most: int) -> DataFrame:
+    """rows that are among about ``most`` positives (``pos``) or about ``most`` of all (``any``)."""
     share = min(1.0, 1.25 * most / max(1, rows.count()))
-    both = rows.join(pos, F.col("doc_id") == F.col("__pos"), "left")
-    flags = both.withColumn("pos", F.col("__pos").isNotNull()).withColumn("any", F.abs(F.xxhash64("__h", F.lit(5)) / 2.0**63) <= share)
-    return flags.where("pos or any").drop("__pos")
+    return positives(rows, marks, most).withColumn("any", F.abs(F.xxhash64("__h", F.lit(5)) / 2.0**63) <= share).where("pos or any")
+
+
+def sums_of(rows: DataFrame, model: QualityModel) -> np.ndarray:
+    """``model.sums`` over the features ``x`` of all rows; each task passes on one sum a weight."""
+    sent = rows.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0.0
+        for b in batches:
+            if b.num_rows:
+                total = total + sent.value.sums(b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1).astype(np.float64))
+        if np.ndim(total):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["k", "s"])
+
+    found = rows.select("x").mapInArrow(run, "k long, s double").groupBy("k").agg(F.sum("s").alias("s")).collect()  # a row for each weight
+    sent.unpersist()
+    out = np.zeros(2 + sum(np.size(v) for v in model.net))
+    for r in found:
+        out[r["k"]] = r["s"]
+    return out
 
 
 def log_ratios(docs: DataFrame, marks: DataFrame, *, rows: int = TRAIN_ROWS) -> np.ndarray:
-    """The log ratio of each bin between positives and unlabelled texts, for each half of the sample."""
+    """The log ratio of each bin between about ``rows`` positives and all texts, for each half of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = Bins()
+        bins, counts = Bins(), np.zeros((2, 2 * BINS), np.int64)
         for batch in batches:
-            pos, each, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
+            pos, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
             for start, texts in text_slices(batch, limit=1_000_000):
-                counts = np.zeros((2, 2 * BINS), np.int64)
                 for i, t in enumerate(texts, start):
-                    half = BINS * int(hashes[i] & 1)
+                    half = counts[:, BINS * int(hashes[i] & 1) :][:, :BINS]
                     for own in bins_of(t, bins):
-                        seen, n = np.unique(own, return_counts=True)
-                        counts[0, half + seen] += n * bool(pos[i])
-                        counts[1, half + seen] += n * bool(each[i])
-                at = np.flatnonzero(counts.any(0))
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[0, at]), pa.array(counts[1, at])], ["bin", "p", "u"])
-
-    found = drawn(hashed(docs.where("text is not null")), marks, rows).select("text", "pos", "any", "__h").mapInArrow(run, "bin long, p long, u long")
+                        np.add.at(half[1], own, 1)
+                        if pos[i]:
+                            np.add.at(half[0], own, 1)
+        # a task passes on its sums, whatever it read
+        at = np.flatnonzero(counts.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[0, at]), pa.array(counts[1, at])], ["bin", "p", "u"])
+
+    found = positives(hashed(docs.where("text is not null")), marks, rows).select("text", "pos", "__h").mapInArrow(run, "bin long, p long, u long")
     sums = found.groupBy("bin").agg(F.sum("p").alias("p"), F.sum("u").alias("u")).collect()  # 2 x BINS rows at most
     p, u = np.zeros(2 * BINS), np.zeros(2 * BINS)
     for r in sums:
@@ -257,7 +327,7 @@ def measured(spark: SparkSession, docs: DataFrame, ratios: np.ndarray, keep: lis
 
 
 def fit(spark: SparkSession, rows: DataFrame, marks: DataFrame, ratios: np.ndarray, *, most: int = TRAIN_ROWS) -> QualityModel:
-    """Fits on at most ``most`` rows of each side of ``rows`` (doc_id, __h, x); the prior's tails are counted over all of them."""
+    """Fits on at most ``most`` positives and all of ``rows`` (doc_id, __h, x); a start is found on ``most`` of these."""
     sample = drawn(rows, marks, most).select("pos", "any", "__h", "x")
 
     def side(flag: str) -> np.ndarray:
@@ -283,11 +353,12 @@ def fit(spark: SparkSession, rows: DataFrame, marks: DataFrame, ratios: np.ndarr
     for r in rows.select("x").mapInArrow(tails, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         counts[r["k"]] = r["n"]
     model.finish(positive, unlabelled, best_bin_prior(logits, cuts, counts))
+    model.refine(positive, lambda: sums_of(rows, model))
     return model
 
 
 def train(docs: DataFrame, labels: DataFrame, *, rows: int = TRAIN_ROWS) -> QualityModel:
-    """A model of docs; all its texts are measured once for the prior."""
+    """A model of docs; all its texts are measured once for the prior and the risk."""
     spark, marks = docs.sparkSession, good_labels(labels)
     ratios = log_ratios(docs, marks, rows=rows)
     texts = hashed(docs.where("text is not null"))

@@ -178,6 +178,134 @@ def test_quality_features_and_score_equal_plain():
         assert abs(got - sigmoid(sum(h * w for h, w in zip(hidden, w2, strict=True)) + float(b2))) < 1e-9
 
 
+def plain_shape(text):
+    """The shape's features by their names, one at a time."""
+    words, lines = text.split(), [x for x in text.split("\n") if x]
+    n = len(words)
+    if not n:
+        return dict.fromkeys(quality.NAMES[:-3], 0.0)
+    lengths = [len(w) for w in words]
+    mean = sum(lengths) / n
+    next_same = [words[i] == words[i + 1] for i in range(n - 1)]
+    longest = run = 1
+    for same in next_same:
+        run = run + 1 if same else 1
+        longest = max(longest, run)
+    has_letter = [any(c.isalpha() for c in w) for w in words]
+    symbols = sum(c in quality.MARKS for c in text)
+    upper = sum(w.isupper() for w in words)
+    nl = max(1, len(lines))
+    return {
+        "log_words": math.log(1 + n),
+        "unique_words": len(set(words)) / n,
+        "repeated_next": sum(next_same) / (n - 1) if n > 1 else 0,
+        "longest_run": math.log(longest),
+        "mean_length": min(mean, 40) / 10,
+        "sd_length": min(math.sqrt(sum((x - mean) ** 2 for x in lengths) / n), 40) / 10,
+        "upper_words": upper / n,
+        "title_words": sum(w.istitle() for w in words) / n,
+        "no_letter_words": has_letter.count(False) / n if symbols else 0,
+        "marked_words": sum(not w.rstrip(".,;:").isalpha() for w in words) / n,
+        "digits": sum(c in "0123456789" for c in text) / len(text),
+        "pipes": sum(c == "|" for c in text) / n,
+        "exclamations": sum(c == "!" for c in text) / n,
+        "symbols": symbols / n,
+        "ends_of_sentences": sum(c == "." for c in text) / n,
+        "commas": sum(c == "," for c in text) / n,
+        "lines": math.log(1 + nl),
+        "repeated_lines": 1 - len(set(lines)) / nl,
+        "short_lines": sum(len(x) < 30 for x in lines) / nl,
+        "unique_pairs": len({(words[i], words[i + 1]) for i in range(n - 1)}) / (n - 1) if n > 1 else 1,
+        "top_word": max(words.count(w) for w in set(words)) / n if n > 20 else 0,
+        "capital_letters": upper / max(1, n - upper + 1),
+        "long_words": sum(x > 20 for x in lengths) / n,
+        "list_lines": sum("|" in x for x in lines) / nl,
+    }
+
+
+def test_quality_shape_equals_plain():
+    texts = [t for t in TEXTS if len(t) < 2000] + ["A a a A|b\n| 12, 13!\n\nSHOUT SHOUT ok.\nSHOUT SHOUT ok.", "x" * 50 + " Y", "  \n ", "one", "to to to " * 9]
+    for t in texts:
+        want = plain_shape(t)
+        assert list(want) == quality.NAMES[:-3]
+        for name, got in zip(want, quality.shape_of(t), strict=True):
+            assert abs(got - want[name]) < 1e-9, (name, t)
+
+
+def test_log_ratios_count_every_text(spark):
+    """All texts are the unlabelled side, however few rows may be fitted on."""
+    docs, labels = corpus(60)
+    rows = [(i, t) for i, t, *_ in docs] + [(None, None), (10**9, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(docs[k][0],) for k in range(0, 60, 3)], "doc_id long")
+    good = {docs[k][0] for k in range(0, 60, 3)}
+    hashes = {r["doc_id"]: r["__h"] & 1 for r in quality.hashed(df).select("doc_id", "__h").collect()}
+    counts = np.zeros((2, 2, quality.BINS))
+    for i, t in rows:
+        for own in quality.bins_of(t, quality.Bins()) if t else ():
+            for b in own.tolist():
+                counts[hashes[i], 1, b] += 1
+                counts[hashes[i], 0, b] += i in good
+    got = quality.log_ratios(df.repartition(5), marks, rows=1000)
+    half = quality.BINS // 2
+    for k in (0, 1):
+        for lo in (0, half):
+            p, u = counts[k, :, lo : lo + half]
+            want = np.clip(np.log((p + 1) / (p.sum() + half)) - np.log((u + 1) / (u.sum() + half)), -quality.CLIP, quality.CLIP)
+            assert np.allclose(got[1 - k][lo : lo + half], want, atol=1e-5)
+    few = quality.log_ratios(df, marks, rows=3)
+    assert (few < 0).any() and few.shape == got.shape
+
+
+def small_model(rng, prior):
+    x = rng.normal(0, 1, (200, len(quality.NAMES)))
+    p, u = x[:60] + 0.7, np.concatenate([x[60:], x[:30] + 0.7])
+    model = quality.QualityModel(np.zeros((2, quality.BINS), np.float32))
+    model.begin(p, u, steps=30)
+    model.finish(p, u, prior, steps=30)
+    return model, p, u
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.99])
+def test_risk_and_gradient_equal_plain(prior):
+    rng = np.random.default_rng(9)
+    model, p, u = small_model(rng, prior)
+
+    def parts():
+        zp, zu = model._logit(model.net, model._norm(p)), model._logit(model.net, model._norm(u))
+        rest = np.log1p(np.exp(zu)).mean() - prior * np.log1p(np.exp(zp)).mean()
+        return prior * np.log1p(np.exp(-zp)).mean(), rest
+
+    plus, rest = parts()
+    risk, g = model.risk(p, model.sums(u))
+    assert abs(risk - plus - max(0, rest)) < 1e-9
+    net, at = model.net, 0
+    for k, v in enumerate(net):
+        for j in range(0, np.size(v), 37):
+            values = []
+            for d in (1e-5, -1e-5):
+                moved = np.array(v, float)
+                moved.flat[j] += d
+                model.net = (*net[:k], moved, *net[k + 1 :])
+                a, b = parts()
+                values.append(a + b if rest >= 0 else -b)
+            assert abs((values[0] - values[1]) / 2e-5 - g[at + j]) < 1e-5
+        at += np.size(v)
+    model.net = net
+
+
+def test_refined_over_all_rows(spark):
+    """Sums of tasks are the sums of all rows, in any number of tasks, and the net kept has the least risk over all of them."""
+    rng = np.random.default_rng(10)
+    model, p, u = small_model(rng, 0.4)
+    df = spark.createDataFrame([(r.tolist(),) for r in u], "x array<float>")
+    for n in (1, 7):
+        assert np.allclose(quality.sums_of(df.repartition(n), model), model.sums(u.astype(np.float32).astype(float)), atol=1e-6)
+    assert not quality.sums_of(df.where("false"), model).any()
+    risks = model.refine(p, lambda: model.sums(u), steps=30)
+    assert abs(model.risk(p, model.sums(u))[0] - min(risks)) < 1e-12 and min(risks) < risks[0]
+
+
 @pytest.mark.parametrize("prior", [0.2, 0.5, 0.9])
 def test_prior_of_a_known_mixture(prior):
     """Well-separated sides: the least ratio of tails is the share of positives."""
