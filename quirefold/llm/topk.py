@@ -12,6 +12,8 @@ within both bounds are scored; ``n_scored`` tells how many that were.  Vectors
 spread evenly over a sphere in many dimensions are all within such bounds: then
 every vector is scored, and the result is exact all the same.  Equal vectors
 collapse to one with its smallest ids before the search, so copies cost nothing.
+Beyond ``QUERY_CHUNK`` queries go in chunks, those from one block together; a block is
+sent once for each chunk that holds a query within its bounds, and to no other.
 
 Pivots are fitted on at most ``PIVOT_SAMPLE`` vectors; every vector is indexed
 and results are exact.
@@ -184,6 +186,23 @@ def best(scores: np.ndarray, at: np.ndarray, ids: list[np.ndarray], k: int) -> t
     return s[order], v[order]
 
 
+def copied(spark: SparkSession, blocks: DataFrame, asked: DataFrame) -> DataFrame:
+    """The vectors of each block, once for every chunk of queries that asks for it; the list of these is written, so that Spark knows its size."""
+    wanted = cut(spark, asked.select("block", "chunk").distinct(), "topk-wanted")
+    return blocks.join(wanted, "block")
+
+
+def in_chunks(spark: SparkSession, homes: DataFrame, most: int) -> DataFrame:
+    """homes with a ``chunk`` of about ``most`` queries each, in the order of their home blocks; a block with more has several, by a hash."""
+    before, rows = 0, []
+    for block, n in sorted(tuple(r) for r in homes.groupBy("block").count().collect()):  # one home block a cell: at most MAX_PIVOTS x BINS rows
+        rows.append((block, before, n))
+        before += n
+    starts = spark.createDataFrame(rows, "block long, __before long, __n long")
+    place = F.col("__before") + F.pmod(F.xxhash64("q", F.lit(9)), F.col("__n"))
+    return homes.join(F.broadcast(starts), "block").withColumn("chunk", F.floor(place / most)).drop("__before", "__n")
+
+
 def top_k(spark: SparkSession, vectors: DataFrame, *, k: int = K, every: int = EVERY) -> DataFrame:
     """(query_id, rank, vec_id, score, n_scored): the k best of each row whose id is divisible by ``every``, against all others.
 
@@ -229,9 +248,6 @@ def top_k(spark: SparkSession, vectors: DataFrame, *, k: int = K, every: int = E
     salted = distinct.select("q", "ids", F.pmod(F.xxhash64("q"), F.lit(1 << 30)).alias("salt"))
     blocks = salted.mapInArrow(to_blocks, "block long, p long, d double, q binary, ids array<long>")
     queries = asked.select("q").distinct()
-    chunks = max(1, -(-queries.count() // QUERY_CHUNK))
-    queries = queries.withColumn("chunk", F.pmod(F.xxhash64("q", F.lit(9)), F.lit(chunks)))
-    copied = blocks.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(chunks - 1).cast("long"))))
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """left: a block's vectors; right: its queries, each with a score to reach and the one pivot it is for (-1: all)."""
@@ -263,7 +279,7 @@ def top_k(spark: SparkSession, vectors: DataFrame, *, k: int = K, every: int = E
         return pd.DataFrame(out, columns=["q", "scores", "ids", "n"])
 
     def searched(asked: DataFrame) -> DataFrame:
-        return copied.groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInPandas(search, "q binary, scores array<long>, ids array<long>, n long")
+        return copied(spark, blocks, asked).groupBy("block", "chunk").cogroup(asked.groupBy("block", "chunk")).applyInPandas(search, "q binary, scores array<long>, ids array<long>, n long")
 
     def go_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value
@@ -271,7 +287,7 @@ def top_k(spark: SparkSession, vectors: DataFrame, *, k: int = K, every: int = E
             m = matrix(b.column(0).to_pylist(), dim).astype(np.float64)
             home = [ix.home(d) for d in ix.distances(np.c_[m, np.zeros(len(m))])]
             block, only = zip(*home, strict=True) if home else ((), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(block, pa.int64()), pa.array(np.full(len(m), -np.inf)), pa.array(only, pa.int64())], ["q", "chunk", "block", "least", "only"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(block, pa.int64()), pa.array(np.full(len(m), -np.inf)), pa.array(only, pa.int64())], ["q", "block", "least", "only"])
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ix = sent.value
@@ -285,8 +301,9 @@ def top_k(spark: SparkSession, vectors: DataFrame, *, k: int = K, every: int = E
                 yield pa.RecordBatch.from_arrays([pa.array([name] * n, pa.binary()), pa.array([chunk] * n, pa.int64()), pa.array(to, pa.int64()), pa.array(np.full(n, least[i])), pa.array(np.full(n, -1))], ["q", "chunk", "block", "least", "only"])
 
     shape = "q binary, chunk long, block long, least double, only long"
-    found = cut(spark, searched(queries.select("q", "chunk").mapInArrow(go_home, shape)), "topk-home")
-    bound = queries.join(found.select("q", "scores"), "q", "left").select("q", "chunk", "scores")
+    homes = in_chunks(spark, cut(spark, queries.mapInArrow(go_home, "q binary, block long, least double, only long"), "topk-homes"), QUERY_CHUNK)
+    found = cut(spark, searched(homes), "topk-home")
+    bound = homes.select("q", "chunk").join(found.select("q", "scores"), "q", "left").select("q", "chunk", "scores")
     near = searched(bound.mapInArrow(expand, shape))
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -519,6 +519,29 @@ def test_top_k_bounds_stop_the_search(spark):
         assert [r.vec_id for r in sorted((r for r in got if r.query_id == i), key=lambda r: r["rank"])] == want
 
 
+def test_top_k_sends_blocks_where_they_are_asked_for(spark, monkeypatch):
+    """In many chunks of queries from clusters, both rounds send under a third of all blocks to all chunks; the result is that of brute force."""
+    rng = np.random.default_rng(6)
+    middle = rng.normal(0, 1, (60, 16))
+    x = middle[rng.integers(0, 60, 4000)] + rng.normal(0, 0.05, (4000, 16))
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)]
+    sent, chunks, plain = [], set(), topk.copied
+
+    def counted(spark, blocks, asked):
+        out = plain(spark, blocks, asked)
+        sent.append(out.count())
+        chunks.update(r["chunk"] for r in asked.select("chunk").distinct().collect())
+        return out
+
+    monkeypatch.setattr(topk, "copied", counted)
+    monkeypatch.setattr(topk, "QUERY_CHUNK", 20)
+    monkeypatch.setattr(topk, "BLOCK", 64)
+    got = topk.top_k(spark, topk.quantise(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), every=10).collect()
+    assert Counter(tuple(r)[:4] for r in got) == plain_top(rows, 5, 10)
+    assert chunks == set(range(20))  # 400 queries
+    assert sent[0] < 2 * 4000 and sum(sent) < 2 * 4000 * len(chunks) / 3, sent
+
+
 def test_top_k_with_several_vectors_of_one_id(spark):
     rows = [(0, [1.0, 0.0])] + [(0, [1.0, 0.01 * j]) for j in range(1, 9)] + [(j, [0.1 * j, 0.0]) for j in range(1, 8)]
     got = topk.top_k(spark, topk.quantise(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))).collect()
