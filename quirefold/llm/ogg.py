@@ -9,7 +9,8 @@ are derived from granule positions.
 
 Defined results: a null text is empty; an empty text is stored as 64 zero bytes;
 equal texts give equal stored forms (serial numbers come from the payload);
-repeated rows are handled one by one; other columns of the input are not read.
+repeated rows are handled one by one; a very long text fills as many pages as it
+takes; other columns of the input are not read.
 """
 
 from __future__ import annotations

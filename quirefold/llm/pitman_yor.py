@@ -28,8 +28,8 @@ step 2**-26 (within 1e-8 of the double) and are added up as integers.
 
 Defined results: a null or empty text is its end token alone; without training
 text every token is the unknown type; a null doc_id counts as id text ''; rows
-are scored one by one, so repeated rows get equal results; other columns of the
-input are not read.
+are scored one by one, so repeated rows get equal results; a very long text is learnt
+and scored whole; other columns of the input are not read.
 """
 
 from __future__ import annotations

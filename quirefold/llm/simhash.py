@@ -11,7 +11,8 @@ components by alternating large-star and small-star steps with checkpoints.
 
 Defined results: a null or blank text has fingerprint zero and links like any
 other; a null id never names a component unless all its members have none;
-repeated rows are returned as often as they come; other columns are not read.
+repeated rows are returned as often as they come; a very long text counts whole, with
+all its shingles held by one task at a time; other columns are not read.
 """
 
 from __future__ import annotations

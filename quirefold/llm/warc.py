@@ -16,7 +16,8 @@ Defined results (``deduplicate``): a null payload is empty; among payloads of at
 least ``least`` bytes that are equal the one with the largest id is a response
 and the others revisit it; rows that share that id are all responses; a row
 without an id revisits one with an id, and without any all are responses;
-repeated rows are written as often as they come; other columns are not read.
+repeated rows are written as often as they come; a very long payload is written and
+read whole, in one record; other columns are not read.
 """
 
 from __future__ import annotations
