@@ -363,9 +363,10 @@ SELECT paper, n AS left_verses, n - lost AS right_verses, n - lost AS common, lo
 e AS (SELECT doc, page, max(y) FILTER (WHERE is_left) AS left_y, max(y) FILTER (WHERE NOT is_left) AS right_y FROM w GROUP BY doc, page)
 SELECT doc, page, left_y, right_y, abs(left_y - right_y) AS diff FROM e WHERE abs(left_y - right_y) > 5""",
     "page_maximum_body": """SELECT CAST(l_orderkey % 211 AS VARCHAR) AS doc, CAST(l_orderkey + 1 AS INTEGER) AS page, max(100 + 11 * l_linenumber) AS max_body, count(DISTINCT l_linenumber) AS n_lines, min(100 + 11 * l_linenumber) AS first_y FROM lineitem GROUP BY 1, 2""",
+    # a reference may lack its semicolon, as the parser and browsers read it
     "html_extract_headings": """WITH h AS (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?s)<script.*?</script>|<!--.*?-->|<style.*?</style>', '', 'g'), '(?s)<h[1-3]\\b[^>]*>.*?</h[1-3]>') AS found FROM pages),
 x AS (SELECT page_id, unnest(found) AS e, generate_subscripts(found, 1) - 1 AS k FROM h)
-SELECT page_id, CAST(k AS INTEGER) AS k, substr(e, 2, 2) AS level, replace(replace(replace(replace(replace(regexp_replace(e, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS heading FROM x""",
+SELECT page_id, CAST(k AS INTEGER) AS k, substr(e, 2, 2) AS level, regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(e, '<[^>]*>', '', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', '"', 'g'), '&#39;', chr(39)), '&#39([^0-9]|$)', chr(39) || '\\1', 'g'), '&amp;?', '&', 'g') AS heading FROM x""",
     # in texts of 200 characters on, those that make up over a hundredth are no anchors: without any anchor all is replaced
     "opcode_diff": f"""WITH {_BOTH}, e AS (SELECT doc_id, {_clean('line')} AS t FROM lines WHERE doc_id % 5 = 0 AND doc_id % 7 <> 0 AND line_no = 0),
 w AS (SELECT doc_id, unnest(string_split(t, '')) AS ch FROM e), n AS (SELECT doc_id, ch, count(*) + CAST(ch = 'X' AS INTEGER) AS n FROM w GROUP BY 1, 2), z AS (SELECT doc_id, min(n) AS rarest FROM n GROUP BY 1),

@@ -51,3 +51,17 @@ def test_nothing_else_imports_llm():
     for f in (ROOT / "quirefold").rglob("*.py"):
         if "llm" not in f.parts:
             assert not re.search(r"\bllm\b", f.read_text(encoding="utf-8")), f
+
+
+def test_headings_with_unclosed_references(spark, tmp_path):
+    """A reference without its semicolon is read as one, by the query and by its SQL."""
+    import duckdb
+
+    rows = [(1, "<h1>a &amp</h1><h2>b &lt c &gt;d &quot e</h2><h3>&amp;lt &#39 f&#391; &#39;</h3>"), (2, None)]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = sorted(tuple(r) for r in q.queries()["html_extract_headings"](spark, str(tmp_path)).select("page_id", "k", "level", "heading").collect())
+    want = sorted(c.sql(f"SELECT page_id, k, level, heading FROM ({q.oracle_sql()['html_extract_headings']})").fetchall())
+    assert got[0] == (1, 0, "h1", "a &") and got[:2] == want[:2]
+    assert got[2][3] == "&lt ' fƇ '" and want[2][3] == "&lt ' f&#391; '"  # other references are not among the SQL's five
