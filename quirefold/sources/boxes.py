@@ -24,6 +24,9 @@ from .scratch import scratch
 
 END = b"</page>"
 RANGE_BYTES, READ_BYTES = 64 << 20, 1 << 20
+#: Small ranges are read several a task: up to so many bytes, while there are so many tasks.
+TASK_BYTES, TASKS = 16 << 20, 64
+BEYOND_BYTES = 16 << 10
 COUNTS = "doc string, start long, length long, pages long"
 PAGES = "doc string, page int, xml string"
 FAR = 2**31 - 1
@@ -41,7 +44,7 @@ class Range(NamedTuple):
 
 
 class Ranges(InputPartition):
-    """Ranges that one task reads: small files together, large ones a range at a time."""
+    """Ranges that one task reads: however small they are cut, several together."""
 
     def __init__(self, ranges: list[Range]) -> None:
         self.ranges = ranges
@@ -60,7 +63,8 @@ def pages_in(folder: str, part: Range) -> Iterator[bytes]:
             if k < 0:
                 if at >= size or not begun and origin + len(held) >= stop + len(END):
                     return
-                piece = f.read_at(min(READ_BYTES, size - at), at)
+                # up to the range's end, then in pieces for the page that reaches beyond
+                piece = f.read_at(min(READ_BYTES, size - at, max(stop - at, BEYOND_BYTES)), at)
                 at += len(piece)
                 held += piece
                 continue
@@ -102,9 +106,10 @@ class BoxReader(DataSourceReader):
 
     def partitions(self) -> list[Ranges]:
         out: list[list[Range]] = [[]]
-        size = 0
-        for r in self.ranges():
-            if out[-1] and size + r.length > self.bytes:
+        ranges, size = self.ranges(), 0
+        most = max(self.bytes, min(TASK_BYTES, sum(r.length for r in ranges) // TASKS))
+        for r in ranges:
+            if out[-1] and size + r.length > most:
                 out.append([])
                 size = 0
             out[-1].append(r)

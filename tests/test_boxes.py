@@ -45,3 +45,14 @@ def test_a_page_filter_picks_ranges(spark, folder):
     assert some.rdd.getNumPartitions() == 2 and sorted(r.page for r in some.collect()) == [2, 21]
     last = pages.where("page > 20 and page <= 22")
     assert last.rdd.getNumPartitions() < 4 and sorted(r.page for r in last.collect()) == [21, 22]
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """The number of tasks follows the bytes that are read, not the number of ranges."""
+    page = '<page width="10"><flow><block><line xMin="1" yMin="2" xMax="3" yMax="4"><word xMin="1" yMin="2" xMax="3.5" yMax="4">w</word></line></block></flow></page>\n'
+    for d in range(300):
+        (tmp_path / f"d{d}_bbox.html").write_text(f"<html><doc>\n{page * 3}</doc></html>", encoding="utf-8")
+    reader = boxes.BoxReader({"path": str(tmp_path), "rangeBytes": 200})
+    assert len(reader.ranges()) > 600 and len(reader.partitions()) < 110
+    pages = boxes.box_pages(spark, str(tmp_path), range_bytes=200)
+    assert pages.count() == 900 and pages.where("page = 3").count() == 300
