@@ -55,8 +55,9 @@ def page_lines(words: DataFrame) -> DataFrame:
 
 def unbalanced(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(columns of a section that end apart on a page, pages with text past the bottom margin)."""
-    runs = section_runs(words)
-    last = lambda side: F.max(F.when(F.exists(side, lambda x: is_body(x["h"])), F.struct("y", _texts(F.col(side)).alias("text"))))
+    body = lambda side: F.when(F.exists(side, lambda x: is_body(x["h"])), _texts(F.col(side)))
+    runs = section_runs(words, left_text=body("left"), right_text=body("right"))
+    last = lambda side: F.max(F.when(F.col(f"{side}_text").isNotNull(), F.struct("y", F.col(f"{side}_text").alias("text"))))
     ends = runs.groupBy("doc", "section", "page").agg(last("left").alias("l"), last("right").alias("r")).where("l is not null and r is not null")
     diff = F.abs(F.col("l.y") - F.col("r.y"))
     apart = ends.where(diff > UNEVEN).select("doc", "section", "page", diff.alias("diff"), F.col("l.y").alias("left_y"), F.col("l.text").alias("left_text"), F.col("r.y").alias("right_y"), F.col("r.text").alias("right_text"))
@@ -112,7 +113,7 @@ def section_top_gaps(words: DataFrame) -> DataFrame:
 
     A page without a word is an empty page before; the first page has none before it.
     """
-    pages = running(page_summary(words), ["doc"], ["page"], previous={"page_before": F.col("page"), "body_before": F.col("max_body")})
+    pages = running(stored(page_summary(words), "pages"), ["doc"], ["page"], previous={"page_before": F.col("page"), "body_before": F.col("max_body")})
     before = F.when(F.col("page_before") == F.col("page") - 1, F.col("body_before")).when(F.col("page") > 1, 0)
     pages = pages.withColumn("before", before)
     number = r"^\s*(\d+(?:\s+and\s+\d+)?)\.\s+\S"
@@ -218,11 +219,15 @@ def part_of(papers: DataFrame) -> DataFrame:
     return papers.join(F.broadcast(parts), F.col("paper").between(F.col("first"), F.col("last")), "left").drop("first", "last")
 
 
-def section_runs(words: DataFrame) -> DataFrame:
-    """The lines of each document with the number of titles up to them; titles themselves are left out, page ends change nothing."""
-    lines = page_lines(words)
+def section_runs(words: DataFrame, **more: Column) -> DataFrame:
+    """(doc, page, y, section): the lines of each document with the number of titles up to them; titles themselves are left out, page ends change nothing.
+
+    ``more`` are columns made of a line as ``page_lines`` gives it; only these are written with its place, not its words,
+    and lines are made once, before their ranges are drawn.
+    """
     title = F.col("is_title") & (F.col("x_max") - F.col("x_min") > 100)
-    return running(lines.withColumn("title", title), ["doc"], ["page", "y"], sums={"section": F.col("title").cast("int")}).where(~F.col("title"))
+    lines = page_lines(words).select("doc", "page", "y", title.alias("title"), *[c.alias(n) for n, c in more.items()])
+    return running(stored(lines, "lines"), ["doc"], ["page", "y"], sums={"section": F.col("title").cast("int")}).where(~F.col("title")).drop("title")
 
 
 def section_pages(words: DataFrame) -> DataFrame:

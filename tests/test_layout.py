@@ -162,3 +162,16 @@ def test_first_uneven_stops_early(spark, tmp_path):
     assert 0 < seen.value < len(rows) // 4
     assert layout.first_uneven(lines.where("doc = 'a' and page > 2"), pages=4).count() == 0
     assert layout.first_uneven(lines.where("false")).count() == 0
+
+
+def test_only_what_is_told_of_a_line_is_written(spark, monkeypatch):
+    """Sections are counted over narrow rows: a line's words don't go through the ranges."""
+    from pyspark.sql import functions as F
+
+    from quirefold.operators import layout
+
+    words = spark.createDataFrame([("d", 1, 0, 0, k, 0, f"w{k}", 60.0, 200.0, 90.0 + 11 * k, 100.0 + 11 * k) for k in range(5)], "doc string, page int, flow int, block int, line int, word int, text string, xMin double, xMax double, yMin double, yMax double")
+    given, real = [], layout.running
+    monkeypatch.setattr(layout, "running", lambda df, *a, **k: given.append(df.columns) or real(df, *a, **k))
+    rows = layout.section_runs(words, n=F.size("ws")).orderBy("y").collect()
+    assert given == [["doc", "page", "y", "title", "n"]] and [(r.y, r.section, r.n) for r in rows] == [(100 + 11 * k, 0, 1) for k in range(5)]
