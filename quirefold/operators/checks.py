@@ -84,25 +84,27 @@ def mutation_check(tex_files: DataFrame, html_files: DataFrame) -> DataFrame:
     Only papers whose two sides agree undamaged are judged.  All papers and mutants are
     extracted and compared in one job; a mutant is a source like any other.
     """
-    number = F.regexp_extract("path", r"(\d{3,})\.\w+$", 1).cast("int").alias("paper")
 
-    def first_replaced(pattern: str, new: str) -> tuple[Column, Column, Column]:
-        # once: what comes before the first match, the match replaced, and the rest as it was
-        at = F.regexp_instr("src", F.lit(pattern))
+    def damaged(name: str, pattern: str, new: str) -> Column:
+        # once: what comes before the first match, the match replaced, and the rest as it was; null where nothing matches
         found = F.regexp_extract("src", pattern, 0)
-        return F.concat(F.expr("substring(src, 1, greatest(at - 1, 0))"), F.regexp_replace(found, pattern, new), F.expr("substring(src, at + char_length(found))")), at, found
+        at = F.regexp_instr("src", F.lit(pattern))
+        text = F.concat(F.expr("substring(src, 1, greatest(__at - 1, 0))"), F.regexp_replace("__found", pattern, new), F.expr("substring(src, __at + char_length(__found))"))
+        return files.withColumns({"__at": at, "__found": found}).where("__at > 0").select(F.lit(name).alias("mutant"), "path", text.alias("src"))
 
+    # a verse is known by its digest, so that papers meet by 32 bytes a verse; each source is parsed once
+    verse = lambda v: F.unhex(F.sha2(F.to_json(F.struct(v["section"].alias("s"), v["verse"].alias("v"), v["text"].alias("t"), v["italics"].alias("i"))), 256))
+    none = F.array(F.unhex(F.sha2(F.lit("none"), 256)))
     sides = {}
-    for side, files, parse in (("tex", tex_files, tex_papers), ("html", html_files, html_papers)):
+    for side, source, parse in (("tex", tex_files, tex_papers), ("html", html_files, html_papers)):
+        files = stored(source.select("path", "src"), f"{side}-files")
         made = files.select(F.lit("").alias("mutant"), "path", "src")
         for name, own, pattern, new in DAMAGE:
             if own == side:
-                text, at, found = first_replaced(pattern, new)
-                damaged = files.withColumn("at", at).withColumn("found", found).where("at > 0").select(F.lit(name).alias("mutant"), "path", text.alias("src"))
-                made = made.unionByName(damaged)
+                made = made.unionByName(damaged(name, pattern, new))
         papers = parse(made.select(F.concat_ws("/", "mutant", "path").alias("path"), "src"))
-        verses = papers.select(F.regexp_extract("path", r"^(\w*)/", 1).alias("mutant"), "paper", F.explode_outer("verses").alias("v"))
-        sides[side] = verses.groupBy("mutant", "paper").agg(F.sort_array(F.collect_list(F.struct("v.section", "v.verse", "v.text", "v.italics"))).alias("all"))
+        verses = papers.select(F.regexp_extract("path", r"^(\w*)/", 1).alias("mutant"), "paper", F.when(F.size("verses") > 0, F.transform("verses", verse)).otherwise(none).alias("v"))
+        sides[side] = stored(verses.groupBy("mutant", "paper").agg(F.sha2(F.array_join(F.transform(F.sort_array(F.flatten(F.collect_list("v"))), F.hex), ""), 256).alias("all")), f"{side}-digests")
     both = sides["tex"].select("paper", "mutant", F.col("all").alias("left")), sides["html"].select("paper", "mutant", F.col("all").alias("right"))
     plain = both[0].where("mutant = ''").drop("mutant").join(both[1].where("mutant = ''").drop("mutant"), "paper").where("left = right")
     found = [both[k].where("mutant <> ''").toDF("paper", "mutant", "damaged").join(plain.select("paper", F.col(side).alias("other")), "paper") for k, side in ((0, "right"), (1, "left"))]

@@ -25,43 +25,54 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _verses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(paper, k, body): non-blank lines without characters that are markup on either side."""
     lines = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("paper"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
-    body = F.regexp_replace(F.trim(F.translate("line", "\\{}[]%$~&<>-", " " * 12)), " +", " ")
+    body = F.trim(F.regexp_replace("line", r"[\\{}\[\]%$~&<> -]+", " "))
     return lines.select("paper", (F.col("n") + 1).alias("k"), body.alias("body")).where("body <> ''")
 
 
 def _joined(rows: DataFrame, keys: list[str], order: str, text: Column, name: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text.alias("x")))), lambda v: v["x"]), "\n").alias(name))
+    return rows.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, text.alias("x")))), lambda v: v["x"]), "\n").alias(name))
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(paper, vs): each paper's verses (k, first: the first word, rest) in order, gathered and written once, as both markups are made of them."""
+    first = F.substring_index("body", " ", 1)
+    v = _verses(spark, sf_dir).select("paper", F.struct("k", first.alias("first"), F.expr("substring(body, char_length(substring_index(body, ' ', 1)) + 1)").alias("rest")).alias("v"))
+    return stored(v.groupBy("paper").agg(F.sort_array(F.collect_list("v")).alias("vs")), "verses")
 
 
 def editions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(TeX files, HTML files, allow-list)."""
-    v, p = _verses(spark, sf_dir), F.col("paper")
-    number, first = F.format_string("%03d", p), F.regexp_extract("body", "^[^ ]+", 0)
-    rest, marked = F.expr("substring(body, char_length(regexp_extract(body, '^[^ ]+', 0)) + 1)"), F.expr("(paper + k) % 3 = 0")
-    body = F.concat(F.when(marked, F.concat(F.lit("\\bibemph{"), first, F.lit("}"), rest)).otherwise(F.col("body")), F.when(F.expr("paper % 4 = 1"), "\u2019s").otherwise(""))
-    lines = _joined(v, ["paper"], "k", F.concat(F.lit("\\vs p"), number, F.lit(" 1:"), F.col("k"), F.lit(" \\pc "), body), "vs")
+    papers, p = _sources(spark, sf_dir), F.col("paper")
+    number = F.format_string("%03d", p)
+    marked = lambda v: (p + v["k"]) % 3 == 0
+
+    def tex_line(v: Column) -> Column:
+        told = F.when(marked(v), F.concat(F.lit("\\bibemph{"), v["first"], F.lit("}"), v["rest"])).otherwise(F.concat(v["first"], v["rest"]))
+        return F.concat(F.lit("\\vs p"), number, F.lit(" 1:"), v["k"], F.lit(" \\pc "), told, F.when(p % 4 == 1, "\u2019s").otherwise(""))
+
     head = F.concat(F.lit("\\upaper{"), p, F.lit("}{Title}\n\\author{Some One}\n\\usection{Heading}\n"))
     pair = F.concat(F.lit("\n\\usectiontwo{2 and 3}{Pair}\n\\vs p"), number, F.lit(" 2:1 pair text"))
-    tex_src = lines.select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), F.concat(head, "vs", pair).alias("src"))
+    tex_src = papers.select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), F.concat(head, F.array_join(F.transform("vs", tex_line), "\n"), pair).alias("src"))
 
-    end = F.when(F.expr("paper % 4 = 1"), "\u02bcs").otherwise("")
-    em = marked & ~F.expr("paper % 11 = 3 and k = 1") & ~F.expr("paper % 5 = 0 and k = 1")
-    told = F.when(em, F.concat(F.lit("<em>"), first, F.lit("</em>"), rest)).when(F.expr("paper % 5 = 0 and k = 1"), F.concat(F.lit("X"), "body")).otherwise(F.col("body"))
-    shown = F.concat(told, end)
     ident = lambda s, k: F.concat(F.lit('id="U'), p, F.lit(f"_{s}_"), k, F.lit('"'))
-    para = F.concat(F.lit("<p "), ident(1, F.col("k")), F.lit("><small>1:1</small>"), shown, F.lit("</p>"))
-    floating = F.when(F.expr("paper % 6 = 2 and k = 2"), F.concat(F.lit("\n<p "), ident(1, F.lit("2A")), F.lit(">floating</p>"))).otherwise("")
-    kept = _joined(v.where("paper % 7 <> 0 or k <> 1"), ["paper"], "k", F.concat(para, floating), "ps")
+
+    def html_line(v: Column) -> Column:
+        k = v["k"]
+        em = marked(v) & ~((p % 11 == 3) & (k == 1)) & ~((p % 5 == 0) & (k == 1))
+        told = F.when(em, F.concat(F.lit("<em>"), v["first"], F.lit("</em>"), v["rest"])).when((p % 5 == 0) & (k == 1), F.concat(F.lit("X"), v["first"], v["rest"])).otherwise(F.concat(v["first"], v["rest"]))
+        floating = F.when((p % 6 == 2) & (k == 2), F.concat(F.lit("\n<p "), ident(1, F.lit("2A")), F.lit(">floating</p>"))).otherwise("")
+        return F.concat(F.lit("<p "), ident(1, k), F.lit("><small>1:1</small>"), told, F.when(p % 4 == 1, "\u02bcs").otherwise(""), F.lit("</p>"), floating)
+
+    kept = F.array_join(F.transform(F.filter("vs", lambda v: (p % 7 != 0) | (v["k"] != 1)), html_line), "\n")
     title = F.when(F.expr("paper % 13 = 5"), "Other title").otherwise("Title")
     heading = F.when(F.expr("paper % 19 = 4"), "Changed").otherwise("Heading")
     extra = F.when(F.expr("paper % 17 = 1"), F.concat(F.lit("<p "), ident(1, F.lit("999999")), F.lit(">extra</p>"))).otherwise("")
     html = F.concat(
-        F.lit("<h1 "), ident(0, F.lit("0")), F.lit(">Paper "), p, F.lit(". "), title, F.lit("</h1><h2 "), ident(1, F.lit("0")), F.lit(">1. "), heading, F.lit("</h2>"), F.coalesce("ps", F.lit("")), extra,
+        F.lit("<h1 "), ident(0, F.lit("0")), F.lit(">Paper "), p, F.lit(". "), title, F.lit("</h1><h2 "), ident(1, F.lit("0")), F.lit(">1. "), heading, F.lit("</h2>"), kept, extra,
         F.lit("<h2 "), ident(3, F.lit("0")), F.lit(">2. and 3. Pair</h2><p "), ident(3, F.lit("1")), F.lit(">pair text</p>"),
     )
-    html_src = lines.select("paper").join(kept, "paper", "left").select(F.concat(F.lit("Paper"), number, F.lit(".html")).alias("path"), html.alias("src"))
-    ids = v.select("paper").distinct()
-    allow = ids.where("paper % 10 = 0 or paper % 22 = 3").select("paper", F.lit(1).alias("section"), F.lit(1).alias("verse"), F.expr("paper % 10 = 0").alias("skip"), F.expr("paper % 22 = 3").alias("ignore_italics"))
+    html_src = papers.select(F.concat(F.lit("Paper"), number, F.lit(".html")).alias("path"), html.alias("src"))
+    allow = papers.where("paper % 10 = 0 or paper % 22 = 3").select("paper", F.lit(1).alias("section"), F.lit(1).alias("verse"), F.expr("paper % 10 = 0").alias("skip"), F.expr("paper % 22 = 3").alias("ignore_italics"))
     return tex_src, html_src, allow
 
 
@@ -108,11 +119,12 @@ def edition_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mutants_caught(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damage done to papers whose editions agree, and how often the comparison saw it."""
-    v = _verses(spark, sf_dir)
-    p, number = F.col("paper"), F.format_string("%03d", F.col("paper"))
-    first, rest = F.regexp_extract("body", "^[^ ]+", 0), F.expr("substring(body, char_length(regexp_extract(body, '^[^ ]+', 0)) + 1)")
-    left = _joined(v, ["paper"], "k", F.concat(F.lit("\\vs p"), number, F.lit(" 1:"), F.col("k"), F.lit(" word \\bibemph{"), first, F.lit("}"), rest), "vs").select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), F.concat(F.lit("\\upaper{"), p, F.lit("}{T}\n"), "vs").alias("src"))
-    right = _joined(v, ["paper"], "k", F.concat(F.lit('<p id="U'), p, F.lit("_1_"), F.col("k"), F.lit('">word <em>'), first, F.lit("</em>"), rest, F.lit("</p>")), "ps").select(F.concat(F.lit("Paper"), number, F.lit(".html")).alias("path"), F.col("ps").alias("src"))
+    papers, p, number = _sources(spark, sf_dir), F.col("paper"), F.format_string("%03d", F.col("paper"))
+    joined = lambda line: F.array_join(F.transform("vs", line), "\n")
+    tex_lines = joined(lambda v: F.concat(F.lit("\\vs p"), number, F.lit(" 1:"), v["k"], F.lit(" word \\bibemph{"), v["first"], F.lit("}"), v["rest"]))
+    html_lines = joined(lambda v: F.concat(F.lit('<p id="U'), p, F.lit("_1_"), v["k"], F.lit('">word <em>'), v["first"], F.lit("</em>"), v["rest"], F.lit("</p>")))
+    left = papers.select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), F.concat(F.lit("\\upaper{"), p, F.lit("}{T}\n"), tex_lines).alias("src"))
+    right = papers.select(F.concat(F.lit("Paper"), number, F.lit(".html")).alias("path"), html_lines.alias("src"))
     return checks.mutation_check(left, right).groupBy("mutant").agg(F.count("*").alias("papers"), F.count_if("caught").alias("caught"))
 
 

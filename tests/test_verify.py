@@ -215,3 +215,30 @@ def test_token_table_in_sql(spark, folder):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, tex.token_table(fs.tex_files(spark, str(folder / "tex"))).collect()))
     with pytest.raises(Exception, match="key and a source"):
         spark.sql("SELECT * FROM token_table('x')").collect()
+
+
+def test_mutants_are_parsed_once(spark, monkeypatch):
+    """Each source, damaged or not, goes through its parser once."""
+    import pyarrow as pa
+
+    from quirefold.operators import checks
+
+    seen = {side: spark.sparkContext.accumulator(0) for side in ("tex", "html")}
+
+    def counting(side, parse):
+        n = seen[side]
+
+        def run(batches):
+            for b in batches:
+                n.add(b.num_rows)
+                yield pa.RecordBatch.from_arrays(b.columns, ["path", "src"])
+
+        return lambda files: parse(files.select("path", "src").mapInArrow(run, "path string, src string"))
+
+    monkeypatch.setattr(checks, "tex_papers", counting("tex", checks.tex_papers))
+    monkeypatch.setattr(checks, "html_papers", counting("html", checks.html_papers))
+    left = spark.createDataFrame([(f"p00{k}.tex", f"\\upaper{{{k}}}{{T}}\n\\vs p00{k} 1:1 word \\bibemph{{a}} b, c. d. e.") for k in (1, 2)], "path string, src string")
+    right = spark.createDataFrame([(f"Paper00{k}.html", f'<p id="U{k}_1_1">word <em>a</em> b, c. d. e.</p>') for k in (1, 2)], "path string, src string")
+    got = checks.mutation_check(left, right).collect()
+    assert sorted((r.paper, r.mutant, r.caught) for r in got) == sorted((k, d[0], True) for k in (1, 2) for d in checks.DAMAGE)
+    assert {side: n.value for side, n in seen.items()} == {"tex": 14, "html": 6}
