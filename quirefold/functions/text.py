@@ -46,8 +46,12 @@ COMPOSED = "\\x{0}-\\x{2ff}\\x{400}-\\x{482}\\x{48a}-\\x{52f}\\x{2002}-\\x{206f}
 
 
 def is_composed(c: Column) -> Column:
-    """Whether a text is surely composed already, told in the JVM; null is."""
-    return F.coalesce(~c.rlike(f"[^{COMPOSED}]"), F.lit(True))
+    """Whether a text is surely composed already, told in the JVM; null is.
+
+    Letters up to U+02FF, all composed, go first: a class of one range is passed over many times faster than one of many.
+    """
+    rest = F.regexp_replace(c, "[\\x{0}-\\x{2ff}]+", "")
+    return F.coalesce(~rest.rlike(f"[^{COMPOSED}]"), F.lit(True))
 
 
 def normalize(c: Column) -> Column:

@@ -104,3 +104,31 @@ def test_both_ways_of_normalizing_agree(spark):
 def test_composed_texts_are_not_sent_to_python(spark):
     df = spark.createDataFrame([("plain and é ’ —",)] * 50 + [("e\u0301",)], "t string")
     assert df.where(~tx.is_composed(F.col("t"))).count() == 1
+
+
+def plain_places(text, pattern, change):
+    """Where each place lands, character by character."""
+    out, where, done = "", [], 0
+    for m in re.finditer(pattern, text):
+        new = change(m)
+        where += range(len(out), len(out) + m.start() - done + 1)
+        out += text[done : m.start()]
+        where += [len(out) + len(new) if m[0].isspace() else len(out)] * (len(m[0]) - 1)
+        out, done = out + new, m.end()
+    return out + text[done:], where + list(range(len(out), len(out) + len(text) - done + 1))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab -~$\t  ", max_size=30), st.lists(st.tuples(st.integers(-1, 33), st.integers(-1, 33)), max_size=4))
+def test_spans_by_their_places(text, spans):
+    """Spans followed by their own places land where a map of all places puts them."""
+    typed, first = plain_places(text, r"-{2,3}|[~$]", lambda m: {"---": "—", "--": "–", "~": " ", "$": ""}[m[0]])
+    for function, start, steps in ((sp.collapse, text, list(range(len(text) + 1))), (sp.typeset, typed, first)):
+        out, second = plain_places(start, f"{sp.SPACE}+", lambda m: "" if m.start() == 0 or m.end() == len(start) else " ")  # noqa: B023
+        at = lambda p: min(second[steps[min(max(p, 0), len(text))]], len(out))  # noqa: B023, E731
+        assert function(text, spans) == (out, sp.merge([(at(s), at(e)) for s, e in spans if at(s) < at(e)]))
+
+
+def test_text_without_spans_needs_no_places(monkeypatch):
+    monkeypatch.setattr(sp, "_collapsed_places", None)
+    assert sp.typeset(" a -- b ", []) == ("a – b", []) and sp.collapse(" a  b ", []) == ("a b", [])
