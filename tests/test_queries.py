@@ -65,3 +65,26 @@ def test_headings_with_unclosed_references(spark, tmp_path):
     want = sorted(c.sql(f"SELECT page_id, k, level, heading FROM ({q.oracle_sql()['html_extract_headings']})").fetchall())
     assert got[0] == (1, 0, "h1", "a &") and got[:2] == want[:2]
     assert got[2][3] == "&lt ' fƇ '" and want[2][3] == "&lt ' f&#391; '"  # other references are not among the SQL's five
+
+
+def test_gates_of_a_doubled_file_that_lost_its_verse(spark, tmp_path):
+    """Paper 5831 has one verse, whose file comes twice and hides another: two verses, two ids, yet not the same."""
+    import duckdb
+
+    rows = [(5831, "one line"), (5832, "one line\nand two"), (5, "left missing"), (2, "twice\nthere")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    c = duckdb.connect()
+    c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = sorted(tuple(r) for r in q.queries()["gate_findings"](spark, str(tmp_path)).select("gate", "paper", "side").collect())
+    assert got == sorted(c.sql(f"SELECT gate, paper, side FROM ({q.oracle_sql()['gate_findings']})").fetchall())
+    assert ("recount", 5831, "right") in got
+
+
+def test_digests_are_made_once(spark, monkeypatch, tmp_path):
+    from quirefold.operators import checks
+
+    spark.createDataFrame([(1, "one line\nand two")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    made, digest = [], checks.digest
+    monkeypatch.setattr(checks, "digest", lambda df: made.append(digest(df)) or made[-1])
+    assert tuple(q.queries()["extract_digest"](spark, str(tmp_path)).first()) == (3, 1, True, True)
+    assert len(made) == 3 and len(set(made)) == 2
