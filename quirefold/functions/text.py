@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,9 +19,22 @@ _CLEAN = T.StructType([T.StructField("text", T.StringType()), T.StructField("ita
 _CHANGES = T.ArrayType(T.StructType([T.StructField("tag", T.StringType()), *(T.StructField(c, T.IntegerType()) for c in ("i1", "i2", "j1", "j2")), *(T.StructField(c, T.StringType()) for c in ("before", "left", "right", "after"))]))
 
 
+def _ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
+def is_loose(c: Column) -> Column:
+    """Whether collapsing white space changes a text; null for null.
+
+    Spaces are looked for byte by byte, which is many times faster than a pattern.
+    """
+    other = F.when(_ascii(c), c.rlike("[\\t-\\r\\x1c-\\x1f]")).otherwise(c.rlike(sp.SPACE.replace("\\x20", "\\x1f")))
+    return c.contains("  ") | c.startswith(" ") | c.endswith(" ") | other
+
+
 def collapse(c: Column) -> Column:
-    """White-space runs as one space, trimmed."""
-    return F.trim(F.regexp_replace(c, f"{sp.SPACE}+", " "))
+    """White-space runs as one space, trimmed; text without any to collapse stays as it is."""
+    return F.when(is_loose(c), F.trim(F.regexp_replace(c, f"{sp.SPACE}+", " "))).otherwise(c)
 
 
 def typeset(c: Column) -> Column:
@@ -38,7 +51,9 @@ def nfc(s: pd.Series) -> pd.Series:
 
 
 def plain_glyphs(c: Column) -> Column:
-    return F.translate(c, "\u02bc\u00a0\u202f\u2009", "\u2019   ")
+    for glyph, plain in sp.GLYPHS.items():
+        c = F.replace(c, F.lit(chr(glyph)), F.lit(plain))
+    return c
 
 
 #: Code points that composition leaves alone in any text made of them: none is a mark, none is part of a longer composition.
@@ -48,10 +63,10 @@ COMPOSED = "\\x{0}-\\x{2ff}\\x{400}-\\x{482}\\x{48a}-\\x{52f}\\x{2002}-\\x{206f}
 def is_composed(c: Column) -> Column:
     """Whether a text is surely composed already, told in the JVM; null is.
 
-    Letters up to U+02FF, all composed, go first: a class of one range is passed over many times faster than one of many.
+    ASCII is told by its sizes.  Letters up to U+02FF, all composed, go first: a class of one range is passed over many times faster than one of many.
     """
     rest = F.regexp_replace(c, "[\\x{0}-\\x{2ff}]+", "")
-    return F.coalesce(~rest.rlike(f"[^{COMPOSED}]"), F.lit(True))
+    return F.when(_ascii(c), True).otherwise(F.coalesce(~rest.rlike(f"[^{COMPOSED}]"), F.lit(True)))
 
 
 def normalize(c: Column) -> Column:
@@ -70,32 +85,53 @@ def collapse_spans(text: Column, spans: Column) -> Column:
     size = F.length(collapse(text))
     before = lambda p: F.length(F.regexp_replace(F.regexp_replace(F.substring(text, F.lit(1), p), f"^{sp.SPACE}+", ""), f"{sp.SPACE}+", " "))
     inside = lambda p: F.greatest(F.least(p, F.length(text)), F.lit(0))
-    moved = F.transform(spans, lambda x: F.struct(F.least(before(inside(x["s"])), size).cast("int").alias("s"), F.least(before(inside(x["e"])), size).cast("int").alias("e")))
+    return _moved(spans, lambda p: F.least(before(inside(p)), size))
+
+
+def _moved(spans: Column, to: Callable[[Column], Column]) -> Column:
+    moved = F.transform(spans, lambda x: F.struct(to(x["s"]).cast("int").alias("s"), to(x["e"]).cast("int").alias("e")))
     return merge_spans(F.filter(moved, lambda x: x["s"] < x["e"]))
 
 
+def _collapsed(text: Column, italics: Column) -> Column:
+    """struct(text, italics) with white space collapsed; places are looked for only where it changes the text."""
+    none = F.expr(f"cast(array() as {SPANS})")
+    inside = lambda p: F.greatest(F.least(p, F.length(text)), F.lit(0))
+    spans = F.when(is_loose(text), collapse_spans(text, italics)).otherwise(_moved(italics, inside))
+    return F.struct(collapse(text).alias("text"), F.when(text.isNotNull() & (F.size(italics) > 0), spans).otherwise(none).alias("italics"))
+
+
 @F.pandas_udf(_CLEAN)
-def normalize_spans(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-    """Normalized text with its spans; null text is null, null spans are none."""
-    for text, italics in batches:
+def _normalized(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    for text, places in batches:
         rows = []
-        for t, it in zip(text, italics, strict=True):
+        for t, it in zip(text, places, strict=True):
             if t is None:
                 rows.append((None, []))
                 continue
-            t, it = sp.normalize(t, [(x["s"], x["e"]) for x in (it if it is not None else [])])
+            at = [int(p) for p in (it or "").split()]
+            t, it = sp.normalize(t, list(zip(at[::2], at[1::2], strict=True)))
             rows.append((t, [{"s": s, "e": e} for s, e in it]))
         yield pd.DataFrame(rows, columns=["text", "italics"])
 
 
+def normalize_spans(text: Column, italics: Column) -> Column:
+    """Normalized text with its spans; null text is null, null spans are none.
+
+    Spans go to Python as text: Spark tells the size of a batch anew at each row, and for
+    a column of arrays that takes as long as the batch has rows so far.
+    """
+    return _normalized(text, F.array_join(F.transform(italics, lambda x: F.concat_ws(" ", x["s"].cast("string"), x["e"].cast("string"))), " "))
+
+
 def normalize_both(text: Column, italics: Column, needed: Column) -> Column:
     """struct(text, italics) as ``normalize_spans`` gives it where ``needed``, null elsewhere; composed text stays in the JVM, with its spans."""
+    # text that isn't needed is null from here on, so nothing is looked for in it
+    text = F.when(needed, text)
     composed = is_composed(text)
-    mixed = normalize_spans(F.when(needed & ~composed, text), F.when(needed & ~composed, italics))
-    glyphs = plain_glyphs(text)
-    none = F.expr(f"cast(array() as {SPANS})")
-    spans = F.when(F.coalesce(F.size(italics), F.lit(0)) > 0, collapse_spans(glyphs, italics)).otherwise(none)
-    own = F.struct(collapse(glyphs).alias("text"), F.when(text.isNull(), none).otherwise(spans).alias("italics"))
+    mixed = normalize_spans(F.when(~composed, text), F.when(~composed, italics))
+    # an array of one, so that the glyphs are replaced once
+    own = F.transform(F.array(plain_glyphs(text)), lambda t: _collapsed(t, italics))[0]
     return F.when(needed & composed, own).when(needed, mixed)
 
 

@@ -132,3 +132,20 @@ def test_spans_by_their_places(text, spans):
 def test_text_without_spans_needs_no_places(monkeypatch):
     monkeypatch.setattr(sp, "_collapsed_places", None)
     assert sp.typeset(" a -- b ", []) == ("a – b", []) and sp.collapse(" a  b ", []) == ("a b", [])
+
+
+def test_spans_go_to_python_as_text(spark):
+    """No array goes to the Python function: Spark tells a batch's size at each row, and with arrays that takes as long as the batch."""
+    df = spark.createDataFrame([("e\u0301 x", [(0, 2)]), ("y", None), (None, [(0, 1)])], "t string, i array<struct<s:int,e:int>>")
+    for made in (tx.normalize_spans(F.col("t"), F.col("i")), tx.normalize_both(F.col("t"), F.col("i"), F.lit(True))):
+        out = df.select(made.alias("n"))
+        assert re.search(r"_normalized\([^\n]*array_join\(", out._jdf.queryExecution().analyzed().toString())
+        assert [r[0] and (r[0][0], [tuple(x) for x in r[0][1]]) for r in out.collect()] == [("\u00e9 x", [(0, 2)]), ("y", []), (None, [])]
+
+
+def test_only_loose_text_is_collapsed(spark):
+    spaces = [chr(c) for c in range(0x3001) if re.match(sp.SPACE, chr(c))]
+    texts = [t for s in spaces for t in (s, f"{s}a", f"a{s}", f"a{s}b", f"a {s}b", f"\u4e00{s}b")] + ["", "a", "a b", "\u00e4 \u4e00"]
+    got = spark.createDataFrame([(t,) for t in texts] + [(None,)], "t string").select("t", tx.is_loose(F.col("t")), tx.collapse(F.col("t"))).collect()
+    assert all((loose, text) == (t != " ".join(t.split()), " ".join(t.split())) for t, loose, text in got if t is not None)
+    assert tuple(got[-1]) == (None, None, None)
