@@ -120,11 +120,11 @@ def sample_keys(verses: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return keys.orderBy(F.md5(F.concat_ws(":", F.lit(seed), "paper", "section", "verse")), "paper", "section", "verse").limit(n).orderBy("paper", "section", "verse")
 
 
-def spot_check(left: DataFrame, right: DataFrame, n: int = 20, seed: int = 42) -> DataFrame:
-    """Both sides' texts of sampled verses, at most 300 characters, for a reader."""
+def spot_check(left: DataFrame, right: DataFrame, n: int = 20, seed: int = 42, *, sample: DataFrame | None = None) -> DataFrame:
+    """Both sides' texts of sampled verses, at most 300 characters, for a reader; of ``sample``'s verses, if it was drawn before."""
     keys = ["paper", "section", "verse"]
     # the sample has n rows, so it's sent to both sides, and only its verses' texts are moved
-    s = F.broadcast(stored(sample_keys(left, n, seed), "sample"))
+    s = F.broadcast(stored(sample_keys(left, n, seed), "sample") if sample is None else sample)
     show = lambda df, c: df.join(s, keys, "left_semi").groupBy(*keys).agg(F.first(F.substring("text", 1, 300)).alias(c))
     out = s.join(show(left, "left_text"), keys, "left").join(show(right, "right_text"), keys, "left")
     return out.na.fill("(missing)").orderBy(*keys)

@@ -129,9 +129,13 @@ def mutants_caught(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spot_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both editions' texts of sampled verses."""
+    """Both editions' texts of sampled verses; of the other edition, files are picked by their papers before they are parsed."""
     left, right, _ = editions(spark, sf_dir)
-    return checks.spot_check(fs.verses_of(stored(tex.tex_papers(left), "left")), fs.verses_of(stored(html_papers(right), "right")).where("not floater"), 25)
+    verses = fs.verses_of(stored(tex.tex_papers(left), "left"))
+    sample = stored(checks.sample_keys(verses, 25), "sample")
+    number = F.regexp_extract("path", r"(\d+)\.html$", 1).cast("int")
+    wanted = right.join(F.broadcast(sample.select("paper").distinct()), number == F.col("paper"), "left_semi")
+    return checks.spot_check(verses, fs.verses_of(html_papers(wanted)).where("not floater"), sample=sample)
 
 
 def extract_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
