@@ -51,3 +51,18 @@ def test_long_texts_take_seconds():
     got = ed.edits(a, "".join(b))
     assert len(got) == 30 and all(t == "replace" and i2 - i1 == 1 for t, i1, i2, _, _ in got)
     assert time.perf_counter() - began < 60
+
+
+def test_ends_that_differ_need_no_search(monkeypatch):
+    """Texts that differ at one end only have the blocks that the search finds, without it."""
+    rng, pairs = random.Random(5), []
+    for n in (0, 1, 7, 199, 210, 450):
+        for alphabet in ("a", "ab", "abcdefgh ", "abcdefghijklmnopqrstuvwxyz ,."):
+            body = "".join(rng.choice(alphabet) for _ in range(n))
+            pairs += [(x + body, y + body) for x, y in (("\u2603", ""), ("", "\u2604\u2604"), ("\u2603a", "\u2604"))] + [(body + "\u2603", body + "\u2604"), (body, body + "\u2602"), (body + "\u2603\u2605", body)]
+    want = [ed.Matcher(*p).blocks() for p in pairs]
+    found = [ed.at_one_end(*p) for p in pairs]
+    assert all(f is None or f == w for f, w in zip(found, want, strict=True)) and sum(f is not None for f in found) > 100
+    monkeypatch.setattr(ed, "Matcher", None)
+    assert ed.edits("some text\u2603", "some text\u2604") == [("replace", 9, 10, 9, 10)]
+    assert ed.edits("text " * 100, "\u2602" + "text " * 100) == [("replace", 0, 500, 0, 501)]  # common characters only
