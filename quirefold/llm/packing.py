@@ -17,6 +17,7 @@ columns of the input are not read.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -37,9 +38,9 @@ GROUP_PIECES = 2048
 SEED = 20_011
 END_ID = 2
 #: Bytes that a worker's cached chunks, words and their ids may take, about.
-CACHE_BYTES = 128 << 20
+CACHE_BYTES = 64 << 20
 #: Characters of texts encoded at a time.
-SLICE_CHARS = 3_000_000
+SLICE_CHARS = 1_000_000
 #: Separators that str.split() cuts at and the tokenizer doesn't.
 CONTROL = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(f"[{SPACE}]+")
@@ -104,18 +105,28 @@ def pack(spark: SparkSession, pieces: DataFrame, *, capacity: int = SEQUENCE, gr
     return packed.unionByName(full)
 
 
+def unknown_letters() -> str:
+    """A character class: what regex calls a letter or a digit and Python's tables don't know yet, so that the library may not either; never empty."""
+    new = [c for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, range(0x80, sys.maxunicode + 1)))) if unicodedata.category(c) == "Cn"]
+    first = [c for c, before in zip(new, ["", *new], strict=False) if not before or ord(c) != ord(before) + 1]
+    last = [c for c, after in zip(new, [*new[1:], ""], strict=True) if not after or ord(after) != ord(c) + 1]
+    return "\ufffe" + "".join(f"{a}-{z}" for a, z in zip(first, last, strict=True))
+
+
 class WordIds:
     """Ids of whole texts for the lower-casing tokenizer, which never looks across white space.
 
     Each distinct chunk between white space is encoded once: composed, lower-cased
     character by character, cut into words and merged in batched rounds.  Chunks
-    that may hold an added token go through the tokenizers library itself.
+    that may hold an added token, or letters and digits newer than Python's own
+    tables of Unicode, go through the tokenizers library itself.
     """
 
     def __init__(self, spec: str) -> None:
         self.spec, self.tokenizer = spec, None
         self.bpe = ByteBPE(spec)  # for its merges; its own caches stay empty
         self.words = regex.compile(f"\n|{WORDS}")
+        self.odd = re.compile(rf"<\||[{unknown_letters()}]")
         self._fresh()
 
     def _fresh(self) -> None:
@@ -132,8 +143,10 @@ class WordIds:
 
     def _learn(self, chunks: list[str]) -> None:
         """Encode chunks not met before: all in one text, a line each, cut into words by one pass."""
-        odd = {k: self._library(c) for k, c in enumerate(chunks) if "<|" in c}
-        text = "\n".join("" if k in odd else c for k, c in enumerate(chunks)) if odd else "\n".join(chunks)
+        text, odd = "\n".join(chunks), {}
+        if self.odd.search(text):
+            odd = {k: self._library(c) for k, c in enumerate(chunks) if self.odd.search(c)}
+            text = "\n".join("" if k in odd else c for k, c in enumerate(chunks))
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
         words = Numbers()

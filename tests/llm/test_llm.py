@@ -218,6 +218,15 @@ def test_word_ids_equal_library(texts):
         assert ids[e - n : e].tolist() == theirs.encode(t, add_special_tokens=False).ids, t
 
 
+def test_letters_newer_than_pythons_tables_equal_library():
+    path = packing.default_vocabulary()
+    ours, theirs = packing.WordIds(open(path, encoding="utf-8").read()), library(path)
+    texts = [f.replace("@", c) for c in "\U000323b0\u088f\ua7cb\u0558\U00010d50\U00016ea0" for f in (":@", "a@", "@A", "x :@b y", "<|endoftext|>:@")]
+    ids, sizes = ours.encode(texts, None)
+    for t, e, n in zip(texts, np.cumsum(sizes), sizes, strict=True):
+        assert ids[e - n : e].tolist() == theirs.encode(t, add_special_tokens=False).ids, t
+
+
 def test_packing_holds_every_id_once(spark, edge, empty):
     theirs = library(packing.default_vocabulary())
     rows = packing.pack_documents(spark, edge).collect()
