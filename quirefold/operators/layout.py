@@ -148,7 +148,8 @@ def first_uneven(lines: DataFrame, *, pages: int = 16) -> DataFrame:
     The page's bounds are filters on ``lines``; of a table in the order of pages, later
     ranges aren't read.
     """
-    last = lines.agg(F.max("page")).first()[0] or 0
+    ends = stored(lines.groupBy("doc").agg(F.max("page").alias("last")), "last-pages")
+    last = ends.agg(F.max("last")).first()[0] or 0
     low, found = 0, None
     while low < last or found is None:
         part = lines.where((F.col("page") > low) & (F.col("page") <= low + pages))
@@ -157,7 +158,7 @@ def first_uneven(lines: DataFrame, *, pages: int = 16) -> DataFrame:
         first = hits.groupBy("doc").agg(F.min_by(F.struct(*[c for c in hits.columns if c != "doc"]), F.struct("page", "block")).alias("x")).select("doc", "x.*")
         found = stored(first if found is None else found.unionByName(first), "first-uneven")
         low, pages = low + pages, 2 * pages
-        if low < last and lines.where(F.col("page") > low).join(found.select("doc"), "doc", "left_anti").isEmpty():
+        if low < last and ends.where(F.col("last") > low).join(found.select("doc"), "doc", "left_anti").isEmpty():
             break
     return found
 

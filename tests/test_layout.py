@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quirefold.operators import layout
+from quirefold.plans import pages
 from quirefold.sources import files as fs
 
 
@@ -175,3 +176,19 @@ def test_only_what_is_told_of_a_line_is_written(spark, monkeypatch):
     monkeypatch.setattr(layout, "running", lambda df, *a, **k: given.append(df.columns) or real(df, *a, **k))
     rows = layout.section_runs(words, n=F.size("ws")).orderBy("y").collect()
     assert given == [["doc", "page", "y", "title", "n"]] and [(r.y, r.section, r.n) for r in rows] == [(100 + 11 * k, 0, 1) for k in range(5)]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_native_lines_are_not_made_of_words(spark):
+    """Lines for first_uneven_block are dealt out once, and aren't taken apart and put together again."""
+    data = "/root/testdata/sf0.001"
+    plan = plan_of(pages.native_lines(spark, data))
+    assert "Generate" not in plan and "collect_list" not in plan and plan.count("Repartition") == 1
+    words = pages.boxes(spark, data).where("trim(text) <> ''")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("word", "text"))), lambda x: x["text"]), " ")
+    lines = words.groupBy("doc", "page", F.col("line").cast("long").alias("ord")).agg(joined.alias("text"), *[f(c).alias(c) for f, c in ((F.min, "xMin"), (F.max, "xMax"), (F.min, "yMin"), (F.max, "yMax"))])
+    got = pages.native_lines(spark, data)
+    assert got.columns == lines.columns and got.count() == lines.count() and got.exceptAll(lines).isEmpty()
