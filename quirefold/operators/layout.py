@@ -40,15 +40,30 @@ def _texts(words: Column) -> Column:
     return F.array_join(F.transform(words, lambda w: w["text"]), " ")
 
 
+def _in_band(words: DataFrame) -> DataFrame:
+    """Words with text between the head and the foot of a page, and their rounded baseline."""
+    return words.where(F.trim("text") != "").withColumn("y", half_even(F.col("yMax"))).where(F.col("y").between(BAND[0] + 1, BAND[1] - 1))
+
+
+def _apart(x_max: Column, x_min: Column, next_min: Column, next_max: Column) -> Column:
+    """Whether the gutter lies between a word and the next of its line."""
+    return F.coalesce((next_min - x_max > 12) & (x_min < MIDDLE) & (next_max > 245), F.lit(False))
+
+
+def _across(gapped: Column) -> Column:
+    """Whether a line of ``x_min`` to ``x_max`` is a title: across both columns, within their outer edges, without a gap at the gutter."""
+    return (F.col("x_min") < 220) & (F.col("x_max") > 260) & ~gapped & (F.col("x_min") > 80) & (F.col("x_max") < 390)
+
+
 def page_lines(words: DataFrame) -> DataFrame:
     """Words of equal rounded baseline as lines, with both column sides and what titles are told by."""
-    ok = words.where(F.trim("text") != "").withColumn("y", half_even(F.col("yMax"))).where(F.col("y").between(BAND[0] + 1, BAND[1] - 1))
+    ok = _in_band(words)
     seq = F.struct("flow", "block", "line", "word")
     w = F.struct("xMin", seq.alias("seq"), "xMax", (F.col("yMax") - F.col("yMin")).alias("h"), "text")
     lines = ok.groupBy("doc", "page", "y").agg(F.array_sort(F.collect_list(w)).alias("ws"), F.min(seq).alias("first"), F.min("xMin").alias("x_min"), F.max("xMax").alias("x_max"))
     n = F.size("ws")
-    gaps = F.zip_with(F.slice("ws", 1, n - 1), F.slice("ws", 2, n), lambda a, b: F.coalesce((b["xMin"] - a["xMax"] > 12) & (a["xMin"] < MIDDLE) & (b["xMax"] > 245), F.lit(False)))
-    across = (F.col("x_min") < 220) & (F.col("x_max") > 260) & ~F.exists(gaps, lambda g: g) & (F.col("x_min") > 80) & (F.col("x_max") < 390)
+    gaps = F.zip_with(F.slice("ws", 1, n - 1), F.slice("ws", 2, n), lambda a, b: _apart(a["xMax"], a["xMin"], b["xMin"], b["xMax"]))
+    across = _across(F.exists(gaps, lambda g: g))
     left, right = F.filter("ws", lambda x: x["xMin"] < SPLIT), F.filter("ws", lambda x: x["xMin"] > SPLIT)
     return lines.select("doc", "page", "y", "first", "ws", "x_min", "x_max", across.alias("is_title"), left.alias("left"), right.alias("right"))
 
@@ -231,9 +246,32 @@ def section_runs(words: DataFrame, **more: Column) -> DataFrame:
     return running(stored(lines, "lines"), ["doc"], ["page", "y"], sums={"section": F.col("title").cast("int")}).where(~F.col("title")).drop("title")
 
 
+def titled_lines(words: DataFrame) -> DataFrame:
+    """(doc, page, y, title): the lines of ``page_lines``, whether each is a section's title, and no words.
+
+    A word is held against the next of its line by a window, so that no line is put together.
+    """
+    line = Window.partitionBy("doc", "page", "y").orderBy("xMin", "flow", "block", "line", "word", "xMax")
+    ok = _in_band(words).select("doc", "page", "y", "xMin", "xMax", _apart(F.col("xMax"), F.col("xMin"), F.lead("xMin").over(line), F.lead("xMax").over(line)).alias("gap"))
+    lines = ok.groupBy("doc", "page", "y").agg(F.max("gap").alias("gapped"), F.min("xMin").alias("x_min"), F.max("xMax").alias("x_max"))
+    return lines.select("doc", "page", "y", (_across(F.col("gapped")) & (F.col("x_max") - F.col("x_min") > 100)).alias("title"))
+
+
+def section_counts(words: DataFrame) -> DataFrame:
+    """(doc, section, page, lines): how many lines of ``section_runs`` each section has on each page that it has some on.
+
+    Lines are counted up to the next title of their page; only these counts, not the lines,
+    are put in order over a document's pages.
+    """
+    page = Window.partitionBy("doc", "page").orderBy("y").rowsBetween(Window.unboundedPreceding, 0)
+    place = F.sum(F.coalesce(F.col("title").cast("int"), F.lit(0))).over(page)
+    runs = titled_lines(words).withColumn("place", place).groupBy("doc", "page", "place").agg(F.count(F.when(~F.col("title"), 1)).alias("lines"), F.count(F.when(F.col("title"), 1)).alias("titles"))
+    return running(stored(runs, "sections"), ["doc"], ["page", "place"], sums={"section": F.col("titles")}).where("lines > 0").select("doc", "section", "page", "lines")
+
+
 def section_pages(words: DataFrame) -> DataFrame:
     """(doc, section, page, lines, is_last): the pages that each section has lines on, and whether it ends there."""
-    per = section_runs(words).groupBy("doc", "section", "page").agg(F.count("*").alias("lines"))
+    per = section_counts(words)
     last = per.groupBy("doc", "section").agg(F.max("page").alias("last"))
     return per.join(last, ["doc", "section"]).select(*per.columns, (F.col("last") == F.col("page")).alias("is_last"))
 

@@ -192,3 +192,16 @@ def test_native_lines_are_not_made_of_words(spark):
     lines = words.groupBy("doc", "page", F.col("line").cast("long").alias("ord")).agg(joined.alias("text"), *[f(c).alias(c) for f, c in ((F.min, "xMin"), (F.max, "xMax"), (F.min, "yMin"), (F.max, "yMax"))])
     got = pages.native_lines(spark, data)
     assert got.columns == lines.columns and got.count() == lines.count() and got.exceptAll(lines).isEmpty()
+
+
+def test_section_counts_are_those_of_the_lines(spark, monkeypatch):
+    """Only counts by page are put in order, no line and no word."""
+    words = pages.boxes(spark, "/root/testdata/sf0.001")
+    want = layout.section_runs(words).groupBy("doc", "section", "page").agg(F.count("*").alias("lines"))
+    put = []
+    monkeypatch.setattr(layout, "running", lambda df, *a, f=layout.running, **b: put.append(df) or f(df, *a, **b))
+    got = layout.section_counts(words)
+    assert got.columns == want.columns and got.count() == want.count() and got.exceptAll(want).isEmpty()
+    assert "collect_list" not in plan_of(layout.titled_lines(words))
+    layout.section_pages(words)
+    assert all(df.columns == ["doc", "page", "place", "lines", "titles"] for df in put) and put[0].count() < layout.page_lines(words).count()
