@@ -128,17 +128,19 @@ class LanguageModel:
         tasks = [(np.full(len(lang), True), np.where(fam == f, 1.0, -1.0)) for f in self.families] if len(self.families) > 1 else []
         tasks += [((lang == p) | (lang == q), np.where(lang == p, 1.0, -1.0)) for p, q in self.pairs]
         for rows, y in tasks:
-            xs, ys = x[rows], y[rows].astype(np.float32)
+            xs, ys = x if rows.all() else x[rows], y[rows].astype(np.float32)
             wi, bi = svm(xs, ys)
             w.append(wi)
             b.append(bi)
             fit.append(logistic_fit(xs @ wi + bi, ys))
         self.weights = np.stack(w, 1).astype(np.float32) * 64.0 if w else np.zeros((DIM, 0), np.float32)
         self.bias, self.fit = np.array(b), np.array(fit).reshape(-1, 2)
-        unit = np.sqrt(x) / np.sqrt(np.maximum(x.sum(1, keepdims=True), 1e-9)) if len(x) else x
-        self.means = np.array([unit[lang == k].mean(0) for k in self.langs]).reshape(-1, DIM)
+        # a language at a time: vectors as large as all of them together are held only once
+        unit = lambda k: np.sqrt(x[lang == k]) / np.sqrt(np.maximum(x[lang == k].sum(1, keepdims=True), 1e-9))
+        self.means = np.array([unit(k).mean(0) for k in self.langs]).reshape(-1, DIM)
         self.means /= np.maximum(np.linalg.norm(self.means, axis=1, keepdims=True), 1e-9)
-        own = (unit @ self.means.T).max(1, initial=0)[np.array(chars, int) >= LEAST_CHARS] if len(x) else np.zeros(0)
+        long = np.array(chars, int) >= LEAST_CHARS
+        own = np.concatenate([(unit(k) @ self.means.T).max(1, initial=0)[long[lang == k]] for k in self.langs]) if len(x) else np.zeros(0)
         self.floor = float(FLOOR * np.quantile(own, FLOOR_SHARE)) if len(own) else 0.0
 
     def likeness(self, texts: list[str]) -> list[float]:
@@ -209,8 +211,10 @@ def train(docs: DataFrame, *, per_lang: int = TRAIN_PER_LANG, most: int = TRAIN_
                 yield pa.RecordBatch.from_arrays([rows_of(batch, start, len(texts), "lang"), pa.array(vectors, pa.binary()), pa.array(list(map(len, texts)), pa.int64())], ["lang", "x", "chars"])
 
     found = sorted((r["lang"], bytes(r["x"]), r["chars"]) for r in drawn.mapInArrow(run, "lang string, x binary, chars long").where("x is not null").collect())
-    x = np.frombuffer(b"".join(v for _, v, _ in found), np.float16).astype(np.float32).reshape(-1, DIM)
-    return LanguageModel(x, [k for k, _, _ in found], [n for _, _, n in found])
+    x, langs, chars = np.empty((len(found), DIM), np.float32), [k for k, _, _ in found], [n for _, _, n in found]
+    for k in range(len(found)):
+        x[k], found[k] = np.frombuffer(found[k][1], np.float16), None  # not held twice
+    return LanguageModel(x, langs, chars)
 
 
 def predict(spark: SparkSession, docs: DataFrame, model: LanguageModel, keep: list[str], *, likeness: bool = False) -> DataFrame:
