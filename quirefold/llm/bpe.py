@@ -1,9 +1,9 @@
 """Byte-level BPE: batched encoding and decoding with numpy merge rounds.
 
 The encoder keeps the symbols of many words in one flat array.  In each round
-every adjacent pair of a word is looked up by binary search in the sorted pair
-keys, the lowest rank of each word is found with one segmented minimum, and all
-its occurrences merge at once; words without a mergeable pair leave the array.
+the lowest rank of each word's adjacent pairs is found with one segmented minimum,
+and all its occurrences merge at once; then only the pairs beside a merged symbol are
+looked up anew.  Words without a mergeable pair leave the array.
 Words repeat, so each distinct piece is encoded once per worker and cached (the
 cache is bounded in bytes and starts afresh when full: results do not depend on it).
 A word of more than ``LONG`` bytes would take as many rounds as it has merges; it is
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -126,6 +127,7 @@ class ByteBPE:
         keys = left * self.width + right
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made
+        self.index = pd.Index(self.keys)
         self.pair: dict[int, tuple[int, int]] | None = None
         pieces = [b""] * size
         for token, i in vocab.items():
@@ -198,6 +200,17 @@ class ByteBPE:
         out[here], out[~here] = np.concatenate(own), ids
         return out, total
 
+    def _pair_ranks(self, sym: np.ndarray, wid: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs that begin ``at`` these places; ``NO_RANK`` where none merges or a word ends."""
+        rank = np.full(len(at), NO_RANK)
+        inside = np.flatnonzero(wid[np.minimum(at + 1, len(wid) - 1)] == wid[at])
+        inside = inside[at[inside] + 1 < len(wid)]
+        left = at[inside]
+        found = self.index.get_indexer(sym[left] * self.width + sym[left + 1])
+        hit = found >= 0
+        rank[inside[hit]] = self.ranks[found[hit]]
+        return rank
+
     def merge_rounds(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The same for words of moderate length, all of them in each round."""
         if not words:
@@ -207,18 +220,12 @@ class ByteBPE:
         sym = self.first[raw]
         sym[ends - 1] = self.final[raw[ends - 1]]
         wid = np.repeat(np.arange(len(words)), sizes)
+        rank = self._pair_ranks(sym, wid, np.arange(len(sym)))
         done_sym, done_wid = [], []
         while len(sym):
-            rank = np.full(len(sym), NO_RANK)
-            inside = np.flatnonzero(wid[1:] == wid[:-1])
-            key = sym[inside] * self.width + sym[inside + 1]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key
-            rank[inside[hit]] = self.ranks[at[hit]]
             heads = np.flatnonzero(np.r_[True, wid[1:] != wid[:-1]])
             best = np.minimum.reduceat(rank, heads)
-            span = np.diff(np.r_[heads, len(sym)])
-            low = np.repeat(best, span)
+            low = np.repeat(best, np.diff(np.r_[heads, len(sym)]))
             over = low == NO_RANK
             if over.any():
                 done_sym.append(sym[over])
@@ -232,7 +239,11 @@ class ByteBPE:
                 sym[spot] = self.made[rank[spot]]
             keep = ~over
             keep[spot + 1] = False
-            sym, wid = sym[keep], wid[keep]
+            sym, wid, rank = sym[keep], wid[keep], rank[keep]
+            if len(spot):  # only pairs with a merged symbol have another rank now
+                spot = np.cumsum(keep)[spot] - 1
+                near = np.r_[spot, spot[spot > 0] - 1]
+                rank[near] = self._pair_ranks(sym, wid, near)
         sym, wid = np.concatenate(done_sym), np.concatenate(done_wid)
         return sym[np.argsort(wid, kind="stable")], np.bincount(wid, minlength=len(words))
 

@@ -21,6 +21,7 @@ import sys
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import groupby, repeat
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import SPACE, ByteBPE, Numbers, Segments, gather
+from .bpe import KEY_BYTES, SPACE, ByteBPE, Segments
 from .common import cut, rows_of, table, text_slices
 
 SEQUENCE = 4096
@@ -37,15 +38,14 @@ SEQUENCE = 4096
 GROUP_PIECES = 2048
 SEED = 20_011
 END_ID = 2
-#: Bytes that a worker's cached chunks, words and their ids may take, about.
+#: Bytes that a worker's cached words and their ids may take, about.
 CACHE_BYTES = 64 << 20
 #: Characters of texts encoded at a time.
 SLICE_CHARS = 1_000_000
-#: Separators that str.split() cuts at and the tokenizer doesn't.
-CONTROL = re.compile("[\x1c-\x1f]")
 SPACES = re.compile(f"[{SPACE}]+")
-#: Fixed value: how the vocabulary cuts a lower-cased text into words.
-WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{SPACE}\p{{L}}\p{{N}}]+"
+#: The vocabulary cuts a lower-cased text into words by
+#: 's|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+, so kinds of characters are enough to find them.
+GAP, LETTER, DIGIT, OTHER, ODD = range(5)
 
 
 def tournament_first_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -105,32 +105,39 @@ def pack(spark: SparkSession, pieces: DataFrame, *, capacity: int = SEQUENCE, gr
     return packed.unionByName(full)
 
 
-def unknown_letters() -> str:
-    """A character class: what regex calls a letter or a digit and Python's tables don't know yet, so that the library may not either; never empty."""
-    new = [c for c in regex.findall(r"[\p{L}\p{N}]", "".join(map(chr, range(0x80, sys.maxunicode + 1)))) if unicodedata.category(c) == "Cn"]
-    first = [c for c, before in zip(new, ["", *new], strict=False) if not before or ord(c) != ord(before) + 1]
-    last = [c for c, after in zip(new, [*new[1:], ""], strict=True) if not after or ord(after) != ord(c) + 1]
-    return "\ufffe" + "".join(f"{a}-{z}" for a, z in zip(first, last, strict=True))
+def character_kinds() -> np.ndarray:
+    """What each code point is to the vocabulary's cut; ``ODD`` where regex knows a letter or a digit and Python's tables don't yet, so that the library may not either."""
+    every = "".join(map(chr, range(sys.maxunicode + 1)))
+    kinds = np.full(len(every), OTHER, np.uint8)
+    for kind, run in ((LETTER, r"\p{L}+"), (DIGIT, r"\p{N}+"), (GAP, f"[{SPACE}]+")):
+        for m in regex.finditer(run, every):
+            kinds[m.start() : m.end()] = kind
+    named = np.flatnonzero((kinds == LETTER) | (kinds == DIGIT))
+    kinds[[c for c in named.tolist() if unicodedata.category(every[c]) == "Cn"]] = ODD
+    return kinds
 
 
 class WordIds:
-    """Ids of whole texts for the lower-casing tokenizer, which never looks across white space.
-
-    Each distinct chunk between white space is encoded once: composed, lower-cased
-    character by character, cut into words and merged in batched rounds.  Chunks
-    that may hold an added token, or letters and digits newer than Python's own
-    tables of Unicode, go through the tokenizers library itself.
+    """Ids of whole texts for the lower-casing tokenizer.
+
+    Texts are composed, lower-cased character by character and laid end to end as
+    bytes.  A word begins where the kind of character changes, at each digit, and
+    behind a short ending such as ``'s``; without the gaps the words lie end to end
+    too, so that Arrow numbers them as they are.  Only words that differ become
+    Python objects, and each is merged once, in batched rounds.  Chunks between
+    white space that may hold an added token, or letters and digits newer than
+    Python's own tables of Unicode, go through the tokenizers library itself.
     """
 
     def __init__(self, spec: str) -> None:
         self.spec, self.tokenizer = spec, None
         self.bpe = ByteBPE(spec)  # for its merges; its own caches stay empty
-        self.words = regex.compile(f"\n|{WORDS}")
-        self.odd = re.compile(rf"<\||[{unknown_letters()}]")
+        self.kinds = character_kinds()
+        self.plain = self.kinds[:256].tobytes()
         self._fresh()
 
     def _fresh(self) -> None:
-        self.numbers, self.lists = Numbers(), Segments()
+        self.numbers, self.lists, self.held = {}, Segments(), 0
 
     def _library(self, chunk: str) -> list[int]:
         if self.tokenizer is None:
@@ -141,45 +148,96 @@ class WordIds:
             self.tokenizer.no_truncation()
         return self.tokenizer.encode(chunk, add_special_tokens=False).ids
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode chunks not met before: all in one text, a line each, cut into words by one pass."""
-        text, odd = "\n".join(chunks), {}
-        if self.odd.search(text):
-            odd = {k: self._library(c) for k, c in enumerate(chunks) if self.odd.search(c)}
-            text = "\n".join("" if k in odd else c for k, c in enumerate(chunks))
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3")
-        words = Numbers()
-        words["\n"]  # number 0 ends a chunk
-        cut = self.words.findall(text.lower())
-        number = np.fromiter(map(words.__getitem__, cut), np.int64, len(cut))
-        own, each = self.bpe.merged([w.encode() for w in words.fresh()[1:]])
-        each = np.r_[0, each]
-        flat, sizes = gather(own, (np.cumsum(each) - each)[number], each[number])
-        ends = np.cumsum(np.r_[0, sizes])[np.r_[np.flatnonzero(number == 0), len(number)]]
-        each = np.diff(np.r_[0, ends])
-        for k, ids in sorted(odd.items(), reverse=True):  # from the end, so that earlier places stay
-            at = int(each[:k].sum())
-            flat = np.concatenate([flat[:at], np.array(ids, flat.dtype), flat[at:]])
-            each[k] = len(ids)
-        self.lists.add(flat, each)
+    def _kinds(self, joined: bytes) -> np.ndarray:
+        """The kind of each byte of UTF-8: that of its character."""
+        kind = np.frombuffer(joined.translate(self.plain), np.uint8)
+        if joined.isascii():
+            return kind
+        raw, kind = np.frombuffer(joined, np.uint8), kind.copy()
+        lead = np.flatnonzero(raw >= 0xC0)
+        size = 2 + (raw[lead] >= 0xE0) + (raw[lead] >= 0xF0)
+        code = raw[lead].astype(np.int32) & (0x7F >> size)
+        for k in (1, 2, 3):
+            more = size > k
+            code[more] = code[more] << 6 | raw[lead[more] + k] & 0x3F
+        own = self.kinds[code]
+        for k in range(4):
+            more = size > k
+            kind[lead[more] + k] = own[more]
+        return kind
+
+    def _cut(self, joined: bytes, kind: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+        """Where words begin, and the words.  ``joined`` ends with two gaps."""
+        raw = np.frombuffer(joined, np.uint8)
+        solid = kind != GAP
+        start = solid.copy()
+        start[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == DIGIT)
+        if not joined.isascii():
+            start &= (raw & 0xC0) != 0x80
+        quote = np.flatnonzero(start & (raw == ord("'")))
+        one, two = raw[quote + 1], raw[np.minimum(quote + 2, len(raw) - 1)]
+        short = np.isin(one, list(b"stmd"))
+        long = (((one == ord("r")) | (one == ord("v"))) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+        behind = np.r_[quote[short] + 2, quote[long] + 3]
+        start[quote[short | long] + 1] = False
+        start[behind] = solid[behind]
+        begin = np.flatnonzero(start[solid])
+        bounds = np.append(begin, np.count_nonzero(solid)).astype(np.int32)
+        return np.flatnonzero(start), pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(raw[solid])])
+
+    def _plain(self, low: list[bytes], joined: bytes, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without odd chunks, one after another, and how many each has."""
+        if self.held + 4 * self.lists.used > CACHE_BYTES:
+            self._fresh()
+        at, words = self._cut(joined, kind)
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        number = np.fromiter(map(self.numbers.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            number[new] = np.arange(len(self.numbers), len(self.numbers) + len(new))
+            fresh = distinct[new].tolist()
+            self.numbers.update(zip(fresh, number[new].tolist(), strict=True))
+            self.lists.add(*self.bpe.merged(fresh))
+            self.held += KEY_BYTES * len(new) + sum(map(len, fresh))
+        ids, sizes = self.lists.gather(number[coded.indices.to_numpy()])
+        bounds = np.searchsorted(at, np.cumsum([0, *(len(x) + 1 for x in low)]))
+        return ids, np.diff(np.r_[0, np.cumsum(sizes)][bounds])
+
+    def _is_odd(self, chunk: str) -> bool:
+        return "<|" in chunk or not chunk.isascii() and bool((self.kinds[np.frombuffer(chunk.encode("utf-32-le"), np.uint32)] == ODD).any())
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and how many each has."""
+        low = [(t if t.isascii() else unicodedata.normalize("NFC", t).replace("\u03a3", "\u03c3")).lower().encode() for t in texts]
+        joined = b"\n".join(low) + b"\n\n"
+        kind = self._kinds(joined)
+        odd = [k for k, t in enumerate(texts) if "<|" in t]
+        if not joined.isascii() and (new := np.flatnonzero(kind == ODD)).size:
+            odd = sorted({*odd, *np.searchsorted(np.cumsum([len(x) + 1 for x in low]), new, side="right").tolist()})
+        if not odd:
+            return self._plain(low, joined, kind)
+        apart, runs, owner, known = set(odd), [], [], {}
+        for k, t in enumerate(texts):  # runs of plain text, and the ids of odd chunks
+            if k not in apart:
+                runs.append(t)
+                owner.append(k)
+                continue
+            for is_odd, chunks in groupby(SPACES.split(t), self._is_odd):
+                for run in chunks if is_odd else [" ".join(chunks)]:
+                    if is_odd and run not in known:
+                        known[run] = np.array(self._library(run), np.int32)
+                    runs.append(known[run] if is_odd else run)
+                    owner.append(k)
+        ids, each = self._whole([r if isinstance(r, str) else "" for r in runs])
+        ends, total = np.cumsum(each), np.zeros(len(texts), np.int64)
+        parts = [ids[e - n : e] if isinstance(r, str) else r for r, e, n in zip(runs, ends.tolist(), each.tolist(), strict=True)]
+        np.add.at(total, owner, [len(p) for p in parts])
+        return np.concatenate(parts), total
 
     def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, each closed by ``end_id``, and how many each has."""
-        if self.numbers.bytes + 4 * self.lists.used > CACHE_BYTES:
-            self._fresh()
-        get, found, counts = self.numbers.__getitem__, [], []
-        for t in texts:
-            words = t.split() if not CONTROL.search(t) else [w for w in SPACES.split(t) if w]
-            found += map(get, words)
-            counts.append(len(words))
-        new = self.numbers.fresh()
-        if new:
-            self._learn(new)
-        ids, sizes = self.lists.gather(np.array(found, np.int64))
-        counts = np.array(counts, np.int64)
-        ends, bounds = np.cumsum(np.r_[0, sizes]), np.cumsum(counts)
-        total = ends[bounds] - ends[bounds - counts]
+        ids, total = self._whole(texts)
         if end_id is None:
             return ids, total
         return np.insert(ids, np.cumsum(total), end_id), total + 1

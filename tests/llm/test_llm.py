@@ -227,6 +227,27 @@ def test_letters_newer_than_pythons_tables_equal_library():
         assert ids[e - n : e].tolist() == theirs.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_ids_grow_with_words_and_not_with_chunks():
+    path = packing.default_vocabulary()
+    ours, theirs = packing.WordIds(open(path, encoding="utf-8").read()), library(path)
+    texts = [f"the{p}OF{q}And {n}{p}the" for n in range(40) for p in ",.;:" for q in "!?*"]
+    ids, sizes = ours.encode(texts, 2)
+    assert len(ours.numbers) <= 3 + 10 + 7  # words, digits, signs; there are 640 chunks
+    assert ids.tolist() == [i for t in texts for i in [*theirs.encode(t, add_special_tokens=False).ids, 2]]
+    assert sizes.sum() == len(ids)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("''stmdrevlST1\u0662!\u00e9\u01c5\u0301\u4e00\U0001d400\U0001f600 \n\u00a0\u3000\x1c<|\ufffe\U000323b0", max_size=14), max_size=5))
+def test_word_bounds_equal_library(texts):
+    path = packing.default_vocabulary()
+    ours, theirs = packing._word_ids(open(path, encoding="utf-8").read()), library(path)
+    ids, sizes = ours.encode(texts, None)
+    assert len(sizes) == len(texts)
+    for t, e, n in zip(texts, np.cumsum(sizes), sizes, strict=True):
+        assert ids[e - n : e].tolist() == theirs.encode(t, add_special_tokens=False).ids, t
+
+
 def test_packing_holds_every_id_once(spark, edge, empty):
     theirs = library(packing.default_vocabulary())
     rows = packing.pack_documents(spark, edge).collect()
