@@ -144,6 +144,8 @@ def not_alone(docs: DataFrame, size: int, percent: int, shingles: int) -> DataFr
 
     A shingle travels as four bytes: its bucket stands for the rest.  Two that agree in
     these by chance count as shared, so none is lost.  A row's copies share all they have.
+    ``shingles``: how many the sets of all rows hold together; copies are dealt out like
+    other rows, so that buckets of the same size need more of them.
     """
     buckets = max(8, -(-shingles // BUCKET))
 
@@ -177,20 +179,18 @@ def not_alone(docs: DataFrame, size: int, percent: int, shingles: int) -> DataFr
 
     def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each chunk, how many of the keys of each of its sets occur once."""
-        held: dict[int, list[tuple[int, bytes, bytes]]] = {}
-        for batch in batches:
-            yield batch.filter(batch.column(4)).select([1, 2, 3, 4])
-            for bucket, chunk, keys, at in zip(*(batch.filter(pc.invert(batch.column(4))).column(k).to_pylist() for k in range(4)), strict=True):
-                held.setdefault(bucket, []).append((chunk, keys, at))
-        for rows in held.values():
-            keys = np.frombuffer(b"".join(r[1] for r in rows), np.uint32)
+        held: list[tuple[int, bytes, bytes]] = []
+        bucket = None
+
+        def once_each() -> Iterator[pa.RecordBatch]:
+            keys = np.frombuffer(b"".join(r[1] for r in held), np.uint32)
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
             other = np.r_[True, keys[1:] != keys[:-1], True]
             once = np.zeros(len(keys), bool)
             once[order[other[1:] & other[:-1]]] = True
             out, lo = [], 0
-            for chunk, _, at in rows:
+            for chunk, _, at in held:
                 index = np.frombuffer(at, np.uint16)
                 which, n = np.unique(index[once[lo : lo + len(index)]], return_counts=True)
                 lo += len(index)
@@ -200,6 +200,18 @@ def not_alone(docs: DataFrame, size: int, percent: int, shingles: int) -> DataFr
                 chunks, which, n = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array(which, pa.binary()), pa.array(n, pa.binary()), pa.array([False] * len(out))], ["chunk", "keys", "at", "whole"])
 
+        # rows come in the order of buckets, so one bucket is held at a time
+        for batch in batches:
+            yield batch.filter(batch.column(4)).select([1, 2, 3, 4])
+            for b, *row in zip(*(batch.filter(pc.invert(batch.column(4))).column(k).to_pylist() for k in range(4)), strict=True):
+                if held and b != bucket:
+                    yield from once_each()
+                    held = []
+                bucket = b
+                held.append(tuple(row))
+        if held:
+            yield from once_each()
+
     def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nodes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         single: dict[int, np.ndarray] = {}
@@ -222,7 +234,7 @@ def not_alone(docs: DataFrame, size: int, percent: int, shingles: int) -> DataFr
             alone_in[: len(had)] = had
             yield pa.RecordBatch.from_arrays([pa.array(own[100 * alone_in <= (100 - percent) * n])], ["node"])
 
-    dealt = docs.select("text").mapInArrow(deal, "bucket long, chunk long, keys binary, at binary, whole boolean").repartition(buckets, "bucket")
+    dealt = docs.select("text").mapInArrow(deal, "bucket long, chunk long, keys binary, at binary, whole boolean").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     counted = dealt.mapInArrow(alone, "chunk long, keys binary, at binary, whole boolean").repartition(buckets, "chunk")
     return counted.mapInArrow(left, "node long").distinct()
 
@@ -495,7 +507,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def links(spark: SparkSession, docs: DataFrame, *, size: int, percent: int, shingles: int, proposed: DataFrame | None = None) -> DataFrame:
     """(a, b): pairs of nodes at ``percent`` of 100 or more, enough to join all that such pairs join.
 
-    ``shingles``: how many the distinct sets hold together.  ``proposed`` pairs (a, b) are compared first.
+    ``shingles``: how many the sets of all rows hold together, copies too.  ``proposed`` pairs (a, b) are compared first.
     """
     small_batches(spark, BATCH_BYTES)
     need = cut(spark, not_alone(docs, size, percent, shingles), "groups-need")
@@ -530,7 +542,7 @@ def similar(spark: SparkSession, docs: DataFrame, *, size: int = SHINGLE, percen
     small_batches(spark, BATCH_BYTES)
     rows = cut(spark, facts(docs, size), "groups-facts")
     nodes = cut(spark, rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n").alias("n")), "groups-nodes")
-    shingles = nodes.agg(F.sum("n")).first()[0] or 0
+    shingles = rows.agg(F.sum("n")).first()[0] or 0
     root = simhash.components(spark, links(spark, docs, size=size, percent=percent, shingles=shingles))
     named = nodes.join(root, "node", "left").select("node", "first_id", F.coalesce("root", "node").alias("root"))
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))

@@ -136,3 +136,22 @@ def test_a_large_group_of_near_copies_opens_few_groups(spark, monkeypatch):
 def test_texts_of_their_own_are_left_out_early(spark):
     docs = spark.createDataFrame([(k, " ".join(f"d{k}w{i}" for i in range(50))) for k in range(200)] + [(900, "p q r s " * 9), (901, "p q r s " * 9 + "t")], "doc_id long, text string")
     assert tg.not_alone(docs, 3, 80, 20_000).count() == 2
+
+
+def test_copies_count_when_shingles_are_dealt_out(spark, monkeypatch):
+    """A bucket holds about as many shingles however often each row comes, and one bucket is held at a time."""
+    from quirefold.llm import jaccard
+
+    texts = planted(5)[:40]
+    rows = [(k * 1000 + i, t) for k in range(12) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6, "doc_id")
+    given, links = [], tg.links
+    monkeypatch.setattr(tg, "links", lambda *a, **k: given.append(k["shingles"]) or links(*a, **k))
+    monkeypatch.setattr(tg, "BUCKET", 5_000)  # several buckets in each of few tasks
+    found = {r.doc_id: r.component_id for r in tg.similar(spark, docs, size=3, percent=90).collect()}
+    root, n = plain_components(texts, 3, 90)
+    assert given == [12 * sum(n)]
+    least = {r: root.index(r) for r in set(root)}
+    assert found == {i: least[root[i % 1000]] for i, _ in rows}
+    jaccard.near_duplicates(spark, docs, radius=3)
+    assert given[1] == 12 * sum(plain_components(texts, 5, 80)[1])
