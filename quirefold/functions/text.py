@@ -135,6 +135,10 @@ def normalize_both(text: Column, italics: Column, needed: Column) -> Column:
     return F.when(needed & composed, own).when(needed, mixed)
 
 
+#: Pattern: any of the suspicious glyphs.
+ODD_GLYPHS = "[" + "".join(f"\\x{{{ord(ch):x}}}" for ch in sp.SUSPICIOUS) + "]"
+
+
 def suspicious(c: Column) -> Column:
     """map of glyph name to count, only those that occur."""
     pairs = [F.struct(F.lit(name).alias("key"), (F.length(c) - F.length(F.replace(c, F.lit(ch), F.lit("")))).alias("value")) for ch, name in sp.SUSPICIOUS.items()]

@@ -24,6 +24,17 @@ def remap_combined(verses: DataFrame, sections: DataFrame) -> DataFrame:
     return verses.join(to, ["paper", "section"], "left").withColumn("section", F.coalesce("__to", "section")).drop("__to").select(verses.columns)
 
 
+def remapped(papers: DataFrame) -> DataFrame:
+    """The verses of papers as ``remap_combined`` gives them; where each paper has one row its own sections are enough, and no verse is moved."""
+    verses = verses_of(papers)
+    if not papers.groupBy("paper").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        return remap_combined(verses, sections_of(papers))
+    pairs = F.filter("sections", lambda s: s["combined"] & s["combined_with"].isNotNull()).alias("__pairs")
+    own = papers.select("paper", pairs, F.explode("verses").alias("v")).select("paper", "__pairs", "v.*")
+    to = F.array_max(F.transform(F.filter("__pairs", lambda s: s["n"] == F.col("section")), lambda s: F.greatest(s["n"], s["combined_with"])))
+    return own.withColumn("section", F.coalesce(to, "section")).select(verses.columns)
+
+
 def last_wins(verses: DataFrame, order: str = "ord", keys: list[str] | None = None) -> DataFrame:
     """The last row of each key, with ``repeats``: how many rows before it had the key."""
     keys = keys or KEY
@@ -55,6 +66,13 @@ def compare_verses(left: DataFrame, right: DataFrame, deviations: DataFrame) ->
     return n.select(*KEY, "skip", status.alias("status"), "nl", "nr", F.col("l.text").alias("left_raw"), F.col("r.text").alias("right_raw"))
 
 
+def reported(compared: DataFrame) -> DataFrame:
+    """``compare_verses``' rows with the texts that something is said of, the others null: normalized ones of findings, raw ones that hold an odd glyph."""
+    found = F.expr("not skip and status <> 'same'")
+    odd = lambda c: F.when(F.expr("not skip and status not in ('only_left', 'only_right')") & F.col(c).rlike(tx.ODD_GLYPHS), F.col(c))
+    return compared.select(*KEY, "skip", "status", F.when(found, F.col("nl")).alias("nl"), F.when(found, F.col("nr")).alias("nr"), odd("left_raw").alias("left_raw"), odd("right_raw").alias("right_raw"))
+
+
 def compare_titles(left: DataFrame, right: DataFrame) -> DataFrame:
     """PAPER_TITLE mismatches: titles as they are, none counts as empty."""
     j = left.select("paper", F.coalesce("title", F.lit("")).alias("a")).join(right.select("paper", F.coalesce("title", F.lit("")).alias("b")), "paper").where("a <> b")
@@ -100,6 +118,7 @@ class Comparison:
     """All tables of one comparison of extracted papers (schema PAPER on both sides).
 
     What is parsed and what is compared is written once to the shared folder, as several tables are made of it.
+    Of what was compared, only texts that are reported are written (``reported``).
     """
 
     def __init__(self, left: DataFrame, right: DataFrame, deviations: DataFrame) -> None:
@@ -109,10 +128,10 @@ class Comparison:
         left, right = (stored(df.observe(self._seen[side], F.count("*").alias("papers"), F.count_if(F.col("error").isNotNull()).alias("broken"), F.sum(F.size("verses")).alias("verses")), f"{side}-papers") for side, df in (("left", left), ("right", right)))
         self.left_heads, self.right_heads = headers_of(left), headers_of(right)
         self.left_sections, self.right_sections = sections_of(left), sections_of(right)
-        self.left_verses = remap_combined(verses_of(left), self.left_sections)
+        self.left_verses = remapped(left)
         self.right_verses = drop_floaters(verses_of(right))
         self.left_keyed, self.right_keyed = last_wins(self.left_verses), last_wins(self.right_verses)
-        self.compared = stored(compare_verses(self.left_keyed, self.right_keyed, deviations), "compared")
+        self.compared = stored(reported(compare_verses(self.left_keyed, self.right_keyed, deviations)), "compared")
         self.mismatches = mismatches(self.left_heads, self.right_heads, self.left_sections, self.right_sections, self.left_keyed, self.right_keyed, self.compared)
 
     def observed(self) -> dict[str, dict[str, int]]:

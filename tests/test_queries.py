@@ -88,3 +88,33 @@ def test_digests_are_made_once(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(checks, "digest", lambda df: made.append(digest(df)) or made[-1])
     assert tuple(q.queries()["extract_digest"](spark, str(tmp_path)).first()) == (3, 1, True, True)
     assert len(made) == 3 and len(set(made)) == 2
+
+
+def test_sources_move_no_text(spark):
+    """Both markups are made where a document's row is: neither plan deals anything out."""
+    from quirefold.plans import editions as ed
+
+    for side in ed.editions(spark, DATA):
+        assert "Exchange" not in side._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_that_share_a_number(spark, tmp_path):
+    """Their lines are one paper's, in the order of line numbers; blank and null texts make no paper."""
+    from quirefold.plans import editions as ed
+
+    rows = [(1, "b one\n\nb two"), (1, "a one"), (2, "%{}\n - "), (3, None), (4, "one\nand  two")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.paper: [(v.k, v.first, v.rest) for v in r.vs] for r in ed._sources(spark, str(tmp_path)).collect()}
+    assert got == {1: [(1, "a", " one"), (1, "b", " one"), (3, "b", " two")], 4: [(1, "one", ""), (2, "and", " two")]}
+
+
+def test_only_reported_texts_are_written(spark):
+    """Of verses that agree, and hold no odd glyph, no text is kept; what was shuffled goes when it is written."""
+    from quirefold.plans import editions as ed
+    from quirefold.sources.scratch import CLEANUP
+
+    spark.conf.unset(CLEANUP)
+    c = ed._compared(spark, DATA)
+    assert spark.conf.get(CLEANUP) == "true"
+    same = c.compared.where("status = 'same' and paper % 4 <> 1 and not skip")
+    assert same.count() and not same.where("nl is not null or nr is not null or left_raw is not null or right_raw is not null").count()
