@@ -33,11 +33,31 @@ def _joined(rows: DataFrame, keys: list[str], order: str, text: Column, name: st
     return rows.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, text.alias("x")))), lambda v: v["x"]), "\n").alias(name))
 
 
+#: Fixed value: characters that are markup on either side, and spaces.
+_MARKUP = r"\\{}\[\]%$~&<> -"
+
+
 def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(paper, vs): each paper's verses (k, first: the first word, rest) in order, gathered and written once, as both markups are made of them."""
-    first = F.substring_index("body", " ", 1)
-    v = _verses(spark, sf_dir).select("paper", F.struct("k", first.alias("first"), F.expr("substring(body, char_length(substring_index(body, ' ', 1)) + 1)").alias("rest")).alias("v"))
-    return stored(v.groupBy("paper").agg(F.sort_array(F.collect_list("v")).alias("vs")), "verses")
+    """(paper, vs): each paper's verses (k, first: the first word, rest) in order.
+
+    They are made where a document's row is, so that no text is moved or written; only
+    documents that share a paper's number are gathered.
+    """
+    docs = _t(spark, sf_dir, "documents").select(F.col("doc_id").cast("int").alias("paper"), "text").where(F.col("text").rlike(f"[^\n{_MARKUP}]"))
+    body = lambda x: F.trim(F.regexp_replace(x, f"[{_MARKUP}]+", " "))
+    first = lambda b: F.substring_index(b, " ", 1)
+    verse = lambda k, b: F.struct(k.alias("k"), first(b).alias("first"), F.substring(b, F.length(first(b)) + 1, F.length(b)).alias("rest"))
+
+    def own(rows: DataFrame) -> DataFrame:
+        lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct((i + 1).alias("k"), body(x).alias("body"))), lambda v: v["body"] != "")
+        return rows.select("paper", F.transform(lines, lambda v: verse(v["k"], v["body"])).alias("vs"))
+
+    again = stored(docs.groupBy("paper").agg(F.count("*").alias("n")).where("n > 1").select(F.col("paper").alias("__again")), "repeated")
+    if again.isEmpty():
+        return own(docs)
+    shared = F.col("paper").eqNullSafe(F.col("__again"))
+    gathered = own(docs.join(again, shared, "left_semi")).groupBy("paper").agg(F.sort_array(F.flatten(F.collect_list("vs"))).alias("vs"))
+    return own(docs.join(again, shared, "left_anti")).unionByName(gathered)
 
 
 def editions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -112,7 +132,6 @@ def glyph_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def edition_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verses extracted against counts of marks and ids in the sources."""
     left, right, allow = editions(spark, sf_dir)
-    left, right = stored(left, "tex"), stored(right, "html")
     c = diff.Comparison(tex.tex_papers(left), html_papers(right), allow)
     return checks.recount(left, right, c.left_verses, c.right_verses)
 
@@ -335,7 +354,7 @@ def _with_problems(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     lost = F.when(F.expr("p % 31 = 3"), F.concat(F.lit('<!--<p id="U'), F.col("p").cast("string"), F.lit('_1_888888">hidden</p>-->'))).otherwise("")
     right = right.withColumn("p", paper).where("p % 23 <> 1").select("p", "path", F.concat("src", lost).alias("src"))
     again = right.where("p % 29 = 2").withColumn("path", F.concat(F.lit("Again"), "path"))
-    return stored(left, "left-files"), stored(right.unionByName(again).select("path", "src"), "right-files")
+    return left, right.unionByName(again).select("path", "src")
 
 
 def gate_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
