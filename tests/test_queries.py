@@ -118,3 +118,32 @@ def test_only_reported_texts_are_written(spark):
     assert spark.conf.get(CLEANUP) == "true"
     same = c.compared.where("status = 'same' and paper % 4 <> 1 and not skip")
     assert same.count() and not same.where("nl is not null or nr is not null or left_raw is not null or right_raw is not null").count()
+
+
+def test_layout_files_are_not_listed_by_the_driver(spark):
+    from quirefold.plans import pages
+
+    found = pages.text_layout_files(spark, DATA)
+    assert not [f for f in found.inputFiles() if "/layouts-" in f]
+    assert found.count() == pages.text_layout_blocks(spark, DATA).count()
+
+
+def test_layouts_of_rows_that_share_an_id(spark, tmp_path):
+    from quirefold.plans import pages
+
+    text = "\n".join(f"line {k} " + "y" * 50 for k in range(12))
+    spark.createDataFrame([(1, text), (1, "other"), (2, text), (3, None), (4, "")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc: r.value for r in pages._cells(spark, str(tmp_path)).collect()}
+    assert sorted(got) == [1, 2, 4] and [len(p.split("\n")) for p in got[2].split("\f")] == [10, 2] and [len(p.split("\n")) for p in got[1].split("\f")] == [11, 2]
+    assert got[1].split("\f")[1] == got[2].split("\f")[1] and got[2].split("\f")[1].startswith("line 10 ")
+
+
+def test_box_files_are_compressed_and_move_no_page(spark, monkeypatch):
+    """Documents are written compressed; what is read is numbered and parsed in the task that read it."""
+    from quirefold.plans import pages
+
+    made, write = [], pages.write_files
+    monkeypatch.setattr(pages, "write_files", lambda files, folder: made.append(write(files, folder)) or made[-1])
+    found = pages.box_files(spark, DATA)
+    assert made[0].where("path like '%.gz'").count() == made[0].count() > 0
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
