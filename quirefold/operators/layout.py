@@ -68,12 +68,25 @@ def page_lines(words: DataFrame) -> DataFrame:
     return lines.select("doc", "page", "y", "first", "ws", "x_min", "x_max", across.alias("is_title"), left.alias("left"), right.alias("right"))
 
 
-def unbalanced(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(columns of a section that end apart on a page, pages with text past the bottom margin)."""
-    body = lambda side: F.when(F.exists(side, lambda x: is_body(x["h"])), _texts(F.col(side)))
-    runs = section_runs(words, left_text=body("left"), right_text=body("right"))
-    last = lambda side: F.max(F.when(F.col(f"{side}_text").isNotNull(), F.struct("y", F.col(f"{side}_text").alias("text"))))
-    ends = runs.groupBy("doc", "section", "page").agg(last("left").alias("l"), last("right").alias("r")).where("l is not null and r is not null")
+def column_ends(words: DataFrame, texts: bool = True) -> DataFrame:
+    """(doc, section, page, l, r): the last line of either column (y, text), of the sections that have both on a page.
+
+    A page's lines are gathered up to its next title; only what a run of lines ends with,
+    not the lines, is put in order over a document's pages.  Without ``texts`` they are empty.
+    """
+    title = F.col("is_title") & (F.col("x_max") - F.col("x_min") > 100)
+    body = lambda side: F.when(F.exists(side, lambda x: is_body(x["h"])) & ~title, F.struct("y", (_texts(F.col(side)) if texts else F.lit("")).alias("text")))
+    page = Window.partitionBy("doc", "page").orderBy("y").rowsBetween(Window.unboundedPreceding, 0)
+    lines = page_lines(words).select("doc", "page", "y", title.alias("title"), body("left").alias("l"), body("right").alias("r"))
+    runs = lines.withColumn("place", F.sum(F.col("title").cast("int")).over(page)).groupBy("doc", "page", "place").agg(F.count(F.when(F.col("title"), 1)).alias("titles"), F.max("l").alias("l"), F.max("r").alias("r"))
+    both = F.expr("l is not null and r is not null")
+    ends = runs.select("doc", "page", "place", "titles", F.when(both, F.col("l")).alias("l"), F.when(both, F.col("r")).alias("r"))
+    return running(stored(ends, "ends"), ["doc"], ["page", "place"], sums={"section": F.col("titles")}).where("l is not null").select("doc", "section", "page", "l", "r")
+
+
+def unbalanced(words: DataFrame, texts: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(columns of a section that end apart on a page, pages with text past the bottom margin); without ``texts`` theirs are empty."""
+    ends = column_ends(words, texts)
     diff = F.abs(F.col("l.y") - F.col("r.y"))
     apart = ends.where(diff > UNEVEN).select("doc", "section", "page", diff.alias("diff"), F.col("l.y").alias("left_y"), F.col("l.text").alias("left_text"), F.col("r.y").alias("right_y"), F.col("r.text").alias("right_text"))
     low = F.greatest("l.y", "r.y")
@@ -91,21 +104,27 @@ def margins(lines: DataFrame) -> DataFrame:
 
 
 def orphans(words: DataFrame) -> DataFrame:
-    """Flush single lines at a column's top with a paragraph gap below; single-column pages are left out."""
+    """Flush single lines at a column's top with a paragraph gap below; single-column pages are left out.
+
+    A column's first two lines are found where its page is; only first lines with a gap below
+    them meet the margins, with the edges of the page's body words, which tell whether it has two columns.
+    """
     lines = page_lines(words)
     m = margins(lines)
     pivot = m.groupBy("doc", "parity").agg(F.max(F.when(F.col("side") == "left", F.col("margin"))).alias("left_m"), F.max(F.when(F.col("side") == "right", F.col("margin"))).alias("right_m"))
-    known = lines.withColumn("parity", F.col("page") % 2).join(pivot, ["doc", "parity"], "left")
+    own = lambda c: F.filter(c, lambda x: is_body(x["h"]))
+    line = lambda c: F.when(~F.col("is_title") & (F.size(own(c)) > 0), F.struct("y", F.array_min(F.transform(own(c), lambda w: w["xMin"])).alias("x"), _texts(own(c)).alias("text")))
+    edges = F.transform(own("ws"), lambda w: F.struct(w["xMin"].alias("a"), w["xMax"].alias("b")))
+    cells = lines.select("doc", "page", line("left").alias("left"), line("right").alias("right"), edges.alias("edges"))
+    tops = lambda c: F.slice(F.array_sort(F.collect_list(c)), 1, 2).alias(c)
+    pages = cells.groupBy("doc", "page").agg(tops("left"), tops("right"), F.flatten(F.collect_list("edges")).alias("edges"))
+    column = lambda c: F.struct(F.lit(c).alias("side"), F.try_element_at(c, F.lit(1)).alias("top"), (F.try_element_at(c, F.lit(2))["y"] - F.try_element_at(c, F.lit(1))["y"]).alias("gap"))
+    top = pages.select("doc", "page", "edges", F.explode(F.filter(F.array(*[column(c) for c in ("left", "right")]), lambda e: e["gap"] > PARAGRAPH_GAP)).alias("e"))
+    known = top.select("doc", "page", "edges", (F.col("page") % 2).alias("parity"), "e.*").join(pivot, ["doc", "parity"], "left")
     probe = F.col("right_m") - GUTTER
-    crossing = F.size(F.filter("ws", lambda x: is_body(x["h"]) & (x["xMin"] <= F.col("right_m") - GUTTER) & (x["xMax"] >= F.col("right_m") - GUTTER)))
-    page = Window.partitionBy("doc", "page")
-    open_ = known.withColumn("cover", F.sum(F.when(probe.isNotNull(), crossing).otherwise(0)).over(page)).where(F.col("cover") < GUTTER_WORDS).where(~F.col("is_title"))
-    side = lambda c, flush: F.struct(F.lit(c).alias("side"), F.filter(c, lambda x: is_body(x["h"])).alias("b"), F.col(flush).alias("flush"))
-    cols = open_.select("doc", "page", "y", F.explode(F.array(side("left", "left_m"), side("right", "right_m"))).alias("e")).select("doc", "page", "y", "e.*").where(F.size("b") > 0)
-    order = Window.partitionBy("doc", "page", "side").orderBy("y")
-    top = cols.withColumn("__n", F.row_number().over(order)).withColumn("gap", F.lead("y").over(order) - F.col("y")).where("__n = 1")
-    x = F.array_min(F.transform("b", lambda w: w["xMin"]))
-    return top.where((F.abs(x - F.col("flush")) <= FLUSH) & (F.col("gap") > PARAGRAPH_GAP)).select("doc", "page", "side", "y", "gap", _texts(F.col("b")).alias("text"))
+    cover = F.when(probe.isNotNull(), F.size(F.filter("edges", lambda x: (x["a"] <= F.col("right_m") - GUTTER) & (x["b"] >= F.col("right_m") - GUTTER)))).otherwise(0)
+    flush = F.when(F.col("side") == "left", F.col("left_m")).otherwise(F.col("right_m"))
+    return known.where((cover < GUTTER_WORDS) & (F.abs(F.col("top.x") - flush) <= FLUSH)).select("doc", "page", "side", F.col("top.y").alias("y"), "gap", F.col("top.text").alias("text"))
 
 
 def page_summary(words: DataFrame) -> DataFrame:
@@ -128,9 +147,11 @@ def section_top_gaps(words: DataFrame) -> DataFrame:
 
     A page without a word is an empty page before; the first page has none before it.
     """
-    pages = running(stored(page_summary(words), "pages"), ["doc"], ["page"], previous={"page_before": F.col("page"), "body_before": F.col("max_body")})
-    before = F.when(F.col("page_before") == F.col("page") - 1, F.col("body_before")).when(F.col("page") > 1, 0)
-    pages = pages.withColumn("before", before)
+    # each page tells the next how far its body goes
+    told = page_summary(words).select("doc", "page", "max_body", F.struct("has_header", "header", "first").alias("own"))
+    both = told.select("doc", F.explode(F.array(F.struct("page", "own", F.lit(None).cast("int").alias("before")), F.struct((F.col("page") + 1).alias("page"), F.lit(None).cast(told.schema["own"].dataType).alias("own"), F.col("max_body").alias("before")))).alias("x")).select("doc", "x.*")
+    met = both.groupBy("doc", "page").agg(F.first("own", ignorenulls=True).alias("own"), F.max("before").alias("before")).where("own is not null")
+    pages = met.select("doc", "page", "own.*", F.coalesce("before", F.when(F.col("page") > 1, 0)).alias("before"))
     number = r"^\s*(\d+(?:\s+and\s+\d+)?)\.\s+\S"
     hit = pages.where(F.col("has_header") & (F.col("first.h") > 12.0) & (F.col("first.h") < 14.5) & F.col("first.text").rlike(number))
     gap = F.when(F.col("before").isNotNull(), FULL_BOTTOM - F.col("before")).otherwise(0.0)

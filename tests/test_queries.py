@@ -147,3 +147,16 @@ def test_box_files_are_compressed_and_move_no_page(spark, monkeypatch):
     found = pages.box_files(spark, DATA)
     assert made[0].where("path like '%.gz'").count() == made[0].count() > 0
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_totals_of_findings_write_no_texts_and_move_no_words(spark, monkeypatch):
+    from quirefold.operators import layout
+    from quirefold.plans import pages
+
+    kept, stored = [], layout.stored
+    monkeypatch.setattr(layout, "stored", lambda df, name: kept.append((name, stored(df, name))) or kept[-1][1])
+    n = {r.kind: r.n for r in pages.findings_totals(spark, DATA).collect()}
+    assert [name for name, _ in kept] == ["ends"] and kept[0][1].where("l.text <> '' or r.text <> ''").count() == 0 < kept[0][1].where("l is not null").count()
+    assert n["uneven"] == pages.uneven_columns(spark, DATA).count() and n["orphan"] == pages.orphan_lines(spark, DATA).count()
+    plan = pages.orphan_lines(spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and not any("row_number" in x.lower() and "side" in x for x in plan.splitlines() if "Exchange" in x)
