@@ -15,7 +15,7 @@ from ..operators.html import html_papers
 from ..operators.ordered import numbered
 from ..schemas import SPANS
 from ..sources import files as fs
-from ..sources.scratch import scratch, stored, write_files
+from ..sources.scratch import scratch, stored, write_files, write_lines
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -301,12 +301,13 @@ def paper_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as chapters of 100 papers: written as files beside others, found by name, extracted, written as lines of JSON and read again."""
     v = _verses(spark, sf_dir).select((F.col("paper") % 100).alias("book"), F.expr("paper div 100 + 1").cast("int").alias("chapter"), "k", "body")
     number = F.format_string("%03d", F.col("book"))
-    src = v.groupBy("book").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chapter", "k", F.concat(F.lit("\\vs p"), number, F.lit(" "), F.col("chapter"), F.lit(":"), F.col("k"), F.lit(" "), F.col("body")).alias("x")))), lambda x: x["x"]), "\n").alias("src"))
-    own = src.select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), "src")
+    line = F.concat(F.lit("\\vs p"), number, F.lit(" "), F.col("chapter"), F.lit(":"), F.col("k"), F.lit(" "), F.col("body"))
+    own = v.select(F.concat(F.lit("p"), number, F.lit(".tex")).alias("path"), "chapter", line.alias("line"), "k")
+    other = v.select("book").distinct().select(F.concat(F.lit("p"), F.col("book"), F.lit("-sections.tex")).alias("path"), F.lit(0).alias("chapter"), F.lit("\\nothing").alias("line"), F.lit(0).alias("k"))
     folder = scratch(spark, "papers")
-    write_files(own.unionByName(src.select(F.concat(F.lit("p"), F.col("book"), F.lit("-sections.tex")).alias("path"), F.lit("\\nothing").alias("src"))), folder)
-    papers = stored(tex.tex_papers(fs.chosen(fs.tex_files(spark, folder), [k for k in range(100) if k % 10 != 9])), "papers")
-    fs.write_jsonl(papers, (lines := scratch(spark, "jsonl")))
+    write_lines(own.unionByName(other), ["chapter", "k", "line"], folder)
+    papers, pieces = tex.tex_pieces(fs.chosen(fs.tex_lines(spark, folder), [k for k in range(100) if k % 10 != 9]))
+    fs.write_jsonl(papers, (lines := scratch(spark, "jsonl")), pieces, "gzip")
     heads, verses = fs.read_jsonl(spark, lines)
     found = diff.last_wins(verses.unionByName(verses.where("verse = 1").withColumn("text", F.concat("text", F.lit("!"))).withColumn("ord", F.struct(F.lit("~").alias("file"), F.lit(0).cast("long").alias("split"), F.lit(0).cast("long").alias("n")))))
     return found.join(heads.select("paper"), "paper", "left_semi").select("paper", "section", "verse", "text", "repeats")

@@ -31,6 +31,12 @@ def html_files(spark: SparkSession, folder: str) -> DataFrame:
     return whole_files(spark, folder, "*Paper[0-9][0-9][0-9].html")
 
 
+def tex_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, place, line): the lines of paper files pNNN.tex, so that no row holds a file."""
+    read = spark.read.option("lineSep", "\n").text(folder, pathGlobFilter="p[0-9][0-9][0-9].tex")
+    return read.select(F.col("_metadata.file_name").alias("path"), F.struct(F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("n")).alias("place"), F.col("value").alias("line"))
+
+
 def numbered_files(files: DataFrame) -> DataFrame:
     """(paper, path) by the number in each file's name; other columns aren't read."""
     return files.select(F.expr(r"try_cast(nullif(regexp_extract(path, '(\\d{3,})\\.\\w+$', 1), '') as int)").alias("paper"), "path")
@@ -66,14 +72,14 @@ def headers_of(papers: DataFrame) -> DataFrame:
     return papers.select("paper", "title", "subtitle", "author", F.size("sections").alias("sections"), F.size("verses").alias("verses"), "error")
 
 
-def write_jsonl(papers: DataFrame, path: str) -> None:
-    """A header line and then the verses of each paper, in a folder per paper."""
+def write_jsonl(papers: DataFrame, path: str, pieces: DataFrame | None = None, compression: str = "none") -> None:
+    """A header line and then the verses of each paper, in a folder per paper; the verses are in ``pieces``, if given."""
     head = papers.select("paper", F.lit(-1).alias("ord"), F.to_json(F.struct(F.lit("paper").alias("_kind"), "paper", "title", "subtitle", "author", "sections"), {"ignoreNullFields": "false"}).alias("value"))
-    v = verses_of(papers)
+    v = verses_of(papers if pieces is None else pieces)
     spans = F.transform("italics", lambda x: F.array(x["s"], x["e"])).alias("italics")
     body = v.select("paper", "ord", F.to_json(F.struct("paper", "section", "verse", "text", spans, "macros_seen", "floater")).alias("value"))
     rows = head.unionByName(body).repartition("paper").sortWithinPartitions("paper", "ord")
-    rows.select("value", "paper").write.mode("overwrite").partitionBy("paper").text(path)
+    rows.select("value", "paper").write.mode("overwrite").partitionBy("paper").text(path, compression=compression)
 
 
 def read_jsonl(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

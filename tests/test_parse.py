@@ -122,3 +122,44 @@ def test_table_function(spark):
 def test_macro_table(spark):
     rows = macro_table(spark).groupBy("action").count().collect()
     assert {r.action: r["count"] for r in rows} == {"STRIP": 31, "STRUCTURAL": 10, "EMIT_TEXT": 9, "EMIT_ARG": 6, "EMIT_ARG_ITALIC": 2} and len(TABLE) == 58
+
+
+def test_pieces_equal_the_whole(monkeypatch):
+    """A paper read in parts gives what it gives as a whole, wherever something is still open at a line that begins like a verse."""
+    from quirefold.operators import tex
+
+    verse = lambda k, x: f"\\vs p007 1:{k} {x}"
+    plain = [verse(k, f"word {k} \\bibemph{{b}} [c] x") for k in range(12)]
+    odd = {
+        "plain": plain,
+        "open group": [*plain[:3], verse(3, "a {\\itshape b"), *plain[4:8], "c} d", *plain[8:]],
+        "argument over verses": [*plain[:3], verse(3, "a\\fnc{b"), *plain[4:8], "c} d", *plain[8:]],
+        "bracket over verses": [*plain[:3], verse(3, "a \\makebox[b"), *plain[4:8], "]{c} d", *plain[8:]],
+        "never closed": [*plain[:3], verse(3, "a \\bibemph{b ["), *plain[4:]],
+        "stray closing": [*plain[:3], verse(3, "a } b ] c {d}"), *plain[4:]],
+        "hidden part": [*plain[:3], verse(3, "a \\makeatletter b"), *plain[4:8], "\\makeatother c", *plain[8:]],
+        "head and lines": ["\\upaper{7}{T}", "\\author{A}", "\\usection{S}", *plain[:4], "\\printvssuper{5} a\\par", "b\\par", *plain[4:], "\\usectiontwo{2 and 3}{U}", "% \\vs p007 9:9 no", verse(90, "a % c {"), *plain],
+    }
+    for name, lines in odd.items():
+        want = tex.extract("\n".join(lines), 7)
+        for size in (1, 60, 200, 10_000):
+            *pieces, head = tex.extract_pieces(iter(lines), 7, size)
+            assert dict(head, verses=[v for p in pieces for v in p["verses"]]) == want, (name, size)
+            assert name != "plain" or size > 60 or len(pieces) > 4
+    broken = [*plain, verse(50, "a \\nosuchmacro b"), *plain]
+    for size in (1, 10_000):
+        try:
+            list(tex.extract_pieces(iter(broken), 7, size))
+            raise AssertionError("parsed")
+        except tex.MarkupError as e:
+            assert str(e) == "unknown macro \\nosuchmacro at 13:17"
+
+
+def test_a_broken_file_has_no_verses(spark, monkeypatch):
+    from quirefold.operators import tex
+
+    monkeypatch.setattr(tex, "PIECE_CHARS", 1)
+    rows = [(f"p00{p}.tex", k, f"\\vs p00{p} 1:{k} x" + (" \\nosuchmacro" if (p, k) == (1, 7) else "")) for p in (1, 2) for k in range(1, 10)]
+    heads, verses = tex.tex_pieces(spark.createDataFrame(rows, "path string, place int, line string"))
+    assert {r.paper: r.error is None for r in heads.collect()} == {1: False, 2: True}
+    assert sorted(v.verse for r in verses.collect() for v in r.verses if r.paper == 2) == list(range(1, 10)) and {r.paper for r in verses.collect()} == {2}
